@@ -58,8 +58,25 @@ class OneHotEncoder:
         self.max_levels = max_levels
 
     def fit(self, df: DataFrame) -> OneHotModel:
-        return OneHotModel({c: levels(df, c, self.max_levels) for c in self.prefixes},
-                           self.prefixes)
+        """All columns' levels from one scan: unpivot to (column, level), distinct, bounded collect.
+
+        At most ``max_levels`` per column; more than ``len(cols) * max_levels`` rows in total means
+        some column exceeds its bound, which raises.
+        """
+        cols = list(self.prefixes)
+        if not cols:
+            return OneHotModel({}, self.prefixes)
+        long = df.select(F.inline(F.array(*[
+            F.struct(F.lit(c).alias("c"), q(c).cast("string").alias("v")) for c in cols])))
+        cap = len(cols) * self.max_levels
+        rows = long.filter(F.col("v").isNotNull()).distinct().limit(cap + 1).collect()
+        found: dict[str, list] = {c: [] for c in cols}
+        for r in rows:
+            found[r["c"]].append(r["v"])
+        too_many = [c for c, v in found.items() if len(v) > self.max_levels]
+        if too_many or len(rows) > cap:
+            raise ValueError(f"more than {self.max_levels} distinct values in {too_many or cols}")
+        return OneHotModel({c: sorted(v) for c, v in found.items()}, self.prefixes)
 
 
 def one_hot(df: DataFrame, col: str, prefix: str | None = None, max_levels: int = 1000) -> DataFrame:

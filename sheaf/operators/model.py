@@ -21,16 +21,18 @@ SEED = 42
 
 
 def rformula(train: DataFrame, label: str, exclude: Sequence[str] = ("business_id",),
-             features_col: str = "features", label_col: str = "label"):
+             features_col: str = "features", label_col: str = "label",
+             handle_invalid: str = "error"):
     """Fit ``label ~ . - exclude`` on the training rows.
 
-    Text columns are one-hot encoded by descending frequency with the last level dropped; values not
-    seen in fitting go to an extra level instead of failing. Fit on training data only and apply the
+    Text columns are indexed by descending frequency (ties alphabetical) and one-hot encoded with the
+    last level dropped. ``handle_invalid="keep"`` sends null and unseen values to an extra level
+    (which then is the dropped one) instead of failing. Fit on training data only and apply the
     fitted model to every part.
     """
     formula = " - ".join([f"{label} ~ ."] + list(exclude))
     return RFormula(formula=formula, featuresCol=features_col, labelCol=label_col,
-                    handleInvalid="keep").fit(train)
+                    handleInvalid=handle_invalid).fit(train)
 
 
 def _grid(estimator, grid: Mapping[str, Sequence]):

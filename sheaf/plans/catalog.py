@@ -525,7 +525,7 @@ _SCORED = ('SELECT CAST("delivery or takeout" AS DOUBLE) AS y, avg_stars AS s, '
 
 
 @register("auc_roc", O.sql(f"""
-SELECT {O.r2("(sum(CASE WHEN y = 1 THEN rk END) - P * (P + 1) / 2) / (P * N)", 6)} AS auc_roc
+SELECT {O.r2("(sum(CASE WHEN y = 1 THEN rk END) - max(P) * (max(P) + 1) / 2) / (max(P) * max(N))", 6)} AS auc_roc
 FROM (SELECT y, rank() OVER (ORDER BY s) + (count(*) OVER (PARTITION BY s) - 1) / 2.0 AS rk,
              sum(y) OVER () AS P, count(*) OVER () - sum(y) OVER () AS N
       FROM ({_SCORED}))""", "feat"))
@@ -559,3 +559,108 @@ def q_hard_label_auc(spark, sf):
 def q_accuracy(spark, sf):
     a = accuracy(_scored(spark, sf))
     return a.select(round_half_up("accuracy", 6).alias("accuracy"))
+
+
+# ------------------------------------------------------------------------- formula and models
+
+_RF_COLS = ["business_id", "pseudo_target", "stars", "review_count", "Days_open", "city"]
+
+
+def _rformula_sql(n_levels: int = 25) -> str:
+    onehot = ", ".join(f"CASE WHEN lv.idx = {j} THEN 1.0 ELSE 0.0 END AS f{3 + j}"
+                       for j in range(n_levels - 1))
+    return O.sql(f"""
+SELECT r.business_id, CAST(r.pseudo_target AS DOUBLE) AS label, CAST(r.stars AS DOUBLE) AS f0,
+  CAST(r.review_count AS DOUBLE) AS f1, CAST(r.Days_open AS DOUBLE) AS f2, {onehot}
+FROM rest r JOIN (SELECT city, row_number() OVER (ORDER BY count(*) DESC, city) - 1 AS idx
+                  FROM rest GROUP BY city) lv USING (city)""", "rest")
+
+
+@register("rformula_features", _rformula_sql())
+def q_rformula_features(spark, sf):
+    from pyspark.ml.functions import vector_to_array
+
+    from sheaf.operators.model import rformula
+    from sheaf.plans.features import restaurants
+    rest = restaurants(biz(spark, sf), FIX).select(*_RF_COLS)
+    m = rformula(rest, "pseudo_target", exclude=(KEY,))
+    out = m.transform(rest)
+    n = out.schema["features"].metadata["ml_attr"]["num_attrs"]
+    arr = vector_to_array("features")
+    return out.select(KEY, "label", *[arr[i].alias(f"f{i}") for i in range(n)])
+
+
+_FITTED: dict = {}
+
+
+def _memo(spark: SparkSession, sf: str, kind: str, build):
+    """Fitted inputs and models, shared by the queries of one application."""
+    key = (spark.sparkContext.applicationId, sf, kind)
+    if key not in _FITTED:
+        _FITTED[key] = build()
+    return _FITTED[key]
+
+
+def _inputs(spark, sf):
+    from sheaf.plans.features import model_inputs
+    return _memo(spark, sf, "inputs", lambda: model_inputs(tables(spark, sf), FIX))
+
+
+def _lr(spark, sf):
+    from sheaf.operators.model import logistic_cv
+    return _memo(spark, sf, "lr", lambda: logistic_cv(_inputs(spark, sf).train))
+
+
+def _rf(spark, sf):
+    from sheaf.operators.model import forest_cv
+    return _memo(spark, sf, "rf", lambda: forest_cv(_inputs(spark, sf).train))
+
+
+@register("base_table")
+def q_base_table(spark, sf):
+    from sheaf.plans.features import base_table
+    return base_table(tables(spark, sf), FIX)
+
+
+@register("lr_predict")
+def q_lr_predict(spark, sf):
+    from sheaf.operators.model import predictions
+    return predictions(_lr(spark, sf), _inputs(spark, sf).test)
+
+
+@register("cv_grid_metrics")
+def q_cv_grid_metrics(spark, sf):
+    from sheaf.operators.model import grid_metrics
+    return grid_metrics(spark, _lr(spark, sf))
+
+
+def _model_metrics(spark, model, test) -> DataFrame:
+    from sheaf.operators.model import predictions
+    pred = predictions(model, test)
+    auc = auc_roc(model.transform(test), "label", "rawPrediction")
+    return hard_label_metrics(pred).select(
+        F.lit(auc).alias("auc_roc_scores"), F.col("auc_roc").alias("auc_roc_labels"),
+        F.col("auc_pr").alias("auc_pr_labels"), "accuracy")
+
+
+@register("lr_metrics")
+def q_lr_metrics(spark, sf):
+    return _model_metrics(spark, _lr(spark, sf), _inputs(spark, sf).test)
+
+
+@register("rf_predict")
+def q_rf_predict(spark, sf):
+    from sheaf.operators.model import predictions
+    return predictions(_rf(spark, sf), _inputs(spark, sf).test)
+
+
+@register("rf_metrics")
+def q_rf_metrics(spark, sf):
+    return _model_metrics(spark, _rf(spark, sf), _inputs(spark, sf).test)
+
+
+@register("feature_importance")
+def q_feature_importance(spark, sf):
+    from sheaf.operators.model import feature_importances
+    best = _rf(spark, sf).bestModel.stages[-1]
+    return feature_importances(spark, best.featureImportances, _inputs(spark, sf).train)

@@ -140,9 +140,22 @@ def prepared_parts(encoded: DataFrame, p: Params = Params()) -> tuple[DataFrame,
     return imp.transform(train), imp.transform(test)
 
 
+def checkpointed_features(t: Tables, p: Params = Params()) -> DataFrame:
+    """The star-joined feature table, written once to the checkpoint folder.
+
+    The encoding stages run several bounded actions (sparse-column profile, one-hot levels, WOE and
+    mean fits); reading a checkpoint makes each a scan of one narrow table instead of a re-run of
+    every rollup and join, and a lost executor recomputes from the checkpoint, not from the sources.
+    """
+    from sheaf.session import checkpoint_dir
+    feat = feature_table(t, p)
+    checkpoint_dir(feat.sparkSession)
+    return feat.checkpoint(eager=True)
+
+
 def base_table(t: Tables, p: Params = Params()) -> DataFrame:
     """The modelling table: encoded features, WOE and imputation fitted on train, a split column."""
-    encoded = encoded_table(feature_table(t, p), p)
+    encoded = encoded_table(checkpointed_features(t, p), p)
     train, test = prepared_parts(encoded, p)
     return (train.withColumn("split", F.lit("train"))
             .unionByName(test.withColumn("split", F.lit("test"))))
@@ -151,9 +164,9 @@ def base_table(t: Tables, p: Params = Params()) -> DataFrame:
 def model_inputs(t: Tables, p: Params = Params()) -> ModelInputs:
     from sheaf.operators.model import rformula
     from sheaf.session import checkpoint_dir
-    encoded = encoded_table(feature_table(t, p), p)
+    encoded = encoded_table(checkpointed_features(t, p), p)
     train, test = prepared_parts(encoded, p)
-    f = rformula(train, LABEL, exclude=(KEY,))
+    f = rformula(train, LABEL, exclude=(KEY,), handle_invalid="keep")
     checkpoint_dir(train.sparkSession)
     train = f.transform(train).select(KEY, "label", "features").checkpoint(eager=True)
     test = f.transform(test).select(KEY, "label", "features").checkpoint(eager=True)
