@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 from sheaf.sources.schemas import ATTRIBUTES, COMPLIMENTS, DAYS
 from sheaf.sources.tables import load
 
-NULL_S = F.lit(None).cast("string")
 
 # Fixture parameters: as-of dates that follow the date ranges of the driver's tables
 # (orders 1995-2001, events January 2024, signups from 2004).
@@ -38,32 +37,36 @@ def _s(c: Column) -> Column:
     return c.cast("string")
 
 
+def _null() -> Column:
+    return F.lit(None).cast("string")
+
+
 def business(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = load(spark, sf_dir, "customer")
     p = load(spark, sf_dir, "part").select("p_partkey", "p_type", "p_name")
     k = F.col("c_custkey")
     attrs = {
-        "RestaurantsTakeOut": F.when(k % 3 == 0, "True").when(k % 3 == 1, "False").otherwise(NULL_S),
+        "RestaurantsTakeOut": F.when(k % 3 == 0, "True").when(k % 3 == 1, "False").otherwise(_null()),
         "RestaurantsDelivery": F.when(F.col("c_nationkey") % 4 == 0, "True")
         .when(F.col("c_nationkey") % 4 == 1, "False")
-        .when(F.col("c_nationkey") % 4 == 2, "None").otherwise(NULL_S),
+        .when(F.col("c_nationkey") % 4 == 2, "None").otherwise(_null()),
         "BusinessAcceptsCreditCards": F.when(k % 5 == 0, "True").when(k % 5 == 1, "False")
-        .when(k % 5 == 2, NULL_S).when(k % 5 == 3, "True").otherwise(""),
-        "RestaurantsPriceRange2": F.when(k % 6 == 0, NULL_S).when(k % 6 == 5, "None")
+        .when(k % 5 == 2, _null()).when(k % 5 == 3, "True").otherwise(""),
+        "RestaurantsPriceRange2": F.when(k % 6 == 0, _null()).when(k % 6 == 5, "None")
         .otherwise(_s(k % 6)),
-        "BusinessParking": F.when(k % 2 == 0, "{'garage': False}").otherwise(NULL_S),
+        "BusinessParking": F.when(k % 2 == 0, "{'garage': False}").otherwise(_null()),
     }
-    hours = [F.when((k % 7 == i) | (k % 11 == 0), NULL_S)
+    hours = [F.when((k % 7 == i) | (k % 11 == 0), _null())
              .otherwise(F.concat(_s((k + i) % 24), F.lit(":0-"), _s((k * 7 + i) % 24), F.lit(":30")))
              .alias(f"hours.{d}") for i, d in enumerate(DAYS)]
-    categories = (F.when(k % 29 == 0, NULL_S).when(k % 31 == 0, "")
+    categories = (F.when(k % 29 == 0, _null()).when(k % 31 == 0, "")
                   .otherwise(F.concat(F.col("p_type"), F.lit(", "),
                                       F.replace(F.col("p_name"), F.lit(" "), F.lit(", ")))))
     return c.join(p, c["c_custkey"] == p["p_partkey"], "left").select(
         k.alias("business_id"), F.col("c_name").alias("name"),
         F.concat(_s(k), F.lit(" Main St")).alias("address"),
         F.concat(F.lit("City "), _s(F.col("c_nationkey"))).alias("city"),
-        F.when(k % 13 == 0, NULL_S).otherwise(F.col("c_mktsegment")).alias("state"),
+        F.when(k % 13 == 0, _null()).otherwise(F.col("c_mktsegment")).alias("state"),
         _s(F.lit(10000) + k % 90000).alias("postal_code"),
         (F.col("c_acctbal") / F.lit(100.0)).alias("latitude"),
         (F.col("c_acctbal") / F.lit(-200.0)).alias("longitude"),
