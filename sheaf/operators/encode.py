@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sheaf.operators.columns import q
-from sheaf.operators.joins import MAX_BROADCAST_ROWS
+from sheaf.operators.joins import broadcast_if_small, measured_bytes
 from sheaf.session import checkpoint_dir
 
 # ---------------------------------------------------------------------------------------------
@@ -92,21 +92,21 @@ class WoeModel:
     cols: list[str]
     mapping: DataFrame          # feature, level, woe (checkpointed)
     mapping_rows: int
-    max_broadcast_rows: int
+    mapping_bytes: int
+    broadcast_limit: int | None = None
 
     def transform(self, df: DataFrame, suffix: str = "") -> DataFrame:
         """Replace each column by its WOE (``suffix`` keeps the original and adds a new column).
 
         Unseen values get 0; a null gets the WOE of the null level if it was seen in fitting, else 0.
-        The mapping is broadcast only when its measured row count is under the limit; otherwise the
-        join shuffles and AQE splits skewed level partitions.
+        The mapping is broadcast only when its measured size is under the broadcast threshold;
+        otherwise the join shuffles on the level and AQE splits skewed level partitions.
         """
         out = df
         for i, c in enumerate(self.cols):
             m = (self.mapping.filter(F.col("feature") == c)
                  .select(F.col("level").alias(f"_lvl{i}"), F.col("woe").alias(f"_woe{i}")))
-            if self.mapping_rows <= self.max_broadcast_rows:
-                m = F.broadcast(m)
+            m = broadcast_if_small(m, self.mapping_bytes, self.broadcast_limit)
             out = out.join(m, q(c).cast("string").eqNullSafe(F.col(f"_lvl{i}")), "left")
         names = df.columns
         sel = []
@@ -137,10 +137,10 @@ class WoeEncoder:
     """
 
     def __init__(self, cols: Sequence[str], target: str, regularization: float = 1.0,
-                 max_broadcast_rows: int = MAX_BROADCAST_ROWS):
+                 broadcast_limit: int | None = None):
         self.cols, self.target = list(cols), target
         self.r = float(regularization)
-        self.max_broadcast_rows = max_broadcast_rows
+        self.broadcast_limit = broadcast_limit
 
     def fit(self, df: DataFrame) -> WoeModel:
         y = q(self.target)
@@ -165,4 +165,5 @@ class WoeEncoder:
                                F.when(F.col("n") == 1, F.lit(0.0)).otherwise(woe).alias("woe"))
         checkpoint_dir(df.sparkSession)
         mapping = mapping.checkpoint(eager=True)
-        return WoeModel(self.cols, mapping, mapping.count(), self.max_broadcast_rows)
+        rows, size = measured_bytes(mapping)
+        return WoeModel(self.cols, mapping, rows, size, self.broadcast_limit)

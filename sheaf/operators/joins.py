@@ -3,7 +3,7 @@
 Left joins on one named key keep a single key column. The star join attaches per-key rollups to the
 entity table; every rollup is already hash-partitioned on the key by its aggregation, so the join
 re-uses that partitioning instead of shuffling the rollups again. A side is broadcast only when its
-row count has been measured and is under a limit.
+size has been measured and is under the session's broadcast threshold.
 """
 
 from __future__ import annotations
@@ -12,20 +12,63 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Rows above which a side is never broadcast, whatever its estimated size.
-MAX_BROADCAST_ROWS = 2_000_000
+# Per-row and per-value overheads used to turn measured content into an in-memory size estimate.
+_ROW_OVERHEAD = 32
+_FIXED_WIDTH = 8
 
 
-def left_join(left: DataFrame, right: DataFrame, key: str, broadcast_rows: int | None = None,
-              max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``left`` left join ``right`` on ``key``.
+def broadcast_threshold(spark) -> int:
+    """The session's broadcast limit in bytes (``spark.sql.autoBroadcastJoinThreshold``); 0 if off."""
+    raw = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).strip().lower()
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30,
+             "gb": 1 << 30}
+    num = raw.rstrip("kmgb")
+    mult = units.get(raw[len(num):] or "b", 1)
+    try:
+        v = int(float(num) * mult)
+    except ValueError:
+        return 10 << 20
+    return max(v, 0)
 
-    Pass ``broadcast_rows`` (a measured row count of ``right``) to broadcast it when it is small;
-    otherwise the planner and AQE choose from statistics.
+
+def measured_bytes(df: DataFrame) -> tuple[int, int]:
+    """(rows, estimated bytes) of a table, from one aggregation over its actual content.
+
+    Text and binary columns count their byte length, other columns a fixed width; meant for small,
+    already materialized sides (a checkpoint or an aggregate) before deciding to broadcast them.
+    """
+    parts = [F.lit(_ROW_OVERHEAD)]
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            parts.append(F.coalesce(F.octet_length(c), F.lit(0)))
+        else:
+            parts.append(F.lit(_FIXED_WIDTH))
+    size = parts[0]
+    for p in parts[1:]:
+        size = size + p
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(size.cast("bigint")).alias("b")).first()
+    return int(r["n"]), int(r["b"] or 0)
+
+
+def broadcast_if_small(df: DataFrame, size_bytes: int, limit: int | None = None) -> DataFrame:
+    """Mark ``df`` for broadcast when its measured size is within ``limit`` (default: the session's
+    broadcast threshold); otherwise leave the join strategy to the planner and AQE."""
+    limit = broadcast_threshold(df.sparkSession) if limit is None else limit
+    return F.broadcast(df) if 0 < size_bytes <= limit else df
+
+
+def left_join(left: DataFrame, right: DataFrame, key: str,
+              right_bytes: int | None = None) -> DataFrame:
+    """``left`` left join ``right`` on ``key`` (J1), one key column out.
+
+    Pass ``right_bytes`` (from ``measured_bytes``) to broadcast ``right`` when it is under the
+    session's broadcast threshold; otherwise the planner and AQE choose from statistics.
     """
-    if broadcast_rows is not None and broadcast_rows <= max_broadcast_rows:
-        right = F.broadcast(right)
+    if right_bytes is not None:
+        right = broadcast_if_small(right, right_bytes)
     return left.join(right, key, "left")
 
 

@@ -258,3 +258,26 @@ def test_hash_split_is_a_partition_and_stable(spark):
     assert again == sorted(r.k for r in a.collect())
     labels = {r.split for r in df.select(split_label("k").alias("split")).collect()}
     assert labels == {"train", "test"}
+
+
+def test_woe_mapping_not_broadcast_over_limit(spark):
+    df = spark.createDataFrame([(i, f"v{i % 50}", i % 2) for i in range(200)], "id int, c string, y int")
+    small = WoeEncoder(["c"], "y").fit(df)
+    assert 0 < small.mapping_bytes < 100_000
+    hinted = small.transform(df)._jdf.queryExecution().analyzed().toString()
+    assert "strategy=broadcast" in hinted
+    big = WoeEncoder(["c"], "y", broadcast_limit=10).fit(df)
+    unhinted = big.transform(df)._jdf.queryExecution().analyzed().toString()
+    assert "strategy=broadcast" not in unhinted
+
+
+def test_broadcast_threshold_parsing(spark):
+    from sheaf.operators.joins import broadcast_threshold
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        assert broadcast_threshold(spark) == 0
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20MB")
+        assert broadcast_threshold(spark) == 20 << 20
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
