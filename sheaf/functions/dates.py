@@ -31,11 +31,11 @@ def days_between(as_of: str | date | Column | None, c: str | Column) -> Column:
 
     Pass a fixed date for reproducible results.
     """
-    return F.datediff(_as_of(as_of), as_col(c).cast("date"))
+    return F.datediff(_as_of(as_of), try_cast(c, "date"))
 
 
 def date_parts(c: str | Column, prefix: str = "") -> list[Column]:
-    """Year, month and day of month of a date or timestamp."""
-    c = as_col(c)
+    """Year, month and day of month of a date, timestamp or date text (bad text gives null)."""
+    c = try_cast(c, "date")
     return [F.year(c).alias(f"{prefix}year"), F.month(c).alias(f"{prefix}month"),
             F.dayofmonth(c).alias(f"{prefix}day")]

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from sheaf.functions.arith import ratio, row_sum
 from sheaf.functions.dates import days_between, text_to_date
-from sheaf.functions.safe import round_half_up
+from sheaf.functions.safe import round_half_up, try_cast
 from sheaf.operators.columns import q
 
 KEY = "business_id"
@@ -75,7 +75,7 @@ def value_frequency(df: DataFrame, col: str) -> DataFrame:
 
 def distinct_per_year(df: DataFrame, date_col: str = "date", key: str = KEY) -> DataFrame:
     """Distinct keys per calendar year, fewest first."""
-    return (df.groupBy(F.year(date_col).alias("year"))
+    return (df.groupBy(F.year(try_cast(date_col, "date")).alias("year"))
             .agg(F.count_distinct(key).alias("n_business"))
             .orderBy("n_business", "year"))
 
