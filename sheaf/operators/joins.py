@@ -72,6 +72,20 @@ def left_join(left: DataFrame, right: DataFrame, key: str,
     return left.join(right, key, "left")
 
 
+def prefilter_to_keys(facts: DataFrame, keys: DataFrame, key: str, keys_bytes: int,
+                      limit: int | None = None) -> DataFrame:
+    """Drop fact rows whose key is not in ``keys``, before they are aggregated and shuffled.
+
+    Done as a broadcast left-semi join (map side, no shuffle) when the measured key set is under the
+    broadcast threshold; otherwise ``facts`` is returned unchanged. Only for facts that are later
+    left-joined to ``keys``' table, where both give the same result.
+    """
+    limit = broadcast_threshold(facts.sparkSession) if limit is None else limit
+    if 0 < keys_bytes <= limit:
+        return facts.join(F.broadcast(keys.select(key)), key, "left_semi")
+    return facts
+
+
 def star_join(entity: DataFrame, sides: Sequence[DataFrame], key: str) -> DataFrame:
     """Entity table left-joined with several per-key tables.
 
