@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sheaf.functions.safe import round_half_up
 from sheaf.operators.columns import q
 from sheaf.operators.joins import broadcast_if_small, measured_bytes
 from sheaf.session import checkpoint_dir
@@ -131,16 +132,18 @@ class WoeEncoder:
         woe_i = ln( ((pos_i + r) / (P + 2r)) / ((n_i - pos_i + r) / (N + 2r)) )
 
     Levels seen once get 0 (guards id-like columns); null is a level of its own. Rows with a null
-    target are left out of the fit. All columns are counted in one aggregation: the table is
+    target are left out of the fit. Values are rounded half-up to ``decimals`` places (6 by default),
+    which makes them identical across engines and math libraries; ``None`` keeps full precision. All columns are counted in one aggregation: the table is
     unpivoted to (feature, level, target) and grouped once, with partial aggregation, so a level
     holding a third of all rows costs one pre-aggregated row per task.
     """
 
     def __init__(self, cols: Sequence[str], target: str, regularization: float = 1.0,
-                 broadcast_limit: int | None = None):
+                 broadcast_limit: int | None = None, decimals: int | None = 6):
         self.cols, self.target = list(cols), target
         self.r = float(regularization)
         self.broadcast_limit = broadcast_limit
+        self.decimals = decimals
 
     def fit(self, df: DataFrame) -> WoeModel:
         y = q(self.target)
@@ -161,6 +164,8 @@ class WoeEncoder:
         r = self.r
         woe = F.ln(((F.col("pos") + r) / F.lit(p_all + 2 * r))
                    / ((F.col("n") - F.col("pos") + r) / F.lit(neg_all + 2 * r)))
+        if self.decimals is not None:
+            woe = round_half_up(woe, self.decimals)
         mapping = stats.select("feature", "level",
                                F.when(F.col("n") == 1, F.lit(0.0)).otherwise(woe).alias("woe"))
         checkpoint_dir(df.sparkSession)

@@ -616,7 +616,49 @@ def _rf(spark, sf):
     return _memo(spark, sf, "rf", lambda: forest_cv(_inputs(spark, sf).train))
 
 
-@register("base_table")
+def _base_table_sql() -> str:
+    """The flagship end to end, for sf0.01 (levels and sparse columns as observed there)."""
+    woe_cols = ["cat1", "cat2", "cat3"]
+    num = (["stars", "review_count", "is_open"] + woe_cols + HOURS_FEATURES
+           + ["avg_stars", "nbr_reviews", "total_cool", "total_funny", "total_useful",
+              "total_votes", "avg_votes", "recent_review", "ratio_cool", "ratio_funny",
+              "ratio_useful"])
+    card = (f"CASE WHEN {CARDS} = 'True' THEN 'Yes' WHEN {CARDS} = 'False' THEN 'No' "
+            f"ELSE 'Missing' END")
+    hot = ([(f"state_{v}", f"state = '{v}'") for v in _STATES]
+           + [(f"BusinessAcceptsCreditCards_{v}", f"{card} = '{v}'") for v in ("No", "Yes")]
+           + [(f"RestaurantsPriceRange_{v}", f"COALESCE({PRICE}, '0') = '{v}'")
+              for v in ("1", "2", "3", "4")])
+    feats = num + [n for n, _ in hot]
+    stats = " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, {c} AS level, sum(y) AS pos, count(y) AS n FROM tr GROUP BY {c}"
+        for c in woe_cols)
+    zero = "CAST(0 AS DOUBLE)"
+    body = f"""
+, enc AS (SELECT business_id, {", ".join(num)}, "delivery or takeout" AS delivery_or_takeout,
+            {", ".join(f"CASE WHEN {cond} THEN 1 ELSE 0 END AS {n}" for n, cond in hot)}
+          FROM feat WHERE "delivery or takeout" IS NOT NULL),
+sp AS (SELECT *, CASE WHEN {_BUCKET} < 7000 THEN 'train' ELSE 'test' END AS split FROM enc),
+tr AS (SELECT *, CAST(delivery_or_takeout AS DOUBLE) AS y FROM sp WHERE split = 'train'),
+tot AS (SELECT CAST(sum(y) AS DOUBLE) AS p, CAST(count(y) AS DOUBLE) AS n FROM tr),
+st AS ({stats}),
+mp AS (SELECT feature, level, CASE WHEN st.n = 1 THEN {zero} ELSE {O.r2(
+         "ln(((st.pos + 1.0) / (tot.p + 2.0)) / ((st.n - st.pos + 1.0) / (tot.n - tot.p + 2.0)))",
+         6)} END AS woe FROM st, tot),
+w AS (SELECT sp.* REPLACE ({", ".join(f"COALESCE(m{i}.woe, {zero}) AS {c}"
+                                       for i, c in enumerate(woe_cols))})
+      FROM sp {" ".join(f"LEFT JOIN mp m{i} ON m{i}.feature = '{c}' AND "
+                        f"m{i}.level IS NOT DISTINCT FROM sp.{c}" for i, c in enumerate(woe_cols))}),
+mu AS (SELECT {", ".join(f"{O.r2(f'avg(COALESCE(CAST({c} AS DOUBLE), {zero}))')} AS {c}"
+                         for c in feats)} FROM w WHERE split = 'train')
+SELECT w.business_id, {", ".join(f"COALESCE(CAST(w.{c} AS DOUBLE), mu.{c}) AS {c}" for c in feats)},
+  w.delivery_or_takeout, w.split
+FROM w, mu"""
+    base = O.sql("SELECT 1", "feat")
+    return base[: base.rindex("\nSELECT 1")] + body
+
+
+@register("base_table", _base_table_sql())
 def q_base_table(spark, sf):
     from sheaf.plans.features import base_table
     return base_table(tables(spark, sf), FIX)

@@ -231,11 +231,13 @@ def test_woe_against_hand_formula(spark):
     cats = ["a", "a", "a", "b", "b", None, None, "s"]
     ys = [1, 0, 1, 0, 0, 1, 1, 1]
     df = spark.createDataFrame(list(zip(range(8), cats, ys)), "id int, c string, y int")
-    model = WoeEncoder(["c"], "y").fit(df)
+    model = WoeEncoder(["c"], "y", decimals=None).fit(df)
     ref = _woe_reference(cats, ys)
     got = {r.id: r.c for r in model.transform(df).collect()}
     for i, c in enumerate(cats):
         assert got[i] == pytest.approx(ref[c])
+    rounded = {r.id: r.c for r in WoeEncoder(["c"], "y").fit(df).transform(df).collect()}
+    assert all(rounded[i] == round(ref[c], 6) for i, c in enumerate(cats))
     new = spark.createDataFrame([(100, "unseen", 0)], "id int, c string, y int")
     assert model.transform(new).first().c == 0.0
     plan = model.transform(df)._jdf.queryExecution().executedPlan().toString()
