@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from sheaf.functions.safe import round_half_up
 from sheaf.operators.columns import q
-from sheaf.operators.joins import broadcast_if_small, measured_bytes
+from sheaf.operators.joins import broadcast_if_small
 from sheaf.session import checkpoint_dir
 
 # ---------------------------------------------------------------------------------------------
@@ -146,21 +146,32 @@ class WoeEncoder:
         self.decimals = decimals
 
     def fit(self, df: DataFrame) -> WoeModel:
+        """Two jobs: the grouped counts (checkpointed), then one small aggregation over them for the
+        class totals, the 0/1 check and the mapping's size. Every labelled row counts once per
+        feature, so the first feature's levels add up to the totals."""
         y = q(self.target)
         d = df.filter(y.isNotNull())
-        tot = d.agg(F.sum(y).alias("p"), F.count(y).alias("n"), F.min(y).alias("lo"),
-                    F.max(y).alias("hi")).first()
-        if tot["n"] == 0:
+        long = d.select(y.cast("double").alias("_y"), F.inline(F.array(*[
+            F.struct(F.lit(c).alias("feature"), q(c).cast("string").alias("level"))
+            for c in self.cols])))
+        checkpoint_dir(df.sparkSession)
+        stats = (long.groupBy("feature", "level")
+                 .agg(F.sum("_y").alias("pos"), F.count("_y").alias("n"),
+                      F.count_if((F.col("_y") != 0) & (F.col("_y") != 1)).alias("bad"))
+                 .checkpoint(eager=True))
+        first = F.col("feature") == self.cols[0]
+        tot = stats.agg(F.sum(F.when(first, F.col("pos"))).alias("p"),
+                        F.sum(F.when(first, F.col("n"))).alias("n"),
+                        F.sum("bad").alias("bad"), F.count(F.lit(1)).alias("rows"),
+                        F.sum(F.octet_length("feature") + F.coalesce(F.octet_length("level"),
+                                                                      F.lit(0)) + 48)
+                        .alias("bytes")).first()
+        if not tot["n"]:
             raise ValueError("no rows with a target")
-        if tot["lo"] < 0 or tot["hi"] > 1:
+        if tot["bad"]:
             raise ValueError("target must be 0/1")
         p_all, n_all = float(tot["p"]), float(tot["n"])
         neg_all = n_all - p_all
-        long = d.select(y.cast("double").alias("_y"), F.inline(F.array(*[
-            F.struct(F.lit(c).alias("feature"), q(c).cast("string").alias("level"))
-            for c in self.cols])))
-        stats = long.groupBy("feature", "level").agg(F.sum("_y").alias("pos"),
-                                                      F.count("_y").alias("n"))
         r = self.r
         woe = F.ln(((F.col("pos") + r) / F.lit(p_all + 2 * r))
                    / ((F.col("n") - F.col("pos") + r) / F.lit(neg_all + 2 * r)))
@@ -168,7 +179,5 @@ class WoeEncoder:
             woe = round_half_up(woe, self.decimals)
         mapping = stats.select("feature", "level",
                                F.when(F.col("n") == 1, F.lit(0.0)).otherwise(woe).alias("woe"))
-        checkpoint_dir(df.sparkSession)
-        mapping = mapping.checkpoint(eager=True)
-        rows, size = measured_bytes(mapping)
+        rows, size = int(tot["rows"]), int(tot["bytes"])
         return WoeModel(self.cols, mapping, rows, size, self.broadcast_limit)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from sheaf.functions.arith import flag_count, null_count
 from sheaf.functions.safe import split_item, try_cast
 from sheaf.operators.columns import q
+from sheaf.operators.filters import outside
 from sheaf.sources.schemas import DAYS
 
 HOUR_COLUMNS = tuple(f"hours_{d}" for d in DAYS)
@@ -45,7 +46,7 @@ def hours_features(day_cols: Sequence[str] = HOUR_COLUMNS, morning_before: int =
     closes = [close_hour(q(c)) for c in day_cols]
     days_open = F.lit(len(day_cols)) - null_count(opens)
     morning = flag_count([F.when(o < morning_before, 1).otherwise(0) for o in opens])
-    night = flag_count([F.when((h < night_before) | (h > night_after), 1).otherwise(0)
+    night = flag_count([F.when(outside(h, night_before, night_after), 1).otherwise(0)
                         for h in closes])
     return [
         F.when(null_count(opens[:weekdays]) > 0, F.lit(0)).otherwise(F.lit(1))
