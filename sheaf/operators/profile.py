@@ -75,67 +75,109 @@ def _rank(p: float, n: int) -> int:
     return min(n, max(1, math.ceil(p * n - 1e-9)))
 
 
-def _kth_in_histogram(sub: DataFrame, ks: Sequence[int]) -> list:
-    """k-th smallest values of a column ``v`` holding a bounded number of rows."""
-    hist = sub.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
-    w = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = hist.select("v", F.sum("c").over(w).alias("cum"))
-    row = cum.agg(*[F.min(F.when(F.col("cum") >= k, F.col("v"))).alias(f"k{i}")
-                    for i, k in enumerate(ks)]).first()
-    return [row[f"k{i}"] for i in range(len(ks))]
-
-
-def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], max_exact_rows: int = 500_000,
-                    accuracy: int = 10_000) -> list:
-    """Exact (observed-value) quantiles of one numeric column.
+def exact_quantiles_multi(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
+                          max_exact_rows: int = 500_000,
+                          accuracy: int = 10_000) -> dict[str, list]:
+    """Exact (observed-value) quantiles of several numeric columns.
 
     Matches ``percentile_disc`` and ``approxQuantile(col, probs, 0)``, but memory stays bounded: those
-    gather every distinct value of the column into one buffer. Here, while the candidate range holds
-    more than ``max_exact_rows`` rows, two approximate percentiles bracket the target rank and exact
-    counts confirm the bracket; each round narrows the range by about ``accuracy / 4``. A value that
-    holds a third of all rows closes the bracket at once. The final range is small enough to rank
-    exactly.
+    gather every distinct value of a column into one buffer. Every (column, probability) target is a
+    bracket of values known to hold its rank. While a bracket holds more than ``max_exact_rows``
+    rows it is narrowed: two approximate percentiles around the target rank, exact counts to confirm
+    them; each round shrinks it by about ``accuracy / 4``, and a value holding a third of all rows
+    closes it at once. Brackets small enough are ranked exactly from a value histogram. All targets
+    move together, so each round is one percentile job and one counting job whatever their number.
     """
-    v = q(col).cast("double")
-    base = df.select(v.alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    n = base.count()
-    if n == 0:
-        return [None] * len(probs)
-    ks = [_rank(p, n) for p in probs]
-    if n <= max_exact_rows:
-        return _kth_in_histogram(base, ks)
-    return [_kth_narrowing(base, k, n, max_exact_rows, accuracy) for k in ks]
-
-
-def _kth_narrowing(base: DataFrame, k: int, n: int, max_exact_rows: int, accuracy: int):
-    lo = hi = None
-    below, cnt = 0, n
-    x = F.col("v")
+    vals = {c: q(c).cast("double") for c in cols}
+    valid = {c: vals[c].isNotNull() & ~F.isnan(vals[c]) for c in cols}
+    counts = df.agg(*[F.count_if(valid[c]).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    targets = []
+    for i, c in enumerate(cols):
+        n = counts[f"n{i}"]
+        for p in probs:
+            t = {"col": c, "result": None, "done": n == 0}
+            if n:
+                t.update(k=_rank(p, n), lo=None, hi=None, below=0, cnt=n, delta=4.0 / accuracy)
+            targets.append(t)
+
+    def in_range(t):
+        cond = valid[t["col"]]
+        if t["lo"] is not None:
+            cond = cond & (vals[t["col"]] >= t["lo"]) & (vals[t["col"]] <= t["hi"])
+        return cond
+
     while True:
-        sub = base if lo is None else base.filter((x >= lo) & (x <= hi))
-        if cnt <= max_exact_rows:
-            return _kth_in_histogram(sub, [k - below])[0]
-        frac = (k - below) / cnt
-        delta = 4.0 / accuracy
-        while True:
-            p_lo, p_hi = max(0.0, frac - delta), min(1.0, frac + delta)
-            a, b = sub.agg(F.percentile_approx(x, [p_lo, p_hi], accuracy)).first()[0]
-            r = sub.agg(F.count_if(x < a).alias("lt"), F.count_if(x <= b).alias("le")).first()
-            if below + r["lt"] < k <= below + r["le"]:
-                break
-            if p_lo == 0.0 and p_hi == 1.0:
-                raise RuntimeError("quantile bracket failed")
-            delta *= 4
-        if a == b:
-            return a
-        lo, hi, below, cnt = a, b, below + r["lt"], r["le"] - r["lt"]
+        small = [t for t in targets if not t["done"] and t["cnt"] <= max_exact_rows]
+        if small:
+            _rank_in_histograms(df, small, vals, in_range)
+        big = [t for t in targets if not t["done"]]
+        if not big:
+            break
+        _narrow(df, big, vals, in_range, accuracy)
+    out: dict[str, list] = {c: [] for c in cols}
+    for t in targets:
+        out[t["col"]].append(t["result"])
+    return out
+
+
+def _rank_in_histograms(df: DataFrame, targets: list, vals, in_range) -> None:
+    """Resolve targets whose bracket holds few rows: one histogram per distinct bracket, all in one
+    job; the running count over each (bounded) histogram finds each rank."""
+    ranges: dict = {}
+    for t in targets:
+        t["r"] = ranges.setdefault((t["col"], t["lo"], t["hi"]), len(ranges))
+    reps = {r: next(t for t in targets if t["r"] == r) for r in ranges.values()}
+    long = df.select(F.inline(F.array(*[
+        F.struct(F.lit(r).alias("r"), vals[t["col"]].alias("v"), in_range(t).alias("ok"))
+        for r, t in reps.items()]))).filter("ok")
+    hist = long.groupBy("r", "v").agg(F.count(F.lit(1)).alias("c"))
+    w = Window.partitionBy("r").orderBy("v").rowsBetween(Window.unboundedPreceding,
+                                                          Window.currentRow)
+    cum = hist.select("r", "v", F.sum("c").over(w).alias("cum"))
+    row = cum.agg(*[F.min(F.when((F.col("r") == t["r"]) & (F.col("cum") >= t["k"] - t["below"]),
+                                 F.col("v"))).alias(f"t{j}") for j, t in enumerate(targets)]).first()
+    for j, t in enumerate(targets):
+        t["result"], t["done"] = row[f"t{j}"], True
+
+
+def _narrow(df: DataFrame, targets: list, vals, in_range, accuracy: int) -> None:
+    fr = []
+    for t in targets:
+        f = (t["k"] - t["below"]) / t["cnt"]
+        fr.append((max(0.0, f - t["delta"]), min(1.0, f + t["delta"])))
+    piv = df.agg(*[F.percentile_approx(F.when(in_range(t), vals[t["col"]]), list(fr[j]), accuracy)
+                   .alias(f"p{j}") for j, t in enumerate(targets)]).first()
+    ab = [piv[f"p{j}"] for j in range(len(targets))]
+    cnt = df.agg(*[e for j, t in enumerate(targets) for e in (
+        F.count_if(in_range(t) & (vals[t["col"]] < ab[j][0])).alias(f"lt{j}"),
+        F.count_if(in_range(t) & (vals[t["col"]] <= ab[j][1])).alias(f"le{j}"))]).first()
+    for j, t in enumerate(targets):
+        a, b = ab[j]
+        lt, le = cnt[f"lt{j}"], cnt[f"le{j}"]
+        if t["below"] + lt < t["k"] <= t["below"] + le:
+            if a == b:
+                t["result"], t["done"] = a, True
+            else:
+                t.update(lo=a, hi=b, below=t["below"] + lt, cnt=le - lt,
+                         delta=4.0 / accuracy)
+        elif fr[j] == (0.0, 1.0):
+            raise RuntimeError("quantile bracket failed")
+        else:
+            t["delta"] *= 4
+
+
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], max_exact_rows: int = 500_000,
+                    accuracy: int = 10_000) -> list:
+    """Exact quantiles of one column; see ``exact_quantiles_multi``."""
+    return exact_quantiles_multi(df, [col], probs, max_exact_rows, accuracy)[col]
 
 
 def iqr_bounds(df: DataFrame, cols: Sequence[str], whisker: float = 1.5, **kw) -> DataFrame:
     """Exact quartiles and ``whisker`` x IQR fences per column (Q6), one row per column."""
+    qs = exact_quantiles_multi(df, cols, [0.25, 0.75], **kw)
     rows = []
     for c in cols:
-        q1, q3 = exact_quantiles(df, c, [0.25, 0.75], **kw)
+        q1, q3 = qs[c]
         if q1 is None:
             rows.append((c, None, None, None, None))
             continue

@@ -182,6 +182,21 @@ def test_exact_quantiles_narrowing_matches_numpy(spark, skewed):
     assert exact_quantiles(df, "v", probs) == pytest.approx(want)
 
 
+def test_exact_quantiles_many_columns_mixed_paths(spark):
+    from sheaf.operators.profile import exact_quantiles_multi
+    rng = np.random.default_rng(11)
+    a = rng.integers(0, 50, size=3000).astype(float)
+    b = rng.exponential(size=3000).round(4)
+    b[::3] = 7.0
+    rows = [(float(x), float(y) if i % 10 else None) for i, (x, y) in enumerate(zip(a, b))]
+    df = spark.createDataFrame(rows, "a double, b double")
+    probs = [0.1, 0.25, 0.75, 0.9]
+    got = exact_quantiles_multi(df, ["a", "b"], probs, max_exact_rows=150, accuracy=50)
+    for name, col in (("a", a), ("b", np.array([r[1] for r in rows if r[1] is not None]))):
+        s = np.sort(col)
+        assert got[name] == pytest.approx([s[max(1, math.ceil(p * len(s))) - 1] for p in probs])
+
+
 def test_missing_counts_typed(spark, ansi):
     df = spark.createDataFrame(
         [("", 1.0, None, None, None), ("NaN", float("nan"), 3, True, None), ("x", None, 4, None, None)],
