@@ -1,5 +1,5 @@
 """The per-key activity rollups (check-ins, tips) over a growing folder of JSON-lines files."""
 
-from sheaf.streaming.rollups import run_rollup_stream, start_rollup_stream
+from sheaf.streaming.rollups import latest_rollup, run_rollup_stream, start_rollup_stream
 
-__all__ = ["run_rollup_stream", "start_rollup_stream"]
+__all__ = ["latest_rollup", "run_rollup_stream", "start_rollup_stream"]
