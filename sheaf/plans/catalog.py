@@ -767,3 +767,9 @@ def q_review_rollup_json(spark, sf):
         "cool", F.date_format("date", "yyyy-MM-dd HH:mm:ss").alias("date"))
     path = write_json(r, scratch_path(spark, "json-review"))
     return review_rollup(read_table(spark, "review", path), FIX.review_as_of)
+
+
+@register("rf_grid_metrics")
+def q_rf_grid_metrics(spark, sf):
+    from sheaf.operators.model import grid_metrics
+    return grid_metrics(spark, _rf(spark, sf))
