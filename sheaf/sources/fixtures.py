@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sheaf.functions.safe import split_item
 from sheaf.sources.schemas import ATTRIBUTES, COMPLIMENTS, DAYS
 from sheaf.sources.tables import load
 
@@ -84,7 +85,7 @@ def review(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("r"), _s(k)).alias("review_id"),
         F.concat(F.lit("u"), _s((k * 7) % 1009)).alias("user_id"),
         F.col("o_custkey").alias("business_id"),
-        F.substring("o_orderpriority", 1, 1).try_cast("double").alias("stars"),
+        split_item("o_orderpriority", "-", 0).try_cast("double").alias("stars"),
         (F.floor("o_totalprice") % 5).alias("useful"),
         (k % 3).alias("funny"),
         F.when(k % 50 == 0, F.lit(None).cast("bigint")).otherwise(k % 4).alias("cool"),
@@ -189,7 +190,7 @@ FROM customer c LEFT JOIN part p ON p.p_partkey = c.c_custkey""",
     "review": """
 SELECT 'r' || CAST(o_orderkey AS VARCHAR) AS review_id,
   'u' || CAST((o_orderkey * 7) % 1009 AS VARCHAR) AS user_id,
-  o_custkey AS business_id, TRY_CAST(substr(o_orderpriority, 1, 1) AS DOUBLE) AS stars,
+  o_custkey AS business_id, TRY_CAST(split_part(o_orderpriority, '-', 1) AS DOUBLE) AS stars,
   CAST(floor(o_totalprice) AS BIGINT) % 5 AS useful, o_orderkey % 3 AS funny,
   CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE o_orderkey % 4 END AS cool,
   o_orderdate AS date
