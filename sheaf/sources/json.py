@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sheaf.sources.schemas import SCHEMAS
@@ -26,6 +27,27 @@ def read_table(spark: SparkSession, name: str, path: str | list[str]) -> DataFra
     return read_json(spark, path, SCHEMAS[name])
 
 
+def flatten_structs(df: DataFrame, sep: str = ".") -> DataFrame:
+    """Struct fields as top-level columns named ``parent<sep>child`` (recursively), in one projection.
+
+    Nested records (``attributes: {RestaurantsTakeOut: ...}``) become the flat dotted names the
+    workload expects (``attributes.RestaurantsTakeOut``); other columns pass through.
+    """
+    def walk(prefix: list[str], dtype: T.DataType):
+        if isinstance(dtype, T.StructType):
+            for f in dtype.fields:
+                yield from walk(prefix + [f.name], f.dataType)
+        else:
+            yield prefix
+
+    cols = []
+    for f in df.schema.fields:
+        for path in walk([f.name], f.dataType):
+            ref = ".".join(f"`{p}`" for p in path)
+            cols.append(F.col(ref).alias(sep.join(path)))
+    return df.select(cols)
+
+
 def write_json(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
     df.write.mode(mode).json(path)
     return path
