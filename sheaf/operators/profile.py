@@ -16,10 +16,20 @@ from sheaf.functions.safe import round_half_up
 from sheaf.operators.columns import q
 
 
+def nan_text(col: Column) -> Column:
+    """True for text that casts to NaN: ``NaN`` with an optional sign, or ``nan`` in any case.
+
+    Same answer as ``isnan(cast(col AS double))`` without a number-parse attempt (and a failed
+    parse) on every value of a text column.
+    """
+    t = F.trim(col)
+    return F.coalesce(t.isin("NaN", "+NaN", "-NaN") | (F.lower(t) == "nan"), F.lit(False))
+
+
 def missing_condition(df: DataFrame, c: str, empty_as_missing: bool = False) -> Column:
     """Null, NaN and (optionally) empty-string test, chosen by the column's type.
 
-    Floating columns test NaN directly; text columns test NaN on the text read as a number
+    Floating columns test NaN directly; text columns test for text that reads as NaN
     (``'NaN'``); other types can only be null. This gives the old untyped test's answers without
     casting errors under ANSI mode or analysis errors on dates and booleans.
     """
@@ -29,7 +39,7 @@ def missing_condition(df: DataFrame, c: str, empty_as_missing: bool = False) ->
     if isinstance(dt, (T.FloatType, T.DoubleType)):
         cond = cond | F.isnan(col)
     elif isinstance(dt, T.StringType):
-        cond = cond | F.coalesce(F.isnan(col.try_cast("double")), F.lit(False))
+        cond = cond | nan_text(col)
         if empty_as_missing:
             cond = cond | (col == "")
     return cond

@@ -207,6 +207,16 @@ def test_missing_counts_typed(spark, ansi):
     assert empty["s"] == 2
 
 
+def test_nan_text_matches_cast(spark, ansi):
+    from sheaf.operators.profile import nan_text
+    vals = ["NaN", " nan ", "+NaN", "-NaN", "NAN", "nanx", "1.5", "", None, "Infinity", "+nan"]
+    df = spark.createDataFrame([(v,) for v in vals], "s string")
+    got = [r.a for r in df.select(nan_text(F.col("s")).alias("a")).collect()]
+    ref = [r.b for r in df.select(F.coalesce(F.isnan(F.col("s").try_cast("double")), F.lit(False))
+                                  .alias("b")).collect()]
+    assert got == ref
+
+
 def test_missing_share_and_sparse(spark):
     df = spark.createDataFrame([(1, None, ""), (2, None, None), (3, 1, None)], "a int, b int, c string")
     share = missing_share(df).first().asDict()
