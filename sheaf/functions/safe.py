@@ -31,7 +31,13 @@ def _java_literal_pattern(sep: str) -> str:
 
 
 def split_item(c: str | Column, sep: str, i: int) -> Column:
-    """``split(c, sep)[i]`` with null for short lists."""
+    """``split(c, sep)[i]`` with null for short lists.
+
+    The first element is the text before the first separator (all of it when there is none), taken
+    with ``substring_index`` so no array is built per row.
+    """
+    if i == 0:
+        return F.substring_index(as_col(c), sep, 1)
     return item(F.split(as_col(c), _java_literal_pattern(sep)), i)
 
 
