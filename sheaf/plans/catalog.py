@@ -773,3 +773,27 @@ def q_review_rollup_json(spark, sf):
 def q_rf_grid_metrics(spark, sf):
     from sheaf.operators.model import grid_metrics
     return grid_metrics(spark, _rf(spark, sf))
+
+
+# ----------------------------------------------------------------- profiles of other tables
+
+_REVIEW_KINDS = [("review_id", "s"), ("user_id", "s"), ("business_id", "i"), ("stars", "f"),
+                 ("useful", "i"), ("funny", "i"), ("cool", "i"), ("date", "i")]
+
+
+@register("review_missing_counts", O.sql(
+    f"SELECT {O.missing_sql(_REVIEW_KINDS, True)} FROM review", "review"))
+def q_review_missing_counts(spark, sf):
+    return missing_counts(fx.review(spark, sf), empty_as_missing=True)
+
+
+@register("review_distinct_users", O.sql(
+    "SELECT count(DISTINCT user_id) AS count_userid FROM review", "review"))
+def q_review_distinct_users(spark, sf):
+    return fx.review(spark, sf).agg(F.count_distinct("user_id").alias("count_userid"))
+
+
+@register("split_shape", f"SELECT split, count(*) AS n_rows FROM ({_base_table_sql()}) GROUP BY split")
+def q_split_shape(spark, sf):
+    from sheaf.plans.features import base_table
+    return base_table(tables(spark, sf), FIX).groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"))
