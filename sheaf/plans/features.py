@@ -28,12 +28,13 @@ from sheaf.operators.impute import MeanImputer, fill_constant
 from sheaf.operators.joins import measured_bytes, prefilter_to_keys, star_join
 from sheaf.operators.profile import drop_sparse
 from sheaf.operators.rollups import checkin_rollup, covid_target, review_rollup, tip_rollup
-from sheaf.operators.split import hash_split
+from sheaf.operators.split import split_label
 from sheaf.operators.topk import split_positions, top_k_tokens
 
 KEY = "business_id"
 TARGET = "delivery or takeout"
 LABEL = "delivery_or_takeout"
+SPLIT = "split"
 
 # Columns removed from the base table before modelling.
 FINAL_DROPS = ("address", "state", "attributes_BusinessParking", "attributes_RestaurantsPriceRange2",
@@ -140,17 +141,18 @@ class ModelInputs(NamedTuple):
     formula: object
 
 
-def prepared_parts(encoded: DataFrame, p: Params = Params()) -> tuple[DataFrame, DataFrame]:
-    """Labelled rows, split on the key, with WOE and mean imputation fitted on the train part."""
-    labelled = encoded.filter(q(LABEL).isNotNull())
-    train, test = hash_split(labelled, KEY, p.split_weights)
-    woe = WoeEncoder([c for c in p.woe_cols if c in labelled.columns], LABEL).fit(train)
-    train, test = woe.transform(train), woe.transform(test)
-    numeric = [c for c, t in train.dtypes if c not in (KEY, LABEL)
+def prepared(encoded: DataFrame, p: Params = Params()) -> DataFrame:
+    """Labelled rows tagged ``split`` = train / test by key hash, with WOE and mean imputation fitted
+    on the train rows and applied to all rows in one pass."""
+    labelled = encoded.filter(q(LABEL).isNotNull()).withColumn(
+        SPLIT, split_label(KEY, p.split_weights))
+    train = F.col(SPLIT) == "train"
+    woe = WoeEncoder([c for c in p.woe_cols if c in labelled.columns], LABEL)
+    out = woe.fit(labelled.filter(train)).transform(labelled)
+    numeric = [c for c, t in out.dtypes if c not in (KEY, LABEL)
                and t in ("int", "bigint", "smallint", "double", "float")]
-    cols = list(dict.fromkeys([c for c in IMPUTE_COLUMNS if c in train.columns] + numeric))
-    imp = MeanImputer(cols).fit(train)
-    return imp.transform(train), imp.transform(test)
+    cols = list(dict.fromkeys([c for c in IMPUTE_COLUMNS if c in out.columns] + numeric))
+    return MeanImputer(cols).fit(out.filter(train)).transform(out)
 
 
 def checkpointed_features(t: Tables, p: Params = Params()) -> DataFrame:
@@ -168,17 +170,16 @@ def checkpointed_features(t: Tables, p: Params = Params()) -> DataFrame:
 
 def base_table(t: Tables, p: Params = Params()) -> DataFrame:
     """The modelling table: encoded features, WOE and imputation fitted on train, a split column."""
-    encoded = encoded_table(checkpointed_features(t, p), p)
-    train, test = prepared_parts(encoded, p)
-    return (train.withColumn("split", F.lit("train"))
-            .unionByName(test.withColumn("split", F.lit("test"))))
+    return prepared(encoded_table(checkpointed_features(t, p), p), p)
 
 
 def model_inputs(t: Tables, p: Params = Params()) -> ModelInputs:
+    """Formula features (fitted on train) for both parts, checkpointed for cross-validation."""
     from sheaf.operators.model import rformula
     from sheaf.session import checkpoint_dir
-    encoded = encoded_table(checkpointed_features(t, p), p)
-    train, test = prepared_parts(encoded, p)
+    bt = base_table(t, p)
+    train = bt.filter(F.col(SPLIT) == "train").drop(SPLIT)
+    test = bt.filter(F.col(SPLIT) == "test").drop(SPLIT)
     f = rformula(train, LABEL, exclude=(KEY,), handle_invalid="keep")
     checkpoint_dir(train.sparkSession)
     train = f.transform(train).select(KEY, "label", "features").checkpoint(eager=True)
