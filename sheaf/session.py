@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -50,7 +49,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the checkpoint folder for tables this library writes."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/sheaf-{name}-{uuid.uuid4().hex}"
-
-
-def is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local") or os.environ.get("SHEAF_LOCAL") == "1"
