@@ -308,3 +308,14 @@ def test_broadcast_threshold_parsing(spark):
         assert broadcast_threshold(spark) == 20 << 20
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_review_rollup_null_key_is_one_group(spark):
+    rows = [("r1", None, 4.0, 1, 0, 0, "2020-03-01"), ("r2", None, 2.0, 1, 1, 0, "2020-03-02"),
+            ("r2", None, 2.0, 1, 1, 0, "2020-03-02"), ("r3", "b", 5.0, 0, 0, 1, "2020-03-03")]
+    df = spark.createDataFrame(rows, "review_id string, business_id string, stars double, "
+                                     "cool bigint, funny bigint, useful bigint, date string")
+    got = {r.business_id: r for r in review_rollup(df, "2020-03-31").collect()}
+    assert set(got) == {None, "b"}
+    assert got[None].nbr_reviews == 2 and got[None].total_cool == 3 and got[None].total_votes == 5
+    assert got["b"].nbr_reviews == 1 and got["b"].ratio_useful == 1.0
