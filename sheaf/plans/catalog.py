@@ -567,7 +567,7 @@ _RF_COLS = ["business_id", "pseudo_target", "stars", "review_count", "Days_open"
 
 
 def _rformula_sql(n_levels: int = 25) -> str:
-    onehot = ", ".join(f"CASE WHEN lv.idx = {j} THEN 1.0 ELSE 0.0 END AS f{3 + j}"
+    onehot = ", ".join(f"CAST(CASE WHEN lv.idx = {j} THEN 1 ELSE 0 END AS DOUBLE) AS f{3 + j}"
                        for j in range(n_levels - 1))
     return O.sql(f"""
 SELECT r.business_id, CAST(r.pseudo_target AS DOUBLE) AS label, CAST(r.stars AS DOUBLE) AS f0,
