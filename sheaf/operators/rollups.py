@@ -67,12 +67,12 @@ def review_rollup(review: DataFrame, as_of, key: str = KEY) -> DataFrame:
     """
     r = with_review_measures(review, as_of)
     m = ["stars", "cool", "funny", "useful", "total_votes", "recency"]
-    dbl = {"stars": "double", "recency": "int"}
+    types = {c: r.schema[c].dataType for c in m}
     # Each review twice: its measures with no id, and its id with no measures.
     rows = r.select(key, F.inline(F.array(
         F.struct(F.lit(None).cast("string").alias("_id"), *[F.col(c) for c in m]),
         F.struct(F.col("review_id").cast("string").alias("_id"),
-                 *[F.lit(None).cast(dbl.get(c, "bigint")).alias(c) for c in m]))))
+                 *[F.lit(None).cast(types[c]).alias(c) for c in m]))))
     per_id = rows.groupBy(key, "_id").agg(
         F.sum("stars").alias("s_stars"), F.count("stars").alias("n_stars"),
         F.sum("cool").alias("cool"), F.sum("funny").alias("funny"), F.sum("useful").alias("useful"),

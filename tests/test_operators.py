@@ -319,3 +319,12 @@ def test_review_rollup_null_key_is_one_group(spark):
     assert set(got) == {None, "b"}
     assert got[None].nbr_reviews == 2 and got[None].total_cool == 3 and got[None].total_votes == 5
     assert got["b"].nbr_reviews == 1 and got["b"].ratio_useful == 1.0
+
+
+def test_review_rollup_accepts_other_numeric_types(spark):
+    rows = [("r1", "b", 4, 1, 0, 2, "2020-03-01"), ("r2", "b", 2, 0, 1, 0, "2020-03-05")]
+    df = spark.createDataFrame(rows, "review_id string, business_id string, stars int, "
+                                     "cool int, funny int, useful smallint, date string")
+    r = review_rollup(df, "2020-03-31").first()
+    assert (r.avg_stars, r.nbr_reviews, r.total_votes, r.avg_votes, r.recent_review) == \
+        (3.0, 2, 4, 2.0, 26)
