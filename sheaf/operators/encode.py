@@ -132,10 +132,11 @@ class WoeEncoder:
         woe_i = ln( ((pos_i + r) / (P + 2r)) / ((n_i - pos_i + r) / (N + 2r)) )
 
     Levels seen once get 0 (guards id-like columns); null is a level of its own. Rows with a null
-    target are left out of the fit. Values are rounded half-up to ``decimals`` places (6 by default),
-    which makes them identical across engines and math libraries; ``None`` keeps full precision. All columns are counted in one aggregation: the table is
-    unpivoted to (feature, level, target) and grouped once, with partial aggregation, so a level
-    holding a third of all rows costs one pre-aggregated row per task.
+    target are left out of the fit. Values are rounded half-up to ``decimals`` places (6 by
+    default), which makes them identical across engines and math libraries; ``None`` keeps full
+    precision. All columns are counted in one aggregation: the table is unpivoted to (feature,
+    level, target) and grouped once, with partial aggregation, so a level holding a third of all
+    rows costs one pre-aggregated row per task.
     """
 
     def __init__(self, cols: Sequence[str], target: str, regularization: float = 1.0,
