@@ -71,3 +71,15 @@ def test_top_k_is_not_a_global_sort(spark):
 def test_allow_list_is_a_literal_set(spark):
     plan = _plan(C.q_allow_list_filter(spark, "/root/testdata/sf0.01"))
     assert re.search(r"\bIn(Set)?\(", plan) or " INSET " in plan.upper()
+
+
+def test_review_rollup_spreads_a_hot_key(spark):
+    plan = _plan(C.QUERIES["review_rollup"](spark, "/root/testdata/sf0.01"))
+    parts = re.findall(r"hashpartitioning\(([^)]*)\)", plan)
+    assert any("business_id" in p and "_id" in p.replace("business_id", "") for p in parts)
+    assert "Generate inline" in plan or "Generate" in plan
+
+
+def test_facts_prefiltered_map_side(spark):
+    plan = _plan(C.feat(spark, "/root/testdata/sf0.01"))
+    assert re.search(r"BroadcastHashJoin \[[^\]]*\], \[[^\]]*\], LeftSemi", plan)
