@@ -22,8 +22,9 @@ def lit(v: str) -> str:
 
 
 def r2(e: str, scale: int = 2) -> str:
-    """The Spark side's half-up rounding through decimal(20,6)."""
-    return f"CAST(round(TRY_CAST({e} AS DECIMAL(20,6)), {scale}) AS DOUBLE)"
+    """The Spark side's half-up rounding through decimal(38,6)."""
+    return (f"COALESCE(CAST(round(TRY_CAST({e} AS DECIMAL(38,6)), {scale}) AS DOUBLE), "
+            f"CAST({e} AS DOUBLE))")
 
 
 def as_bool_int(e: str) -> str:

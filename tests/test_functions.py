@@ -49,6 +49,12 @@ def test_round_half_up_on_decimal_value(spark):
     assert [r.r for r in df.select(round_half_up("x", 2).alias("r")).collect()] == [2.68, 0.13, -2.68]
 
 
+def test_round_half_up_large_and_special(spark, ansi):
+    df = spark.createDataFrame([(1500000000000000.25,), (1e40,), (float("nan"),), (None,)], "x double")
+    got = [r.r for r in df.select(round_half_up("x", 2).alias("r")).collect()]
+    assert got[0] == 1500000000000000.25 and got[1] == 1e40 and got[2] != got[2] and got[3] is None
+
+
 def test_row_sum_null_and_overflow(spark, ansi):
     df = spark.createDataFrame([(1, 2, 3), (1, None, 3), (2 ** 62, 2 ** 62, 0)],
                                "a bigint, b bigint, c bigint")
