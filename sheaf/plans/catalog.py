@@ -389,9 +389,8 @@ def q_recency_days(spark, sf):
     f"SELECT user_id, CAST(date_diff('day', TRY_CAST(yelping_since AS DATE), "
     f"DATE '{fx.USER_AS_OF}') AS INTEGER) AS relationship_length FROM users", "users"))
 def q_tenure_days(spark, sf):
-    u = cast_columns(fx.user(spark, sf), USER_CASTS)
-    return u.select("user_id", days_between(fx.USER_AS_OF, "yelping_since")
-                    .alias("relationship_length"))
+    from sheaf.plans.features import user_features
+    return user_features(fx.user(spark, sf), fx.USER_AS_OF).select("user_id", "relationship_length")
 
 
 @register("date_parts", O.sql(

@@ -74,6 +74,17 @@ class Tables(NamedTuple):
     covid: DataFrame
 
 
+def user_features(user: DataFrame, as_of=None) -> DataFrame:
+    """The user table with counters as short, rating as float, signup date as date, plus
+    ``relationship_length`` in days up to ``as_of`` (today when ``None``). Bad text and counters
+    that do not fit become null."""
+    from sheaf.functions.dates import days_between
+    from sheaf.operators.columns import cast_columns
+    from sheaf.sources.schemas import USER_CASTS
+    u = cast_columns(user, {c: t for c, t in USER_CASTS.items() if c in user.columns})
+    return u.select("*", days_between(as_of, "yelping_since").alias("relationship_length"))
+
+
 def prepare_business(business: DataFrame, p: Params = Params()) -> DataFrame:
     b = sanitize_names(business)
     takeout, delivery = "attributes_RestaurantsTakeOut", "attributes_RestaurantsDelivery"
