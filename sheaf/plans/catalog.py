@@ -1,801 +1,5 @@
-"""Registered queries: one per operator of the workload, each over the driver's tables.
+"""The query registry (see ``sheaf.plans.queries``)."""
 
-``QUERIES[name](spark, sf_dir) -> DataFrame``; ``ORACLE[name]`` is the DuckDB SQL for the same result
-(absent for model queries, whose results depend on iterative fitting).
-"""
+from sheaf.plans.queries import FIX, ORACLE, QUERIES, biz, feat, tables
 
-from __future__ import annotations
-
-import threading
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from sheaf.functions.arith import row_sum
-from sheaf.functions.dates import date_parts, days_between, text_to_date
-from sheaf.functions.safe import round_half_up
-from sheaf.operators.columns import (cast_columns, drop_columns, drop_prefix, q, rename_column,
-                                     sanitize_names, text_flag_to_int)
-from sheaf.operators.encode import WoeEncoder
-from sheaf.operators.filters import DEFAULT_EXCLUSIONS, any_in, recode
-from sheaf.operators.hours import opening_hours
-from sheaf.operators.impute import MeanImputer, fill_constant
-from sheaf.operators.joins import left_join
-from sheaf.operators.metrics import accuracy, auc_roc, hard_label_metrics
-from sheaf.operators.profile import (column_means, describe_numeric, drop_sparse, iqr_bounds,
-                                     missing_counts, missing_share, to_long)
-from sheaf.operators.rollups import (checkin_count, checkin_rollup, covid_target, dedupe_on_keys,
-                                     distinct_per_year, distinct_values, duplicate_check,
-                                     last_activity, review_rollup, table_shape, tip_rollup,
-                                     value_frequency, with_review_measures)
-from sheaf.operators.split import hash_split, split_label
-from sheaf.operators.topk import tokens, top_k_tokens
-from sheaf.plans import oracle as O
-from sheaf.plans.features import (CARD_RECODE, FINAL_DROPS, IMPUTE_COLUMNS, KEY, LABEL, TARGET,
-                                  Params, Tables, category_allow_list, encode_categoricals,
-                                  feature_table, prepare_business)
-from sheaf.session import scratch_path
-from sheaf.sources import fixtures as fx
-from sheaf.sources.json import read_table, write_json
-from sheaf.sources.schemas import ATTRIBUTES, DAYS, USER_CASTS
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
-
-FIX = Params(review_as_of=fx.REVIEW_AS_OF, activity_as_of=fx.ACTIVITY_AS_OF,
-             exclusions=DEFAULT_EXCLUSIONS + fx.FIXTURE_EXCLUSIONS)
-CATS = [f"cat{i}" for i in range(1, 6)]
-CARDS, PRICE = "attributes_BusinessAcceptsCreditCards", "attributes_RestaurantsPriceRange2"
-HOURS_FEATURES = ["Opens_All_Weekdays", "Opens_Weekends_sunday", "Days_open", "no_info_open",
-                  "Opened_morning", "Opened_night"]
-
-
-def register(name: str, oracle: str | None = None):
-    def deco(fn):
-        QUERIES[name] = fn
-        if oracle is not None:
-            ORACLE[name] = oracle
-        return fn
-    return deco
-
-
-def tables(spark: SparkSession, sf: str) -> Tables:
-    return Tables(fx.business(spark, sf), fx.review(spark, sf), fx.checkin(spark, sf),
-                  fx.tip(spark, sf), fx.covid(spark, sf))
-
-
-def biz(spark, sf) -> DataFrame:
-    return prepare_business(fx.business(spark, sf), FIX)
-
-
-def feat(spark, sf) -> DataFrame:
-    return feature_table(tables(spark, sf), FIX)
-
-
-# ----------------------------------------------------------------------------------- sources
-
-@register("json_scan", O.sql(
-    "SELECT CAST(business_id AS VARCHAR) AS business_id, * EXCLUDE (business_id) FROM business",
-    "business"))
-def json_scan(spark, sf):
-    b = fx.business(spark, sf).withColumn("business_id", F.col("business_id").cast("string"))
-    path = write_json(b, scratch_path(spark, "json"))
-    return read_table(spark, "business", path)
-
-
-# ------------------------------------------------------------------------------- projections
-
-@register("cast_columns", O.sql(
-    "SELECT user_id, name, " + ", ".join(
-        f"TRY_CAST({O.ident(c)} AS {'SMALLINT' if t == 'short' else t.upper()}) AS {O.ident(c)}"
-        for c, t in USER_CASTS.items()) + " FROM users", "users"))
-def q_cast_columns(spark, sf):
-    return cast_columns(fx.user(spark, sf), USER_CASTS)
-
-
-@register("sanitize_names", O.sql(
-    "SELECT * EXCLUDE (" + ", ".join(O.ident(f"attributes.{a}") for a in ATTRIBUTES)
-    + ", " + ", ".join(O.ident(f"hours.{d}") for d in DAYS) + "), "
-    + ", ".join(f'"attributes.{a}" AS attributes_{a}' for a in ATTRIBUTES) + ", "
-    + ", ".join(f'"hours.{d}" AS hours_{d}' for d in DAYS) + " FROM business", "business"))
-def q_sanitize_names(spark, sf):
-    return sanitize_names(fx.business(spark, sf))
-
-
-@register("rename_column", O.sql(
-    'SELECT business_id, "delivery or takeout" AS delivery_or_takeout FROM cov', "cov"))
-def q_rename_column(spark, sf):
-    return rename_column(covid_target(fx.covid(spark, sf)), TARGET, LABEL)
-
-
-_KEEP_AFTER_DROP = ["business_id", "stars", "review_count", "is_open"] + \
-    [f"hours_{d}" for d in DAYS] + CATS
-
-
-@register("drop_columns", O.sql(f"SELECT {', '.join(_KEEP_AFTER_DROP)} FROM biz", "biz"))
-def q_drop_columns(spark, sf):
-    return drop_columns(biz(spark, sf), FINAL_DROPS)
-
-
-@register("drop_prefix", O.sql(
-    f"SELECT * EXCLUDE ({', '.join(f'hours_{d}' for d in DAYS)}) FROM biz", "biz"))
-def q_drop_prefix(spark, sf):
-    return drop_prefix(biz(spark, sf), "hours")
-
-
-@register("bool_to_int", O.sql(
-    f'SELECT business_id, {O.as_bool_int(chr(34) + "delivery or takeout" + chr(34))} AS '
-    f'"delivery or takeout", {O.as_bool_int(chr(34) + "Grubhub enabled" + chr(34))} AS '
-    f'"Grubhub enabled" FROM covid', "covid"))
-def q_bool_to_int(spark, sf):
-    c = fx.covid(spark, sf)
-    return c.select(KEY, *[text_flag_to_int(q(n)).alias(n)
-                           for n in ("delivery or takeout", "Grubhub enabled")])
-
-
-# ----------------------------------------------------------------------------------- filters
-
-@register("filter_compare", O.sql('SELECT * FROM cov WHERE "delivery or takeout" = 1', "cov"))
-def q_filter_compare(spark, sf):
-    return covid_target(fx.covid(spark, sf)).filter(q(TARGET) == 1)
-
-
-_LIST = ["PROMO", "gear", "widget"]
-
-
-@register("filter_any_in_list", O.sql(
-    f"SELECT business_id, {', '.join(CATS)} FROM biz WHERE "
-    + " OR ".join(f"{c} IN ({', '.join(O.lit(v) for v in _LIST)})" for c in CATS), "biz"))
-def q_filter_any_in_list(spark, sf):
-    return biz(spark, sf).filter(any_in(CATS, _LIST)).select(KEY, *CATS)
-
-
-@register("allow_list_filter", O.sql(
-    f"SELECT business_id, {', '.join(CATS)} FROM biz WHERE "
-    + " OR ".join(f"{c} IN (SELECT category FROM allow)" for c in CATS), "biz", "allow"))
-def q_allow_list_filter(spark, sf):
-    b = biz(spark, sf)
-    return b.filter(any_in(CATS, category_allow_list(b, FIX))).select(KEY, *CATS)
-
-
-@register("binary_flags", O.sql(
-    "SELECT business_id, attributes_RestaurantsTakeOut, attributes_RestaurantsDelivery, "
-    "pseudo_target FROM biz", "biz"))
-def q_binary_flags(spark, sf):
-    return biz(spark, sf).select(KEY, "attributes_RestaurantsTakeOut",
-                                 "attributes_RestaurantsDelivery", "pseudo_target")
-
-
-@register("recode_with_default", O.sql(
-    f"SELECT business_id, CASE WHEN {CARDS} = 'True' THEN 'Yes' WHEN {CARDS} = 'False' THEN 'No' "
-    f"ELSE 'Missing' END AS {CARDS} FROM biz", "biz"))
-def q_recode(spark, sf):
-    return biz(spark, sf).select(KEY, recode(CARDS, CARD_RECODE, "Missing").alias(CARDS))
-
-
-@register("opening_hours", O.sql(
-    f"SELECT business_id, {', '.join(HOURS_FEATURES)} FROM hrs", "hrs"))
-def q_opening_hours(spark, sf):
-    return opening_hours(biz(spark, sf)).select(KEY, *HOURS_FEATURES)
-
-
-@register("days_open", O.sql("SELECT business_id, Days_open, no_info_open FROM hrs", "hrs"))
-def q_days_open(spark, sf):
-    return opening_hours(biz(spark, sf)).select(KEY, "Days_open", "no_info_open")
-
-
-# ------------------------------------------------------------------------------------- joins
-
-@register("left_join", O.sql(
-    "SELECT * FROM (SELECT business_id FROM biz) LEFT JOIN chk USING (business_id)",
-    "biz", "chk"))
-def q_left_join(spark, sf):
-    return left_join(biz(spark, sf).select(KEY), checkin_rollup(fx.checkin(spark, sf),
-                                                               FIX.activity_as_of), KEY)
-
-
-@register("feature_join", O.sql("SELECT * FROM feat", "feat"))
-def q_feature_join(spark, sf):
-    return feat(spark, sf)
-
-
-# ------------------------------------------------------------------------------- aggregation
-
-@register("tip_rollup", O.sql("SELECT * FROM tipr", "tipr"))
-def q_tip_rollup(spark, sf):
-    return tip_rollup(fx.tip(spark, sf), FIX.activity_as_of)
-
-
-@register("checkin_count", O.sql(
-    "SELECT business_id, count(date) AS nbr_checkin FROM checkin GROUP BY business_id",
-    "checkin"))
-def q_checkin_count(spark, sf):
-    return checkin_count(fx.checkin(spark, sf))
-
-
-@register("last_activity", O.sql(
-    "SELECT business_id, max(TRY_CAST(split_part(date, ' ', 1) AS DATE)) AS max_date "
-    "FROM checkin GROUP BY business_id", "checkin"))
-def q_last_activity(spark, sf):
-    return last_activity(fx.checkin(spark, sf))
-
-
-@register("checkin_rollup", O.sql("SELECT * FROM chk", "chk"))
-def q_checkin_rollup(spark, sf):
-    return checkin_rollup(fx.checkin(spark, sf), FIX.activity_as_of)
-
-
-@register("review_rollup", O.sql("SELECT * FROM rev", "rev"))
-def q_review_rollup(spark, sf):
-    return review_rollup(fx.review(spark, sf), FIX.review_as_of)
-
-
-@register("value_frequency", O.sql(
-    "SELECT stars, count(*) AS count FROM review GROUP BY stars", "review"))
-def q_value_frequency(spark, sf):
-    return value_frequency(fx.review(spark, sf), "stars")
-
-
-@register("distinct_per_year", O.sql(
-    "SELECT CAST(year(date) AS INTEGER) AS year, count(DISTINCT business_id) AS n_business "
-    "FROM review GROUP BY 1", "review"))
-def q_distinct_per_year(spark, sf):
-    return distinct_per_year(fx.review(spark, sf))
-
-
-@register("duplicate_check", O.sql(
-    "SELECT count(business_id) AS CountID, count(DISTINCT business_id) AS CountDistinctID "
-    "FROM covid", "covid"))
-def q_duplicate_check(spark, sf):
-    return duplicate_check(fx.covid(spark, sf))
-
-
-@register("table_shape", O.sql(
-    f"SELECT count(*) AS n_rows, CAST({len(O.FEAT_KINDS)} AS BIGINT) AS n_columns FROM feat",
-    "feat"))
-def q_table_shape(spark, sf):
-    return table_shape(feat(spark, sf)).toDF("n_rows", "n_columns")
-
-
-def _impute_cols() -> list[str]:
-    return list(IMPUTE_COLUMNS)
-
-
-@register("impute_means", O.sql(
-    "SELECT " + ", ".join(
-        f"{O.r2(f'avg(COALESCE(CAST({O.ident(c)} AS DOUBLE), CAST(0 AS DOUBLE)))')} AS {O.ident(c)}"
-        for c in IMPUTE_COLUMNS) + " FROM feat", "feat"))
-def q_impute_means(spark, sf):
-    return column_means(feat(spark, sf), _impute_cols())
-
-
-@register("dedupe_on_keys", O.sql(
-    'SELECT DISTINCT business_id, "delivery or takeout" FROM covid', "covid"))
-def q_dedupe_on_keys(spark, sf):
-    return dedupe_on_keys(fx.covid(spark, sf), [KEY, TARGET])
-
-
-@register("distinct_values", O.sql("SELECT DISTINCT state FROM biz", "biz"))
-def q_distinct_values(spark, sf):
-    return distinct_values(biz(spark, sf), "state")
-
-
-@register("covid_target", O.sql("SELECT * FROM cov", "cov"))
-def q_covid_target(spark, sf):
-    return covid_target(fx.covid(spark, sf))
-
-
-# --------------------------------------------------------------------------------- profiling
-
-@register("missing_counts", O.sql(f"SELECT {O.missing_sql(O.BIZ_KINDS, False)} FROM biz", "biz"))
-def q_missing_counts(spark, sf):
-    return missing_counts(biz(spark, sf))
-
-
-@register("missing_or_empty_counts", O.sql(
-    f"SELECT {O.missing_sql(O.FEAT_KINDS, True)} FROM feat", "feat"))
-def q_missing_or_empty_counts(spark, sf):
-    return missing_counts(feat(spark, sf), empty_as_missing=True)
-
-
-@register("missing_share", O.sql(f"SELECT {O.share_sql(O.FEAT_KINDS)} FROM feat", "feat"))
-def q_missing_share(spark, sf):
-    return missing_share(feat(spark, sf))
-
-
-@register("missing_share_long", O.sql(
-    f"UNPIVOT (SELECT {O.share_sql(O.FEAT_KINDS)} FROM feat) ON COLUMNS(*) "
-    "INTO NAME Variable VALUE Value", "feat"))
-def q_missing_share_long(spark, sf):
-    return to_long(missing_share(feat(spark, sf)))
-
-
-SPARSE_AT_SF001 = ["attributes_BusinessParking", "cat4", "cat5", "days_since last_check",
-                   "nbr_checkin", "compliment_count", "days_since last_tip"]
-
-
-@register("drop_sparse_columns", O.sql(
-    f"SELECT * EXCLUDE ({', '.join(O.ident(c) for c in SPARSE_AT_SF001)}) FROM feat", "feat"))
-def q_drop_sparse_columns(spark, sf):
-    return drop_sparse(feat(spark, sf), FIX.sparse_threshold, keep=FIX.keep)
-
-
-def _iqr_sql(c: str) -> str:
-    return (f"SELECT '{c}' AS \"column\", q1, q3, q1 - 1.5 * (q3 - q1) AS lower, "
-            f"q3 + 1.5 * (q3 - q1) AS upper FROM (SELECT CAST(quantile_disc({c}, 0.25) AS DOUBLE) "
-            f"AS q1, CAST(quantile_disc({c}, 0.75) AS DOUBLE) AS q3 FROM biz)")
-
-
-@register("iqr_bounds", O.sql(_iqr_sql("review_count") + " UNION ALL " + _iqr_sql("stars"), "biz"))
-def q_iqr_bounds(spark, sf):
-    return iqr_bounds(biz(spark, sf), ["review_count", "stars"])
-
-
-def _describe_sql(c: str) -> str:
-    x = f"CAST({c} AS DOUBLE)"
-    return (f"SELECT '{c}' AS \"column\", count({x}) AS count, {O.r2(f'avg({x})', 6)} AS mean, "
-            f"{O.r2(f'stddev_samp({x})', 6)} AS stddev, min({x}) AS min, max({x}) AS max FROM biz")
-
-
-@register("describe_numeric", O.sql(
-    _describe_sql("review_count") + " UNION ALL " + _describe_sql("stars"), "biz"))
-def q_describe_numeric(spark, sf):
-    return describe_numeric(biz(spark, sf), ["review_count", "stars"])
-
-
-# ------------------------------------------------------------------------------------- top-k
-
-@register("top_k_tokens", O.sql("SELECT * FROM topk", "topk"))
-def q_top_k_tokens(spark, sf):
-    return top_k_tokens(biz(spark, sf), "categories", FIX.top_k)
-
-
-@register("top_k_tokens_for_target", O.sql(
-    "SELECT trim(t) AS category, count(trim(t)) AS frequency FROM (SELECT unnest(string_split("
-    "categories, ',')) AS t FROM feat WHERE \"delivery or takeout\" = 1) GROUP BY 1 "
-    "ORDER BY frequency DESC, category LIMIT 10", "feat"))
-def q_top_k_tokens_for_target(spark, sf):
-    return top_k_tokens(feat(spark, sf).filter(q(TARGET) == 1), "categories", 10)
-
-
-# ------------------------------------------------------------------------- strings and dates
-
-@register("split_positions", O.sql(f"SELECT business_id, {', '.join(CATS)} FROM biz", "biz"))
-def q_split_positions(spark, sf):
-    return biz(spark, sf).select(KEY, *CATS)
-
-
-@register("explode_tokens", O.sql("SELECT * FROM tok", "tok"))
-def q_explode_tokens(spark, sf):
-    return tokens(biz(spark, sf), "categories", keep=[KEY])
-
-
-@register("text_to_date", O.sql(
-    "SELECT business_id, TRY_CAST(split_part(date, ' ', 1) AS DATE) AS date FROM checkin",
-    "checkin"))
-def q_text_to_date(spark, sf):
-    return fx.checkin(spark, sf).select(KEY, text_to_date("date").alias("date"))
-
-
-@register("recency_days", O.sql(
-    f"SELECT review_id, {O._days(fx.REVIEW_AS_OF, 'date')} AS recency FROM review", "review"))
-def q_recency_days(spark, sf):
-    return fx.review(spark, sf).select("review_id",
-                                       days_between(fx.REVIEW_AS_OF, "date").alias("recency"))
-
-
-@register("tenure_days", O.sql(
-    f"SELECT user_id, CAST(date_diff('day', TRY_CAST(yelping_since AS DATE), "
-    f"DATE '{fx.USER_AS_OF}') AS INTEGER) AS relationship_length FROM users", "users"))
-def q_tenure_days(spark, sf):
-    from sheaf.plans.features import user_features
-    return user_features(fx.user(spark, sf), fx.USER_AS_OF).select("user_id", "relationship_length")
-
-
-@register("date_parts", O.sql(
-    "SELECT review_id, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month, "
-    "CAST(day(date) AS INTEGER) AS day FROM review", "review"))
-def q_date_parts(spark, sf):
-    return fx.review(spark, sf).select("review_id", *date_parts("date"))
-
-
-# -------------------------------------------------------------------------------------- math
-
-@register("row_sum", O.sql("SELECT review_id, cool + funny + useful AS total_votes FROM review",
-                           "review"))
-def q_row_sum(spark, sf):
-    return fx.review(spark, sf).select("review_id",
-                                       row_sum(["cool", "funny", "useful"]).alias("total_votes"))
-
-
-@register("ratio_features", O.sql(
-    "SELECT business_id, ratio_cool, ratio_funny, ratio_useful FROM rev", "rev"))
-def q_ratio_features(spark, sf):
-    return review_rollup(fx.review(spark, sf), FIX.review_as_of).select(
-        KEY, "ratio_cool", "ratio_funny", "ratio_useful")
-
-
-@register("review_measures", O.sql("SELECT review_id, total_votes, recency FROM rev0", "rev0"))
-def q_review_measures(spark, sf):
-    return with_review_measures(fx.review(spark, sf), FIX.review_as_of).select(
-        "review_id", "total_votes", "recency")
-
-
-# ---------------------------------------------------------------------------------- encoding
-
-_STATES = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
-_CARD_LEVELS = ["Missing", "No", "Yes"]
-_PRICE_LEVELS = ["0", "1", "2", "3", "4", "None"]
-
-
-def _one_hot_sql() -> str:
-    card = (f"CASE WHEN {CARDS} = 'True' THEN 'Yes' WHEN {CARDS} = 'False' THEN 'No' "
-            f"ELSE 'Missing' END")
-    cols = ([f"CASE WHEN state = '{v}' THEN 1 ELSE 0 END AS state_{v}" for v in _STATES]
-            + [f"CASE WHEN {card} = '{v}' THEN 1 ELSE 0 END AS BusinessAcceptsCreditCards_{v}"
-               for v in _CARD_LEVELS]
-            + [f"CASE WHEN COALESCE({PRICE}, '0') = '{v}' THEN 1 ELSE 0 END AS "
-               f"RestaurantsPriceRange_{v}" for v in _PRICE_LEVELS])
-    return O.sql(f"SELECT business_id, {', '.join(cols)} FROM feat", "feat")
-
-
-@register("one_hot", _one_hot_sql())
-def q_one_hot(spark, sf):
-    f = feat(spark, sf).select(KEY, "state", CARDS, PRICE)
-    enc = encode_categoricals(f, FIX)
-    return enc.select(KEY, *[c for c in enc.columns if c not in f.columns])
-
-
-@register("fill_constant", O.sql(
-    f"SELECT business_id, COALESCE({PRICE}, '0') AS {PRICE} FROM biz", "biz"))
-def q_fill_constant(spark, sf):
-    return fill_constant(biz(spark, sf).select(KEY, PRICE), "0", [PRICE])
-
-
-@register("mean_impute", O.sql(
-    "SELECT business_id, " + ", ".join(
-        f"COALESCE(CAST(f.{O.ident(c)} AS DOUBLE), m.{O.ident(c)}) AS {O.ident(c)}"
-        for c in IMPUTE_COLUMNS)
-    + " FROM feat f, (SELECT " + ", ".join(
-        f"{O.r2(f'avg(COALESCE(CAST({O.ident(c)} AS DOUBLE), CAST(0 AS DOUBLE)))')} AS {O.ident(c)}"
-        for c in IMPUTE_COLUMNS) + " FROM feat) m", "feat"))
-def q_mean_impute(spark, sf):
-    f = feat(spark, sf)
-    cols = _impute_cols()
-    return MeanImputer(cols).fit(f).transform(f).select(KEY, *cols)
-
-
-_BUCKET = "(CAST(('0x' || substr(md5(CAST(business_id AS VARCHAR)), 1, 8)) AS BIGINT) % 10000)"
-
-
-@register("hash_split", O.sql(
-    f"SELECT business_id, CASE WHEN {_BUCKET} < 7000 THEN 'train' WHEN {_BUCKET} < 10000 "
-    f"THEN 'test' END AS split FROM feat", "feat"))
-def q_hash_split(spark, sf):
-    return feat(spark, sf).select(KEY, split_label(KEY).alias("split"))
-
-
-def _woe_sql() -> str:
-    woe_cols = ["cat1", "cat2", "cat3"]
-    stats = " UNION ALL ".join(
-        f"SELECT '{c}' AS feature, {c} AS level, sum(y) AS pos, count(y) AS n FROM tr GROUP BY {c}"
-        for c in woe_cols)
-    body = f"""
-, lab AS (SELECT *, CAST("delivery or takeout" AS DOUBLE) AS y FROM feat
-          WHERE "delivery or takeout" IS NOT NULL),
-tr AS (SELECT * FROM lab WHERE {_BUCKET} < 7000),
-tot AS (SELECT CAST(sum(y) AS DOUBLE) AS p, CAST(count(y) AS DOUBLE) AS n FROM tr),
-st AS ({stats}),
-mp AS (SELECT feature, level, CASE WHEN st.n = 1 THEN CAST(0 AS DOUBLE) ELSE
-         ln(((st.pos + 1.0) / (tot.p + 2.0)) / ((st.n - st.pos + 1.0) / (tot.n - tot.p + 2.0)))
-       END AS woe FROM st, tot)
-SELECT lab.business_id, {", ".join(
-        f"{O.r2(f'COALESCE(m{i}.woe, CAST(0 AS DOUBLE))', 6)} AS {c}"
-        for i, c in enumerate(woe_cols))}
-FROM lab {" ".join(f"LEFT JOIN mp m{i} ON m{i}.feature = '{c}' AND m{i}.level IS NOT DISTINCT FROM lab.{c}"
-                   for i, c in enumerate(woe_cols))}"""
-    base = O.sql("SELECT 1", "feat")
-    return base[: base.rindex("\nSELECT 1")] + body
-
-
-@register("woe_encode", _woe_sql())
-def q_woe_encode(spark, sf):
-    f = feat(spark, sf)
-    lab = f.filter(q(TARGET).isNotNull())
-    train, _ = hash_split(lab, KEY, FIX.split_weights)
-    woe = WoeEncoder(["cat1", "cat2", "cat3"], TARGET).fit(train)
-    out = woe.transform(lab.select(KEY, "cat1", "cat2", "cat3"))
-    return out.select(KEY, *[round_half_up(c, 6).alias(c) for c in ("cat1", "cat2", "cat3")])
-
-
-# ----------------------------------------------------------------------------------- metrics
-
-def _scored(spark, sf) -> DataFrame:
-    """Rows with a target and a score: target vs average review stars."""
-    return (feat(spark, sf).filter(q(TARGET).isNotNull() & F.col("avg_stars").isNotNull())
-            .select(KEY, q(TARGET).cast("double").alias("label"),
-                    F.col("avg_stars").alias("score"),
-                    F.when(F.col("avg_stars") >= 3.0, 1.0).otherwise(0.0).alias("prediction")))
-
-
-_SCORED = ('SELECT CAST("delivery or takeout" AS DOUBLE) AS y, avg_stars AS s, '
-           'CASE WHEN avg_stars >= 3.0 THEN 1.0 ELSE 0.0 END AS p FROM feat '
-           'WHERE "delivery or takeout" IS NOT NULL AND avg_stars IS NOT NULL')
-
-
-@register("auc_roc", O.sql(f"""
-SELECT {O.r2("(sum(CASE WHEN y = 1 THEN rk END) - max(P) * (max(P) + 1) / 2) / (max(P) * max(N))", 6)} AS auc_roc
-FROM (SELECT y, rank() OVER (ORDER BY s) + (count(*) OVER (PARTITION BY s) - 1) / 2.0 AS rk,
-             sum(y) OVER () AS P, count(*) OVER () - sum(y) OVER () AS N
-      FROM ({_SCORED}))""", "feat"))
-def q_auc_roc(spark, sf):
-    v = auc_roc(_scored(spark, sf), "label", "score")
-    return spark.range(1).select(round_half_up(F.lit(v), 6).alias("auc_roc"))
-
-
-_CONF = ("SELECT CAST(count_if(y = 1 AND p = 1) AS DOUBLE) AS tp, "
-         "CAST(count_if(y = 0 AND p = 1) AS DOUBLE) AS fp, "
-         "CAST(count_if(y = 0 AND p = 0) AS DOUBLE) AS tn, "
-         f"CAST(count_if(y = 1 AND p = 0) AS DOUBLE) AS fn FROM ({_SCORED})")
-
-
-@register("hard_label_auc", O.sql(f"""
-SELECT {O.r2("(1.0 + tpr - fpr) / 2", 6)} AS auc_roc,
-       {O.r2("tpr * prec + (1.0 - tpr) * (prec + prev) / 2", 6)} AS auc_pr,
-       {O.r2("(tp + tn) / (tp + fp + tn + fn)", 6)} AS accuracy
-FROM (SELECT *, tp / (tp + fn) AS tpr, fp / (fp + tn) AS fpr,
-             COALESCE(tp / NULLIF(tp + fp, 0), (tp + fn) / (tp + fp + tn + fn)) AS prec,
-             (tp + fn) / (tp + fp + tn + fn) AS prev
-      FROM ({_CONF}))""", "feat"))
-def q_hard_label_auc(spark, sf):
-    m = hard_label_metrics(_scored(spark, sf))
-    return m.select(*[round_half_up(c, 6).alias(c) for c in m.columns])
-
-
-@register("accuracy", O.sql(
-    f"SELECT {O.r2('avg(CASE WHEN y = p THEN 1.0 ELSE 0.0 END)', 6)} AS accuracy FROM ({_SCORED})",
-    "feat"))
-def q_accuracy(spark, sf):
-    a = accuracy(_scored(spark, sf))
-    return a.select(round_half_up("accuracy", 6).alias("accuracy"))
-
-
-# ------------------------------------------------------------------------- formula and models
-
-_RF_COLS = ["business_id", "pseudo_target", "stars", "review_count", "Days_open", "city"]
-
-
-def _rformula_sql(n_levels: int = 25) -> str:
-    onehot = ", ".join(f"CAST(CASE WHEN lv.idx = {j} THEN 1 ELSE 0 END AS DOUBLE) AS f{3 + j}"
-                       for j in range(n_levels - 1))
-    return O.sql(f"""
-SELECT r.business_id, CAST(r.pseudo_target AS DOUBLE) AS label, CAST(r.stars AS DOUBLE) AS f0,
-  CAST(r.review_count AS DOUBLE) AS f1, CAST(r.Days_open AS DOUBLE) AS f2, {onehot}
-FROM rest r JOIN (SELECT city, row_number() OVER (ORDER BY count(*) DESC, city) - 1 AS idx
-                  FROM rest GROUP BY city) lv USING (city)""", "rest")
-
-
-@register("rformula_features", _rformula_sql())
-def q_rformula_features(spark, sf):
-    from pyspark.ml.functions import vector_to_array
-
-    from sheaf.operators.model import rformula
-    from sheaf.plans.features import restaurants
-    rest = restaurants(biz(spark, sf), FIX).select(*_RF_COLS)
-    m = rformula(rest, "pseudo_target", exclude=(KEY,))
-    out = m.transform(rest)
-    n = out.schema["features"].metadata["ml_attr"]["num_attrs"]
-    arr = vector_to_array("features")
-    return out.select(KEY, "label", *[arr[i].alias(f"f{i}") for i in range(n)])
-
-
-_FITTED: dict = {}
-_FITTED_LOCK = threading.RLock()
-
-
-def _memo(spark: SparkSession, sf: str, kind: str, build):
-    """Fitted inputs and models (checkpointed), shared by the queries of one application."""
-    key = (spark.sparkContext.applicationId, sf, kind)
-    with _FITTED_LOCK:
-        if key not in _FITTED:
-            _FITTED[key] = build()
-        return _FITTED[key]
-
-
-def _inputs(spark, sf):
-    from sheaf.plans.features import model_inputs
-    return _memo(spark, sf, "inputs", lambda: model_inputs(tables(spark, sf), FIX))
-
-
-def _lr(spark, sf):
-    from sheaf.operators.model import logistic_cv
-    return _memo(spark, sf, "lr", lambda: logistic_cv(_inputs(spark, sf).train))
-
-
-def _rf(spark, sf):
-    from sheaf.operators.model import forest_cv
-    return _memo(spark, sf, "rf", lambda: forest_cv(_inputs(spark, sf).train))
-
-
-def _base_table_sql() -> str:
-    """The flagship end to end, for sf0.01 (levels and sparse columns as observed there)."""
-    woe_cols = ["cat1", "cat2", "cat3"]
-    num = (["stars", "review_count", "is_open"] + woe_cols + HOURS_FEATURES
-           + ["avg_stars", "nbr_reviews", "total_cool", "total_funny", "total_useful",
-              "total_votes", "avg_votes", "recent_review", "ratio_cool", "ratio_funny",
-              "ratio_useful"])
-    card = (f"CASE WHEN {CARDS} = 'True' THEN 'Yes' WHEN {CARDS} = 'False' THEN 'No' "
-            f"ELSE 'Missing' END")
-    hot = ([(f"state_{v}", f"state = '{v}'") for v in _STATES]
-           + [(f"BusinessAcceptsCreditCards_{v}", f"{card} = '{v}'") for v in ("No", "Yes")]
-           + [(f"RestaurantsPriceRange_{v}", f"COALESCE({PRICE}, '0') = '{v}'")
-              for v in ("1", "2", "3", "4")])
-    feats = num + [n for n, _ in hot]
-    stats = " UNION ALL ".join(
-        f"SELECT '{c}' AS feature, {c} AS level, sum(y) AS pos, count(y) AS n FROM tr GROUP BY {c}"
-        for c in woe_cols)
-    zero = "CAST(0 AS DOUBLE)"
-    body = f"""
-, enc AS (SELECT business_id, {", ".join(num)}, "delivery or takeout" AS delivery_or_takeout,
-            {", ".join(f"CASE WHEN {cond} THEN 1 ELSE 0 END AS {n}" for n, cond in hot)}
-          FROM feat WHERE "delivery or takeout" IS NOT NULL),
-sp AS (SELECT *, CASE WHEN {_BUCKET} < 7000 THEN 'train' ELSE 'test' END AS split FROM enc),
-tr AS (SELECT *, CAST(delivery_or_takeout AS DOUBLE) AS y FROM sp WHERE split = 'train'),
-tot AS (SELECT CAST(sum(y) AS DOUBLE) AS p, CAST(count(y) AS DOUBLE) AS n FROM tr),
-st AS ({stats}),
-mp AS (SELECT feature, level, CASE WHEN st.n = 1 THEN {zero} ELSE {O.r2(
-         "ln(((st.pos + 1.0) / (tot.p + 2.0)) / ((st.n - st.pos + 1.0) / (tot.n - tot.p + 2.0)))",
-         6)} END AS woe FROM st, tot),
-w AS (SELECT sp.* REPLACE ({", ".join(f"COALESCE(m{i}.woe, {zero}) AS {c}"
-                                       for i, c in enumerate(woe_cols))})
-      FROM sp {" ".join(f"LEFT JOIN mp m{i} ON m{i}.feature = '{c}' AND "
-                        f"m{i}.level IS NOT DISTINCT FROM sp.{c}" for i, c in enumerate(woe_cols))}),
-mu AS (SELECT {", ".join(f"{O.r2(f'avg(COALESCE(CAST({c} AS DOUBLE), {zero}))')} AS {c}"
-                         for c in feats)} FROM w WHERE split = 'train')
-SELECT w.business_id, {", ".join(f"COALESCE(CAST(w.{c} AS DOUBLE), mu.{c}) AS {c}" for c in feats)},
-  w.delivery_or_takeout, w.split
-FROM w, mu"""
-    base = O.sql("SELECT 1", "feat")
-    return base[: base.rindex("\nSELECT 1")] + body
-
-
-@register("base_table", _base_table_sql())
-def q_base_table(spark, sf):
-    from sheaf.plans.features import base_table
-    return base_table(tables(spark, sf), FIX)
-
-
-@register("lr_predict")
-def q_lr_predict(spark, sf):
-    from sheaf.operators.model import predictions
-    return predictions(_lr(spark, sf), _inputs(spark, sf).test)
-
-
-@register("cv_grid_metrics")
-def q_cv_grid_metrics(spark, sf):
-    from sheaf.operators.model import grid_metrics
-    return grid_metrics(spark, _lr(spark, sf))
-
-
-def _model_metrics(spark, model, test) -> DataFrame:
-    from sheaf.operators.model import predictions
-    pred = predictions(model, test)
-    auc = auc_roc(model.transform(test), "label", "rawPrediction")
-    return hard_label_metrics(pred).select(
-        F.lit(auc).alias("auc_roc_scores"), F.col("auc_roc").alias("auc_roc_labels"),
-        F.col("auc_pr").alias("auc_pr_labels"), "accuracy")
-
-
-@register("lr_metrics")
-def q_lr_metrics(spark, sf):
-    return _model_metrics(spark, _lr(spark, sf), _inputs(spark, sf).test)
-
-
-@register("rf_predict")
-def q_rf_predict(spark, sf):
-    from sheaf.operators.model import predictions
-    return predictions(_rf(spark, sf), _inputs(spark, sf).test)
-
-
-@register("rf_metrics")
-def q_rf_metrics(spark, sf):
-    return _model_metrics(spark, _rf(spark, sf), _inputs(spark, sf).test)
-
-
-@register("feature_importance")
-def q_feature_importance(spark, sf):
-    from sheaf.operators.model import feature_importances
-    best = _rf(spark, sf).bestModel.stages[-1]
-    return feature_importances(spark, best.featureImportances, _inputs(spark, sf).train)
-
-
-# --------------------------------------------------------------------------------- streaming
-
-def _stream_source(spark, sf, table: str) -> str:
-    """The fixture table as JSON-lines files (business_id as text, like the source files)."""
-    df = fx.role(spark, sf, table)
-    df = df.withColumn(KEY, F.col(KEY).cast("string")).repartition(4)
-    return write_json(df, scratch_path(spark, f"json-{table}"))
-
-
-@register("checkin_rollup_stream", O.sql(
-    "SELECT CAST(business_id AS VARCHAR) AS business_id, * EXCLUDE (business_id) FROM chk", "chk"))
-def q_checkin_rollup_stream(spark, sf):
-    from sheaf.streaming import run_rollup_stream
-    return run_rollup_stream(spark, "checkin", _stream_source(spark, sf, "checkin"),
-                             FIX.activity_as_of, max_files_per_trigger=1)
-
-
-@register("tip_rollup_stream", O.sql(
-    "SELECT CAST(business_id AS VARCHAR) AS business_id, * EXCLUDE (business_id) FROM tipr",
-    "tipr"))
-def q_tip_rollup_stream(spark, sf):
-    from sheaf.streaming import run_rollup_stream
-    return run_rollup_stream(spark, "tip", _stream_source(spark, sf, "tip"), FIX.activity_as_of,
-                             max_files_per_trigger=1)
-
-
-# ------------------------------------------------------------------ original-semantics variants
-
-@register("binary_flags_compat", O.sql(
-    "SELECT business_id, t AS attributes_RestaurantsTakeOut, d AS attributes_RestaurantsDelivery, "
-    "CASE WHEN t = 1 OR d = 1 THEN 1 ELSE 0 END AS pseudo_target FROM (SELECT business_id, "
-    "CASE WHEN \"attributes.RestaurantsTakeOut\" = 'False' OR \"attributes.RestaurantsTakeOut\" "
-    "IS NULL THEN 0 ELSE 1 END AS t, CASE WHEN \"attributes.RestaurantsDelivery\" = 'False' "
-    "THEN 0 ELSE 1 END AS d FROM business)", "business"))
-def q_binary_flags_compat(spark, sf):
-    from dataclasses import replace
-    b = prepare_business(fx.business(spark, sf), replace(FIX, compat=True))
-    return b.select(KEY, "attributes_RestaurantsTakeOut", "attributes_RestaurantsDelivery",
-                    "pseudo_target")
-
-
-@register("random_split")
-def q_random_split(spark, sf):
-    """``randomSplit([0.7, 0.3], seed=42)`` as in the original; depends on input partitioning."""
-    from sheaf.operators.split import seeded_split
-    parts = seeded_split(feat(spark, sf).select(KEY), FIX.split_weights, seed=42)
-    return (parts[0].withColumn("split", F.lit("train"))
-            .unionByName(parts[1].withColumn("split", F.lit("test"))))
-
-
-@register("review_rollup_json", O.sql(
-    "SELECT CAST(business_id AS VARCHAR) AS business_id, * EXCLUDE (business_id) FROM rev", "rev"))
-def q_review_rollup_json(spark, sf):
-    """The review rollup over JSON-lines input: text keys and ``'yyyy-MM-dd HH:mm:ss'`` dates."""
-    r = fx.review(spark, sf).select(
-        "review_id", "user_id", F.col(KEY).cast("string").alias(KEY), "stars", "useful", "funny",
-        "cool", F.date_format("date", "yyyy-MM-dd HH:mm:ss").alias("date"))
-    path = write_json(r, scratch_path(spark, "json-review"))
-    return review_rollup(read_table(spark, "review", path), FIX.review_as_of)
-
-
-@register("rf_grid_metrics")
-def q_rf_grid_metrics(spark, sf):
-    from sheaf.operators.model import grid_metrics
-    return grid_metrics(spark, _rf(spark, sf))
-
-
-# ----------------------------------------------------------------- profiles of other tables
-
-_REVIEW_KINDS = [("review_id", "s"), ("user_id", "s"), ("business_id", "i"), ("stars", "f"),
-                 ("useful", "i"), ("funny", "i"), ("cool", "i"), ("date", "i")]
-
-
-@register("review_missing_counts", O.sql(
-    f"SELECT {O.missing_sql(_REVIEW_KINDS, True)} FROM review", "review"))
-def q_review_missing_counts(spark, sf):
-    return missing_counts(fx.review(spark, sf), empty_as_missing=True)
-
-
-@register("review_distinct_users", O.sql(
-    "SELECT count(DISTINCT user_id) AS count_userid FROM review", "review"))
-def q_review_distinct_users(spark, sf):
-    return fx.review(spark, sf).agg(F.count_distinct("user_id").alias("count_userid"))
-
-
-@register("split_shape", f"SELECT split, count(*) AS n_rows FROM ({_base_table_sql()}) GROUP BY split")
-def q_split_shape(spark, sf):
-    from sheaf.plans.features import base_table
-    return base_table(tables(spark, sf), FIX).groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"))
+__all__ = ["FIX", "ORACLE", "QUERIES", "biz", "feat", "tables"]

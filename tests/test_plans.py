@@ -64,12 +64,12 @@ def test_star_join_reuses_rollup_partitioning(spark):
 
 
 def test_top_k_is_not_a_global_sort(spark):
-    plan = _plan(C.q_top_k_tokens(spark, "/root/testdata/sf0.01"))
+    plan = _plan(C.QUERIES["top_k_tokens"](spark, "/root/testdata/sf0.01"))
     assert "TakeOrderedAndProject" in plan
 
 
 def test_allow_list_is_a_literal_set(spark):
-    plan = _plan(C.q_allow_list_filter(spark, "/root/testdata/sf0.01"))
+    plan = _plan(C.QUERIES["allow_list_filter"](spark, "/root/testdata/sf0.01"))
     assert re.search(r"\bIn(Set)?\(", plan) or " INSET " in plan.upper()
 
 
