@@ -12,7 +12,7 @@ from sheaf.operators.split import hash_split, split_label
 from sheaf.plans import oracle as O
 from sheaf.plans.features import IMPUTE_COLUMNS, KEY, TARGET, encode_categoricals
 from sheaf.plans.queries.common import (FIX, CARDS, PRICE, register, biz, feat, STATES,
-                                        CARD_LEVELS, PRICE_LEVELS, BUCKET_SQL)
+                                        CARD_LEVELS, PRICE_LEVELS, BUCKET_SQL, feat_materialized)
 
 
 # ---------------------------------------------------------------------------------- encoding
@@ -32,7 +32,7 @@ def _one_hot_sql() -> str:
 
 @register("one_hot", _one_hot_sql())
 def q_one_hot(spark, sf):
-    f = feat(spark, sf).select(KEY, "state", CARDS, PRICE)
+    f = feat_materialized(spark, sf).select(KEY, "state", CARDS, PRICE)
     enc = encode_categoricals(f, FIX)
     return enc.select(KEY, *[c for c in enc.columns if c not in f.columns])
 
@@ -51,7 +51,7 @@ def q_fill_constant(spark, sf):
         f"{O.r2(f'avg(COALESCE(CAST({O.ident(c)} AS DOUBLE), CAST(0 AS DOUBLE)))')} AS {O.ident(c)}"
         for c in IMPUTE_COLUMNS) + " FROM feat) m", "feat"))
 def q_mean_impute(spark, sf):
-    f = feat(spark, sf)
+    f = feat_materialized(spark, sf)
     cols = list(IMPUTE_COLUMNS)
     return MeanImputer(cols).fit(f).transform(f).select(KEY, *cols)
 
@@ -90,7 +90,7 @@ FROM lab {" ".join(f"LEFT JOIN mp m{i} ON m{i}.feature = '{c}' AND m{i}.level IS
 
 @register("woe_encode", _woe_sql())
 def q_woe_encode(spark, sf):
-    f = feat(spark, sf)
+    f = feat_materialized(spark, sf)
     lab = f.filter(q(TARGET).isNotNull())
     train, _ = hash_split(lab, KEY, FIX.split_weights)
     woe = WoeEncoder(["cat1", "cat2", "cat3"], TARGET).fit(train)

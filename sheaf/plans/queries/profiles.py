@@ -9,7 +9,7 @@ from sheaf.operators.profile import (describe_numeric, drop_sparse, iqr_bounds,
                                      missing_share, to_long)
 from sheaf.plans import oracle as O
 from sheaf.sources import fixtures as fx
-from sheaf.plans.queries.common import FIX, register, tables, biz, feat
+from sheaf.plans.queries.common import FIX, biz, feat, feat_materialized, register, tables
 from sheaf.plans.queries.models import base_table_sql
 
 
@@ -45,7 +45,7 @@ SPARSE_AT_SF001 = ["attributes_BusinessParking", "cat4", "cat5", "days_since las
 @register("drop_sparse_columns", O.sql(
     f"SELECT * EXCLUDE ({', '.join(O.ident(c) for c in SPARSE_AT_SF001)}) FROM feat", "feat"))
 def q_drop_sparse_columns(spark, sf):
-    return drop_sparse(feat(spark, sf), FIX.sparse_threshold, keep=FIX.keep)
+    return drop_sparse(feat_materialized(spark, sf), FIX.sparse_threshold, keep=FIX.keep)
 
 
 def _iqr_sql(c: str) -> str:

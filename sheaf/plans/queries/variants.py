@@ -11,7 +11,7 @@ from sheaf.plans.features import KEY, prepare_business
 from sheaf.session import scratch_path
 from sheaf.sources import fixtures as fx
 from sheaf.sources.json import read_table, write_json
-from sheaf.plans.queries.common import FIX, register, feat
+from sheaf.plans.queries.common import FIX, feat_materialized, register
 from sheaf.plans.queries.models import fitted_forest
 
 
@@ -34,7 +34,7 @@ def q_binary_flags_compat(spark, sf):
 def q_random_split(spark, sf):
     """``randomSplit([0.7, 0.3], seed=42)`` as in the original; depends on input partitioning."""
     from sheaf.operators.split import seeded_split
-    parts = seeded_split(feat(spark, sf).select(KEY), FIX.split_weights, seed=42)
+    parts = seeded_split(feat_materialized(spark, sf).select(KEY), FIX.split_weights, seed=42)
     return (parts[0].withColumn("split", F.lit("train"))
             .unionByName(parts[1].withColumn("split", F.lit("test"))))
 
