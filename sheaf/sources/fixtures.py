@@ -38,44 +38,39 @@ def _s(c: Column) -> Column:
     return c.cast("string")
 
 
-def _null() -> Column:
-    return F.lit(None).cast("string")
-
-
 def business(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = load(spark, sf_dir, "customer")
     p = load(spark, sf_dir, "part").select("p_partkey", "p_type", "p_name")
-    k = F.col("c_custkey")
+    # One SQL projection: building the same plan from Column objects costs several times more
+    # driver time, for every query that starts from this table.
     attrs = {
-        "RestaurantsTakeOut": F.when(k % 3 == 0, "True").when(k % 3 == 1, "False").otherwise(_null()),
-        "RestaurantsDelivery": F.when(F.col("c_nationkey") % 4 == 0, "True")
-        .when(F.col("c_nationkey") % 4 == 1, "False")
-        .when(F.col("c_nationkey") % 4 == 2, "None").otherwise(_null()),
-        "BusinessAcceptsCreditCards": F.when(k % 5 == 0, "True").when(k % 5 == 1, "False")
-        .when(k % 5 == 2, _null()).when(k % 5 == 3, "True").otherwise(""),
-        "RestaurantsPriceRange2": F.when(k % 6 == 0, _null()).when(k % 6 == 5, "None")
-        .otherwise(_s(k % 6)),
-        "BusinessParking": F.when(k % 2 == 0, "{'garage': False}").otherwise(_null()),
+        "RestaurantsTakeOut": "CASE c_custkey % 3 WHEN 0 THEN 'True' WHEN 1 THEN 'False' END",
+        "RestaurantsDelivery": "CASE c_nationkey % 4 WHEN 0 THEN 'True' WHEN 1 THEN 'False' "
+                               "WHEN 2 THEN 'None' END",
+        "BusinessAcceptsCreditCards": "CASE c_custkey % 5 WHEN 0 THEN 'True' WHEN 1 THEN 'False' "
+                                      "WHEN 2 THEN NULL WHEN 3 THEN 'True' ELSE '' END",
+        "RestaurantsPriceRange2": "CASE WHEN c_custkey % 6 = 0 THEN NULL WHEN c_custkey % 6 = 5 "
+                                  "THEN 'None' ELSE CAST(c_custkey % 6 AS STRING) END",
+        "BusinessParking": "CASE WHEN c_custkey % 2 = 0 THEN '{\\'garage\\': False}' END",
     }
-    hours = [F.when((k % 7 == i) | (k % 11 == 0), _null())
-             .otherwise(F.concat(_s((k + i) % 24), F.lit(":0-"), _s((k * 7 + i) % 24), F.lit(":30")))
-             .alias(f"hours.{d}") for i, d in enumerate(DAYS)]
-    categories = (F.when(k % 29 == 0, _null()).when(k % 31 == 0, "")
-                  .otherwise(F.concat(F.col("p_type"), F.lit(", "),
-                                      F.replace(F.col("p_name"), F.lit(" "), F.lit(", ")))))
-    return c.join(p, c["c_custkey"] == p["p_partkey"], "left").select(
-        k.alias("business_id"), F.col("c_name").alias("name"),
-        F.concat(_s(k), F.lit(" Main St")).alias("address"),
-        F.concat(F.lit("City "), _s(F.col("c_nationkey"))).alias("city"),
-        F.when(k % 13 == 0, _null()).otherwise(F.col("c_mktsegment")).alias("state"),
-        _s(F.lit(10000) + k % 90000).alias("postal_code"),
-        (F.col("c_acctbal") / F.lit(100.0)).alias("latitude"),
-        (F.col("c_acctbal") / F.lit(-200.0)).alias("longitude"),
-        ((k % 9 + 2).cast("double") / F.lit(2.0)).alias("stars"),
-        ((k * 37) % 500).alias("review_count"),
-        F.when(k % 4 == 0, F.lit(0)).otherwise(F.lit(1)).cast("bigint").alias("is_open"),
-        categories.alias("categories"),
-        *[attrs[a].alias(f"attributes.{a}") for a in ATTRIBUTES],
+    hours = [f"CASE WHEN c_custkey % 7 = {i} OR c_custkey % 11 = 0 THEN NULL ELSE "
+             f"concat(CAST((c_custkey + {i}) % 24 AS STRING), ':0-', "
+             f"CAST((c_custkey * 7 + {i}) % 24 AS STRING), ':30') END AS `hours.{d}`"
+             for i, d in enumerate(DAYS)]
+    return c.join(p, c["c_custkey"] == p["p_partkey"], "left").selectExpr(
+        "c_custkey AS business_id", "c_name AS name",
+        "concat(CAST(c_custkey AS STRING), ' Main St') AS address",
+        "concat('City ', CAST(c_nationkey AS STRING)) AS city",
+        "CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE c_mktsegment END AS state",
+        "CAST(10000 + c_custkey % 90000 AS STRING) AS postal_code",
+        "c_acctbal / CAST(100 AS DOUBLE) AS latitude",
+        "c_acctbal / CAST(-200 AS DOUBLE) AS longitude",
+        "CAST(c_custkey % 9 + 2 AS DOUBLE) / CAST(2 AS DOUBLE) AS stars",
+        "(c_custkey * 37) % 500 AS review_count",
+        "CAST(CASE WHEN c_custkey % 4 = 0 THEN 0 ELSE 1 END AS BIGINT) AS is_open",
+        "CASE WHEN c_custkey % 29 = 0 THEN NULL WHEN c_custkey % 31 = 0 THEN '' "
+        "ELSE concat(p_type, ', ', replace(p_name, ' ', ', ')) END AS categories",
+        *[f"{attrs[a]} AS `attributes.{a}`" for a in ATTRIBUTES],
         *hours)
 
 
@@ -122,18 +117,16 @@ _USER_MULT = {c: m for c, m in zip(COMPLIMENTS, (3, 5, 7, 0, 11, 13, 17, 19, 23,
 
 
 def user(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = load(spark, sf_dir, "customer")
-    k = F.col("c_custkey")
-    since = F.date_add(F.lit("2004-10-01").cast("date"), k.cast("int")).cast("string")
-    counters = [(F.floor(F.abs(F.col("c_acctbal"))) * 7 if m == 0 else (k * m) % 1000)
-                .alias(f"compliment_{n}") for n, m in _USER_MULT.items()]
-    return c.select(
-        F.concat(F.lit("u"), _s(k)).alias("user_id"), F.col("c_name").alias("name"),
-        k.alias("review_count"),
-        F.when(k % 17 == 0, "abc").when(k % 19 == 0, "").otherwise(since).alias("yelping_since"),
-        ((k * 13) % 1000).alias("useful"), ((k * 17) % 100).alias("funny"),
-        ((k * 19) % 500).alias("cool"), F.col("c_nationkey").cast("bigint").alias("fans"),
-        (F.col("c_acctbal") / F.lit(2000.0)).alias("average_stars"), *counters)
+    counters = [(f"floor(abs(c_acctbal)) * 7" if m == 0 else f"(c_custkey * {m}) % 1000")
+                + f" AS compliment_{n}" for n, m in _USER_MULT.items()]
+    return load(spark, sf_dir, "customer").selectExpr(
+        "concat('u', CAST(c_custkey AS STRING)) AS user_id", "c_name AS name",
+        "c_custkey AS review_count",
+        "CASE WHEN c_custkey % 17 = 0 THEN 'abc' WHEN c_custkey % 19 = 0 THEN '' ELSE "
+        "CAST(date_add(DATE'2004-10-01', CAST(c_custkey AS INT)) AS STRING) END AS yelping_since",
+        "(c_custkey * 13) % 1000 AS useful", "(c_custkey * 17) % 100 AS funny",
+        "(c_custkey * 19) % 500 AS cool", "CAST(c_nationkey AS BIGINT) AS fans",
+        "c_acctbal / CAST(2000 AS DOUBLE) AS average_stars", *counters)
 
 
 ROLES = {"business": business, "review": review, "tip": tip, "checkin": checkin, "covid": covid,
