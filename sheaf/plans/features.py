@@ -166,22 +166,20 @@ def prepared(encoded: DataFrame, p: Params = Params()) -> DataFrame:
     return MeanImputer(cols).fit(out.filter(train)).transform(out)
 
 
-def checkpointed_features(t: Tables, p: Params = Params()) -> DataFrame:
-    """The star-joined feature table, written once to the checkpoint folder.
+def materialized_features(t: Tables, p: Params = Params()) -> DataFrame:
+    """The star-joined feature table, written once as Parquet in the shared checkpoint folder.
 
-    The encoding stages run several bounded actions (sparse-column profile, one-hot levels, WOE and
-    mean fits); reading a checkpoint makes each a scan of one narrow table instead of a re-run of
-    every rollup and join, and a lost executor recomputes from the checkpoint, not from the sources.
+    The encoding stages make several passes (sparse-column profile, one-hot levels, WOE and mean
+    fits, the output); each reads only the columns it needs from one written table instead of
+    re-running every rollup and join, and a lost executor re-reads the table, not the sources.
     """
-    from sheaf.session import checkpoint_dir
-    feat = feature_table(t, p)
-    checkpoint_dir(feat.sparkSession)
-    return feat.checkpoint(eager=True)
+    from sheaf.session import materialize
+    return materialize(feature_table(t, p), "features")
 
 
 def base_table(t: Tables, p: Params = Params()) -> DataFrame:
     """The modelling table: encoded features, WOE and imputation fitted on train, a split column."""
-    return prepared(encoded_table(checkpointed_features(t, p), p), p)
+    return prepared(encoded_table(materialized_features(t, p), p), p)
 
 
 def model_inputs(t: Tables, p: Params = Params()) -> ModelInputs:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from sheaf.operators.filters import DEFAULT_EXCLUSIONS
-from sheaf.plans.features import (Params, Tables, checkpointed_features, feature_table,
+from sheaf.plans.features import (Params, Tables, materialized_features, feature_table,
                                   prepare_business)
 from sheaf.sources import fixtures as fx
 
@@ -47,7 +47,7 @@ def feat(spark, sf) -> DataFrame:
 def feat_materialized(spark, sf) -> DataFrame:
     """The feature table checkpointed, for queries that pass over it more than once (fit, then
     transform; or two samples): the star join then runs once, and every pass sees the same rows."""
-    return checkpointed_features(tables(spark, sf), FIX)
+    return materialized_features(tables(spark, sf), FIX)
 
 
 # Oracle-side constants: the fixture's levels at sf0.01, and the SQL form of the key-hash bucket.
