@@ -45,8 +45,9 @@ def feat(spark, sf) -> DataFrame:
 
 
 def feat_materialized(spark, sf) -> DataFrame:
-    """The feature table checkpointed, for queries that pass over it more than once (fit, then
-    transform; or two samples): the star join then runs once, and every pass sees the same rows."""
+    """The feature table written once (Parquet), for queries that pass over it more than once
+    (fit, then transform; or two samples): the star join runs once and every pass sees the same
+    rows."""
     return materialized_features(tables(spark, sf), FIX)
 
 
