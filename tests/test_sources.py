@@ -59,3 +59,14 @@ def test_prefilter_paths(spark):
     assert "strategy=broadcast" in small._jdf.queryExecution().analyzed().toString()
     big = prefilter_to_keys(facts, keys, "k", keys_bytes=100, limit=10)
     assert big.count() == 100  # unchanged: the caller's left join drops the rest later
+
+
+def test_materialize_round_trip(spark):
+    from sheaf.session import materialize
+    df = spark.createDataFrame([(1, None, 2.5), (2, "x", None)],
+                               "k bigint, `days_since last_tip` string, `a.b` double")
+    a = materialize(df, "t")
+    b = materialize(df, "t")
+    assert a.columns == df.columns and a.dtypes == df.dtypes
+    assert sorted(tuple(r) for r in a.collect()) == sorted(tuple(r) for r in df.collect())
+    assert a.inputFiles()[0].rsplit("/", 2)[0] != b.inputFiles()[0].rsplit("/", 2)[0]
