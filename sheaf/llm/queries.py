@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sheaf.llm import exact_dedup, packing, pretokenize
+from sheaf.llm import exact_dedup, language_id, packing, pretokenize
 from sheaf.sources.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +34,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
                                         public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
+@query("op7_language_id")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.language_id(load(spark, sf_dir, "documents"))
+
+
 @query("op9_packing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents"),
