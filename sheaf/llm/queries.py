@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sheaf.llm import exact_dedup, language_id, packing, pretokenize
+from sheaf.llm import embedding_join, exact_dedup, language_id, packing, pretokenize
 from sheaf.sources.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,3 +43,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents"),
                         public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op10_embedding_near_dups")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_join.embedding_near_dups(load(spark, sf_dir, "embeddings"))
