@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sheaf.llm import embedding_join, exact_dedup, language_id, packing, pretokenize
+from sheaf.llm import embedding_join, exact_dedup, html_blocks, language_id, packing, pretokenize
 from sheaf.sources.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(load(spark, sf_dir, "documents"))
 
 
+@query("op4_html_extraction")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_blocks.main_text(load(spark, sf_dir, "pages"))
+
+
 @query("op6_byte_bpe")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pretokenize.byte_bpe_digests(load(spark, sf_dir, "documents"),
