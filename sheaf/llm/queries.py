@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sheaf.llm import embedding_join, exact_dedup, html_blocks, language_id, packing, pretokenize
+from sheaf.llm import embedding_join, exact_dedup, html_blocks, language_id, packing, pretokenize, warc_fixity
 from sheaf.sources.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,13 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(load(spark, sf_dir, "documents"))
 
 
+@query("op2_warc_fixity", warc_fixity.SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc_fixity.warc_records(load(spark, sf_dir, "pages"))
+    layout = warc_fixity.manifest(records)
+    return warc_fixity.audit(layout, warc_fixity.damaged_copy(records, layout))
+
+
 @query("op4_html_extraction")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_blocks.main_text(load(spark, sf_dir, "pages"))
