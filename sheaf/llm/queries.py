@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sheaf.llm import embedding_join, exact_dedup, html_blocks, language_id, packing, pretokenize, warc_fixity
+from sheaf.llm import embedding_join, exact_dedup, html_blocks, language_id, ngram_join, packing, pretokenize, warc_fixity
 from sheaf.sources.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_fixity.audit(layout, warc_fixity.damaged_copy(records, layout))
 
 
+@query("op3_ngram_jaccard")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_components(load(spark, sf_dir, "documents"))
+
+
 @query("op4_html_extraction")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_blocks.main_text(load(spark, sf_dir, "pages"))
