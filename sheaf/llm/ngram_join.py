@@ -18,8 +18,9 @@ share makes them as long as the corpus; a segment differs as soon as any other s
 The boundary between light and heavy is the one of least modelled cost (subsets enumerated against
 segments listed and list partners scanned) over the corpus's own histogram of small sizes.
 
-Signatures travel packed (10 bytes each) to hash bins. A list proposes links between its pivot and the
-others, never all pairs; candidates pass a size test and a 512-bit parity sketch (its Hamming
+Signatures travel packed (about 10 bytes each) to hash bins, one entry per task and list. A list
+proposes links between its pivots (the smallest key of a task, and of all tasks) and the others, never
+all pairs; candidates pass a size test and a 512-bit parity sketch (its Hamming
 distance is a lower bound of the symmetric difference) before the sets themselves are compared
 exactly. Members that are not in the pivot's component after that are matched against the nearest
 member of every other component in the list, and last against all that remain, so no link that
@@ -45,6 +46,7 @@ from pyspark.sql import functions as F
 
 from sheaf.llm.common import fan_out, mix, ship, signed, text_slices, window_hashes, words, written
 from sheaf.llm.components import connected_components
+from sheaf.llm.exchange import SCHEMA, Exchange, groups
 
 SMALL = 64  # sizes up to here may be light
 _KEY = np.uint64(0xA24BAED4963EE407)
@@ -185,62 +187,41 @@ def _nodes(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch
             names=["doc_id", "key", "n", *_SKETCH])
 
 
-def _entries(batches: Iterator[pa.RecordBatch], k: int, plan: Plan, bits: int,
+def _entries(batches: Iterator[pa.RecordBatch], k: int, plan: Plan, way: Exchange,
              most: int = 1 << 21) -> Iterator[pa.RecordBatch]:
     sig: list[np.ndarray] = []
     key: list[np.ndarray] = []
     seen: set[int] = set()
-    waiting = 0
-    for _, data, off in text_slices(batches, "text"):
+    waiting = salt = 0
+
+    def flush() -> pa.RecordBatch:
+        return way.pack(np.concatenate(sig), np.concatenate(key), salt)
+
+    for rows, data, off in text_slices(batches, "text"):
+        salt = rows.column("part")[0].as_py() * 1009 + len(seen)
         for s in shingle_sets(data, off, k):
             if not len(s) or (own := set_key(s)) in seen:
                 continue
             seen.add(own)
             got = signatures(s, plan)
             sig.append(got)
-            key.append(np.full(len(got), own >> 16 & (1 << 48) - 1, np.uint64))
+            key.append(np.full(len(got), own >> 16 & (1 << 48) - 1, np.int64))
             waiting += len(got)
             if waiting >= most:
-                yield _binned(np.concatenate(sig), np.concatenate(key), bits)
+                yield flush()
                 sig, key, waiting, seen = [], [], 0, set()
     if waiting:
-        yield _binned(np.concatenate(sig), np.concatenate(key), bits)
-
-
-def _binned(sig: np.ndarray, key: np.ndarray, bits: int) -> pa.RecordBatch:
-    """Per bin: sorted 32-bit signatures and 48-bit set keys."""
-    order = np.argsort(sig)
-    sig, key = sig[order], key[order]
-    used, at = np.unique(sig >> np.uint64(64 - bits), return_index=True)
-    ends = [*at[1:].tolist(), len(sig)]
-    short = (sig << np.uint64(bits) >> np.uint64(32)).astype("<u4")
-    wide = np.ascontiguousarray(key).view(np.uint8).reshape(-1, 8)[:, :6]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(used.astype(np.int32)),
-         pa.array([short[a:z].tobytes() for a, z in zip(at.tolist(), ends)], pa.binary()),
-         pa.array([np.ascontiguousarray(wide[a:z]).tobytes() for a, z in zip(at.tolist(), ends)], pa.binary())],
-        names=["bin", "sig", "keys"])
+        yield flush()
 
 
-def _lists(rows: pd.DataFrame) -> pd.DataFrame:
+def _lists(rows: pd.DataFrame, way: Exchange) -> pd.DataFrame:
     """The inverted lists of one bin that hold two sets or more: (list, key, pivot)."""
-    sig = np.frombuffer(b"".join(rows["sig"]), "<u4").astype(np.int64)
-    wide = np.zeros((len(sig), 8), np.uint8)
-    wide[:, :6] = np.frombuffer(b"".join(rows["keys"]), np.uint8).reshape(-1, 6)
-    key = wide.view(np.int64).ravel()
-    _, first, count = np.unique(sig, return_index=True, return_counts=True)
-    if (count == 1).all():
-        return pd.DataFrame({"list": sig[:0], "key": sig[:0], "pivot": sig[:0]})
-    order = np.lexsort((key, sig))
-    sig, key = sig[order], key[order]
-    new = np.r_[True, (sig[1:] != sig[:-1]) | (key[1:] != key[:-1])]
-    sig, key = sig[new], key[new]
-    at = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]])
-    count = np.diff(np.r_[at, len(sig)])
-    many = np.repeat(count > 1, count)
-    pivot = np.repeat(key[at], count)
-    name = sig | (np.int64(rows["bin"].iloc[0]) << np.int64(32))
-    return pd.DataFrame({"list": name[many], "key": key[many], "pivot": pivot[many]})
+    (sig, key, _), (list_, own, pivot) = way.unpack(rows)
+    at, count = groups(sig)
+    least, most = np.minimum.reduceat(key, at), np.maximum.reduceat(key, at)
+    many = np.repeat(least < most, count)
+    return pd.DataFrame({"list": np.concatenate([sig[many], list_]), "key": np.concatenate([key[many], own]),
+                         "pivot": np.concatenate([np.repeat(least, count)[many], pivot])})
 
 
 def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
@@ -304,11 +285,11 @@ def ngram_components(docs: DataFrame, shingle: int = 3, num: int = 90, den: int
     sizes = {r["n"]: r["k"] for r in nodes.filter(f"n BETWEEN 1 AND {SMALL}").groupBy("n").agg(
         F.count(F.lit(1)).alias("k")).collect()}  # at most SMALL rows
     plan = Plan(num, den, least_cost_boundary(sizes, num, den))
-    bits = max(4, min(20, (fan_out(spark) - 1).bit_length()))
+    way = Exchange(max(4, min(20, (fan_out(spark) - 1).bit_length())), 4)
     lists = written(
-        docs.filter("doc_id IS NOT NULL").select("text").mapInArrow(
-            lambda it: _entries(it, shingle, plan, bits), "bin int, sig binary, keys binary")
-        .groupBy("bin").applyInPandas(_lists, "list long, key long, pivot long"), "lists")
+        docs.filter("doc_id IS NOT NULL").select("text", F.spark_partition_id().alias("part")).mapInArrow(
+            lambda it: _entries(it, shingle, plan, way), SCHEMA)
+        .groupBy("bin").applyInPandas(lambda g: _lists(g, way), "list long, key long, pivot long"), "lists")
     # The classes that are on some list, with their whole keys.
     short = F.shiftrightunsigned("key", 16)
     listed = written(classes.withColumn("k", short).join(
@@ -340,7 +321,8 @@ def ngram_components(docs: DataFrame, shingle: int = 3, num: int = 90, den: int
             .join(xs, "kx").join(ys, "ky"))
     tried = written(verified(near(star).select(F.col("x.key").alias("a"), F.col("y.key").alias("b"))), "links")
 
-    members = lists.select("list", F.col("key").alias("k"), F.col("pivot"))
+    members = lists.groupBy("list", F.col("key").alias("k")).agg(
+        F.max(F.col("key") == F.col("pivot")).alias("is_pivot"))
 
     def remaining(tried: DataFrame, closest: bool) -> DataFrame:
         """Pairs of members of one list in different components that may still link."""
@@ -351,7 +333,7 @@ def ngram_components(docs: DataFrame, shingle: int = 3, num: int = 90, den: int
         mixed = (on.groupBy("list").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
                  .filter("lo <> hi").select("list"))
         on = on.join(mixed, "list", "left_semi")
-        main = on.filter("k = pivot").groupBy("list").agg(F.min("root").alias("main"))
+        main = on.filter("is_pivot").groupBy("list").agg(F.min("root").alias("main"))
         left = on.join(main, "list").filter("root <> main").select("list", F.col("root").alias("rx"), struct("x"))
         right = on.select("list", F.col("root").alias("ry"), struct("y"))
         small, large = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")

@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sheaf.llm import embedding_join, exact_dedup, html_blocks, language_id, ngram_join, packing, pretokenize, warc_fixity
+from sheaf.llm import (embedding_join, exact_dedup, html_blocks, language_id, ngram_join, packing, pretokenize, recompression,
+                       warc_fixity)
 from sheaf.sources.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +46,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_blocks.main_text(load(spark, sf_dir, "pages"))
 
 
+@query("op5_substring_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recompression.substring_dedup(load(spark, sf_dir, "documents"))
+
+
 @query("op6_byte_bpe")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pretokenize.byte_bpe_digests(load(spark, sf_dir, "documents"),
