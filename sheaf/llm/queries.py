@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sheaf.llm import (embedding_join, exact_dedup, html_blocks, language_id, ngram_join, packing, pretokenize, recompression,
+from sheaf.llm import (embedding_join, exact_dedup, html_blocks, katz, language_id, ngram_join, packing, pretokenize, recompression,
                        warc_fixity)
 from sheaf.sources.tables import load
 
@@ -62,6 +62,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_id(load(spark, sf_dir, "documents"))
 
 
+@query("op8_katz_backoff")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.katz_scores(load(spark, sf_dir, "documents"))
+
+
 @query("op9_packing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents"),
