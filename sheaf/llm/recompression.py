@@ -235,7 +235,7 @@ def _covered(h: np.ndarray, repeated: np.ndarray, window: int) -> np.ndarray:
 
 
 def _remove(batches: Iterator[pa.RecordBatch], window: int, texts: bool) -> Iterator[pa.RecordBatch]:
-    names = ["key", "n_removed", "kept_sha256", *["kept_text"] * texts]
+    names = ["key", "doc_id", "n_removed", "kept_sha256", *["kept_text"] * texts]
     for rows, data, off in text_slices(batches, "text"):
         starts, ends, h, first = words(data, off, lower=False)
         raw = data.tobytes()
@@ -247,14 +247,14 @@ def _remove(batches: Iterator[pa.RecordBatch], window: int, texts: bool) -> Iter
             text = b" ".join(kept)
             out.append((int(gone.sum()), hashlib.sha256(text).hexdigest(), text.decode("utf-8", "replace")))
         yield pa.RecordBatch.from_arrays(
-            [rows.column("key"), pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out]),
-             *[pa.array([o[2] for o in out])] * texts], names=names)
+            [rows.column("key"), rows.column("doc_id"), pa.array([o[0] for o in out], pa.int64()),
+             pa.array([o[1] for o in out]), *[pa.array([o[2] for o in out])] * texts], names=names)
 
 
 def repeated_words(docs: DataFrame, window: int = 13, rounds: int = 2, id_col: str = "doc_id",
                    text_col: str = "text", texts: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(all, changed): doc_id, n_words, n_removed, kept_sha256 of every row; and, of the classes that
-    stand for their words and lose some, key and the kept words (``kept_text`` with ``texts``)."""
+    """(all, changed): doc_id, n_words, n_removed, kept_sha256 of every row; and the same of the
+    documents that stand for their class and lose words (with ``texts``: ``kept_text``, those left)."""
     spark = docs.sparkSession
     ship(spark)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
@@ -278,9 +278,9 @@ def repeated_words(docs: DataFrame, window: int = 13, rounds: int = 2, id_col: s
                .groupBy("bin").applyInPandas(lambda g: _repeated(g, whole), "owner long, sigs binary")
                .groupBy(F.col("owner").alias("doc_id")).agg(F.collect_list("sigs").alias("sigs")))
     changed = (suspects.select("doc_id", "text", F.col("sha").alias("key")).hint("merge").join(repeats, "doc_id")
-               .select("key", "text", "sigs")
-               .mapInArrow(lambda it: _remove(it, window, texts), "key string, n_removed long, kept_sha256 string"
-                           + ", kept_text string" * texts))
+               .select("key", "doc_id", "text", "sigs")
+               .mapInArrow(lambda it: _remove(it, window, texts), "key string, doc_id long, n_removed long, "
+                           "kept_sha256 string" + ", kept_text string" * texts))
     changed = written(changed.dropDuplicates(["key"]), "changed")
     # A copy of an earlier text loses everything; its class may lose words of its first document.
     first = classes.select("sha", "first").join(
@@ -301,3 +301,20 @@ def substring_dedup(docs: DataFrame, window: int = 13, rounds: int = 2, id_col:
                     text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_removed, kept_sha256."""
     return repeated_words(docs, window, rounds, id_col, text_col)[0]
+
+
+def drop_repeats(docs: DataFrame, window: int = 13, rounds: int = 2) -> DataFrame:
+    """``docs`` with repeated passages cut out of ``text`` (what is left is joined by single spaces) and
+    ``n_chars``, where there is one, counted anew. Documents without a repeat are as they were;
+    one that is a repeat as a whole stays with an empty text. Ids are taken to be unique."""
+    every, changed = repeated_words(docs, window, rounds, texts=True)
+    left = changed.select(F.col("doc_id").alias("_id"), F.col("kept_text").alias("_text"))
+    copies = (every.filter("n_removed = n_words AND n_removed > 0").select(
+        F.col("doc_id").alias("_id"), F.lit("").alias("_text")).join(left.select("_id"), "_id", "left_anti"))
+    out = docs.hint("merge").join(left.union(copies).dropDuplicates(["_id"]), F.col("doc_id") == F.col("_id"), "left")
+    text = F.when(F.col("_id").isNull(), F.col("text")).otherwise(F.col("_text"))
+    cols = {"text": text}
+    if "n_chars" in docs.columns:
+        cols["n_chars"] = F.when(F.col("_id").isNull(), F.col("n_chars")).otherwise(
+            F.char_length("_text").cast(docs.schema["n_chars"].dataType))
+    return out.withColumns(cols).select(*[F.col(f"`{c}`") for c in docs.columns])
