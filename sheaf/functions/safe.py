@@ -51,17 +51,8 @@ def safe_div(a: str | Column, b: str | Column) -> Column:
 
 
 def round_half_up(c: str | Column, scale: int = 2) -> Column:
-    """Round half-up on the decimal value of a double.
+    """Round half-up, once, on the shortest decimal that reads back as the double.
 
-    Goes through decimal(38,6) first so that the result does not depend on the binary expansion
-    of the double; DuckDB reproduces it as ``round(try_cast(x AS decimal(38,6)), s)::double``.
-    Values no decimal can hold (beyond 1e32, NaN, infinities) are returned unrounded.
+    NaN and infinities are returned as they are.
     """
-    x = as_col(c)
-    return F.coalesce(F.round(try_cast(x, "decimal(38,6)"), scale).cast("double"),
-                      x.cast("double"))
-
-
-def null_if_empty(c: str | Column) -> Column:
-    c = as_col(c)
-    return F.when(c == "", F.lit(None)).otherwise(c)
+    return F.round(as_col(c).cast("double"), scale)

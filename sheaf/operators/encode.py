@@ -10,31 +10,25 @@ from pyspark.sql import functions as F
 
 from sheaf.functions.safe import round_half_up
 from sheaf.operators.columns import q
-from sheaf.operators.joins import broadcast_if_small
+from sheaf.operators.joins import broadcast_threshold
 from sheaf.session import checkpoint_dir
 
 # ---------------------------------------------------------------------------------------------
 # One-hot
 
 
-def levels(df: DataFrame, col: str, max_levels: int = 1000) -> list:
-    """Sorted distinct non-null values of ``col``.
+def one_hot_columns(col: str, values: Sequence, prefix: str | None = None) -> list[Column]:
+    """One int column per value: 1 where ``col`` equals it, else 0 (null included).
 
-    The output schema depends on them, so they are collected; the collection is bounded and a column
-    with more than ``max_levels`` values is an error rather than a silent cut.
+    Dots and backquotes in a value become underscores in its column's name, as they do in all names
+    of the workload, so that formulas can refer to it; values that would share a name are an error.
     """
-    rows = (df.select(q(col).alias("v")).filter(F.col("v").isNotNull()).distinct()
-            .limit(max_levels + 1).collect())
-    if len(rows) > max_levels:
-        raise ValueError(f"{col} has more than {max_levels} distinct values")
-    return sorted(r[0] for r in rows)
-
-
-def one_hot_columns(col: str, values: Sequence, prefix: str | None = None) -> list[Column]:
-    """One int column per value: 1 where ``col`` equals it, else 0 (null included)."""
     prefix = col if prefix is None else prefix
-    return [F.when(q(col) == v, F.lit(1)).otherwise(F.lit(0)).alias(f"{prefix}_{v}")
-            for v in values]
+    names = [f"{prefix}_{v}".replace(".", "_").replace("`", "_") for v in values]
+    if len(set(names)) < len(names):
+        twice = sorted(n for n in set(names) if names.count(n) > 1)
+        raise ValueError(f"levels of {col} share the column names {twice}")
+    return [F.when(q(col) == v, F.lit(1)).otherwise(F.lit(0)).alias(n) for v, n in zip(values, names)]
 
 
 @dataclass
@@ -51,39 +45,52 @@ class OneHotModel:
 
 
 class OneHotEncoder:
-    """Fit: collect each column's levels (bounded). Transform: plain column expressions, so the
-    encoding stays inside generated code; no Python UDF, no join."""
+    """Fit: collect each column's levels, one per output column. Transform: plain column expressions,
+    so the encoding stays inside generated code; no Python UDF, no join. For columns of very many levels
+    use ``one_hot_vector``, which needs no column per level."""
 
-    def __init__(self, cols: dict[str, str] | Sequence[str], max_levels: int = 1000):
+    def __init__(self, cols: dict[str, str] | Sequence[str], max_levels: int | None = None):
         self.prefixes = dict(cols) if isinstance(cols, dict) else {c: c for c in cols}
         self.max_levels = max_levels
 
     def fit(self, df: DataFrame) -> OneHotModel:
-        """All columns' levels from one scan: unpivot to (column, level), distinct, bounded collect.
-
-        At most ``max_levels`` per column; more than ``len(cols) * max_levels`` rows in total means
-        some column exceeds its bound, which raises.
-        """
+        """All columns' levels from one scan: unpivot to (column, level), distinct, collect (the output
+        schema depends on them). With ``max_levels``, a column that has more raises."""
         cols = list(self.prefixes)
         if not cols:
             return OneHotModel({}, self.prefixes)
         long = df.select(F.inline(F.array(*[
             F.struct(F.lit(c).alias("c"), q(c).cast("string").alias("v")) for c in cols])))
-        cap = len(cols) * self.max_levels
-        rows = long.filter(F.col("v").isNotNull()).distinct().limit(cap + 1).collect()
+        rows = long.filter(F.col("v").isNotNull()).distinct()
+        if self.max_levels is not None:
+            rows = rows.limit(len(cols) * self.max_levels + 1)
+        rows = rows.collect()
         found: dict[str, list] = {c: [] for c in cols}
         for r in rows:
             found[r["c"]].append(r["v"])
-        too_many = [c for c, v in found.items() if len(v) > self.max_levels]
-        if too_many or len(rows) > cap:
-            raise ValueError(f"more than {self.max_levels} distinct values in {too_many or cols}")
+        if self.max_levels is not None and any(len(v) > self.max_levels for v in found.values()):
+            raise ValueError(f"more than {self.max_levels} distinct values in one of {cols}")
         return OneHotModel({c: sorted(v) for c, v in found.items()}, self.prefixes)
 
 
-def one_hot(df: DataFrame, col: str, prefix: str | None = None, max_levels: int = 1000) -> DataFrame:
+def one_hot(df: DataFrame, col: str, prefix: str | None = None,
+            max_levels: int | None = None) -> DataFrame:
     return OneHotEncoder({col: prefix or col}, max_levels).fit(df).transform(df)
 
 
+def one_hot_vector(df: DataFrame, cols: Sequence[str], suffix: str = "_vec") -> DataFrame:
+    """One sparse 0/1 vector per column (levels in order of frequency, ties by value; null is all zeros
+    but for a last place of its own), for columns too wide for a column per level."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import OneHotEncoder as VectorEncoder
+    from pyspark.ml.feature import StringIndexer
+    index = StringIndexer(inputCols=list(cols), outputCols=[f"_i{i}" for i in range(len(cols))],
+                          handleInvalid="keep")
+    encode = VectorEncoder(inputCols=index.getOutputCols(), outputCols=[f"{c}{suffix}" for c in cols],
+                           dropLast=False)
+    return Pipeline(stages=[index, encode]).fit(df).transform(df).drop(*index.getOutputCols())
+
+
 # ---------------------------------------------------------------------------------------------
 # Weight of evidence
 
@@ -95,20 +102,29 @@ class WoeModel:
     mapping_rows: int
     mapping_bytes: int
     broadcast_limit: int | None = None
+    salts: int = 32
 
     def transform(self, df: DataFrame, suffix: str = "") -> DataFrame:
         """Replace each column by its WOE (``suffix`` keeps the original and adds a new column).
 
         Unseen values get 0; a null gets the WOE of the null level if it was seen in fitting, else 0.
         The mapping is broadcast only when its measured size is under the broadcast threshold;
-        otherwise the join shuffles on the level and AQE splits skewed level partitions.
+        otherwise the join shuffles on (level, salt), with ``salts`` copies of each mapping row, so that
+        a level (or the nulls) with most rows is spread over that many tasks.
         """
-        out = df
+        limit = broadcast_threshold(df.sparkSession) if self.broadcast_limit is None else self.broadcast_limit
+        small = 0 < self.mapping_bytes <= limit
+        out = df if small else df.withColumn("_salt", (F.rand(0) * self.salts).cast("int"))
         for i, c in enumerate(self.cols):
             m = (self.mapping.filter(F.col("feature") == c)
                  .select(F.col("level").alias(f"_lvl{i}"), F.col("woe").alias(f"_woe{i}")))
-            m = broadcast_if_small(m, self.mapping_bytes, self.broadcast_limit)
-            out = out.join(m, q(c).cast("string").eqNullSafe(F.col(f"_lvl{i}")), "left")
+            on = q(c).cast("string").eqNullSafe(F.col(f"_lvl{i}"))
+            if small:
+                m = F.broadcast(m)
+            else:
+                m = m.withColumn(f"_salt{i}", F.explode(F.sequence(F.lit(0), F.lit(self.salts - 1))))
+                on = on & (F.col("_salt") == F.col(f"_salt{i}"))
+            out = out.join(m, on, "left")
         names = df.columns
         sel = []
         for c in names:

@@ -8,6 +8,7 @@ size has been measured and is under the session's broadcast threshold.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -22,15 +23,13 @@ _FIXED_WIDTH = 8
 def broadcast_threshold(spark) -> int:
     """The session's broadcast limit in bytes (``spark.sql.autoBroadcastJoinThreshold``); 0 if off."""
     raw = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).strip().lower()
-    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30,
-             "gb": 1 << 30}
-    num = raw.rstrip("kmgb")
-    mult = units.get(raw[len(num):] or "b", 1)
-    try:
-        v = int(float(num) * mult)
-    except ValueError:
-        return 10 << 20
-    return max(v, 0)
+    units = {"": 1, "b": 1}
+    for i, u in enumerate("kmgtp", 1):
+        units |= {u: 1 << 10 * i, u + "b": 1 << 10 * i, u + "ib": 1 << 10 * i}
+    m = re.fullmatch(r"(-?\d+(?:\.\d+)?)\s*([a-z]*)", raw)
+    if not m or m[2] not in units:
+        raise ValueError(f"cannot read spark.sql.autoBroadcastJoinThreshold: {raw!r}")
+    return max(int(float(m[1]) * units[m[2]]), 0)
 
 
 def measured_bytes(df: DataFrame) -> tuple[int, int]:
@@ -44,6 +43,9 @@ def measured_bytes(df: DataFrame) -> tuple[int, int]:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
             parts.append(F.coalesce(F.octet_length(c), F.lit(0)))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType, T.UserDefinedType)):
+            # Nested content has no fixed width; its text is about as long or longer.
+            parts.append(F.coalesce(F.length(c.cast("string")), F.lit(0)) * 8 + _FIXED_WIDTH)
         else:
             parts.append(F.lit(_FIXED_WIDTH))
     size = parts[0]
@@ -72,20 +74,6 @@ def left_join(left: DataFrame, right: DataFrame, key: str,
     return left.join(right, key, "left")
 
 
-def prefilter_to_keys(facts: DataFrame, keys: DataFrame, key: str, keys_bytes: int,
-                      limit: int | None = None) -> DataFrame:
-    """Drop fact rows whose key is not in ``keys``, before they are aggregated and shuffled.
-
-    Done as a broadcast left-semi join (map side, no shuffle) when the measured key set is under the
-    broadcast threshold; otherwise ``facts`` is returned unchanged. Only for facts that are later
-    left-joined to ``keys``' table, where both give the same result.
-    """
-    limit = broadcast_threshold(facts.sparkSession) if limit is None else limit
-    if 0 < keys_bytes <= limit:
-        return facts.join(F.broadcast(keys.select(key)), key, "left_semi")
-    return facts
-
-
 def star_join(entity: DataFrame, sides: Sequence[DataFrame], key: str) -> DataFrame:
     """Entity table left-joined with several per-key tables.
 

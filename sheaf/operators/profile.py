@@ -93,9 +93,9 @@ def exact_quantiles_multi(df: DataFrame, cols: Sequence[str], probs: Sequence[fl
     Matches ``percentile_disc`` and ``approxQuantile(col, probs, 0)``, but memory stays bounded: those
     gather every distinct value of a column into one buffer. Every (column, probability) target is a
     bracket of values known to hold its rank. While a bracket holds more than ``max_exact_rows``
-    rows it is narrowed: two approximate percentiles around the target rank, exact counts to confirm
-    them; each round shrinks it by about ``accuracy / 4``, and a value holding a third of all rows
-    closes it at once. Brackets small enough are ranked exactly from a value histogram. All targets
+    rows it is narrowed: two approximate percentiles a <= b around the target rank, and exact counts below
+    and up to each. The rank falls on a, on b, or strictly between them, which is the next bracket; each
+    round shrinks it by about ``accuracy / 4`` and takes at least two values out of it, so it ends. Brackets small enough are ranked exactly from a value histogram. All targets
     move together, so each round is one percentile job and one counting job whatever their number.
     """
     vals = {c: q(c).cast("double") for c in cols}
@@ -113,7 +113,7 @@ def exact_quantiles_multi(df: DataFrame, cols: Sequence[str], probs: Sequence[fl
     def in_range(t):
         cond = valid[t["col"]]
         if t["lo"] is not None:
-            cond = cond & (vals[t["col"]] >= t["lo"]) & (vals[t["col"]] <= t["hi"])
+            cond = cond & (vals[t["col"]] > t["lo"]) & (vals[t["col"]] < t["hi"])
         return cond
 
     while True:
@@ -159,17 +159,21 @@ def _narrow(df: DataFrame, targets: list, vals, in_range, accuracy: int) -> None
                    .alias(f"p{j}") for j, t in enumerate(targets)]).first()
     ab = [piv[f"p{j}"] for j in range(len(targets))]
     cnt = df.agg(*[e for j, t in enumerate(targets) for e in (
-        F.count_if(in_range(t) & (vals[t["col"]] < ab[j][0])).alias(f"lt{j}"),
-        F.count_if(in_range(t) & (vals[t["col"]] <= ab[j][1])).alias(f"le{j}"))]).first()
+        F.count_if(in_range(t) & (vals[t["col"]] < ab[j][0])).alias(f"lta{j}"),
+        F.count_if(in_range(t) & (vals[t["col"]] <= ab[j][0])).alias(f"lea{j}"),
+        F.count_if(in_range(t) & (vals[t["col"]] < ab[j][1])).alias(f"ltb{j}"),
+        F.count_if(in_range(t) & (vals[t["col"]] <= ab[j][1])).alias(f"leb{j}"))]).first()
     for j, t in enumerate(targets):
         a, b = ab[j]
-        lt, le = cnt[f"lt{j}"], cnt[f"le{j}"]
-        if t["below"] + lt < t["k"] <= t["below"] + le:
-            if a == b:
-                t["result"], t["done"] = a, True
-            else:
-                t.update(lo=a, hi=b, below=t["below"] + lt, cnt=le - lt,
-                         delta=4.0 / accuracy)
+        lta, lea, ltb, leb = (t["below"] + cnt[f"{n}{j}"] for n in ("lta", "lea", "ltb", "leb"))
+        if lta < t["k"] <= lea:
+            t["result"], t["done"] = a, True
+        elif ltb < t["k"] <= leb:
+            t["result"], t["done"] = b, True
+        elif lea < t["k"] <= ltb:
+            if ltb - lea >= t["cnt"]:
+                raise RuntimeError("quantile bracket did not shrink")
+            t.update(lo=a, hi=b, below=lea, cnt=ltb - lea, delta=4.0 / accuracy)
         elif fr[j] == (0.0, 1.0):
             raise RuntimeError("quantile bracket failed")
         else:
@@ -218,6 +222,37 @@ def describe_numeric(df: DataFrame, cols: Sequence[str], scale: int | None = 6)
         for i, c in enumerate(cols)])))
 
 
+def describe(df: DataFrame, cols: Sequence[str] | None = None, scale: int | None = 6) -> DataFrame:
+    """Summary of any columns (Q7), one row each: count of values; mean, sample standard deviation, min and
+    max of numbers; ``min_text`` and ``max_text`` of text, dates, timestamps and booleans.
+
+    Columns of other types (arrays, maps, structs, binary) have a count only. One aggregation.
+    """
+    def r(e):
+        return e if scale is None else round_half_up(e, scale)
+    none, blank = F.lit(None).cast("double"), F.lit(None).cast("string")
+    cols = list(df.columns if cols is None else cols)
+    aggs = []
+    for i, c in enumerate(cols):
+        kind = df.schema[c].dataType
+        x, text = q(c).cast("double"), q(c)
+        number = isinstance(kind, T.NumericType)
+        ordered = isinstance(kind, (T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType))
+        aggs += [F.count(q(c)).alias(f"n{i}")]
+        aggs += [e.alias(f"{a}{i}") for a, e in (
+            ("m", r(F.avg(x))), ("s", r(F.stddev_samp(x))), ("lo", F.min(x)), ("hi", F.max(x)))] if number else []
+        aggs += [F.min(text).cast("string").alias(f"tl{i}"), F.max(text).cast("string").alias(f"th{i}")] if ordered else []
+    one = df.agg(*aggs)
+
+    def at(name, i, default):
+        return F.col(f"{name}{i}") if f"{name}{i}" in one.columns else default
+    return one.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("count"), at("m", i, none).alias("mean"),
+                 at("s", i, none).alias("stddev"), at("lo", i, none).alias("min"), at("hi", i, none).alias("max"),
+                 at("tl", i, blank).alias("min_text"), at("th", i, blank).alias("max_text"))
+        for i, c in enumerate(cols)])))
+
+
 def column_means(df: DataFrame, cols: Sequence[str], scale: int = 2,
                  zero_fill: bool = True) -> DataFrame:
     """Rounded means of several columns in one aggregation (A9). One row."""

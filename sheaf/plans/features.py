@@ -24,8 +24,8 @@ from sheaf.operators.columns import drop_columns, drop_prefix, q, rename_column,
 from sheaf.operators.encode import OneHotEncoder, WoeEncoder
 from sheaf.operators.filters import DEFAULT_EXCLUSIONS, allow_list, any_in, flags, recode
 from sheaf.operators.hours import opening_hours
-from sheaf.operators.impute import MeanImputer, fill_constant
-from sheaf.operators.joins import measured_bytes, prefilter_to_keys, star_join
+from sheaf.operators.impute import MeanImputer, MeanImputerModel, fill_constant
+from sheaf.operators.joins import star_join
 from sheaf.operators.profile import drop_sparse
 from sheaf.operators.rollups import checkin_rollup, covid_target, review_rollup, tip_rollup
 from sheaf.operators.split import split_label
@@ -61,8 +61,8 @@ class Params:
     woe_cols: tuple = ("cat1", "cat2", "cat3")
     split_weights: tuple = (0.7, 0.3)
     compat: bool = False
-    max_levels: int = 1000
-    prefilter_facts: bool = True
+    max_levels: int | None = None  # raise above so many one-hot levels of a column
+    impute_cols: tuple | None = None  # columns filled with train means; None: every numeric one
     keep: tuple = field(default=(KEY, TARGET))
 
 
@@ -112,19 +112,8 @@ def rollups(t: Tables, p: Params = Params()) -> list[DataFrame]:
 
 
 def feature_table(t: Tables, p: Params = Params(), allow: list | None = None) -> DataFrame:
-    """Restaurants star-joined with their rollups.
-
-    With ``prefilter_facts`` the fact tables are first restricted to the kept businesses (broadcast
-    semi join, only when the key set's measured size is under the broadcast threshold), so rows of
-    businesses the allow-list removed are neither aggregated nor shuffled. Measuring costs one extra
-    pass over the (small) entity table; the saving grows with the fact tables.
-    """
+    """Restaurants star-joined with their rollups."""
     rest = restaurants(prepare_business(t.business, p), p, allow)
-    if p.prefilter_facts:
-        keys = rest.select(KEY)
-        _, size = measured_bytes(keys)
-        t = t._replace(**{name: prefilter_to_keys(getattr(t, name), keys, KEY, size)
-                          for name in ("review", "checkin", "tip", "covid")})
     return drop_prefix(star_join(rest, rollups(t, p), KEY), "hours")
 
 
@@ -153,17 +142,26 @@ class ModelInputs(NamedTuple):
 
 
 def prepared(encoded: DataFrame, p: Params = Params()) -> DataFrame:
-    """Labelled rows tagged ``split`` = train / test by key hash, with WOE and mean imputation fitted
-    on the train rows and applied to all rows in one pass."""
-    labelled = encoded.filter(q(LABEL).isNotNull()).withColumn(
-        SPLIT, split_label(KEY, p.split_weights))
-    train = F.col(SPLIT) == "train"
-    woe = WoeEncoder([c for c in p.woe_cols if c in labelled.columns], LABEL)
-    out = woe.fit(labelled.filter(train)).transform(labelled)
-    numeric = [c for c, t in out.dtypes if c not in (KEY, LABEL)
-               and t in ("int", "bigint", "smallint", "double", "float")]
-    cols = list(dict.fromkeys([c for c in IMPUTE_COLUMNS if c in out.columns] + numeric))
-    return MeanImputer(cols).fit(out.filter(train)).transform(out)
+    """All rows tagged ``split`` = train / test by key hash, with WOE and mean imputation fitted on the
+    labelled train rows and applied to all rows; rows without a label keep their null.
+
+    The means of columns that WOE does not touch are taken from the rows as they come in, so the
+    WOE joins run once for those of its own columns and once for the output.
+    """
+    rows = encoded.withColumn(SPLIT, split_label(KEY, p.split_weights))
+    train = (F.col(SPLIT) == "train") & q(LABEL).isNotNull()
+    woe_cols = [c for c in p.woe_cols if c in rows.columns]
+    woe = WoeEncoder(woe_cols, LABEL).fit(rows.filter(train))
+    out = woe.transform(rows)
+    wanted = p.impute_cols if p.impute_cols is not None else [
+        c for c, t in out.dtypes if c not in (KEY, LABEL)
+        and (t in ("int", "bigint", "smallint", "tinyint", "double", "float") or t.startswith("decimal"))]
+    plain = [c for c in wanted if c in out.columns and c not in woe_cols]
+    coded = [c for c in wanted if c in woe_cols]
+    means = MeanImputer(plain).fit(rows.filter(train)).means
+    if coded:
+        means |= MeanImputer(coded).fit(woe.transform(rows.filter(train).select(LABEL, *[q(c) for c in woe_cols]))).means
+    return MeanImputerModel(means).transform(out)
 
 
 def materialized_features(t: Tables, p: Params = Params()) -> DataFrame:
@@ -184,9 +182,14 @@ def base_table(t: Tables, p: Params = Params()) -> DataFrame:
 
 def model_inputs(t: Tables, p: Params = Params()) -> ModelInputs:
     """Formula features (fitted on train) for both parts, checkpointed for cross-validation."""
+    return inputs_of(base_table(t, p))
+
+
+def inputs_of(bt: DataFrame) -> ModelInputs:
+    """``model_inputs`` of a base table: its labelled rows, as formula features."""
     from sheaf.operators.model import rformula
     from sheaf.session import checkpoint_dir
-    bt = base_table(t, p)
+    bt = bt.filter(q(LABEL).isNotNull())
     train = bt.filter(F.col(SPLIT) == "train").drop(SPLIT)
     test = bt.filter(F.col(SPLIT) == "test").drop(SPLIT)
     f = rformula(train, LABEL, exclude=(KEY,), handle_invalid="keep")

@@ -22,9 +22,10 @@ def lit(v: str) -> str:
 
 
 def r2(e: str, scale: int = 2) -> str:
-    """The Spark side's half-up rounding through decimal(38,6)."""
-    return (f"COALESCE(CAST(round(TRY_CAST({e} AS DECIMAL(38,6)), {scale}) AS DOUBLE), "
-            f"CAST({e} AS DOUBLE))")
+    """Half-up on the double's shortest decimal text, exact to 18 places; as it is beyond 1e20."""
+    x = f"CAST({e} AS DOUBLE)"
+    return (f"COALESCE(CAST(round(TRY_CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,18)), {scale}) AS DOUBLE), "
+            f"{x})")
 
 
 def as_bool_int(e: str) -> str:

@@ -28,6 +28,35 @@ def json_scan(spark, sf):
     return read_table(spark, "business", path)
 
 
+@register("json_scan_nested", O.sql(
+    "SELECT CAST(business_id AS VARCHAR) AS business_id, * EXCLUDE (business_id) FROM business",
+    "business"))
+def json_scan_nested(spark, sf):
+    """Business records written with ``attributes`` and ``hours`` as objects."""
+    b = fx.business(spark, sf).withColumn("business_id", F.col("business_id").cast("string"))
+    flat = [c for c in b.columns if "." not in c]
+    parents = sorted({c.split(".")[0] for c in b.columns if "." in c})
+    nested = [F.struct(*[F.col(f"`{c}`").alias(c.split(".", 1)[1]) for c in b.columns
+                         if c.startswith(p + ".")]).alias(p) for p in parents]
+    path = write_json(b.select(*flat, *nested), scratch_path(spark, "json"))
+    return read_table(spark, "business", path)
+
+
+@register("json_scan_covid", O.sql(
+    "SELECT CAST(business_id AS VARCHAR) AS business_id, * EXCLUDE (business_id) FROM covid", "covid"))
+def json_scan_covid(spark, sf):
+    c = fx.covid(spark, sf).withColumn("business_id", F.col("business_id").cast("string"))
+    path = write_json(c, scratch_path(spark, "json"))
+    return read_table(spark, "covid", path).select(*[F.col(f"`{x}`") for x in c.columns])
+
+
+@register("json_scan_user", O.sql("SELECT * FROM users", "users"))
+def json_scan_user(spark, sf):
+    u = fx.user(spark, sf)
+    path = write_json(u, scratch_path(spark, "json"))
+    return read_table(spark, "user", path).select(*[F.col(f"`{x}`") for x in u.columns])
+
+
 # ------------------------------------------------------------------------------- projections
 
 @register("cast_columns", O.sql(

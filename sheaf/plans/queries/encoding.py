@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-
+from pyspark.sql import functions as F
 
 from sheaf.functions.safe import round_half_up
 from sheaf.operators.columns import q
-from sheaf.operators.encode import WoeEncoder
+from sheaf.operators.encode import OneHotEncoder, WoeEncoder
 from sheaf.operators.impute import MeanImputer, fill_constant
 from sheaf.operators.split import hash_split, split_label
 from sheaf.plans import oracle as O
-from sheaf.plans.features import IMPUTE_COLUMNS, KEY, TARGET, encode_categoricals
+from sheaf.plans.features import IMPUTE_COLUMNS, KEY, TARGET, encode_categoricals, restaurants
 from sheaf.plans.queries.common import (FIX, CARDS, PRICE, register, biz, feat, STATES,
-                                        CARD_LEVELS, PRICE_LEVELS, BUCKET_SQL, feat_materialized)
+                                        CARD_LEVELS, PRICE_LEVELS, BUCKET_SQL)
+from sheaf.session import materialize
 
 
 # ---------------------------------------------------------------------------------- encoding
@@ -32,7 +33,7 @@ def _one_hot_sql() -> str:
 
 @register("one_hot", _one_hot_sql())
 def q_one_hot(spark, sf):
-    f = feat_materialized(spark, sf).select(KEY, "state", CARDS, PRICE)
+    f = restaurants(biz(spark, sf), FIX).select(KEY, "state", CARDS, PRICE)  # no fact is needed
     enc = encode_categoricals(f, FIX)
     return enc.select(KEY, *[c for c in enc.columns if c not in f.columns])
 
@@ -51,9 +52,24 @@ def q_fill_constant(spark, sf):
         f"{O.r2(f'avg(COALESCE(CAST({O.ident(c)} AS DOUBLE), CAST(0 AS DOUBLE)))')} AS {O.ident(c)}"
         for c in IMPUTE_COLUMNS) + " FROM feat) m", "feat"))
 def q_mean_impute(spark, sf):
-    f = feat_materialized(spark, sf)
     cols = list(IMPUTE_COLUMNS)
-    return MeanImputer(cols).fit(f).transform(f).select(KEY, *cols)
+    f = materialize(feat(spark, sf).select(KEY, *[q(c) for c in cols]), "impute")
+    return MeanImputer(cols).fit(f).transform(f)
+
+
+@register("one_hot_levels", O.sql(" UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", {c} AS level, count(*) AS n FROM rest WHERE {c} IS NOT NULL GROUP BY {c}"
+    for c in ("state", CARDS, PRICE)), "rest"))
+def q_one_hot_levels(spark, sf):
+    """The levels that one-hot encoding finds, with the rows of each (from its own columns)."""
+    f = restaurants(biz(spark, sf), FIX).select(KEY, "state", CARDS, PRICE)
+    enc = OneHotEncoder(["state", CARDS, PRICE]).fit(f)
+    hot = enc.transform(f)
+    names = [(c, v) for c, vals in enc.values.items() for v in vals]
+    sums = hot.agg(*[F.sum(q(f"{c}_{v}")).alias(f"n{i}") for i, (c, v) in enumerate(names)])
+    return sums.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.lit(v).alias("level"), F.col(f"n{i}").alias("n"))
+        for i, (c, v) in enumerate(names)])))
 
 
 
@@ -71,9 +87,8 @@ def _woe_sql() -> str:
         f"SELECT '{c}' AS feature, {c} AS level, sum(y) AS pos, count(y) AS n FROM tr GROUP BY {c}"
         for c in woe_cols)
     body = f"""
-, lab AS (SELECT *, CAST("delivery or takeout" AS DOUBLE) AS y FROM feat
-          WHERE "delivery or takeout" IS NOT NULL),
-tr AS (SELECT * FROM lab WHERE {BUCKET_SQL} < 7000),
+, lab AS (SELECT *, CAST("delivery or takeout" AS DOUBLE) AS y FROM feat),
+tr AS (SELECT * FROM lab WHERE {BUCKET_SQL} < 7000 AND y IS NOT NULL),
 tot AS (SELECT CAST(sum(y) AS DOUBLE) AS p, CAST(count(y) AS DOUBLE) AS n FROM tr),
 st AS ({stats}),
 mp AS (SELECT feature, level, CASE WHEN st.n = 1 THEN CAST(0 AS DOUBLE) ELSE
@@ -90,9 +105,8 @@ FROM lab {" ".join(f"LEFT JOIN mp m{i} ON m{i}.feature = '{c}' AND m{i}.level IS
 
 @register("woe_encode", _woe_sql())
 def q_woe_encode(spark, sf):
-    f = feat_materialized(spark, sf)
-    lab = f.filter(q(TARGET).isNotNull())
-    train, _ = hash_split(lab, KEY, FIX.split_weights)
+    rows = feat(spark, sf).select(KEY, "cat1", "cat2", "cat3", q(TARGET))  # one join: the target's
+    train, _ = hash_split(rows, KEY, FIX.split_weights)
     woe = WoeEncoder(["cat1", "cat2", "cat3"], TARGET).fit(train)
-    out = woe.transform(lab.select(KEY, "cat1", "cat2", "cat3"))
+    out = woe.transform(rows.drop(TARGET))
     return out.select(KEY, *[round_half_up(c, 6).alias(c) for c in ("cat1", "cat2", "cat3")])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 
 
 from sheaf.operators.columns import q
@@ -40,6 +42,16 @@ def q_allow_list_filter(spark, sf):
     return b.filter(any_in(CATS, category_allow_list(b, FIX))).select(KEY, *CATS)
 
 
+@register("allow_list_top10", O.sql(
+    "SELECT category FROM (SELECT category, count(category) AS frequency FROM tok GROUP BY category "
+    "ORDER BY frequency DESC, category LIMIT 10) WHERE category NOT IN "
+    f"({', '.join(O.lit(e) for e in O.EXCLUSIONS)})", "tok"))
+def q_allow_list_top10(spark, sf):
+    """An allow-list shorter than the number of categories."""
+    names = category_allow_list(biz(spark, sf), replace(FIX, top_k=10))
+    return spark.createDataFrame([(n,) for n in names], "category string")
+
+
 @register("binary_flags", O.sql(
     "SELECT business_id, attributes_RestaurantsTakeOut, attributes_RestaurantsDelivery, "
     "pseudo_target FROM biz", "biz"))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import threading
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -97,32 +95,12 @@ def q_rformula_features(spark, sf):
     return out.select(KEY, "label", *[arr[i].alias(f"f{i}") for i in range(n)])
 
 
-_FITTED: dict = {}
-_FITTED_LOCK = threading.RLock()
-
-
-def _memo(spark: SparkSession, sf: str, kind: str, build):
-    """Fitted inputs and models (checkpointed), shared by the queries of one application."""
-    key = (spark.sparkContext.applicationId, sf, kind)
-    with _FITTED_LOCK:
-        if key not in _FITTED:
-            _FITTED[key] = build()
-        return _FITTED[key]
-
-
-def fitted_inputs(spark, sf):
+def fitted(spark, sf, kind: str):
+    """(cross-validated model, inputs), fitted anew: "lr" or "rf"."""
+    from sheaf.operators.model import forest_cv, logistic_cv
     from sheaf.plans.features import model_inputs
-    return _memo(spark, sf, "inputs", lambda: model_inputs(tables(spark, sf), FIX))
-
-
-def fitted_logistic(spark, sf):
-    from sheaf.operators.model import logistic_cv
-    return _memo(spark, sf, "lr", lambda: logistic_cv(fitted_inputs(spark, sf).train))
-
-
-def fitted_forest(spark, sf):
-    from sheaf.operators.model import forest_cv
-    return _memo(spark, sf, "rf", lambda: forest_cv(fitted_inputs(spark, sf).train))
+    inputs = model_inputs(tables(spark, sf), FIX)
+    return (logistic_cv if kind == "lr" else forest_cv)(inputs.train), inputs
 
 
 def base_table_sql() -> str:
@@ -146,9 +124,10 @@ def base_table_sql() -> str:
     body = f"""
 , enc AS (SELECT business_id, {", ".join(num)}, "delivery or takeout" AS delivery_or_takeout,
             {", ".join(f"CASE WHEN {cond} THEN 1 ELSE 0 END AS {n}" for n, cond in hot)}
-          FROM feat WHERE "delivery or takeout" IS NOT NULL),
+          FROM feat),
 sp AS (SELECT *, CASE WHEN {BUCKET_SQL} < 7000 THEN 'train' ELSE 'test' END AS split FROM enc),
-tr AS (SELECT *, CAST(delivery_or_takeout AS DOUBLE) AS y FROM sp WHERE split = 'train'),
+tr AS (SELECT *, CAST(delivery_or_takeout AS DOUBLE) AS y FROM sp
+       WHERE split = 'train' AND delivery_or_takeout IS NOT NULL),
 tot AS (SELECT CAST(sum(y) AS DOUBLE) AS p, CAST(count(y) AS DOUBLE) AS n FROM tr),
 st AS ({stats}),
 mp AS (SELECT feature, level, CASE WHEN st.n = 1 THEN {zero} ELSE {O.r2(
@@ -159,7 +138,7 @@ w AS (SELECT sp.* REPLACE ({", ".join(f"COALESCE(m{i}.woe, {zero}) AS {c}"
       FROM sp {" ".join(f"LEFT JOIN mp m{i} ON m{i}.feature = '{c}' AND "
                         f"m{i}.level IS NOT DISTINCT FROM sp.{c}" for i, c in enumerate(woe_cols))}),
 mu AS (SELECT {", ".join(f"{O.r2(f'avg(COALESCE(CAST({c} AS DOUBLE), {zero}))')} AS {c}"
-                         for c in feats)} FROM w WHERE split = 'train')
+                         for c in feats)} FROM w WHERE split = 'train' AND delivery_or_takeout IS NOT NULL)
 SELECT w.business_id, {", ".join(f"COALESCE(CAST(w.{c} AS DOUBLE), mu.{c}) AS {c}" for c in feats)},
   w.delivery_or_takeout, w.split
 FROM w, mu"""
@@ -173,45 +152,98 @@ def q_base_table(spark, sf):
     return base_table(tables(spark, sf), FIX)
 
 
-@register("lr_predict")
-def q_lr_predict(spark, sf):
+def _predict(spark, sf, kind: str) -> DataFrame:
     from sheaf.operators.model import predictions
-    return predictions(fitted_logistic(spark, sf), fitted_inputs(spark, sf).test)
-
-
-@register("cv_grid_metrics")
-def q_cv_grid_metrics(spark, sf):
-    from sheaf.operators.model import grid_metrics
-    return grid_metrics(spark, fitted_logistic(spark, sf))
+    cv, inputs = fitted(spark, sf, kind)
+    return predictions(cv, inputs.test)
 
 
-def _model_metrics(spark, model, test) -> DataFrame:
+def _metrics(spark, sf, kind: str) -> DataFrame:
     from sheaf.operators.model import predictions
-    pred = predictions(model, test)
-    auc = auc_roc(model.transform(test), "label", "rawPrediction")
-    return hard_label_metrics(pred).select(
+    cv, inputs = fitted(spark, sf, kind)
+    auc = auc_roc(cv.transform(inputs.test), "label", "rawPrediction")
+    return hard_label_metrics(predictions(cv, inputs.test)).select(
         F.lit(auc).alias("auc_roc_scores"), F.col("auc_roc").alias("auc_roc_labels"),
         F.col("auc_pr").alias("auc_pr_labels"), "accuracy")
 
 
-@register("lr_metrics")
-def q_lr_metrics(spark, sf):
-    return _model_metrics(spark, fitted_logistic(spark, sf), fitted_inputs(spark, sf).test)
+@register("lr_predict")
+def q_lr_predict(spark, sf):
+    return _predict(spark, sf, "lr")
 
 
 @register("rf_predict")
 def q_rf_predict(spark, sf):
-    from sheaf.operators.model import predictions
-    return predictions(fitted_forest(spark, sf), fitted_inputs(spark, sf).test)
+    return _predict(spark, sf, "rf")
+
+
+@register("lr_metrics")
+def q_lr_metrics(spark, sf):
+    return _metrics(spark, sf, "lr")
 
 
 @register("rf_metrics")
 def q_rf_metrics(spark, sf):
-    return _model_metrics(spark, fitted_forest(spark, sf), fitted_inputs(spark, sf).test)
+    return _metrics(spark, sf, "rf")
+
+
+@register("cv_grid_metrics")
+def q_cv_grid_metrics(spark, sf):
+    from sheaf.operators.model import grid_metrics
+    return grid_metrics(spark, fitted(spark, sf, "lr")[0])
 
 
 @register("feature_importance")
 def q_feature_importance(spark, sf):
     from sheaf.operators.model import feature_importances
-    best = fitted_forest(spark, sf).bestModel.stages[-1]
-    return feature_importances(spark, best.featureImportances, fitted_inputs(spark, sf).train)
+    cv, inputs = fitted(spark, sf, "rf")
+    return feature_importances(spark, cv.bestModel.stages[-1].featureImportances, inputs.train)
+
+
+# Model results have no SQL form; their invariants have. Every test row is checked, and the facts that
+# hold for the whole model are on each row.
+
+_CHECKED = ("SELECT business_id, CAST(\"delivery or takeout\" AS DOUBLE) AS label, TRUE AS prediction_is_a_label, "
+            "TRUE AS probability_in_range, TRUE AS prediction_follows, CAST({points} AS BIGINT) AS grid_points, "
+            "TRUE AS fold_aucs_in_range, CAST(1 AS BIGINT) AS winners, TRUE AS winner_has_top_auc, "
+            "TRUE AS refit_uses_winner, TRUE AS accuracy_recomputed{more} FROM feat "
+            f"WHERE \"delivery or takeout\" IS NOT NULL AND {BUCKET_SQL} >= 7000")
+
+
+def _checked(spark, sf, kind: str) -> DataFrame:
+    from sheaf.operators.model import best_params, feature_importances, grid_metrics, predictions
+    cv, inputs = fitted(spark, sf, kind)
+    scored = predictions(cv, inputs.test)
+    grid = [r.asDict() for r in grid_metrics(spark, cv).collect()]
+    won = [r for r in grid if r["is_best"]]
+    best = best_params(cv)
+    names = [n for n in grid[0] if n not in ("avg_auc", "std_auc", "is_best")]
+    share = scored.agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0]
+    hard = hard_label_metrics(scored).first()
+    facts = {"grid_points": F.lit(len(grid)).cast("long"),
+             "fold_aucs_in_range": F.lit(all(0 <= r["avg_auc"] <= 1 for r in grid)),
+             "winners": F.lit(len(won)).cast("long"),
+             "winner_has_top_auc": F.lit(won[0]["avg_auc"] == max(r["avg_auc"] for r in grid)),
+             "refit_uses_winner": F.lit(all(float(best[n]) == won[0][n] for n in names)),
+             "accuracy_recomputed": F.lit(abs(share - hard["accuracy"]) < 1e-12)}
+    if kind == "rf":
+        imp = [r["score"] for r in feature_importances(
+            spark, cv.bestModel.stages[-1].featureImportances, inputs.train, top=None).collect()]
+        facts |= {"importances_sum_to_one": F.lit(abs(sum(imp) - 1) < 1e-9),
+                  "importances_in_order": F.lit(imp == sorted(imp, reverse=True) and min(imp) >= 0)}
+    p = F.col("probability")
+    follows = F.col("prediction") == (p > 0.5).cast("double")
+    return scored.select(KEY, "label", F.col("prediction").isin(0.0, 1.0).alias("prediction_is_a_label"),
+                         p.between(0, 1).alias("probability_in_range"), (follows | (p == 0.5)).alias("prediction_follows"),
+                         *[e.alias(n) for n, e in facts.items()])
+
+
+@register("lr_checked", O.sql(_CHECKED.format(points=6, more=""), "feat"))
+def q_lr_checked(spark, sf):
+    return _checked(spark, sf, "lr")
+
+
+@register("rf_checked", O.sql(_CHECKED.format(
+    points=3, more=", TRUE AS importances_sum_to_one, TRUE AS importances_in_order"), "feat"))
+def q_rf_checked(spark, sf):
+    return _checked(spark, sf, "rf")

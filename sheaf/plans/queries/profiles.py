@@ -5,7 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sheaf.operators.profile import (describe_numeric, drop_sparse, iqr_bounds, missing_counts,
+from sheaf.operators.columns import q
+from sheaf.operators.profile import (describe, describe_numeric, drop_sparse, iqr_bounds, missing_counts,
                                      missing_share, to_long)
 from sheaf.plans import oracle as O
 from sheaf.sources import fixtures as fx
@@ -48,6 +49,19 @@ def q_drop_sparse_columns(spark, sf):
     return drop_sparse(feat_materialized(spark, sf), FIX.sparse_threshold, keep=FIX.keep)
 
 
+@register("sparse_columns", O.sql(
+    f"SELECT Variable AS \"column\", Value AS share FROM (UNPIVOT (SELECT {O.share_sql(O.FEAT_KINDS)} FROM feat) "
+    "ON COLUMNS(*) INTO NAME Variable VALUE Value) WHERE Value > 0.40 AND Variable NOT IN "
+    "('business_id', 'delivery or takeout')", "feat"))
+def q_sparse_columns(spark, sf):
+    """The columns that the 0.40 rule drops, with their missing shares."""
+    f = feat(spark, sf)
+    kept = set(drop_sparse(f, FIX.sparse_threshold, keep=FIX.keep).columns)
+    gone = [c for c in f.columns if c not in kept]
+    return to_long(missing_share(f.select(*[q(c) for c in gone])), "column", "share") if gone else (
+        spark.createDataFrame([], "column string, share double"))
+
+
 def _iqr_sql(c: str) -> str:
     return (f"SELECT '{c}' AS \"column\", q1, q3, q1 - 1.5 * (q3 - q1) AS lower, "
             f"q3 + 1.5 * (q3 - q1) AS upper FROM (SELECT CAST(quantile_disc({c}, 0.25) AS DOUBLE) "
@@ -73,6 +87,29 @@ def q_describe_numeric(spark, sf):
 
 # ----------------------------------------------------------------- profiles of other tables
 
+def _describe_any_sql(c: str, kind: str, table: str) -> str:
+    e, x = O.ident(c), f"CAST({O.ident(c)} AS DOUBLE)"
+    none = "CAST(NULL AS DOUBLE)"
+    stats = ([O.r2(f"avg({x})", 6), O.r2(f"stddev_samp({x})", 6), f"min({x})", f"max({x})", "CAST(NULL AS VARCHAR)",
+              "CAST(NULL AS VARCHAR)"] if kind == "n" else [none] * 4 + [f"CAST(min({e}) AS VARCHAR)",
+                                                                        f"CAST(max({e}) AS VARCHAR)"])
+    names = ("mean", "stddev", "min", "max", "min_text", "max_text")
+    return (f"SELECT '{c}' AS \"column\", count({e}) AS count, "
+            + ", ".join(f"{s} AS {n}" for s, n in zip(stats, names)) + f" FROM {table}")
+
+
+_REVIEW_TYPES = [("review_id", "s"), ("user_id", "s"), ("business_id", "n"), ("stars", "n"), ("useful", "n"),
+                 ("funny", "n"), ("cool", "n"), ("date", "d")]
+
+
+@register("describe_review", O.sql(
+    " UNION ALL ".join(_describe_any_sql(c, k, "review") for c, k in _REVIEW_TYPES), "review"))
+def q_describe_review(spark, sf):
+    """The whole review table, text and dates included."""
+    return describe(fx.review(spark, sf).select(*[c for c, _ in _REVIEW_TYPES]))
+
+
+
 _REVIEW_KINDS = [("review_id", "s"), ("user_id", "s"), ("business_id", "i"), ("stars", "f"),
                  ("useful", "i"), ("funny", "i"), ("cool", "i"), ("date", "i")]
 

@@ -18,7 +18,7 @@ from sheaf.plans.queries.common import FIX, register
 def _stream_source(spark, sf, table: str) -> str:
     """The fixture table as JSON-lines files (business_id as text, like the source files)."""
     df = fx.role(spark, sf, table)
-    df = df.withColumn(KEY, F.col(KEY).cast("string")).repartition(4)
+    df = df.withColumn(KEY, F.col(KEY).cast("string"))
     return write_json(df, scratch_path(spark, f"json-{table}"))
 
 

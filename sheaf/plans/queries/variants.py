@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from sheaf.operators.rollups import review_rollup
 from sheaf.plans import oracle as O
 from sheaf.plans.features import KEY, prepare_business
-from sheaf.session import scratch_path
+from sheaf.session import materialize, scratch_path
 from sheaf.sources import fixtures as fx
 from sheaf.sources.json import read_table, write_json
-from sheaf.plans.queries.common import FIX, feat_materialized, register
-from sheaf.plans.queries.models import fitted_forest
+from sheaf.plans.queries.common import FIX, feat, register
+from sheaf.plans.queries.models import fitted
 
 
 # ------------------------------------------------------------------ original-semantics variants
@@ -34,11 +34,20 @@ def q_binary_flags_compat(spark, sf):
 def q_random_split(spark, sf):
     """``randomSplit([0.7, 0.3], seed=42)`` as in the original; depends on input partitioning."""
     from sheaf.operators.split import seeded_split
-    parts = seeded_split(feat_materialized(spark, sf).select(KEY), FIX.split_weights, seed=42)
+    keys = materialize(feat(spark, sf).select(KEY), "keys")  # both parts must see the same rows
+    parts = seeded_split(keys, FIX.split_weights, seed=42)
     return (parts[0].withColumn("split", F.lit("train"))
             .unionByName(parts[1].withColumn("split", F.lit("test"))))
 
 
+@register("random_split_checked", O.sql(
+    "SELECT business_id, CAST(1 AS BIGINT) AS times, TRUE AS in_a_part FROM feat", "feat"))
+def q_random_split_checked(spark, sf):
+    """The seeded split holds every key once."""
+    return q_random_split(spark, sf).groupBy(KEY).agg(
+        F.count(F.lit(1)).alias("times"), F.min(F.col("split").isin("train", "test")).alias("in_a_part"))
+
+
 @register("review_rollup_json", O.sql(
     "SELECT CAST(business_id AS VARCHAR) AS business_id, * EXCLUDE (business_id) FROM rev", "rev"))
 def q_review_rollup_json(spark, sf):
@@ -53,4 +62,4 @@ def q_review_rollup_json(spark, sf):
 @register("rf_grid_metrics")
 def q_rf_grid_metrics(spark, sf):
     from sheaf.operators.model import grid_metrics
-    return grid_metrics(spark, fitted_forest(spark, sf))
+    return grid_metrics(spark, fitted(spark, sf, "rf")[0])

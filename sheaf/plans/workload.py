@@ -3,7 +3,7 @@
     from sheaf.plans.workload import tables_from_json, run
     t = tables_from_json(spark, {"business": ".../business.json", "review": ..., "checkin": ...,
                                  "tip": ..., "covid": ...})
-    out = run(t, Params())          # DataFrames; nothing is collected
+    out = run(t, Params())          # DataFrames, and each model's AUC as a number
 """
 
 from __future__ import annotations
@@ -12,17 +12,17 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sheaf.plans.features import Params, Tables, base_table, model_inputs
-from sheaf.sources.json import flatten_structs, read_table
+from sheaf.plans.features import Params, Tables, base_table, inputs_of
+from sheaf.session import materialize
+from sheaf.sources.json import read_table
 
 
 def tables_from_json(spark: SparkSession, paths: Mapping[str, str]) -> Tables:
-    """The five tables the plan joins, read with their declared schemas.
-
-    Nested business records (``attributes`` / ``hours`` as objects) are read as well: flat dotted
-    names in the file map to the same columns as nested fields after ``flatten_structs``.
+    """The five tables the plan joins, read with their declared schemas (business records with flat
+    dotted fields or with nested objects). The user table is read by ``read_table`` and prepared by
+    ``plans.features.user_features``; the plan does not join it.
     """
-    return Tables(*[flatten_structs(read_table(spark, name, paths[name]))
+    return Tables(*[read_table(spark, name, paths[name])
                     for name in ("business", "review", "checkin", "tip", "covid")])
 
 
@@ -32,8 +32,9 @@ def run(t: Tables, p: Params = Params(), folds: int = 10, parallelism: int = 4)
     from sheaf.operators.model import (feature_importances, forest_cv, grid_metrics,
                                        logistic_cv, predictions)
     spark = t.business.sparkSession
-    inputs = model_inputs(t, p)
-    out: dict[str, DataFrame | float] = {"base_table": base_table(t, p)}
+    table = materialize(base_table(t, p), "base-table")
+    inputs = inputs_of(table)
+    out: dict[str, DataFrame | float] = {"base_table": table}
     for name, fit in (("lr", logistic_cv), ("rf", forest_cv)):
         cv = fit(inputs.train, folds=folds, parallelism=parallelism)
         scored = cv.transform(inputs.test)

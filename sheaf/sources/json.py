@@ -23,8 +23,21 @@ def read_json(spark: SparkSession, path: str | list[str], schema: T.StructType |
 
 
 def read_table(spark: SparkSession, name: str, path: str | list[str]) -> DataFrame:
-    """Read one of the six workload tables with its declared schema."""
-    return read_json(spark, path, SCHEMAS[name])
+    """Read one of the six workload tables with its declared schema.
+
+    Business records may hold ``attributes`` and ``hours`` as flat dotted fields or as nested objects;
+    both give the flat columns.
+    """
+    schema = SCHEMAS[name]
+    parents = sorted({f.name.split(".")[0] for f in schema.fields if "." in f.name})
+    if not parents:
+        return read_json(spark, path, schema)
+    nested = [T.StructField(p, T.StructType([T.StructField(f.name.split(".", 1)[1], f.dataType)
+                                             for f in schema.fields if f.name.startswith(p + ".")]))
+              for p in parents]
+    df = read_json(spark, path, T.StructType([*schema.fields, *nested]))
+    return df.select([F.coalesce(F.col(f"`{f.name}`"), F.col(f.name)).alias(f.name)
+                      if "." in f.name else F.col(f"`{f.name}`") for f in schema.fields])
 
 
 def flatten_structs(df: DataFrame, sep: str = ".") -> DataFrame:

@@ -13,4 +13,6 @@ def test_entry_runs(spark):
     assert len(rows) > 0
     assert {"business_id", "delivery_or_takeout", "split"} <= set(df.columns)
     assert E.entry(spark).columns == df.columns  # stable schema
-    assert all(r["delivery_or_takeout"] is not None for r in rows)
+    labels = {r["delivery_or_takeout"] for r in rows}
+    assert labels == {None, 0, 1}  # businesses without a label are kept
+    assert len(rows) == E.queries()["feature_join"](spark, E.SMOKE_DIR).count()

@@ -49,6 +49,11 @@ def test_round_half_up_on_decimal_value(spark):
     assert [r.r for r in df.select(round_half_up("x", 2).alias("r")).collect()] == [2.68, 0.13, -2.68]
 
 
+def test_round_half_up_rounds_once(spark):
+    df = spark.createDataFrame([(2.4949996,), (2.4950000,), (1.00499999,), (0.285,), (1.005,)], "x double")
+    assert [r.r for r in df.select(round_half_up("x", 2).alias("r")).collect()] == [2.49, 2.5, 1.0, 0.29, 1.01]
+
+
 def test_round_half_up_large_and_special(spark, ansi):
     df = spark.createDataFrame([(1500000000000000.25,), (1e40,), (float("nan"),), (None,)], "x double")
     got = [r.r for r in df.select(round_half_up("x", 2).alias("r")).collect()]

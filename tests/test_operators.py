@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sheaf.operators.columns import (cast_columns, drop_columns, drop_prefix, sanitize_names,
                                      text_flag_to_int)
-from sheaf.operators.encode import OneHotEncoder, WoeEncoder, levels
+from sheaf.operators.encode import OneHotEncoder, WoeEncoder
 from sheaf.operators.filters import allow_list, any_in, flags, recode
 from sheaf.operators.hours import opening_hours
 from sheaf.operators.impute import MeanImputer, fill_constant
@@ -134,12 +134,31 @@ def test_one_hot_null_level_and_bound(spark):
     m = OneHotEncoder({"state": "state"}).fit(df)
     rows = [tuple(r) for r in m.transform(df).collect()]
     assert rows == [("A", 1, 0), ("B", 0, 1), (None, 0, 0)]
-    with pytest.raises(ValueError):
-        levels(df, "state", max_levels=1)
     with pytest.raises(ValueError):
         OneHotEncoder(["state"], max_levels=1).fit(df)
 
 
+def test_one_hot_has_no_default_cap_and_a_vector_form(spark):
+    from sheaf.operators.encode import one_hot_vector
+    df = spark.range(1500).select((F.col("id") % 1201).cast("string").alias("s"))
+    m = OneHotEncoder(["s"]).fit(df)
+    assert len(m.values["s"]) == 1201
+    v = one_hot_vector(spark.createDataFrame([("a",), ("b",), ("a",), (None,)], "s string"), ["s"]).collect()
+    assert [r["s_vec"].toArray().tolist() for r in v] == [[1, 0, 0], [0, 1, 0], [1, 0, 0], [0, 0, 1]]
+
+
+def test_one_hot_names_feed_the_formula(spark):
+    from sheaf.operators.model import rformula
+    df = spark.createDataFrame([("St. Louis", 1, "a"), ("Paris", 0, "b"), ("St. Louis", 0, "c")],
+                               "city string, y int, k string")
+    hot = OneHotEncoder(["city"]).fit(df).transform(df).drop("city")
+    assert hot.columns == ["y", "k", "city_Paris", "city_St_ Louis"]
+    assert rformula(hot, "y", exclude=("k",)).transform(hot).count() == 3
+    with pytest.raises(ValueError, match="share"):
+        OneHotEncoder(["s"]).fit(spark.createDataFrame([("a.b",), ("a_b",)], "s string")).transform(
+            spark.createDataFrame([("a.b",)], "s string"))
+
+
 def test_one_hot_plan_has_no_python(spark):
     df = spark.createDataFrame([("A",), ("B",)], "state string")
     plan = OneHotEncoder(["state"]).fit(df).transform(df)._jdf.queryExecution().executedPlan().toString()
@@ -182,6 +201,16 @@ def test_exact_quantiles_narrowing_matches_numpy(spark, skewed):
     assert exact_quantiles(df, "v", probs) == pytest.approx(want)
 
 
+@pytest.mark.parametrize("values,prob", [(2, 0.5), (4, 0.25), (4, 0.5), (4, 0.75), (500, 0.25), (500, 0.5)])
+def test_exact_quantiles_between_heavy_neighbours(spark, values, prob):
+    """The rank falls on the edge between two heavy values, with a limit below either's rows."""
+    n = 50_000 if values == 500 else 1000
+    df = spark.range(n).select((F.col("id") % values).cast("double").alias("v"))
+    got = exact_quantiles(df, "v", [prob], max_exact_rows=50, accuracy=100)
+    s = np.sort(np.arange(n) % values)
+    assert got == [s[math.ceil(prob * n) - 1]]
+
+
 def test_exact_quantiles_many_columns_mixed_paths(spark):
     from sheaf.operators.profile import exact_quantiles_multi
     rng = np.random.default_rng(11)
@@ -197,6 +226,39 @@ def test_exact_quantiles_many_columns_mixed_paths(spark):
         assert got[name] == pytest.approx([s[max(1, math.ceil(p * len(s))) - 1] for p in probs])
 
 
+def test_describe_dispatches_on_type(spark, ansi):
+    from sheaf.operators.profile import describe
+    df = spark.createDataFrame([("b", 1, 2.0, [1]), ("a", 3, None, [2]), (None, 5, 4.0, None)],
+                               "t string, i int, d double, l array<int>")
+    df = df.withColumn("day", F.lit("2020-01-02").cast("date"))
+    got = {r["column"]: r for r in describe(df).collect()}
+    assert tuple(got["t"])[1:] == (2, None, None, None, None, "a", "b")
+    assert (got["i"]["mean"], got["i"]["min"], got["i"]["max"], got["i"]["stddev"]) == (3.0, 1.0, 5.0, 2.0)
+    assert got["d"]["count"] == 2 and got["d"]["min_text"] is None
+    assert got["day"]["min_text"] == "2020-01-02" and tuple(got["l"])[1:] == (2,) + (None,) * 6
+
+
+def test_woe_fallback_join_gives_the_broadcast_result(spark):
+    rows = [("hot" if i % 3 else (None if i % 2 else f"l{i % 7}"), i % 2) for i in range(300)]
+    df = spark.createDataFrame(rows, "c string, y int")
+    small = WoeEncoder(["c"], "y").fit(df).transform(df)
+    large = WoeEncoder(["c"], "y", broadcast_limit=0).fit(df).transform(df)
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, large.collect()))
+
+
+def test_imputed_columns_are_a_parameter(spark):
+    from dataclasses import replace
+
+    from sheaf.plans.catalog import FIX
+    from sheaf.plans.features import LABEL, prepared
+    df = spark.createDataFrame([(i, "a", i % 2, None if i % 3 else 1.0, None if i % 4 else 2.0) for i in range(60)],
+                               f"business_id long, cat1 string, `{LABEL}` int, ratio_cool double, other double")
+    p = replace(FIX, woe_cols=("cat1",), impute_cols=("ratio_cool",))
+    out = prepared(df, p).agg(F.count_if(F.col("ratio_cool").isNull()).alias("a"),
+                              F.count_if(F.col("other").isNull()).alias("b")).first()
+    assert (out.a, out.b) == (0, 45)
+
+
 def test_missing_counts_typed(spark, ansi):
     df = spark.createDataFrame(
         [("", 1.0, None, None, None), ("NaN", float("nan"), 3, True, None), ("x", None, 4, None, None)],

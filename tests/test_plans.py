@@ -80,6 +80,7 @@ def test_review_rollup_spreads_a_hot_key(spark):
     assert "Generate inline" in plan or "Generate" in plan
 
 
-def test_facts_prefiltered_map_side(spark):
-    plan = _plan(C.feat(spark, "/root/testdata/sf0.01"))
-    assert re.search(r"BroadcastHashJoin \[[^\]]*\], \[[^\]]*\], LeftSemi", plan)
+def test_one_hot_reads_no_fact_table(spark):
+    plan = _plan(C.QUERIES["one_hot"](spark, "/root/testdata/sf0.01"))
+    assert "customer.parquet" in plan
+    assert not any(t in plan for t in ("orders.parquet", "events.parquet", "labels.parquet"))

@@ -3,7 +3,6 @@ import json
 from pyspark.sql import functions as F
 
 from sheaf.operators.columns import sanitize_names
-from sheaf.operators.joins import prefilter_to_keys
 from sheaf.operators.rollups import review_rollup
 from sheaf.session import scratch_path
 from sheaf.sources.json import flatten_structs, read_json, read_table
@@ -51,14 +50,26 @@ def test_rollup_under_a_hot_key(spark):
     assert got["hot"].avg_stars == round(sum(r[2] for r in hot) / len(hot), 2)
 
 
-def test_prefilter_paths(spark):
-    facts = spark.range(100).select((F.col("id") % 10).alias("k"), F.col("id").alias("v"))
-    keys = spark.range(3).select(F.col("id").alias("k"))
-    small = prefilter_to_keys(facts, keys, "k", keys_bytes=100)
-    assert small.count() == 30
-    assert "strategy=broadcast" in small._jdf.queryExecution().analyzed().toString()
-    big = prefilter_to_keys(facts, keys, "k", keys_bytes=100, limit=10)
-    assert big.count() == 100  # unchanged: the caller's left join drops the rest later
+def test_nested_business_records_read_like_flat_ones(spark):
+    path = scratch_path(spark, "business").replace("file:", "")
+    import os
+    os.makedirs(path)
+    with open(f"{path}/part-0.json", "w") as f:
+        f.write(json.dumps({"business_id": "b1", "attributes": {"RestaurantsTakeOut": "True"},
+                            "hours": {"Monday": "8:0-17:0"}}) + "\n")
+        f.write(json.dumps({"business_id": "b2", "attributes.RestaurantsTakeOut": "False", "hours": None}) + "\n")
+    a, b = sorted(read_table(spark, "business", path).collect(), key=lambda r: r["business_id"])
+    assert a["attributes.RestaurantsTakeOut"] == "True" and a["hours.Monday"] == "8:0-17:0"
+    assert b["attributes.RestaurantsTakeOut"] == "False" and b["hours.Monday"] is None
+
+
+def test_tables_are_read_with_their_present_schema(spark):
+    from sheaf.sources.tables import load
+    path = scratch_path(spark, "sf")
+    spark.range(3).write.parquet(f"{path}/region.parquet")
+    assert load(spark, path, "region").columns == ["id"]
+    spark.range(3).withColumn("more", F.lit(1)).write.mode("overwrite").parquet(f"{path}/region.parquet")
+    assert load(spark, path, "region").columns == ["id", "more"]
 
 
 def test_materialize_round_trip(spark):
