@@ -7,9 +7,9 @@ documents get the same symbols in their interior, at every level. Each symbol al
 span of words that its name and borders depend on; a symbol whose context lies inside a window is the same
 in every occurrence of the window.
 
-A window of ``window`` words is represented by the symbol of the highest level whose context it
-contains (of several, the one with the least name). Two equal windows have the same
-representative, so only documents that share a representative with another text can share a window. They
+A window of ``window`` words is represented by the longest symbol, in letters, of any level whose context it
+contains (of several, the one with the least name; long symbols are rare, so few are shared by
+chance). Two equal windows have the same representative, so only documents that share a representative with another text can share a window. They
 are found by a packed shuffle of (symbol, text class) pairs, and only their windows are then verified:
 the hash of all the window's words, with the smallest document that holds it, by a second packed
 shuffle over those few.
@@ -40,23 +40,24 @@ from sheaf.llm.exchange import SCHEMA, Exchange, by_owner, groups
 
 _RUN = np.uint64(0xC2B2AE3D27D4EB4F)
 _PAIR = np.uint64(0x165667B19E3779F9)
-_FAR = 1 << 40
 
 
 class Symbols:
-    """Parallel arrays: name, words [s, e), context [cs, ce), and text number."""
+    """Parallel arrays: name, words [s, e), context [cs, ce), and text number; ``first`` are the
+    texts' first words. All four borders never decrease."""
 
-    def __init__(self, name, s, e, cs, ce, doc):
-        self.name, self.s, self.e, self.cs, self.ce, self.doc = name, s, e, cs, ce, doc
+    def __init__(self, name, s, e, cs, ce, doc, first):
+        self.name, self.s, self.e, self.cs, self.ce, self.doc, self.first = name, s, e, cs, ce, doc, first
 
     def _inner(self) -> np.ndarray:
         """Whether a symbol and the next one are in the same text."""
         return self.doc[1:] == self.doc[:-1]
 
     def _beside(self) -> tuple[np.ndarray, np.ndarray]:
-        """Context start of the symbol before and context end of the one after (far off at borders)."""
+        """Context start of the symbol before and context end of the one after; outside the text at its
+        borders, so that no window contains such a context."""
         inner = self._inner()
-        before, after = np.full(len(self.name), -_FAR), np.full(len(self.name), _FAR)
+        before, after = self.first[self.doc] - 1, self.first[self.doc + 1] + 1
         before[1:][inner] = self.cs[:-1][inner]
         after[:-1][inner] = self.ce[1:][inner]
         return before, after
@@ -72,7 +73,8 @@ class Symbols:
         name = self.name[first]
         name = np.where(n > 1, mix(name + n * _RUN), name)
         before, after = self._beside()
-        return Symbols(name, self.s[first], self.e[last], before[first], after[last], self.doc[first])
+        return Symbols(name, self.s[first], self.e[last], before[first], after[last], self.doc[first],
+                       self.first)
 
     def pairs(self, level: int) -> Symbols:
         """Name adjacent (first half, second half) pairs; a symbol's half is a bit of its name."""
@@ -91,36 +93,51 @@ class Symbols:
         ce[alone & left] = np.maximum(ce, after)[alone & left]  # it depends on the next one's half
         cs[alone & ~left] = np.minimum(cs, before)[alone & ~left]
         keep = ~second
-        return Symbols(name[keep], self.s[keep], e[keep], cs[keep], ce[keep], self.doc[keep])
-
-
-def representatives(h: np.ndarray, first: np.ndarray, window: int, rounds: int) -> tuple[np.ndarray, np.ndarray]:
-    """(start, symbol) of every window of the texts whose words ``h`` start at ``first``."""
+        return Symbols(name[keep], self.s[keep], e[keep], cs[keep], ce[keep], self.doc[keep], self.first)
+
+    def least(self, code: np.ndarray, starts: np.ndarray, window: int) -> np.ndarray:
+        """For each window, the least code of the symbols whose context it contains (all ones: none).
+
+        They are neighbours, at most ``window`` of them: a range minimum over runs of 1, 2, 4, ... symbols.
+        """
+        none = ~np.uint64(0)
+        lo = np.searchsorted(self.cs, starts)
+        n = np.searchsorted(self.ce, starts + window, "right") - lo
+        out = np.full(len(starts), none)
+        run, size = code, 1
+        while True:
+            at = np.flatnonzero((n >= size) & (n < 2 * size))
+            out[at] = np.minimum(run[lo[at]], run[lo[at] + n[at] - size])
+            if not (n >= 2 * size).any():
+                return out
+            run = np.minimum(run[:-size], run[size:])
+            size *= 2
+
+
+def representatives(h: np.ndarray, size: np.ndarray, first: np.ndarray, window: int,
+                    rounds: int) -> tuple[np.ndarray, np.ndarray]:
+    """(start, symbol) of every window of the texts whose words ``h`` of ``size`` bytes start at ``first``."""
     n = np.diff(first)
     starts = np.flatnonzero(_window_starts(n, first, window, len(h)))
     if not len(starts):
         return starts, np.zeros(0, np.uint64)
     doc = np.repeat(np.arange(len(n)), n)
     at = np.arange(len(h))
-    sym = Symbols(h, at, at + 1, at, at + 1, doc)
-    low = np.uint64((1 << 60) - 1)
-    best = np.full(len(h), ~np.uint64(0))
+    total = np.r_[0, np.cumsum(size)]
+
+    def code(sym: Symbols) -> np.ndarray:
+        """Longest first, then by name: 12 bits and 52."""
+        short = (4095 - np.minimum(total[sym.e] - total[sym.s], 4095)).astype(np.uint64)
+        return short << np.uint64(52) | sym.name >> np.uint64(12)
+
+    words_ = sym = Symbols(h, at, at + 1, at, at + 1, doc, first)
+    got = np.full(len(starts), ~np.uint64(0))
     for level in range(1, rounds + 1):
         sym = sym.runs().pairs(level)
-        rank = np.uint64(rounds - level + 1) << np.uint64(60)
-        code = rank | (sym.name & low)
-        a, z = np.maximum(sym.ce - window, 0), sym.cs
-        for t in range(window):
-            ok = a + t <= z
-            if not ok.any():
-                break
-            np.minimum.at(best, (a + t)[ok], code[ok])
-    got = best[starts]
+        got = np.minimum(got, sym.least(code(sym), starts, window))
     bare = np.flatnonzero(got == ~np.uint64(0))
-    if len(bare):  # no symbol fits: the least word of the window
-        rank = np.uint64(rounds + 1) << np.uint64(60)
-        for t in range(window):
-            got[bare] = np.minimum(got[bare], rank | (h[starts[bare] + t] & low))
+    if len(bare):  # no context fits: a word of the window
+        got[bare] = words_.least(code(words_), starts[bare], window)
     return starts, mix(got)
 
 
@@ -160,8 +177,8 @@ def _symbols(batches: Iterator[pa.RecordBatch], window: int, rounds: int, way: E
     waiting = salt = 0
     for rows, data, off in text_slices(batches, "text"):
         salt = rows.column("part")[0].as_py() * 1009 + salt + 1
-        _, _, h, first = words(data, off, lower=False)
-        starts, got = representatives(h, first, window, rounds)
+        w, e, h, first = words(data, off, lower=False)
+        starts, got = representatives(h, e - w, first, window, rounds)
         if not len(starts):
             continue
         doc = np.searchsorted(first, starts, "right") - 1
@@ -205,8 +222,8 @@ def _suspect_windows(batches: Iterator[pa.RecordBatch], window: int, rounds: int
     waiting = salt = 0
     for rows, data, off in text_slices(batches, "text"):
         salt = rows.column("part")[0].as_py() * 1009 + salt + 1
-        _, _, h, first = words(data, off, lower=False)
-        starts, got = representatives(h, first, window, rounds)
+        w, e, h, first = words(data, off, lower=False)
+        starts, got = representatives(h, e - w, first, window, rounds)
         got = symbols.name(got).view(np.int64)
         whole = window_hashes(h, window)
         cut = np.searchsorted(starts, first)
@@ -283,8 +300,8 @@ def repeated_words(docs: DataFrame, window: int = 13, rounds: int = 2, id_col: s
                            "kept_sha256 string" + ", kept_text string" * texts))
     changed = written(changed.dropDuplicates(["key"]), "changed")
     # A copy of an earlier text loses everything; its class may lose words of its first document.
-    first = classes.select("sha", "first").join(
-        changed.select(F.col("key").alias("sha"), "n_removed", "kept_sha256"), "sha", "left")
+    first = written(classes.select("sha", "first").join(
+        changed.select(F.col("key").alias("sha"), "n_removed", "kept_sha256"), "sha", "left"), "classes")
     out = rows.hint("merge").join(first, "sha", "left")
     copy = F.col("doc_id") > F.col("first")
     out = out.select(
