@@ -346,7 +346,7 @@ def _score(s: pd.DataFrame, r: pd.DataFrame, model: Model) -> pd.DataFrame:
     return pd.concat(parts) if parts else pd.DataFrame({f.split()[0]: [] for f in _RESULT.split(", ")})
 
 
-def katz_tables(docs: DataFrame, slice_tokens: int = 2 << 20, id_col: str = "doc_id", text_col: str = "text",
+def katz_tables(docs: DataFrame, slice_tokens: int = 1 << 20, id_col: str = "doc_id", text_col: str = "text",
                 folds: int = 7, fold: int = 2) -> tuple[DataFrame, DataFrame, DataFrame, Model]:
     """(slices, counts, weights, model): the written tables of the module text, and the constants."""
     spark = docs.sparkSession
@@ -369,7 +369,7 @@ def katz_tables(docs: DataFrame, slice_tokens: int = 2 << 20, id_col: str = "doc
     return slices, back, weights, model
 
 
-def katz_scores(docs: DataFrame, slice_tokens: int = 2 << 20, id_col: str = "doc_id",
+def katz_scores(docs: DataFrame, slice_tokens: int = 1 << 20, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     slices, counts, weights, model = katz_tables(docs, slice_tokens, id_col, text_col)
