@@ -10,6 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sheaf.session import materialize
 
@@ -38,6 +39,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, f"llm-{name}")
 
 
+def fresh(name: str, taken: list[str]) -> str:
+    """A column name like ``name`` that no column of ``taken`` has."""
+    low = {c.lower() for c in taken}
+    while name.lower() in low:
+        name = "_" + name
+    return name
+
+
+def without(docs: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose id is in the one column of ``ids``; a null id stays."""
+    gone = fresh("gone", docs.columns)
+    ids = ids.toDF(gone).filter(F.col(gone).isNotNull())
+    return docs.hint("merge").join(ids, F.col(f"`{id_col}`") == F.col(gone), "left_anti")
+
+
 def fan_out(spark: SparkSession, per_partition: int = 4) -> int:
     """Number of hash bins for packed shuffles: a few per configured shuffle partition."""
     return per_partition * max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
@@ -61,7 +77,7 @@ def utf8(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def text_slices(batches: Iterator[pa.RecordBatch], column: str,
-                most: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+                most: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Cut batches into runs of rows with about ``most`` text bytes (one row at least), so that
     the arrays derived from a slice stay small however many rows a batch has."""
     for b in batches:
@@ -99,7 +115,7 @@ def _powers(base: int, n: int) -> np.ndarray:
         have = np.full(max(n, 1 << 16), base, np.uint64)
         have[0] = 1
         np.cumprod(have, out=have)
-        if len(have) <= 9 << 20:  # keep at most what a usual slice needs
+        if len(have) <= 3 << 20:  # keep at most what a usual slice needs
             _POWERS[base] = have
     return have[:n]
 

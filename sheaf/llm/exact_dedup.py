@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.llm.common import fan_out, ship
+from sheaf.llm.common import fan_out, ship, without
 
 _FILTER = "slot int, remainders binary, counts binary"
 
@@ -105,9 +105,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that ``exact_dedup`` does not keep, all columns as they were."""
-    gone = exact_dedup(docs, id_col, text_col).filter(~F.col("kept")).select(
-        F.col("doc_id").alias("_gone"))
-    return docs.hint("merge").join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    gone = exact_dedup(docs, id_col, text_col).filter(~F.col("kept")).select("doc_id")
+    return without(docs, id_col, gone)
 
 
 SQL = """

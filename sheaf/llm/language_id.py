@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sheaf.llm.common import ship, text_slices
+from sheaf.llm.common import fresh, ship, text_slices
 
 UNKNOWN = "und"
 _FOLD: list[np.ndarray] = []
@@ -87,7 +87,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n = np.bincount(where, np.concatenate([total[lang][1], n])).astype(np.int64)
         total[lang] = keys, n
 
-    for rows, data, off in text_slices(batches, "text", 2 << 20):
+    for rows, data, off in text_slices(batches, "text"):
         grams: dict[str, list] = {}
         for lang, g in zip(rows.column("lang").to_pylist(), text_grams(data, off)):
             grams.setdefault(lang, []).append(g)
@@ -138,23 +138,22 @@ class Profiles:
         return self.langs[best], 1.0 - float(far[best]) / (self.size * len(own))
 
 
-def predict(docs: DataFrame, profiles: dict[str, list[int]], size: int = 300,
-            text_col: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score`` (1: the profile itself, 0: nothing in common)."""
+def predict(docs: DataFrame, profiles: dict[str, list[int]], size: int = 300, text_col: str = "text",
+            names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``docs`` with two more columns, ``names``: the language, and a score (1: the text's n-grams rank
+    as in the profile, 0: nothing in common)."""
     ship(docs.sparkSession)
-    keep = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    docs = docs.select(*[F.col(f"`{c}`") for c in keep])
-    schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()),
-                           T.StructField("score", T.DoubleType())])
+    schema = T.StructType([*docs.schema.fields, T.StructField(names[0], T.StringType()),
+                           T.StructField(names[1], T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = Profiles(profiles, size)
-        for rows, data, off in text_slices(batches, text_col, 2 << 20):
+        for rows, data, off in text_slices(batches, text_col):
             got = [table.predict(g) for g in text_grams(data, off)]
             yield pa.RecordBatch.from_arrays(
                 [*rows.columns, pa.array([g[0] for g in got], pa.string()),
                  pa.array([g[1] for g in got], pa.float64())],
-                names=[*rows.schema.names, "lang_pred", "score"])
+                names=[*rows.schema.names, *names])
     return docs.mapInArrow(run, schema)
 
 
@@ -176,6 +175,7 @@ def language_id(docs: DataFrame, size: int = 300, id_col: str = "doc_id", text_c
 def drop_unidentified(docs: DataFrame, size: int = 300, min_score: float = 0.0) -> DataFrame:
     """``docs`` without the rows whose language is unknown (or whose score is under ``min_score``)."""
     profiles = train_profiles(docs.filter(~held_out()), size)
-    out = predict(docs, profiles, size)
-    return out.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).select(
+    lang, score = fresh("lang_pred", docs.columns), fresh("score", docs.columns)
+    out = predict(docs, profiles, size, names=(lang, score))
+    return out.filter((F.col(lang) != UNKNOWN) & (F.col(score) >= min_score)).select(
         *[F.col(f"`{c}`") for c in docs.columns])

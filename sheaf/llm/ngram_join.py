@@ -10,10 +10,12 @@ overlap.
 
 Heavy (large) sets are found by scanning inverted lists. A list holds the sets that have exactly the
 same shingles in one segment of the hash space. Sizes are cut into ranges of ratio ``num / den``; for a
-range the space has more segments than two linked sets can differ in, so linked sets meet in
-a non-empty segment (a set with so many empty segments that this could fail is listed under its empty
-ones too). Lists of single shingles would be lossless as well, but a passage that many documents
-share makes them as long as the corpus; a segment differs as soon as any other shingle in it does.
+range the space has more segments than two linked sets can differ in, so a set that is listed under
+one segment more than that meets all its partners. A set is listed under its segments of
+three shingles or more (two, one, and last the empty ones, if those are too few: the fuller ones
+are listed in any case, so the luckier set of a pair decides). Lists of single shingles would be lossless as
+well, but a passage that many documents share makes them as long as the corpus; a segment of several
+shingles is equal in unlike documents only if all of them come from that passage.
 
 The boundary between light and heavy is the one of least modelled cost (subsets enumerated against
 segments listed and list partners scanned) over the corpus's own histogram of small sizes.
@@ -44,13 +46,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.llm.common import fan_out, mix, ship, signed, text_slices, window_hashes, words, written
+from sheaf.llm.common import fan_out, mix, ship, signed, text_slices, window_hashes, without, words, written
 from sheaf.llm.components import connected_components
 from sheaf.llm.exchange import SCHEMA, Exchange, groups
 
 SMALL = 64  # sizes up to here may be light
 _KEY = np.uint64(0xA24BAED4963EE407)
 _SIG = np.uint64(0x9FB21C651E98DF25)
+_ALL = (1 << 64) - 1
 
 
 def shingle_sets(data: np.ndarray, off: np.ndarray, k: int) -> Iterator[np.ndarray]:
@@ -105,13 +108,14 @@ class Plan:
     def size_range(self, s: int) -> int:
         return _range(self.num, self.den, s)
 
-    def segments(self, j: int) -> tuple[int, int]:
-        """(segments, most that linked sets of range j and up differ in) for the range j."""
+    def segments(self, j: int) -> tuple[int, int, int]:
+        """(segments, most that linked sets of range j and up differ in, least shingles of a listed
+        segment) for the range j."""
         return _segments(self.num, self.den, j)
 
     def unlucky(self, s: int) -> float:
         """Modelled share of sets of this size that must be listed under empty segments too."""
-        k, most = self.segments(self.size_range(s))
+        k, most, _ = self.segments(self.size_range(s))
         p = math.exp(-s / k)
         sd = math.sqrt(max(k * p * (1 - p), 1e-9))
         return 0.5 * math.erfc((k * (1 - p) - most - 0.5) / sd / math.sqrt(2))
@@ -127,19 +131,23 @@ def _range(num: int, den: int, s: int) -> int:
 
 
 @lru_cache(maxsize=10_000)
-def _segments(num: int, den: int, j: int) -> tuple[int, int]:
+def _segments(num: int, den: int, j: int) -> tuple[int, int, int]:
     low = 1
     for _ in range(j):
         low = low * den // num + 1
     high = low * den // num
     most = (den - num) * (high + den * high // num) // (den + num)
-    k = most + 1
-    while k < low:
-        p = math.exp(-low / k)
-        if k * (1 - p) - 3 * math.sqrt(k * p * (1 - p)) >= most + 1:
-            return k, most
-        k += max(1, k // 64)
-    return max(2, 2 * (most + 1)), most
+    # Enough segments for most sets of the range to be listed under fuller ones only; the last choice,
+    # non-empty ones, must do for nearly all.
+    for least, typical, spare in ((3, low + 0.35 * (high - low), 0), (2, low + 0.35 * (high - low), 0), (1, low, 2)):
+        k = most + 1
+        while k < low:
+            mean = typical / k  # shingles of a segment, nearly Poisson
+            p = 1 - math.exp(-mean) * sum(mean ** i / math.factorial(i) for i in range(least))
+            if k * p - spare * math.sqrt(k * p * (1 - p)) >= most + 1:
+                return k, most, least
+            k += max(1, k // 64)
+    return max(2, 2 * (most + 1)), most, 1
 
 
 def signatures(s: np.ndarray, plan: Plan) -> np.ndarray:
@@ -152,20 +160,25 @@ def signatures(s: np.ndarray, plan: Plan) -> np.ndarray:
         for d in plan.drops(n):
             left_out = mixed[_combinations(n, d)].sum(1, dtype=np.uint64) if d else np.zeros(1, np.uint64)
             rest = total - left_out
-            out.append(mix(rest + _KEY * np.uint64(n - d)))
+            out.append(mix(rest + np.uint64(int(_KEY) * (n - d) & _ALL)))
     if n >= plan.first_heavy() and n:
         own = plan.size_range(n)
         for j in (own, own - 1) if own else (own,):
-            k, most = plan.segments(j)
+            k, most, least = plan.segments(j)
             seg = ((s >> np.uint64(32)) * np.uint64(k)) >> np.uint64(32)
             at = np.flatnonzero(np.r_[True, seg[1:] != seg[:-1]])
+            size = np.diff(np.r_[at, n])
             used = seg[at]
             body = np.add.reduceat(mixed, at)
-            if len(used) <= most:  # too few to be sure to meet a partner in one
+            while least > 1 and np.count_nonzero(size >= least) <= most:
+                least -= 1
+            if least > 1:
+                used, body = used[size >= least], body[size >= least]
+            elif len(used) <= most:  # too few to be sure to meet a partner in one
                 empty = np.setdiff1d(np.arange(k, dtype=np.uint64), used)
                 used = np.concatenate([used, empty])
                 body = np.concatenate([body, np.zeros(len(empty), np.uint64)])
-            out.append(mix(body ^ mix((used + np.uint64(1)) * _SIG + np.uint64(j) * _KEY)))
+            out.append(mix(body ^ mix((used + np.uint64(1)) * _SIG + np.uint64(int(_KEY) * j & _ALL))))
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
@@ -188,7 +201,7 @@ def _nodes(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch
 
 
 def _entries(batches: Iterator[pa.RecordBatch], k: int, plan: Plan, way: Exchange,
-             most: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+             most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     sig: list[np.ndarray] = []
     key: list[np.ndarray] = []
     seen: set[int] = set()
@@ -327,12 +340,13 @@ def ngram_components(docs: DataFrame, shingle: int = 3, num: int = 90, den: int
     def remaining(tried: DataFrame, closest: bool) -> DataFrame:
         """Pairs of members of one list in different components that may still link."""
         roots = connected_components(tried.filter("linked"), "a", "b")
-        at = listed.join(roots.select(F.col("node").alias("key"), "root"), "key", "left").withColumn(
-            "root", F.coalesce("root", "key"))
-        on = members.join(at, "k")
+        root = listed.select("key", "k").join(roots.select(F.col("node").alias("key"), "root"), "key", "left")
+        on = members.join(root.select("k", "key", F.coalesce("root", "key").alias("root")), "k")
         mixed = (on.groupBy("list").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
                  .filter("lo <> hi").select("list"))
-        on = on.join(mixed, "list", "left_semi")
+        # Only the lists that still matter get the sketches of their members.
+        on = written(on.join(mixed, "list", "left_semi"), "mixed").join(
+            listed.select("key", "n", *_SKETCH), "key")
         main = on.filter("is_pivot").groupBy("list").agg(F.min("root").alias("main"))
         left = on.join(main, "list").filter("root <> main").select("list", F.col("root").alias("rx"), struct("x"))
         right = on.select("list", F.col("root").alias("ry"), struct("y"))
@@ -364,6 +378,5 @@ def ngram_components(docs: DataFrame, shingle: int = 3, num: int = 90, den: int
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """``docs`` with one document (the smallest id) of each component, all columns as they were."""
-    gone = ngram_components(docs, shingle, num, den).filter("doc_id <> component_id").select(
-        F.col("doc_id").alias("_gone")).distinct()
-    return docs.hint("merge").join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone = ngram_components(docs, shingle, num, den).filter("doc_id <> component_id").select("doc_id")
+    return without(docs, "doc_id", gone.distinct())

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.llm.common import fan_out, mix, ship, text_slices, window_hashes, words, written
+from sheaf.llm.common import fan_out, fresh, mix, ship, text_slices, window_hashes, words, written
 from sheaf.llm.exchange import SCHEMA, Exchange, by_owner, groups
 
 _RUN = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -171,7 +171,7 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _symbols(batches: Iterator[pa.RecordBatch], window: int, rounds: int, way: Exchange,
-             most: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+             most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     sig: list[np.ndarray] = []
     key: list[np.ndarray] = []
     waiting = salt = 0
@@ -216,7 +216,7 @@ def _repeated(rows: pd.DataFrame, way: Exchange) -> pd.DataFrame:
 
 
 def _suspect_windows(batches: Iterator[pa.RecordBatch], window: int, rounds: int, symbols: Exchange,
-                     way: Exchange, most: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+                     way: Exchange, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     sig: list[np.ndarray] = []
     own: list[np.ndarray] = []
     waiting = salt = 0
@@ -325,13 +325,15 @@ def drop_repeats(docs: DataFrame, window: int = 13, rounds: int = 2) -> DataFram
     ``n_chars``, where there is one, counted anew. Documents without a repeat are as they were;
     one that is a repeat as a whole stays with an empty text. Ids are taken to be unique."""
     every, changed = repeated_words(docs, window, rounds, texts=True)
-    left = changed.select(F.col("doc_id").alias("_id"), F.col("kept_text").alias("_text"))
+    new_id, new = fresh("new_id", docs.columns), fresh("new_text", docs.columns)
+    left = changed.select(F.col("doc_id").alias(new_id), F.col("kept_text").alias(new))
     copies = (every.filter("n_removed = n_words AND n_removed > 0").select(
-        F.col("doc_id").alias("_id"), F.lit("").alias("_text")).join(left.select("_id"), "_id", "left_anti"))
-    out = docs.hint("merge").join(left.union(copies).dropDuplicates(["_id"]), F.col("doc_id") == F.col("_id"), "left")
-    text = F.when(F.col("_id").isNull(), F.col("text")).otherwise(F.col("_text"))
-    cols = {"text": text}
+        F.col("doc_id").alias(new_id), F.lit("").alias(new)).join(left.select(new_id), new_id, "left_anti"))
+    out = docs.hint("merge").join(left.union(copies).dropDuplicates([new_id]),
+                                  F.col("doc_id") == F.col(new_id), "left")
+    same = F.col(new_id).isNull()
+    cols = {"text": F.when(same, F.col("text")).otherwise(F.col(new))}
     if "n_chars" in docs.columns:
-        cols["n_chars"] = F.when(F.col("_id").isNull(), F.col("n_chars")).otherwise(
-            F.char_length("_text").cast(docs.schema["n_chars"].dataType))
+        cols["n_chars"] = F.when(same, F.col("n_chars")).otherwise(
+            F.char_length(new).cast(docs.schema["n_chars"].dataType))
     return out.withColumns(cols).select(*[F.col(f"`{c}`") for c in docs.columns])

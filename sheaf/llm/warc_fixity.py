@@ -97,18 +97,25 @@ def split_records(data: bytes) -> Iterator[tuple[int, bytes, str, bytes]]:
         at = data.find(b"WARC/", end)
 
 
-def merkle_tree(layout: DataFrame, levels: int) -> DataFrame:
-    """(level, node, hash): leaf ranges are level 0; a node's parent is ``floor(node / FANOUT)``."""
-    address = F.floor((F.col("file") * SPAN + F.col("offset")) / RANGE).cast("long")
+def _leaf() -> Column:
+    """The leaf range that a record starts in: file number, then 64 KiB of offset."""
+    return F.col("file") * (SPAN // RANGE) + F.shiftright("offset", RANGE.bit_length() - 1)
+
+
+def _parent() -> Column:
+    return F.shiftright("node", FANOUT.bit_length() - 1)
 
+
+def merkle_tree(layout: DataFrame, levels: int) -> DataFrame:
+    """(level, node, hash): leaf ranges are level 0; ``FANOUT`` neighbours share a parent."""
     def digest(items: Column) -> Column:
         return F.sha2(F.to_json(F.array_sort(F.collect_list(items))), 256).alias("hash")
 
-    level = (layout.withColumn("node", address).groupBy("node")
+    level = (layout.withColumn("node", _leaf()).groupBy("node")
              .agg(digest(F.struct("file", "offset", "length", "digest"))))
     tree = level.select(F.lit(0).alias("level"), "node", "hash")
     for k in range(1, levels):
-        level = (level.groupBy(F.floor(F.col("node") / FANOUT).cast("long").alias("up"))
+        level = (level.groupBy(_parent().alias("up"))
                  .agg(digest(F.struct("node", "hash"))).withColumnRenamed("up", "node"))
         tree = tree.union(level.select(F.lit(k).alias("level"), "node", "hash"))
     return tree
@@ -140,11 +147,10 @@ def audit(first: DataFrame, second: DataFrame) -> DataFrame:
     bad = _differing(at(trees[0], levels - 1), at(trees[1], levels - 1), ["node"], "hash").select("node")
     for level in range(levels - 2, -1, -1):
         up = bad.withColumnRenamed("node", "up")
-        below = [at(t, level).withColumn("up", F.floor(F.col("node") / FANOUT).cast("long"))
+        below = [at(t, level).withColumn("up", _parent())
                  .join(up, "up", "left_semi").select("node", "hash") for t in trees]
         bad = _differing(*below, ["node"], "hash").select("node")
-    node = F.floor((F.col("file") * SPAN + F.col("offset")) / RANGE).cast("long")
-    here = [m.withColumn("node", node).join(bad, "node", "left_semi").drop("node") for m in (first, second)]
+    here = [m.withColumn("node", _leaf()).join(bad, "node", "left_semi").drop("node") for m in (first, second)]
     damaged = _differing(*here, ["record_id", "file", "offset", "length"], "digest")
     status = (F.when(F.col("_b").isNull(), "missing").when(F.col("_a").isNull(), "extra").otherwise("changed"))
     return damaged.select("record_id", "file", F.col("offset").alias("record_offset"),
