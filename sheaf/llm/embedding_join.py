@@ -217,8 +217,11 @@ def embedding_near_dups(vectors: DataFrame, threshold: float = 0.9, blocks: int
     def meet(g: pd.DataFrame) -> pd.DataFrame:
         a, z = g[g["side"] == 0], g[g["side"] == 1]
         dim, b = int(g["dim"].iloc[0]), int(g["block"].iloc[0])
-        same = not len(z) and bool(np.array_equal(g["a"].iloc[0], g["b"].iloc[0]))
-        return _compare(frames, threshold, dim, b, a, a if same else z, same)
+        same = g["c"].iloc[0] == g["d"].iloc[0] and bool(np.array_equal(g["a"].iloc[0], g["b"].iloc[0]))
+        z = a if same else z
+        if not len(a) or not len(z):  # a chunk that its hash left empty
+            return pd.DataFrame({"node": [], "root": [], "n": []}, dtype="int64")
+        return _compare(frames, threshold, dim, b, a, z, same)
 
     found = written(tasks.groupBy("dim", "block", "a", "b", "c", "d").applyInPandas(
         meet, "node long, root long, n long"), "found")

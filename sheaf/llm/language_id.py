@@ -143,18 +143,22 @@ def predict(docs: DataFrame, profiles: dict[str, list[int]], size: int = 300, te
     """``docs`` with two more columns, ``names``: the language, and a score (1: the text's n-grams rank
     as in the profile, 0: nothing in common)."""
     ship(docs.sparkSession)
-    schema = T.StructType([*docs.schema.fields, T.StructField(names[0], T.StringType()),
-                           T.StructField(names[1], T.DoubleType())])
+    final = [*docs.columns, *names]
+    # Positional names inside: Python tasks cannot be handed a column with a dot in its name.
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    at = docs.columns.index(text_col)
+    schema = T.StructType([*plain.schema.fields, T.StructField("lang", T.StringType()),
+                           T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = Profiles(profiles, size)
-        for rows, data, off in text_slices(batches, text_col):
+        for rows, data, off in text_slices(batches, f"c{at}"):
             got = [table.predict(g) for g in text_grams(data, off)]
             yield pa.RecordBatch.from_arrays(
                 [*rows.columns, pa.array([g[0] for g in got], pa.string()),
                  pa.array([g[1] for g in got], pa.float64())],
-                names=[*rows.schema.names, *names])
-    return docs.mapInArrow(run, schema)
+                names=[*rows.schema.names, "lang", "score"])
+    return plain.mapInArrow(run, schema).toDF(*final)
 
 
 def held_out(id_col: str = "doc_id", folds: int = 4, fold: int = 2):
