@@ -94,7 +94,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, gs in grams.items():
             add(lang, np.concatenate(gs))
     for lang, (keys, n) in total.items():
-        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys)), pa.array(keys), pa.array(n)],
+        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), pa.string()), pa.array(keys), pa.array(n)],
                                          names=["lang", "gram", "n"])
 
 
