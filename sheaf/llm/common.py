@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheaf.session import materialize
+from sheaf.session import materialize, scratch_path
 
 _SHIPPED = "_sheaf_shipped"
 
@@ -39,6 +39,35 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, f"llm-{name}")
 
 
+class Scratch:
+    """Tables that one computation writes into the shared checkpoint folder and deletes when it ends.
+
+    What the computation returns must not read them: ``written`` tables stay.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.clear()
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(self.spark, f"llm-{name}")
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def clear(self) -> None:
+        jvm, conf = self.spark._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        for p in self.paths:
+            at = jvm.org.apache.hadoop.fs.Path(p)
+            at.getFileSystem(conf).delete(at, True)
+        self.paths = []
+
+
 def fresh(name: str, taken: list[str]) -> str:
     """A column name like ``name`` that no column of ``taken`` has."""
     low = {c.lower() for c in taken}

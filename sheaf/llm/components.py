@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.llm.common import ship, written
+from sheaf.llm.common import Scratch, ship
 
 
 def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -58,18 +58,23 @@ def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out(*stars(a, b))
 
 
-def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
+def _sign(edges: DataFrame) -> tuple:
+    """A fingerprint of a link table, whatever the order of its rows."""
+    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("node", "root").cast("decimal(38,0)"))).first())
+
+
+def connected_components(links: DataFrame, a: str, b: str, tmp: Scratch) -> DataFrame:
     """(node, root): the smallest node reachable from every node that has a link to another one.
 
-    Nodes without links are not listed. Nulls and self-links are ignored.
+    Nodes without links are not listed. Nulls and self-links are ignored. The result is a table of ``tmp``.
     """
     spark = links.sparkSession
     ship(spark)
     edges = (links.select(F.col(a).cast("long").alias("node"), F.col(b).cast("long").alias("root"))
              .filter("node IS NOT NULL AND root IS NOT NULL AND node <> root")
              .mapInArrow(_contract, "node long, root long"))
-    edges = written(edges, "links")
-    sign = None
+    edges = tmp.write(edges, "links")
+    sign, done = _sign(edges), Scratch(spark)
     while True:
         both = edges.select("node", "root").union(edges.select(F.col("root"), F.col("node")))
         both = both.toDF("u", "v")
@@ -81,8 +86,10 @@ def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(low, "u").filter("v <> m").select(F.col("v").alias("node"), F.col("m").alias("root"))
                  .union(low.select(F.col("u").alias("node"), F.col("m").alias("root"))).distinct())
-        edges = written(small, "links")
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("node", "root").cast("decimal(38,0)"))).first()
-        if tuple(now) == sign:
+        edges = tmp.write(small, "links")
+        done.paths = [tmp.paths.pop(-2)]  # the round before it
+        done.clear()
+        now = _sign(edges)
+        if now == sign:
             return edges
-        sign = tuple(now)
+        sign = now

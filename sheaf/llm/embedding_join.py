@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sheaf.llm.common import ship, written
+from sheaf.llm.common import Scratch, ship, written
 from sheaf.llm.components import connected_components, stars
 
 _SLACK = 1e-5  # of float32 block distances against the budget; candidates are verified exactly
@@ -174,7 +174,21 @@ def embedding_near_dups(vectors: DataFrame, threshold: float = 0.9, blocks: int
     packed = rows.filter(good).mapInArrow(pack, "vec_id long, dim int, vec binary")
     packed = packed.withColumn("key", F.sha2("vec", 256))
     members = packed.select("vec_id", "key")
-    classes = written(packed.groupBy("key").agg(
+    with Scratch(spark) as tmp:
+        named = _linked_classes(packed, threshold, blocks, axes, chunk, sample_rows, tmp)
+        named = None if named is None else written(named, "near")
+    alone = (rows.filter(~good) if named is not None else rows).select(
+        "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    if named is not None:
+        linked = members.hint("merge").join(named, "key").select("vec_id", "n_links", "component_id")
+        alone = linked.union(alone)
+    return alone.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
+def _linked_classes(packed: DataFrame, threshold: float, blocks: int, axes: int, chunk: int, sample_rows: int,
+                    tmp: Scratch) -> DataFrame | None:
+    """(key, n_links, component_id) of every class of equal vectors; None if there is none."""
+    classes = tmp.write(packed.groupBy("key").agg(
         F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("copies"), F.first("dim").alias("dim"),
         F.first("vec").alias("vec")).withColumn("rep", F.monotonically_increasing_id()), "vectors")
     frames: dict[int, Frame] = {}
@@ -186,11 +200,10 @@ def embedding_near_dups(vectors: DataFrame, threshold: float = 0.9, blocks: int
         frames[r["dim"]] = Frame(_unit(_vectors([bytes(x["vec"]) for x in got], r["dim"])), threshold,
                                  blocks, axes)
     if not frames:
-        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"),
-                           F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
+        return None
 
     # Chunk numbers: a cell's vectors are dealt to as many chunks as its size asks for.
-    where = written(classes.select("rep", "dim", "vec").mapInArrow(
+    where = tmp.write(classes.select("rep", "dim", "vec").mapInArrow(
         lambda it: _cell_rows(it, frames), "rep long, dim int, block int, cell array<long>"), "cells")
     sizes = where.groupBy("dim", "block", "cell").agg(F.count(F.lit(1)).alias("n"))
     chunks = sizes.withColumn("of", F.ceil(F.col("n") / chunk).cast("int")).select("dim", "block", "cell", "of")
@@ -223,18 +236,14 @@ def embedding_near_dups(vectors: DataFrame, threshold: float = 0.9, blocks: int
             return pd.DataFrame({"node": [], "root": [], "n": []}, dtype="int64")
         return _compare(frames, threshold, dim, b, a, z, same)
 
-    found = written(tasks.groupBy("dim", "block", "a", "b", "c", "d").applyInPandas(
+    found = tmp.write(tasks.groupBy("dim", "block", "a", "b", "c", "d").applyInPandas(
         meet, "node long, root long, n long"), "found")
     counts = found.filter("n > 0").groupBy(F.col("node").alias("rep")).agg(F.sum("n").alias("n"))
-    roots = connected_components(found.filter("node <> root"), "node", "root")
+    roots = connected_components(found.filter("node <> root"), "node", "root", tmp)
     named = (classes.select("rep", "key", "first", "copies")
              .join(counts, "rep", "left")
              .join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left")
              .withColumn("root", F.coalesce("root", "rep")))
     lowest = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = named.join(lowest, "root").select(
+    return named.join(lowest, "root").select(
         "key", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id")
-    linked = members.hint("merge").join(named, "key").select("vec_id", "n_links", "component_id")
-    alone = rows.filter(~good).select("vec_id", F.lit(0).cast("long").alias("n_links"),
-                                      F.col("vec_id").alias("component_id"))
-    return linked.union(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

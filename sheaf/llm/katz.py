@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.llm.common import fan_out, mix, ship, text_slices, words, written
+from sheaf.llm.common import Scratch, fan_out, mix, ship, text_slices, words, written
 
 TRUSTED = 5  # counts above this are not discounted
 END, BEGIN = np.uint64(0x1D8E4E27C47D124F), np.uint64(0xEB44ACCAB455D165)
@@ -347,7 +347,7 @@ def _score(s: pd.DataFrame, r: pd.DataFrame, model: Model) -> pd.DataFrame:
 
 
 def katz_tables(docs: DataFrame, slice_tokens: int = 1 << 20, id_col: str = "doc_id", text_col: str = "text",
-                folds: int = 7, fold: int = 2) -> tuple[DataFrame, DataFrame, DataFrame, Model]:
+                folds: int = 7, fold: int = 2, write=written) -> tuple[DataFrame, DataFrame, DataFrame, Model]:
     """(slices, counts, weights, model): the written tables of the module text, and the constants."""
     spark = docs.sparkSession
     ship(spark)
@@ -355,8 +355,8 @@ def katz_tables(docs: DataFrame, slice_tokens: int = 1 << 20, id_col: str = "doc
     rows = docs.select(F.spark_partition_id().alias("part"), F.col(id_col).cast("long").alias("doc_id"),
                        held.alias("held_out"), F.col(text_col).alias("text"))
     bits = max(4, min(16, (fan_out(spark) - 1).bit_length()))
-    slices = written(rows.mapInArrow(lambda it: _slices(it, slice_tokens), "slice long, body binary"), "slices")
-    counts = written(
+    slices = write(rows.mapInArrow(lambda it: _slices(it, slice_tokens), "slice long, body binary"), "slices")
+    counts = write(
         slices.mapInArrow(lambda it: _send_counts(it, bits), _SENT).groupBy("kind", "bin")
         .applyInPandas(_add_counts, _SENT + ", stats array<long>"), "counts")
     stats = counts.filter("slice = -1").groupBy("kind").agg(
@@ -365,14 +365,15 @@ def katz_tables(docs: DataFrame, slice_tokens: int = 1 << 20, id_col: str = "doc
     back = counts.filter("slice >= 0").select("slice", "kind", "bin", "body")
     sums = (slices.groupBy("slice").cogroup(back.groupBy("slice"))
             .applyInPandas(lambda a, b: _send_sums(a, b, model, bits), _SENT))
-    weights = written(sums.groupBy("bin").applyInPandas(_weights, _SENT), "weights")
+    weights = write(sums.groupBy("bin").applyInPandas(_weights, _SENT), "weights")
     return slices, back, weights, model
 
 
 def katz_scores(docs: DataFrame, slice_tokens: int = 1 << 20, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    slices, counts, weights, model = katz_tables(docs, slice_tokens, id_col, text_col)
-    back = counts.union(weights.filter("slice >= 0"))
-    return (slices.groupBy("slice").cogroup(back.groupBy("slice"))
-            .applyInPandas(lambda a, b: _score(a, b, model), _RESULT))
+    with Scratch(docs.sparkSession) as tmp:
+        slices, counts, weights, model = katz_tables(docs, slice_tokens, id_col, text_col, write=tmp.write)
+        back = counts.union(weights.filter("slice >= 0"))
+        return written(slices.groupBy("slice").cogroup(back.groupBy("slice"))
+                       .applyInPandas(lambda a, b: _score(a, b, model), _RESULT), "scores")

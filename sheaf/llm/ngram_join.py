@@ -24,9 +24,10 @@ Signatures travel packed (about 10 bytes each) to hash bins, one entry per task
 proposes links between its pivots (the smallest key of a task, and of all tasks) and the others, never
 all pairs; candidates pass a size test and a 512-bit parity sketch (its Hamming
 distance is a lower bound of the symmetric difference) before the sets themselves are compared
-exactly. Members that are not in the pivot's component after that are matched against the nearest
-member of every other component in the list, and last against all that remain, so no link that
-would join two components is left out, and groups of copies cost links in proportion to their size.
+exactly. Members that are not in the pivot's component after that are matched, in chunks of bounded
+size, against the nearest member of that component and the nearest of any other, as long as this merges
+components, and last against all that may still link, so no link that would join two components is
+left out, and groups of copies cost links in proportion to their size.
 
 Defined results: a null, empty or blank text has no shingles, links with nothing and is its own component;
 a text with fewer words than a shingle is one shingle; rows that repeat an id share a component; rows
@@ -46,7 +47,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.llm.common import fan_out, mix, ship, signed, text_slices, window_hashes, without, words, written
+from sheaf.llm.common import (Scratch, fan_out, mix, ship, signed, text_slices, window_hashes, without, words,
+                              written)
 from sheaf.llm.components import connected_components
 from sheaf.llm.exchange import SCHEMA, Exchange, groups
 
@@ -286,6 +288,45 @@ def shingle_nodes(docs: DataFrame, shingle: int) -> DataFrame:
         "doc_id long, key long, n long, " + ", ".join(f"{c} long" for c in _SKETCH))
 
 
+_CHUNK = 2048  # members of a list that meet as many others in one task
+
+
+def _meet(rows: pd.DataFrame, num: int, den: int, every: bool) -> pd.DataFrame:
+    """Candidate pairs of one bin of (list, left chunk, right chunk) meetings.
+
+    For each left member the nearest (by sketch) right member in the list's main component and the nearest in
+    any other component than its own; all of them with ``every``.
+    """
+    out: list[tuple[np.ndarray, ...]] = []
+    order = np.lexsort((rows["side"], rows["cr"], rows["cl"], rows["list"]))
+    rows = rows.iloc[order]
+    key, n, root = (rows[c].to_numpy(np.int64) for c in ("key", "n", "root"))
+    main, side = rows["is_main"].to_numpy(bool), rows["side"].to_numpy()
+    bits = np.column_stack([rows[c].to_numpy(np.int64) for c in _SKETCH]).view(np.uint64)
+    where = rows[["list", "cl", "cr"]].to_numpy()
+    start = np.flatnonzero(np.r_[True, (where[1:] != where[:-1]).any(1)])
+    for a, z in zip(start, np.r_[start[1:], len(rows)]):
+        cut = a + int(np.searchsorted(side[a:z], 1))
+        for lo in range(a, cut, 128):
+            left, right = slice(lo, min(lo + 128, cut)), slice(cut, z)
+            apart = np.bitwise_count(bits[left, None, :] ^ bits[None, right, :]).sum(2, dtype=np.int64)
+            x, y = n[left, None], n[None, right]
+            ok = (root[left, None] != root[None, right]) & (np.minimum(x, y) * den >= np.maximum(x, y) * num)
+            ok &= apart <= (x + y) * (den - num) // (den + num)
+            if every:
+                i, j = np.nonzero(ok)
+                out.append((key[left][i], key[right][j], apart[i, j], np.zeros(len(i), bool)))
+                continue
+            for kind in (True, False):
+                far = np.where(ok & (main[right] == kind), apart, 1 << 20)
+                if far.shape[1]:
+                    j = far.argmin(1)
+                    i = np.flatnonzero(far[np.arange(len(j)), j] < 1 << 20)
+                    out.append((key[left][i], key[right][j[i]], far[i, j[i]], np.full(len(i), kind)))
+    cols = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 3 + [np.zeros(0, bool)]
+    return pd.DataFrame(dict(zip(("a", "b", "apart", "to_main"), cols)))
+
+
 def ngram_components(docs: DataFrame, shingle: int = 3, num: int = 90, den: int = 100,
                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id."""
@@ -293,29 +334,35 @@ def ngram_components(docs: DataFrame, shingle: int = 3, num: int = 90, den: int
     ship(spark)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     nodes = written(shingle_nodes(docs, shingle), "shingles")
+    with Scratch(spark) as tmp:
+        named = written(_classes_by_component(docs, nodes, shingle, num, den, tmp), "components")
+    out = nodes.select("doc_id", "key", "n").hint("merge").join(named, "key", "left")
+    own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
+
+
+def _classes_by_component(docs: DataFrame, nodes: DataFrame, shingle: int, num: int, den: int,
+                          tmp: Scratch) -> DataFrame:
+    """(key, component): the classes that are linked to others or have several documents or one."""
+    spark = docs.sparkSession
     classes = nodes.filter("key IS NOT NULL AND doc_id IS NOT NULL").groupBy("key").agg(
         F.min("doc_id").alias("rep"), F.max("n").alias("n"), *[F.max(c).alias(c) for c in _SKETCH])
     sizes = {r["n"]: r["k"] for r in nodes.filter(f"n BETWEEN 1 AND {SMALL}").groupBy("n").agg(
         F.count(F.lit(1)).alias("k")).collect()}  # at most SMALL rows
     plan = Plan(num, den, least_cost_boundary(sizes, num, den))
-    way = Exchange(max(4, min(20, (fan_out(spark) - 1).bit_length())), 4)
-    lists = written(
+    bins = fan_out(spark)
+    way = Exchange(max(4, min(20, (bins - 1).bit_length())), 4)
+    lists = tmp.write(
         docs.filter("doc_id IS NOT NULL").select("text", F.spark_partition_id().alias("part")).mapInArrow(
             lambda it: _entries(it, shingle, plan, way), SCHEMA)
         .groupBy("bin").applyInPandas(lambda g: _lists(g, way), "list long, key long, pivot long"), "lists")
     # The classes that are on some list, with their whole keys.
     short = F.shiftrightunsigned("key", 16)
-    listed = written(classes.withColumn("k", short).join(
+    listed = tmp.write(classes.withColumn("k", short).join(
         lists.select(F.col("key").alias("k")).distinct(), "k", "left_semi"), "listed")
-    items = written(docs.hint("merge").join(listed.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
-                    .select("text").mapInArrow(lambda it: _sets(it, shingle), "key long, items array<long>")
-                    .join(listed.select("key"), "key", "left_semi").dropDuplicates(["key"]), "sets")
-
-    def near(pairs: DataFrame) -> DataFrame:
-        """The pairs (structs x and y) that pass the size test and the sketch."""
-        small, large = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
-        return pairs.filter((small * den >= large * num)
-                            & (_apart() <= _bound(F.col("x.n"), F.col("y.n"), num, den)))
+    items = tmp.write(docs.hint("merge").join(listed.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+                      .select("text").mapInArrow(lambda it: _sets(it, shingle), "key long, items array<long>")
+                      .join(listed.select("key"), "key", "left_semi").dropDuplicates(["key"]), "sets")
 
     def verified(pairs: DataFrame) -> DataFrame:
         """(a, b, linked) from the sets themselves."""
@@ -323,57 +370,61 @@ def ngram_components(docs: DataFrame, shingle: int = 3, num: int = 90, den: int
                 .hint("merge").join(items.select(F.col("key").alias("b"), F.col("items").alias("q")), "b"))
         common = F.size(F.array_intersect("p", "q"))
         union = F.size("p") + F.size("q") - common
-        return both.select("a", "b", (common * den >= union * num).alias("linked"))
+        return tmp.write(both.select("a", "b", (common * den >= union * num).alias("linked")), "links")
 
     def struct(name: str) -> Column:
         return F.struct("key", "n", *_SKETCH).alias(name)
 
     xs = listed.select(F.col("k").alias("kx"), struct("x"))
     ys = listed.select(F.col("k").alias("ky"), struct("y"))
+    small, large = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
     star = (lists.filter("key <> pivot").select(F.col("pivot").alias("kx"), F.col("key").alias("ky")).distinct()
-            .join(xs, "kx").join(ys, "ky"))
-    tried = written(verified(near(star).select(F.col("x.key").alias("a"), F.col("y.key").alias("b"))), "links")
-
+            .join(xs, "kx").join(ys, "ky")
+            .filter((small * den >= large * num) & (_apart() <= _bound(F.col("x.n"), F.col("y.n"), num, den)))
+            .select(F.col("x.key").alias("a"), F.col("y.key").alias("b")))
+    tried = verified(star)
     members = lists.groupBy("list", F.col("key").alias("k")).agg(
         F.max(F.col("key") == F.col("pivot")).alias("is_pivot"))
 
-    def remaining(tried: DataFrame, closest: bool) -> DataFrame:
-        """Pairs of members of one list in different components that may still link."""
-        roots = connected_components(tried.filter("linked"), "a", "b")
+    def remaining(every: bool) -> DataFrame:
+        """Untried pairs of members of one list in different components that may still link."""
+        roots = connected_components(tried.filter("linked"), "a", "b", tmp)
         root = listed.select("key", "k").join(roots.select(F.col("node").alias("key"), "root"), "key", "left")
         on = members.join(root.select("k", "key", F.coalesce("root", "key").alias("root")), "k")
-        mixed = (on.groupBy("list").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-                 .filter("lo <> hi").select("list"))
+        mixed = (on.groupBy("list").agg(
+            F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("size"),
+            F.min(F.when(F.col("is_pivot"), F.col("root"))).alias("main")).filter("lo <> hi"))
+        mixed = mixed.select("list", "main", F.ceil(F.col("size") / _CHUNK).cast("int").alias("of"))
         # Only the lists that still matter get the sketches of their members.
-        on = written(on.join(mixed, "list", "left_semi"), "mixed").join(
-            listed.select("key", "n", *_SKETCH), "key")
-        main = on.filter("is_pivot").groupBy("list").agg(F.min("root").alias("main"))
-        left = on.join(main, "list").filter("root <> main").select("list", F.col("root").alias("rx"), struct("x"))
-        right = on.select("list", F.col("root").alias("ry"), struct("y"))
-        small, large = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
-        pairs = left.alias("l").join(right.alias("r"), (F.col("l.list") == F.col("r.list"))
-                                     & (F.col("rx") != F.col("ry")) & (small * den >= large * num)
-                                     & (_apart() <= _bound(F.col("x.n"), F.col("y.n"), num, den)))
-        pairs = pairs.select(F.col("x.key").alias("a"), F.col("y.key").alias("b"), "ry", _apart().alias("apart"))
-        done = tried.select("a", "b").union(tried.select(F.col("b"), F.col("a")))
-        if closest:
-            nearest = F.min(F.struct("apart", "b")).alias("m")
-            pairs = pairs.join(done, ["a", "b"], "left_anti").groupBy("a", "ry").agg(nearest).select("a", "m.b")
-        else:
-            pairs = pairs.select("a", "b").distinct().join(done, ["a", "b"], "left_anti")
-        return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-    for closest in (True, False):
-        more = written(verified(remaining(tried, closest)), "links")
+        on = tmp.write(on.join(mixed, "list"), "mixed").join(listed.select("key", "n", *_SKETCH), "key")
+        on = on.select("list", "of", "key", "n", "root", (F.col("root") == F.col("main")).alias("is_main"), *_SKETCH,
+                       F.pmod(F.xxhash64("key"), F.col("of")).cast("int").alias("c"))
+        every_chunk = F.explode(F.sequence(F.lit(0), F.col("of") - 1))
+        left = on.filter("NOT is_main").withColumn("cr", every_chunk).withColumnRenamed("c", "cl").withColumn(
+            "side", F.lit(0))
+        right = on.withColumn("cl", every_chunk).withColumnRenamed("c", "cr").withColumn("side", F.lit(1))
+        meetings = left.unionByName(right).drop("of").withColumn(
+            "bin", F.pmod(F.xxhash64("list", "cl", "cr"), F.lit(bins)))
+        pairs = meetings.groupBy("bin").applyInPandas(
+            lambda g: _meet(g, num, den, every), "a long, b long, apart long, to_main boolean")
+        if not every:
+            pairs = pairs.groupBy("a", "to_main").agg(F.min(F.struct("apart", "b")).alias("m")).select("a", "m.b")
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        return pairs.join(done, ["a", "b"], "left_anti")
+
+    # Nearest first, a link or two per member, while that merges components; then whatever is left.
+    for every in (False, False, False, True):
+        more = verified(remaining(every))
         tried = tried.union(more)
-    roots = connected_components(tried.filter("linked"), "a", "b")
+        if not every and more.filter("linked").isEmpty():
+            tried = tried.union(verified(remaining(True)))
+            break
+    roots = connected_components(tried.filter("linked"), "a", "b", tmp)
     named = classes.select("key", "rep").join(roots.select(F.col("node").alias("key"), "root"), "key", "left")
-    named = named.withColumn("root", F.coalesce("root", "key"))
+    named = tmp.write(named.withColumn("root", F.coalesce("root", "key")), "roots")
     lowest = named.groupBy("root").agg(F.min("rep").alias("component"))
-    named = named.join(lowest, "root").select("key", "component")
-    out = nodes.select("doc_id", "key", "n").hint("merge").join(named, "key", "left")
-    own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
+    return named.join(lowest, "root").select("key", "component")
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 5, num: int = 80, den: int = 100) -> DataFrame:

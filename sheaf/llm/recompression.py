@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.llm.common import fan_out, fresh, mix, ship, text_slices, window_hashes, words, written
+from sheaf.llm.common import Scratch, fan_out, fresh, mix, ship, text_slices, window_hashes, words, written
 from sheaf.llm.exchange import SCHEMA, Exchange, by_owner, groups
 
 _RUN = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -268,6 +268,20 @@ def _remove(batches: Iterator[pa.RecordBatch], window: int, texts: bool) -> Iter
              pa.array([o[1] for o in out]), *[pa.array([o[2] for o in out])] * texts], names=names)
 
 
+def _changed(suspects: DataFrame, window: int, rounds: int, symbols: Exchange, whole: Exchange,
+             texts: bool) -> DataFrame:
+    """The suspects that lose words, as a written table."""
+    repeats = (suspects.select("doc_id", "text", "sigs", F.spark_partition_id().alias("part"))
+               .mapInArrow(lambda it: _suspect_windows(it, window, rounds, symbols, whole), SCHEMA)
+               .groupBy("bin").applyInPandas(lambda g: _repeated(g, whole), "owner long, sigs binary")
+               .groupBy(F.col("owner").alias("doc_id")).agg(F.collect_list("sigs").alias("sigs")))
+    changed = (suspects.select("doc_id", "text", F.col("sha").alias("key")).hint("merge").join(repeats, "doc_id")
+               .select("key", "doc_id", "text", "sigs")
+               .mapInArrow(lambda it: _remove(it, window, texts), "key string, doc_id long, n_removed long, "
+                           "kept_sha256 string" + ", kept_text string" * texts))
+    return written(changed.dropDuplicates(["key"]), "changed")
+
+
 def repeated_words(docs: DataFrame, window: int = 13, rounds: int = 2, id_col: str = "doc_id",
                    text_col: str = "text", texts: bool = False) -> tuple[DataFrame, DataFrame]:
     """(all, changed): doc_id, n_words, n_removed, kept_sha256 of every row; and the same of the
@@ -289,16 +303,8 @@ def repeated_words(docs: DataFrame, window: int = 13, rounds: int = 2, id_col: s
     # Of every class that shares a symbol, the text of its smallest document.
     suspects = (docs.hint("merge").join(wanted, docs["doc_id"] == wanted["first"])
                 .select("doc_id", "text", "sha", "sigs"))
-    suspects = written(suspects, "suspects")
-    repeats = (suspects.select("doc_id", "text", "sigs", F.spark_partition_id().alias("part"))
-               .mapInArrow(lambda it: _suspect_windows(it, window, rounds, symbols, whole), SCHEMA)
-               .groupBy("bin").applyInPandas(lambda g: _repeated(g, whole), "owner long, sigs binary")
-               .groupBy(F.col("owner").alias("doc_id")).agg(F.collect_list("sigs").alias("sigs")))
-    changed = (suspects.select("doc_id", "text", F.col("sha").alias("key")).hint("merge").join(repeats, "doc_id")
-               .select("key", "doc_id", "text", "sigs")
-               .mapInArrow(lambda it: _remove(it, window, texts), "key string, doc_id long, n_removed long, "
-                           "kept_sha256 string" + ", kept_text string" * texts))
-    changed = written(changed.dropDuplicates(["key"]), "changed")
+    with Scratch(spark) as tmp:
+        changed = _changed(tmp.write(suspects, "suspects"), window, rounds, symbols, whole, texts)
     # A copy of an earlier text loses everything; its class may lose words of its first document.
     first = written(classes.select("sha", "first").join(
         changed.select(F.col("key").alias("sha"), "n_removed", "kept_sha256"), "sha", "left"), "classes")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sheaf.llm.common import ship, written
+from sheaf.llm.common import Scratch, ship, written
 
 FANOUT = 16
 RANGE = 1 << 16  # bytes of a leaf range
@@ -137,9 +137,13 @@ def _differing(a: DataFrame, b: DataFrame, keys: list[str], value: str) -> DataF
 
 def audit(first: DataFrame, second: DataFrame) -> DataFrame:
     """Compare two manifests: record_id, file, record_offset, record_length, status of damaged records."""
-    first, second = written(first, "manifest"), written(second, "manifest")
+    with Scratch(first.sparkSession) as tmp:
+        return written(_damage(tmp.write(first, "manifest"), tmp.write(second, "manifest"), tmp), "damage")
+
+
+def _damage(first: DataFrame, second: DataFrame, tmp: Scratch) -> DataFrame:
     levels = _levels(first, second)
-    trees = [written(merkle_tree(m, levels), "merkle") for m in (first, second)]
+    trees = [tmp.write(merkle_tree(m, levels), "merkle") for m in (first, second)]
 
     def at(tree: DataFrame, level: int) -> DataFrame:
         return tree.filter(F.col("level") == level).select("node", "hash")

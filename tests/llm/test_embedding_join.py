@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 
 from sheaf.llm import embedding_join as E
+from sheaf.llm.common import Scratch
 from sheaf.llm.components import connected_components
 
 
@@ -88,7 +89,8 @@ def test_components_of_chains_stars_and_rings(spark):
     links += [(7, 7), (None, 3)]
     rng.shuffle(links[:700])
     df = spark.createDataFrame(links, "a long, b long").repartition(13)
-    got = {r.node: r.root for r in connected_components(df, "a", "b").collect()}
+    tmp = Scratch(spark)
+    got = {r.node: r.root for r in connected_components(df, "a", "b", tmp).collect()}
     want = {i: 0 for i in range(1, 301)} | {i: 1000 for i in range(1001, 1400)} | {5000 + i: 5000 for i in range(1, 50)}
     assert got == want
-    assert connected_components(df.limit(0), "a", "b").collect() == []
+    assert connected_components(df.limit(0), "a", "b", tmp).collect() == []
