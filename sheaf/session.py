@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+_SCRATCH: list[tuple[str, str]] = []  # (application, path) of the tables written so far
+
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str = "sheaf",
                   driver_memory: str = "8g", event_log_dir: str | None = None) -> SparkSession:
@@ -48,7 +50,25 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the checkpoint folder for tables this library writes."""
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/sheaf-{name}-{uuid.uuid4().hex}"
+    path = f"{base}/sheaf-{name}-{uuid.uuid4().hex}"
+    _SCRATCH.append((spark.sparkContext.applicationId, path))
+    return path
+
+
+def clean_scratch(spark: SparkSession) -> int:
+    """Delete the scratch tables of this application; returns how many paths were there.
+
+    Call it when no DataFrame that came out of the library is used any more: results may read such
+    tables.
+    """
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    own = [x for x in _SCRATCH if x[0] == spark.sparkContext.applicationId]
+    n = 0
+    for x in own:
+        at = jvm.org.apache.hadoop.fs.Path(x[1])
+        n += bool(at.getFileSystem(conf).delete(at, True))
+        _SCRATCH.remove(x)
+    return n
 
 
 def materialize(df, name: str):

@@ -72,6 +72,17 @@ def test_tables_are_read_with_their_present_schema(spark):
     assert load(spark, path, "region").columns == ["id", "more"]
 
 
+def test_clean_scratch_removes_what_was_written(spark, monkeypatch):
+    import os
+
+    from sheaf import session
+    monkeypatch.setattr(session, "_SCRATCH", [])  # leave the tables of other tests alone
+    kept = session.materialize(spark.range(3), "gone")
+    folder = kept.inputFiles()[0].replace("file://", "").rsplit("/", 1)[0]
+    assert os.path.isdir(folder) and session.clean_scratch(spark) == 1
+    assert not os.path.exists(folder) and session.clean_scratch(spark) == 0
+
+
 def test_materialize_round_trip(spark):
     from sheaf.session import materialize
     df = spark.createDataFrame([(1, None, 2.5), (2, "x", None)],
