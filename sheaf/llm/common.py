@@ -138,7 +138,7 @@ _INV = pow(_BASE, -1, 1 << 64)
 _POWERS: dict[int, np.ndarray] = {}
 
 
-def _powers(base: int, n: int) -> np.ndarray:
+def powers(base: int, n: int) -> np.ndarray:
     have = _POWERS.get(base)
     if have is None or len(have) < n:
         have = np.full(max(n, 1 << 16), base, np.uint64)
@@ -161,10 +161,10 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         return np.zeros(0, np.uint64)
     run = np.zeros(len(data) + 1, np.uint64)
     np.add(data, np.uint64(1), out=run[1:], casting="unsafe")
-    run[1:] *= _powers(_BASE, len(data))
+    run[1:] *= powers(_BASE, len(data))
     np.cumsum(run, out=run)
     h = run[ends] - run[starts]
-    h *= _powers(_INV, len(data))[starts]
+    h *= powers(_INV, len(data))[starts]
     return mix(h + (ends - starts).astype(np.uint64) * _M1)
 
 

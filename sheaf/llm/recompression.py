@@ -7,9 +7,9 @@ documents get the same symbols in their interior, at every level. Each symbol al
 span of words that its name and borders depend on; a symbol whose context lies inside a window is the same
 in every occurrence of the window.
 
-A window of ``window`` words is represented by the longest symbol, in letters, of any level whose context it
-contains (of several, the one with the least name; long symbols are rare, so few are shared by
-chance). Two equal windows have the same representative, so only documents that share a representative with another text can share a window. They
+A window of ``window`` words is represented by one symbol of any level whose context it contains, together with that
+context: the longest one, in letters and words of context (of several, the one whose context has the least hash), as
+long symbols are rare and few are shared by chance. Two equal windows have the same representative, so only documents that share a representative with another text can share a window. They
 are found by a packed shuffle of (symbol, text class) pairs, and only their windows are then verified:
 the hash of all the window's words, with the smallest document that holds it, by a second packed
 shuffle over those few.
@@ -35,9 +35,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.llm.common import Scratch, fan_out, fresh, mix, ship, text_slices, window_hashes, words, written
+from sheaf.llm.common import Scratch, fan_out, fresh, mix, powers, ship, text_slices, window_hashes, words, written
 from sheaf.llm.exchange import SCHEMA, Exchange, by_owner, groups
 
+_STEP = 0xD6E8FEB86659FD93  # base of the running hash over words, and its inverse modulo 2**64
+_BACK = pow(_STEP, -1, 1 << 64)
+_WORD = 16  # letters that a word of context counts for
 _RUN = np.uint64(0xC2B2AE3D27D4EB4F)
 _PAIR = np.uint64(0x165667B19E3779F9)
 
@@ -124,11 +127,15 @@ def representatives(h: np.ndarray, size: np.ndarray, first: np.ndarray, window:
     doc = np.repeat(np.arange(len(n)), n)
     at = np.arange(len(h))
     total = np.r_[0, np.cumsum(size)]
+    run = np.r_[np.uint64(0), np.cumsum(h * powers(_STEP, len(h)))]
+    back = powers(_BACK, len(h) + 1)
 
     def code(sym: Symbols) -> np.ndarray:
-        """Longest first, then by name: 12 bits and 52."""
-        short = (4095 - np.minimum(total[sym.e] - total[sym.s], 4095)).astype(np.uint64)
-        return short << np.uint64(52) | sym.name >> np.uint64(12)
+        """Rarest first, by letters and words of context, then by the hash of its context: 12 bits and 52."""
+        a, z = np.maximum(sym.cs, 0), np.minimum(sym.ce, len(h))
+        weight = total[sym.e] - total[sym.s] + _WORD * np.minimum(z - a, window // 2 + 1)
+        short = (4095 - np.minimum(weight, 4095)).astype(np.uint64)
+        return short << np.uint64(52) | mix((run[z] - run[a]) * back[a]) >> np.uint64(12)
 
     words_ = sym = Symbols(h, at, at + 1, at, at + 1, doc, first)
     got = np.full(len(starts), ~np.uint64(0))
