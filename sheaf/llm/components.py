@@ -1,8 +1,8 @@
 """Connected components of a link table, as Spark jobs.
 
-Each task first contracts its part of the links to a forest of stars (the components of the part do
-not change), then large-star and small-star rounds run until the links are stars around each
-component's smallest node. Every round is two group-bys with map-side combine and two equi-joins, so
+Tasks of up to a million links first contract their part to a forest of stars (the components of the part do
+not change). If that took several tasks, large-star and small-star rounds run until the links are stars
+around each component's smallest node. Every round is two group-bys with map-side combine and two equi-joins, so
 a node with very many links is pre-aggregated, and each round is written to the shared checkpoint
 folder.
 """
@@ -63,17 +63,20 @@ def _sign(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("node", "root").cast("decimal(38,0)"))).first())
 
 
-def connected_components(links: DataFrame, a: str, b: str, tmp: Scratch) -> DataFrame:
+def connected_components(links: DataFrame, a: str, b: str, tmp: Scratch, per_task: int = 1 << 20) -> DataFrame:
     """(node, root): the smallest node reachable from every node that has a link to another one.
 
-    Nodes without links are not listed. Nulls and self-links are ignored. The result is a table of ``tmp``.
+    Nodes without links are not listed. Nulls and self-links are ignored. ``links`` should be a written
+    table, as it is counted first; the result is a table of ``tmp``.
     """
     spark = links.sparkSession
     ship(spark)
     edges = (links.select(F.col(a).cast("long").alias("node"), F.col(b).cast("long").alias("root"))
-             .filter("node IS NOT NULL AND root IS NOT NULL AND node <> root")
-             .mapInArrow(_contract, "node long, root long"))
-    edges = tmp.write(edges, "links")
+             .filter("node IS NOT NULL AND root IS NOT NULL AND node <> root"))
+    tasks = max(1, -(-edges.count() // per_task))
+    edges = tmp.write(edges.coalesce(tasks).mapInArrow(_contract, "node long, root long"), "links")
+    if tasks == 1:
+        return edges
     sign, done = _sign(edges), Scratch(spark)
     while True:
         both = edges.select("node", "root").union(edges.select(F.col("root"), F.col("node")))

@@ -323,6 +323,11 @@ def _meet(rows: pd.DataFrame, num: int, den: int, every: bool) -> pd.DataFrame:
                     j = far.argmin(1)
                     i = np.flatnonzero(far[np.arange(len(j)), j] < 1 << 20)
                     out.append((key[left][i], key[right][j[i]], far[i, j[i]], np.full(len(i), kind)))
+    if every and out:  # members meet in many lists
+        x, y, far, kind = (np.concatenate(c) for c in zip(*out))
+        order = np.lexsort((y, x))
+        new = order[np.r_[True, (x[order][1:] != x[order][:-1]) | (y[order][1:] != y[order][:-1])][:len(x)]]
+        out = [(x[new], y[new], far[new], kind[new])]
     cols = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 3 + [np.zeros(0, bool)]
     return pd.DataFrame(dict(zip(("a", "b", "apart", "to_main"), cols)))
 
@@ -366,8 +371,8 @@ def _classes_by_component(docs: DataFrame, nodes: DataFrame, shingle: int, num:
 
     def verified(pairs: DataFrame) -> DataFrame:
         """(a, b, linked) from the sets themselves."""
-        both = (pairs.hint("merge").join(items.select(F.col("key").alias("a"), F.col("items").alias("p")), "a")
-                .hint("merge").join(items.select(F.col("key").alias("b"), F.col("items").alias("q")), "b"))
+        both = (pairs.join(items.select(F.col("key").alias("a"), F.col("items").alias("p")), "a")
+                .join(items.select(F.col("key").alias("b"), F.col("items").alias("q")), "b"))
         common = F.size(F.array_intersect("p", "q"))
         union = F.size("p") + F.size("q") - common
         return tmp.write(both.select("a", "b", (common * den >= union * num).alias("linked")), "links")
@@ -386,8 +391,9 @@ def _classes_by_component(docs: DataFrame, nodes: DataFrame, shingle: int, num:
     members = lists.groupBy("list", F.col("key").alias("k")).agg(
         F.max(F.col("key") == F.col("pivot")).alias("is_pivot"))
 
-    def remaining(every: bool) -> DataFrame:
-        """Untried pairs of members of one list in different components that may still link."""
+    def remaining(every: bool, alive: DataFrame | None = None) -> DataFrame:
+        """Untried pairs (a, b, and the left member ``x``) of members of one list in different components
+        that may still link; only for left members among ``alive``, if given."""
         roots = connected_components(tried.filter("linked"), "a", "b", tmp)
         root = listed.select("key", "k").join(roots.select(F.col("node").alias("key"), "root"), "key", "left")
         on = members.join(root.select("k", "key", F.coalesce("root", "key").alias("root")), "k")
@@ -395,12 +401,18 @@ def _classes_by_component(docs: DataFrame, nodes: DataFrame, shingle: int, num:
             F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("size"),
             F.min(F.when(F.col("is_pivot"), F.col("root"))).alias("main")).filter("lo <> hi"))
         mixed = mixed.select("list", "main", F.ceil(F.col("size") / _CHUNK).cast("int").alias("of"))
+        if alive is not None:
+            mixed = mixed.join(on.join(alive, "key").select("list", "root").join(mixed, "list")
+                               .filter("root <> main").select("list").distinct(), "list", "left_semi")
         # Only the lists that still matter get the sketches of their members.
         on = tmp.write(on.join(mixed, "list"), "mixed").join(listed.select("key", "n", *_SKETCH), "key")
         on = on.select("list", "of", "key", "n", "root", (F.col("root") == F.col("main")).alias("is_main"), *_SKETCH,
                        F.pmod(F.xxhash64("key"), F.col("of")).cast("int").alias("c"))
         every_chunk = F.explode(F.sequence(F.lit(0), F.col("of") - 1))
-        left = on.filter("NOT is_main").withColumn("cr", every_chunk).withColumnRenamed("c", "cl").withColumn(
+        starts = on.filter("NOT is_main")
+        if alive is not None:
+            starts = starts.join(alive, "key", "left_semi")
+        left = starts.withColumn("cr", every_chunk).withColumnRenamed("c", "cl").withColumn(
             "side", F.lit(0))
         right = on.withColumn("cl", every_chunk).withColumnRenamed("c", "cr").withColumn("side", F.lit(1))
         meetings = left.unionByName(right).drop("of").withColumn(
@@ -409,17 +421,20 @@ def _classes_by_component(docs: DataFrame, nodes: DataFrame, shingle: int, num:
             lambda g: _meet(g, num, den, every), "a long, b long, apart long, to_main boolean")
         if not every:
             pairs = pairs.groupBy("a", "to_main").agg(F.min(F.struct("apart", "b")).alias("m")).select("a", "m.b")
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        return pairs.join(done, ["a", "b"], "left_anti")
+        return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.col("a").alias("x"))
 
-    # Nearest first, a link or two per member, while that merges components; then whatever is left.
-    for every in (False, False, False, True):
-        more = verified(remaining(every))
+    def untried(pairs: DataFrame) -> DataFrame:
+        done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        return pairs.select("a", "b").distinct().join(done, ["a", "b"], "left_anti")
+
+    # Nearest first, a link or two per member; then whatever is left. A member that had no candidate
+    # in a round has none in a later one, as components only grow.
+    alive = None
+    for every in (False, True):
+        found = tmp.write(remaining(every, alive), "candidates")
+        more = verified(untried(found))
         tried = tried.union(more)
-        if not every and more.filter("linked").isEmpty():
-            tried = tried.union(verified(remaining(True)))
-            break
+        alive = tmp.write(found.select(F.col("x").alias("key")).distinct(), "alive")
     roots = connected_components(tried.filter("linked"), "a", "b", tmp)
     named = classes.select("key", "rep").join(roots.select(F.col("node").alias("key"), "root"), "key", "left")
     named = tmp.write(named.withColumn("root", F.coalesce("root", "key")), "roots")
