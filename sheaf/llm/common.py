@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import zipfile
@@ -36,7 +37,16 @@ def ship(spark: SparkSession) -> None:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet into the shared checkpoint folder and read back (cuts lineage)."""
-    return materialize(df, f"llm-{name}")
+    out = materialize(df, f"llm-{name}")
+    sweep(df.sparkSession)
+    return out
+
+
+def sweep(spark: SparkSession) -> None:
+    """Ask the driver to collect its garbage: only then does Spark delete the shuffle files of steps
+    that are done, and by itself that may be half an hour later."""
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 class Scratch:
@@ -58,6 +68,7 @@ class Scratch:
         path = scratch_path(self.spark, f"llm-{name}")
         self.paths.append(path)
         df.write.parquet(path)
+        sweep(self.spark)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def clear(self) -> None:

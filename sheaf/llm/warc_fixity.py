@@ -28,7 +28,7 @@ from sheaf.llm.common import Scratch, ship, written
 
 FANOUT = 16
 RANGE = 1 << 16  # bytes of a leaf range
-SPAN = RANGE * FANOUT ** 4  # address space of one file (4 GiB)
+SPAN = RANGE * FANOUT ** 2  # address space of one file (16 MiB); a longer one runs into the next one's
 
 
 def record_bytes(url: Column, payload: Column) -> Column:
@@ -106,18 +106,18 @@ def _parent() -> Column:
     return F.shiftright("node", FANOUT.bit_length() - 1)
 
 
-def merkle_tree(layout: DataFrame, levels: int) -> DataFrame:
-    """(level, node, hash): leaf ranges are level 0; ``FANOUT`` neighbours share a parent."""
+def merkle_tree(layout: DataFrame, levels: int, tmp: Scratch) -> list[DataFrame]:
+    """The (node, hash) table of every level: leaf ranges first; ``FANOUT`` neighbours share a parent."""
     def digest(items: Column) -> Column:
         return F.sha2(F.to_json(F.array_sort(F.collect_list(items))), 256).alias("hash")
 
     level = (layout.withColumn("node", _leaf()).groupBy("node")
              .agg(digest(F.struct("file", "offset", "length", "digest"))))
-    tree = level.select(F.lit(0).alias("level"), "node", "hash")
-    for k in range(1, levels):
-        level = (level.groupBy(_parent().alias("up"))
+    tree = [tmp.write(level, "merkle")]
+    for _ in range(1, levels):
+        level = (tree[-1].groupBy(_parent().alias("up"))
                  .agg(digest(F.struct("node", "hash"))).withColumnRenamed("up", "node"))
-        tree = tree.union(level.select(F.lit(k).alias("level"), "node", "hash"))
+        tree.append(tmp.write(level, "merkle"))
     return tree
 
 
@@ -143,17 +143,13 @@ def audit(first: DataFrame, second: DataFrame) -> DataFrame:
 
 def _damage(first: DataFrame, second: DataFrame, tmp: Scratch) -> DataFrame:
     levels = _levels(first, second)
-    trees = [tmp.write(merkle_tree(m, levels), "merkle") for m in (first, second)]
-
-    def at(tree: DataFrame, level: int) -> DataFrame:
-        return tree.filter(F.col("level") == level).select("node", "hash")
-
-    bad = _differing(at(trees[0], levels - 1), at(trees[1], levels - 1), ["node"], "hash").select("node")
+    trees = [merkle_tree(m, levels, tmp) for m in (first, second)]
+    bad = tmp.write(_differing(trees[0][-1], trees[1][-1], ["node"], "hash").select("node"), "roots")
     for level in range(levels - 2, -1, -1):
         up = bad.withColumnRenamed("node", "up")
-        below = [at(t, level).withColumn("up", _parent())
+        below = [t[level].withColumn("up", _parent())
                  .join(up, "up", "left_semi").select("node", "hash") for t in trees]
-        bad = _differing(*below, ["node"], "hash").select("node")
+        bad = tmp.write(_differing(*below, ["node"], "hash").select("node"), "branches")
     here = [m.withColumn("node", _leaf()).join(bad, "node", "left_semi").drop("node") for m in (first, second)]
     damaged = _differing(*here, ["record_id", "file", "offset", "length"], "digest")
     status = (F.when(F.col("_b").isNull(), "missing").when(F.col("_a").isNull(), "extra").otherwise("changed"))

@@ -1,6 +1,7 @@
 import os
 
 from sheaf.llm import warc_fixity as W
+from sheaf.llm.common import Scratch
 from sheaf.session import scratch_path
 
 
@@ -29,9 +30,19 @@ def test_descends_only_below_differing_nodes(spark):
     other = m.selectExpr("record_id", "file", "length", "CASE WHEN record_id = 100 THEN 'bad' ELSE digest END AS digest",
                          "offset")
     levels = W._levels(m, other)
-    a, b = (W.merkle_tree(x, levels) for x in (m, other))
-    bad = W._differing(a, b, ["level", "node"], "hash").collect()
-    assert sorted(r.level for r in bad) == list(range(levels))  # one node on every level, up to the root
+    tmp = Scratch(spark)
+    trees = [W.merkle_tree(x, levels, tmp) for x in (m, other)]
+    assert levels > 1 and trees[0][-1].count() == 1
+    for a, b in zip(*trees):  # one node on every level, up to the root
+        assert W._differing(a, b, ["node"], "hash").count() == 1
+
+
+def test_files_longer_than_their_address_space(spark, monkeypatch):
+    monkeypatch.setattr(W, "SPAN", W.RANGE)
+    df = spark.range(40).selectExpr("id AS page_id", "'u' AS url", "repeat(cast(id AS string), 50000) AS html")
+    m = W.manifest(W.warc_records(df, per_file=10))
+    lost = m.filter("record_id NOT IN (3, 39)")
+    assert {(r.record_id, r.status) for r in W.audit(m, lost).collect()} == {(3, "missing"), (39, "missing")}
 
 
 def test_odd_pages(spark):
