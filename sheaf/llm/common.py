@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import gc
 import os
 import tempfile
@@ -37,16 +38,23 @@ def ship(spark: SparkSession) -> None:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet into the shared checkpoint folder and read back (cuts lineage)."""
-    out = materialize(df, f"llm-{name}")
-    sweep(df.sparkSession)
-    return out
-
-
-def sweep(spark: SparkSession) -> None:
-    """Ask the driver to collect its garbage: only then does Spark delete the shuffle files of steps
-    that are done, and by itself that may be half an hour later."""
+    with _shuffles_let_go(df.sparkSession):
+        return materialize(df, f"llm-{name}")
+
+
+@contextlib.contextmanager
+def _shuffles_let_go(spark: SparkSession) -> Iterator[None]:
+    """Have Spark delete a write's shuffle files when it ends, not when the driver happens to collect its
+    garbage (which may be half an hour later)."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
     gc.collect()
-    spark._jvm.System.gc()
+    spark._jvm.System.gc()  # broadcasts and plans that are done
 
 
 class Scratch:
@@ -67,8 +75,8 @@ class Scratch:
     def write(self, df: DataFrame, name: str) -> DataFrame:
         path = scratch_path(self.spark, f"llm-{name}")
         self.paths.append(path)
-        df.write.parquet(path)
-        sweep(self.spark)
+        with _shuffles_let_go(self.spark):
+            df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def clear(self) -> None:
