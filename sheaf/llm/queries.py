@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sheaf.llm import (embedding_join, exact_dedup, html_blocks, katz, language_id, ngram_join, packing, pretokenize, recompression,
-                       warc_fixity)
+from sheaf.llm import (embedding_join, exact_dedup, html_blocks, katz, language_id, ngram_join, packing,
+                       pretokenize, recompression, warc_fixity)
 from sheaf.sources.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
