@@ -171,6 +171,8 @@ def blocks(page: str) -> list[Block]:
             close(max(i for i, s in enumerate(stack) if s[0] == "a"))
         if tag in ("body", "article", "main") and hidden and any(t == "head" for t, _, _ in stack):
             close(min(i for i, s in enumerate(stack) if s[0] == "head"))
+        if tag == "svg" and m[3].rstrip().endswith("/"):  # foreign content: an empty element
+            continue
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, pos)
             pos = end.end() if end else n

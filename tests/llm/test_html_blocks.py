@@ -32,6 +32,10 @@ CASES = [
      "ac\nd"),
     ("<article><p>a<p><b>b<p>c</article><p>after", "a\nb\nc"),
     ("<article><p>cut &am", "cut &am"), ("<article><p>x < y & z &lt; &#65;&#x42; &nosuch;</p>", "x < y & z < AB &nosuch;"),
+    # a self-closed svg is an empty element; a script cannot be self-closed
+    ('<article><p>One<svg class="icon" width="1"/> two</p><svg/><p>three</p><svg viewBox="0 0 1 1"><text>x</text></svg>'
+     '<p>four<SVG id="a" /></article>', "One two\nthree\nfour"),
+    ("<article><p>One</p><script src=x /><p>var</p></script><p>two</article>", "One\ntwo"),
     ("<article><ul><li>one<li>two</ul><table><tr><td>a<td>b</table></article>", "one\ntwo\na\nb"),
 ]
 
