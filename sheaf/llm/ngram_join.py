@@ -332,6 +332,18 @@ def _meet(rows: pd.DataFrame, num: int, den: int, every: bool) -> pd.DataFrame:
     return pd.DataFrame(dict(zip(("a", "b", "apart", "to_main"), cols)))
 
 
+def _mixed(on: DataFrame) -> DataFrame:
+    """(list, size, main) of the lists with members (list, k, key, root, is_pivot) of several components.
+
+    The main component is that of the smallest pivot (by ``k``, the key that the star of a list was built
+    around), whatever its root, so members that are in it stay in it as components grow.
+    """
+    return (on.groupBy("list").agg(
+        F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("size"),
+        F.min_by("root", F.when(F.col("is_pivot"), F.struct("k", "key"))).alias("main"))
+        .filter("lo <> hi").drop("lo", "hi"))
+
+
 def ngram_components(docs: DataFrame, shingle: int = 3, num: int = 90, den: int = 100,
                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id."""
@@ -397,10 +409,7 @@ def _classes_by_component(docs: DataFrame, nodes: DataFrame, shingle: int, num:
         roots = connected_components(tried.filter("linked"), "a", "b", tmp)
         root = listed.select("key", "k").join(roots.select(F.col("node").alias("key"), "root"), "key", "left")
         on = members.join(root.select("k", "key", F.coalesce("root", "key").alias("root")), "k")
-        mixed = (on.groupBy("list").agg(
-            F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("size"),
-            F.min(F.when(F.col("is_pivot"), F.col("root"))).alias("main")).filter("lo <> hi"))
-        mixed = mixed.select("list", "main", F.ceil(F.col("size") / _CHUNK).cast("int").alias("of"))
+        mixed = _mixed(on).select("list", "main", F.ceil(F.col("size") / _CHUNK).cast("int").alias("of"))
         if alive is not None:
             mixed = mixed.join(on.join(alive, "key").select("list", "root").join(mixed, "list")
                                .filter("root <> main").select("list").distinct(), "list", "left_semi")

@@ -94,6 +94,37 @@ def test_near_copies_around_one_text(make):
     assert {tuple(x) for x in J.ngram_components(make(rows)).collect()} == brute(rows, 3, 90, 100)
 
 
+def bridged(seed, n=40, vocabulary=14):
+    """Copies of copies, so that groups are linked over few bridges."""
+    r = random.Random(seed)
+    base = r.sample(range(vocabulary), 8)
+    texts = []
+    for _ in range(n):
+        w = set(base) if not texts or r.random() < 0.2 else set(r.choice(texts))
+        for _ in range(r.randint(1, 3)):
+            if r.random() < 0.5 and len(w) > 2:
+                w.remove(r.choice(sorted(w)))
+            else:
+                w.add(r.randrange(vocabulary))
+        texts.append(sorted(w))
+    return [(i, " ".join(f"w{x}" for x in w)) for i, w in enumerate(texts)]
+
+
+def test_bridged_groups_over_many_partitions(spark):
+    rows = bridged(744)
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(rows, 20), "doc_id long, text string")
+    got = {tuple(r) for r in J.ngram_components(docs, 1, 60, 100).collect()}
+    assert got == brute(rows, 1, 60, 100)
+
+
+def test_main_component_stays_as_components_grow(spark):
+    """Pivots 5 and 7; when 7 joins a component with a smaller root, that of 5 is still the main one."""
+    for root, of_five in (({5: 5, 6: 5, 7: 7, 8: 7}, 5), ({5: 5, 6: 5, 7: 2, 8: 2}, 5), ({5: 1, 6: 1, 7: 0, 8: 0}, 1)):
+        rows = [(1, k, k, r, k in (5, 7)) for k, r in root.items()] + [(2, 5, 5, 5, True), (2, 6, 6, 5, False)]
+        on = spark.createDataFrame(rows, "list long, k long, key long, root long, is_pivot boolean")
+        assert [(r["list"], r["size"], r["main"]) for r in J._mixed(on).collect()] == [(1, 4, of_five)]
+
+
 @pytest.mark.parametrize("num,den", [(90, 100), (80, 100), (1, 2)])
 def test_linked_sets_share_a_signature(num, den):
     """Pairs right at the threshold, of all sizes, on both sides of the boundary."""
