@@ -16,14 +16,10 @@ from sheaf.llm import exact_dedup, language_id, ngram_join, packing, recompressi
 from sheaf.llm.common import written
 from sheaf.sources.tables import load
 
-#: Texts nearer to no language profile than this go (unlike any language of the corpus); texts in a
-#: language of the corpus score 0.35 and more.
-MIN_SCORE = 0.1
-
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents whose language is unknown."""
-    return language_id.drop_unidentified(docs, min_score=MIN_SCORE)
+    """Without the documents that no language can be told of: those without a letter."""
+    return language_id.drop_unidentified(docs)
 
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -177,8 +177,13 @@ def language_id(docs: DataFrame, size: int = 300, id_col: str = "doc_id", text_c
 
 
 def drop_unidentified(docs: DataFrame, size: int = 300, min_score: float = 0.0) -> DataFrame:
-    """``docs`` without the rows whose language is unknown (or whose score is under ``min_score``)."""
+    """``docs`` without the rows whose language is unknown (or whose score is under ``min_score``).
+
+    If no language could be learned, nothing tells texts apart: all with a letter stay.
+    """
     profiles = train_profiles(docs.filter(~held_out()), size)
+    if not profiles:
+        profiles, min_score = {"": []}, 0.0
     lang, score = fresh("lang_pred", docs.columns), fresh("score", docs.columns)
     out = predict(docs, profiles, size, names=(lang, score))
     return out.filter((F.col(lang) != UNKNOWN) & (F.col(score) >= min_score)).select(

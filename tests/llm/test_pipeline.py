@@ -54,6 +54,19 @@ def test_all_but_the_last_return_the_columns_of_documents(spark, make, odd_rows)
         stage(spark, make([]), SF).collect()
 
 
+def test_language_stage_keeps_short_texts_and_those_of_rare_letters(make):
+    plain = [(i, "the old bridge over the river and the new road to the town") for i in range(20)]
+    short = [(90, "\u0416 12", None), (91, "\u6f22\u5b57", None), (92, "x", None)]
+    rows = [*plain, *short, (93, "12 - 34"), (94, ""), (95, None)]
+    got = {r.doc_id for r in C.identify_language(None, make(rows), SF).collect()}
+    assert got == {i for i, *_ in plain + short}
+
+
+def test_language_stage_without_a_language_to_learn(make):
+    rows = [(i, t, None) for i, t in enumerate(["some text", "12", "\u6f22\u5b57", "", None])]
+    assert {r.doc_id for r in C.identify_language(None, make(rows), SF).collect()} == {0, 2}
+
+
 def test_run(spark, stages):
     got = C.run(spark, SF).collect()
     assert sorted((p.doc_id, p.start, p.ids_crc32) for p in got if p.start == 0) == sorted(
