@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sheaf.llm import (embedding_join, exact_dedup, html_blocks, katz, language_id, ngram_join, packing,
-                       pretokenize, recompression, warc_fixity)
+from sheaf.llm import (embedding_join, exact_dedup, html_blocks, katz, language_id, line_dedup, ngram_join, packing,
+                       postorder_manifest, pretokenize, recompression, token_alignment, warc_fixity)
 from sheaf.sources.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +76,20 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_embedding_near_dups")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_join.embedding_near_dups(load(spark, sf_dir, "embeddings"))
+
+
+@query("op11_line_dedup", line_dedup.SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_dedup(load(spark, sf_dir, "documents"))
+
+
+@query("op12_token_alignment")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align(load(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                 public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op13_merkle_manifest", postorder_manifest.SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    return postorder_manifest.proofs(docs, postorder_manifest.tampered(docs))
