@@ -5,15 +5,16 @@ itself). Both cut the same bytes; where tokens of both end, the text is cut into
 bytes overlap. Between two neighbouring ends (of either) lies exactly one link, so the union of the ends enumerates
 the links.
 
-Nearly all groups are one token against one. ``identity`` maps an A id to the B id with the same bytes;
+Most groups are one token against one. ``identity`` maps an A id to the B id with the same bytes;
 groups that hold just such a pair are counted in a vector as long as A's vocabulary, one per task. Only links of
-other groups enter the pair shuffle, summed per slice of documents (about a million bytes) before.
+other groups enter the pair shuffle, summed per slice of documents before.
 
-The totals come back the same way: totals of the identity pairs and the highest count of each B id
-are vectors of vocabulary length, which are broadcast (the vocabularies bound them); the counts of the other pairs
-are joined by pair with the slices that hold them, each pair once per slice, and packed to one row per slice. A pair in
-every slice has as many rows as there are slices, so no key is hot. Slices are written once, so a lost task reads
-the same slices again.
+Texts are encoded once. A slice (about a quarter of a million characters) is written as one row: per document its
+numbers, the A ids of its identity links, and its other links as places in the slice's list of pairs. The totals come
+back the same way: those of the identity pairs and the highest count of each B id are vectors of vocabulary length,
+which go to every task (the vocabularies bound them); the counts of the other pairs are joined by pair with
+the slices that hold them, each pair once per slice, and packed to one row per slice. A pair in every slice has as
+many rows as there are slices, so no key is hot, and neither texts nor tokens are shuffled.
 
 Defined results: null and empty texts, and texts whose joined A or B bytes are not a space and the text, have no
 tokens (zeros, an empty ``groups_sha256``); ids are passed on, repeated or null; an empty table has no rows; special
@@ -32,15 +33,15 @@ import pandas as pd
 import pyarrow as pa
 import sentencepiece
 import tiktoken
-from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sheaf.llm.common import Scratch, ship, written
+from sheaf.llm.exchange import narrow, widen
 from sheaf.llm.packing import _byte_letters, encoder
 
 _PAIR = 1 << 20  # a pair is a * _PAIR + b
-_SLICE = 1 << 20  # bytes of text in a slice (one document at least)
+_SLICE = 1 << 18  # characters of a slice (one document at least)
 
 
 class Vocabularies:
@@ -72,16 +73,19 @@ class Vocabularies:
             return bytes([int(piece[3:5], 16)])
         return piece.replace("▁", " ").encode()
 
-    def encode(self, text: str) -> tuple[list[int], list[int]]:
+    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Ids of both, none if either does not hold the bytes of a space and the text."""
+        none = np.zeros(0, np.int64)
         if not text:
-            return [], []
+            return none, none
         raw = b" " + text.encode()
-        a = self.a.encode_ordinary(" " + text)
         b = self.b.encode(text, num_threads=1)
-        if b"".join(map(self.a_bytes.__getitem__, a)) != raw or b"".join(map(self.b_bytes.__getitem__, b)) != raw:
-            return [], []
-        return a, b
+        if b"".join(map(self.b_bytes.__getitem__, b)) != raw:
+            return none, none
+        a = self.a.encode_ordinary(" " + text)
+        if b"".join(map(self.a_bytes.__getitem__, a)) != raw:
+            return none, none
+        return np.array(a, np.int64), np.array(b, np.int64)
 
 
 @lru_cache(maxsize=4)
@@ -130,99 +134,119 @@ class Links:
         return "".join(map(v.written.__getitem__, (4 * ids + end).tolist()))
 
 
-_TOKENS = "slice long, doc_id array<long>, n_a array<long>, n_b array<long>, a binary, b binary"
+_PER_DOC = ["doc_id", "n_a", "n_b", "n_groups", "n_same", "n_other"]
+_SLICES = ("slice long, " + ", ".join(f"{c} array<long>" for c in _PER_DOC)
+           + ", groups_sha256 array<string>, groups array<string>, same binary, other binary, pairs binary, counts binary")
+
+
+def _flat(parts: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.int64), *parts])
 
 
-def _encode(batches: Iterator[pa.RecordBatch], a_path: str, b_path: str) -> Iterator[pa.RecordBatch]:
+def _align(batches: Iterator[pa.RecordBatch], a_path: str, b_path: str, with_groups: bool) -> Iterator[pa.RecordBatch]:
+    """One row per slice: its documents' numbers and links."""
     v = vocabularies(a_path, b_path)
-    names = [c.split()[0] for c in _TOKENS.split(", ")]
-    ids: list = []
-    held: list[tuple[list[int], list[int]]] = []
+    names = [c.split()[0] for c in _SLICES.split(", ")]
+    docs: list[tuple] = []
+    same: list[np.ndarray] = []
+    other: list[np.ndarray] = []
     part = count = size = 0
 
     def flush() -> pa.RecordBatch:
-        flat = [np.array([i for one in held for i in one[k]], "<u4").tobytes() for k in (0, 1)]
+        pairs, place, n = np.unique(_flat(other), return_inverse=True, return_counts=True)
+        cols = [list(c) for c in zip(*docs)]
         return pa.RecordBatch.from_arrays(
-            [pa.array([(part << 32) + count], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
-             *[pa.array([[len(one[k]) for one in held]], pa.list_(pa.int64())) for k in (0, 1)],
-             *[pa.array([raw], pa.binary()) for raw in flat]], names=names)
+            [pa.array([(part << 32) + count], pa.int64()), *[pa.array([c], pa.list_(pa.int64())) for c in cols[:6]],
+             *[pa.array([c], pa.list_(pa.string())) for c in cols[6:]],
+             *[pa.array([narrow(x)], pa.binary()) for x in (_flat(same), place, pairs, n)]], names=names)
 
     for batch in batches:
         for p, doc, text in zip(batch.column(0), batch.column(1), batch.column(2)):
             part, text = p.as_py(), text.as_py() or ""
-            ids.append(doc.as_py())
-            held.append(v.encode(text))
+            a, b = v.encode(text)
+            if len(a):
+                links = Links(a, b, v)
+                groups = links.group_text(a, b, v)
+                same.append(links.identical)
+                other.append(links.pairs)
+                docs.append((doc.as_py(), len(a), len(b), links.n_groups, len(same[-1]), len(other[-1]),
+                             hashlib.sha256(groups.encode()).hexdigest(), groups if with_groups else None))
+            else:
+                docs.append((doc.as_py(), 0, 0, 0, 0, 0, "", "" if with_groups else None))
             size += len(text)
             if size >= _SLICE:
                 yield flush()
-                ids, held, size, count = [], [], 0, count + 1
-    if held:
+                docs, same, other, size, count = [], [], [], 0, count + 1
+    if docs:
         yield flush()
 
 
-def _documents(row: dict, v: Vocabularies) -> Iterator[tuple]:
-    """(id, a, b, links) of the documents of a slice; links are None without tokens."""
-    a, b = np.frombuffer(row["a"], "<u4").astype(np.int64), np.frombuffer(row["b"], "<u4").astype(np.int64)
-    at = bt = 0
-    for doc, n, m in zip(row["doc_id"], row["n_a"], row["n_b"]):
-        own_a, own_b = a[at:at + n], b[bt:bt + m]
-        at, bt = at + n, bt + m
-        yield doc, own_a, own_b, Links(own_a, own_b, v) if n else None
-
-
-def _count(batches: Iterator[pa.RecordBatch], a_path: str, b_path: str) -> Iterator[pa.RecordBatch]:
+def _count(batches: Iterator[pa.RecordBatch], identity: np.ndarray) -> Iterator[pa.RecordBatch]:
     """(slice, pair, n): the irregular links of each slice, and a task's identity links under slice -1."""
-    v = vocabularies(a_path, b_path)
-    vector = np.zeros(len(v.a_bytes), np.int64)
+    vector = np.zeros(len(identity), np.int64)
 
     def rows(slice_: int, pair: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(np.full(len(pair), slice_, np.int64)), pa.array(pair), pa.array(n)],
                                           names=["slice", "pair", "n"])
 
     for batch in batches:
-        for row in batch.to_pylist():
-            found = [links for *_, links in _documents(row, v) if links is not None]
-            if found:
-                vector += np.bincount(np.concatenate([x.identical for x in found]), minlength=len(vector))
-                pair, n = np.unique(np.concatenate([x.pairs for x in found]), return_counts=True)
-                yield rows(row["slice"], pair, n)
+        for slice_, same, pairs, counts in zip(*(batch.column(i) for i in range(4))):
+            vector += np.bincount(widen(same.as_py()), minlength=len(vector))
+            yield rows(slice_.as_py(), widen(pairs.as_py()), widen(counts.as_py()))
     a = np.flatnonzero(vector)
-    yield rows(-1, a * _PAIR + v.identity[a], vector[a])
+    yield rows(-1, a * _PAIR + identity[a], vector[a])
 
 
-def _pack(rows: pd.DataFrame) -> pd.DataFrame:
-    """The corpus counts of one slice's irregular pairs, in order of the pair."""
+def _pack(rows: pd.DataFrame, best: np.ndarray) -> pd.DataFrame:
+    """Of one slice's pairs, in their order: the corpus counts, and which are the highest of their B id."""
     rows = rows.sort_values("pair")
-    return pd.DataFrame({"slice": [rows["slice"].iloc[0]], "pairs": [rows["pair"].to_numpy("<i8").tobytes()],
-                         "counts": [rows["total"].to_numpy("<i8").tobytes()]})
+    total = rows["total"].to_numpy(np.int64)
+    top = total == best[rows["pair"].to_numpy(np.int64) % _PAIR]
+    return pd.DataFrame({"of": [rows["slice"].iloc[0]], "totals": [narrow(total)], "tops": [np.packbits(top).tobytes()]})
+
+
+def _sums(values: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Sums of consecutive runs of ``n`` values."""
+    run, end = np.r_[0, np.cumsum(values)], np.cumsum(n)
+    return run[end] - run[end - n]
+
+
+def _identical(batches: Iterator[pa.RecordBatch], totals: np.ndarray, top: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Slices with count_sum and n_best of the identity links in their place."""
+    kind = pa.list_(pa.int64())
+    for batch in batches:
+        at, by = batch.schema.get_field_index("same"), batch.schema.get_field_index("n_same")
+        count, best = [], []
+        for n, raw in zip(batch.column(by), batch.column(at)):
+            n, same = np.array(n.as_py(), np.int64), widen(raw.as_py())
+            count.append(_sums(totals[same], n).tolist())
+            best.append(_sums(top[same].astype(np.int64), n).tolist())
+        batch = batch.drop_columns(["same", "n_same"])
+        yield batch.append_column("count_sum", pa.array(count, kind)).append_column("n_best", pa.array(best, kind))
 
 
 _OUT = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, "
-        "groups_sha256 string")
+        "groups_sha256 string, groups string")
 
 
-def _score(batches: Iterator[pa.RecordBatch], a_path: str, b_path: str, same: Broadcast, best: Broadcast,
-           with_text: bool) -> Iterator[pa.RecordBatch]:
-    v = vocabularies(a_path, b_path)
-    same_n, best_n = same.value, best.value
-    kinds = [pa.int64()] * 7 + [pa.string()] * (2 if with_text else 1)
-    names = [c.split()[0] for c in _OUT.split(", ")] + ["groups"] * with_text
+def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The documents of slices that have met the counts of their other pairs."""
+    names = [c.split()[0] for c in _OUT.split(", ")]
     for batch in batches:
-        for row in batch.to_pylist():
-            pairs = np.frombuffer(row["pairs"] or b"", "<i8")
-            counts = np.frombuffer(row["counts"] or b"", "<i8")
-            out = []
-            for doc, a, b, links in _documents(row, v):
-                if links is None:
-                    out.append((doc, 0, 0, 0, 0, 0, 0, "", ""))
-                    continue
-                n = np.concatenate([same_n[links.identical], counts[np.searchsorted(pairs, links.pairs)]])
-                of = np.concatenate([v.identity[links.identical], links.pairs % _PAIR])
-                text = links.group_text(a, b, v)
-                out.append((doc, len(a), len(b), links.n_groups, len(n), int((n == best_n[of]).sum()), int(n.sum()),
-                            hashlib.sha256(text.encode()).hexdigest(), text))
-            cols = list(zip(*out))[:len(kinds)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
+        for i in range(batch.num_rows):
+            row = {k: v[0] for k, v in batch.slice(i, 1).to_pydict().items()}
+            col = {k: np.array(row[k], np.int64) for k in ("n_a", "n_b", "n_groups", "n_other", "count_sum", "n_best")}
+            place = widen(row["other"])
+            links = np.maximum(col["n_a"] + col["n_b"] - col["n_groups"], 0)
+            if len(place):
+                totals = widen(row["totals"])
+                top = np.unpackbits(np.frombuffer(row["tops"], np.uint8), count=len(totals)).astype(np.int64)
+                col["count_sum"] += _sums(totals[place], col["n_other"])
+                col["n_best"] += _sums(top[place], col["n_other"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(row["doc_id"], pa.int64()), *[pa.array(x) for x in (
+                    col["n_a"], col["n_b"], col["n_groups"], links, col["n_best"], col["count_sum"])],
+                 pa.array(row["groups_sha256"], pa.string()), pa.array(row["groups"], pa.string())], names=names)
 
 
 def pair_counts(partial: DataFrame) -> DataFrame:
@@ -238,25 +262,29 @@ def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", tex
     spark = docs.sparkSession
     ship(spark)
     v = vocabularies(a_path, b_path)
+    identity = v.identity
     rows = docs.select(F.spark_partition_id().alias("part"), F.col(id_col).cast("long").alias("doc_id"),
                        F.col(text_col).alias("text"))
-    tokens = written(rows.mapInArrow(lambda it: _encode(it, a_path, b_path), _TOKENS), "tokens")
+    slices = written(rows.mapInArrow(lambda it: _align(it, a_path, b_path, with_groups), _SLICES), "slices")
     with Scratch(spark) as tmp:
-        partial = tmp.write(tokens.mapInArrow(lambda it: _count(it, a_path, b_path), "slice long, pair long, n long"),
-                            "pairs")
+        partial = tmp.write(slices.select("slice", "same", "pairs", "counts").mapInArrow(
+            lambda it: _count(it, identity), "slice long, pair long, n long"), "pairs")
         totals = tmp.write(pair_counts(partial), "totals")
         best = np.zeros(len(v.b_bytes), np.int64)  # of vocabulary length, as the next one
         for r in totals.groupBy("b").agg(F.max("total").alias("n")).toLocalIterator():
             best[r["b"]] = r["n"]
-        known = spark.createDataFrame([(int(a) * _PAIR + int(b),) for a, b in enumerate(v.identity) if b >= 0],
+        known = spark.createDataFrame([(int(a) * _PAIR + int(b),) for a, b in enumerate(identity) if b >= 0],
                                       "pair long")
         same = np.zeros(len(v.a_bytes), np.int64)
         for r in totals.join(F.broadcast(known), "pair", "left_semi").select("a", "total").toLocalIterator():
             same[r["a"]] = r["total"]
+        top = same == best[identity]
         looked = written(partial.filter("slice >= 0").join(totals.select("pair", "total"), "pair").groupBy("slice")
-                         .applyInPandas(_pack, "slice long, pairs binary, counts binary"), "slice-counts")
-    sc = spark.sparkContext
-    same_b, best_b = sc.broadcast(same), sc.broadcast(best)
-    schema = _OUT + (", groups string" if with_groups else "")
-    return tokens.join(looked, "slice", "left").mapInArrow(
-        lambda it: _score(it, a_path, b_path, same_b, best_b, with_groups), schema)
+                         .applyInPandas(lambda g: _pack(g, best), "of long, totals binary, tops binary"), "slice-counts")
+    names = ["slice", *_PER_DOC, "groups_sha256", "groups", "other"]
+    kinds = dict(c.split() for c in _SLICES.split(", "))
+    out = [c for c in names if c != "n_same"]
+    schema = ", ".join(f"{c} {kinds[c]}" for c in out) + ", count_sum array<long>, n_best array<long>"
+    half = slices.select(*names, "same").mapInArrow(lambda it: _identical(it, same, top), schema)
+    done = half.join(looked, F.col("slice") == F.col("of"), "left").drop("of").mapInArrow(_finish, _OUT)
+    return done if with_groups else done.drop("groups")

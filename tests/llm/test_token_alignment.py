@@ -118,7 +118,7 @@ def test_slices_are_bounded(spark, monkeypatch, tools):
     monkeypatch.setattr(T, "_SLICE", 40)  # on the driver; the workers keep theirs
     rows = [(i, f"piece {i} of the larger text with unusual wörds {i * 7919}") for i in range(30)]
     df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
-    slices = list(T._encode(iter(df.selectExpr("0 AS part", "*").toArrow().to_batches()), A, B))
+    slices = list(T._align(iter(df.selectExpr("0 AS part", "*").toArrow().to_batches()), A, B, False))
     assert len(slices) >= 30
     assert run(df) == brute(rows, tools)
 
