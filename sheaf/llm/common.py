@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheaf.session import materialize, scratch_path
@@ -95,11 +95,17 @@ def fresh(name: str, taken: list[str]) -> str:
     return name
 
 
-def without(docs: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose id is in the one column of ``ids``; a null id stays."""
-    gone = fresh("gone", docs.columns)
-    ids = ids.toDF(gone).filter(F.col(gone).isNotNull())
-    return docs.hint("merge").join(ids, F.col(f"`{id_col}`") == F.col(gone), "left_anti")
+def text_mark(column: str) -> Column:
+    """What tells the texts of rows with one id apart: the SHA-256 of the text, null counting as empty."""
+    return F.sha2(F.coalesce(F.col(column), F.lit("")), 256)
+
+
+def without(docs: DataFrame, id_col: str, text_col: str, rows: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose id and ``text_mark`` are the two columns of ``rows``; a null id stays."""
+    gone, mark = fresh("gone", docs.columns), fresh("mark", docs.columns)
+    rows = rows.toDF(gone, mark).filter(F.col(gone).isNotNull())
+    same = (F.col(f"`{id_col}`") == F.col(gone)) & (text_mark(f"`{text_col}`") == F.col(mark))
+    return docs.hint("merge").join(rows, same, "left_anti")
 
 
 def fan_out(spark: SparkSession, per_partition: int = 4) -> int:

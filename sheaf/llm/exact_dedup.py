@@ -104,9 +104,11 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that ``exact_dedup`` does not keep, all columns as they were."""
-    gone = exact_dedup(docs, id_col, text_col).filter(~F.col("kept")).select("doc_id")
-    return without(docs, id_col, gone)
+    """``docs`` without the rows that ``exact_dedup`` does not keep, all columns as they were.
+
+    A row goes by its id and text: another text with the same id stays."""
+    gone = exact_dedup(docs, id_col, text_col).filter(~F.col("kept")).select("doc_id", "text_sha256")
+    return without(docs, id_col, text_col, gone)
 
 
 SQL = """

@@ -24,10 +24,12 @@ Signatures travel packed (about 10 bytes each) to hash bins, one entry per task
 proposes links between its pivots (the smallest key of a task, and of all tasks) and the others, never
 all pairs; candidates pass a size test and a 512-bit parity sketch (its Hamming
 distance is a lower bound of the symmetric difference) before the sets themselves are compared
-exactly. Members that are not in the pivot's component after that are matched, in chunks of bounded
-size, against the nearest member of that component and the nearest of any other, as long as this merges
-components, and last against all that may still link, so no link that would join two components is
-left out, and groups of copies cost links in proportion to their size.
+exactly. Lists whose members are then still in several components are put together by their pivot, so that
+two sets meet once for all their lists with that pivot. They meet in chunks of bounded size, twice: by wide sketches
+(bits in proportion to the difference allowed), which names the sets that have a possible partner in another component,
+and these with the sets themselves, compared exactly and united at once, so a meeting returns a forest of
+links, fewer than its members. No link that would join two components is left out, and
+groups of copies cost rows in proportion to their size.
 
 Defined results: a null, empty or blank text has no shingles, links with nothing and is its own component;
 a text with fewer words than a shingle is one shingle; rows that repeat an id share a component; rows
@@ -47,8 +49,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.llm.common import (Scratch, fan_out, mix, ship, signed, text_slices, window_hashes, without, words,
-                              written)
+from sheaf.llm.common import (Scratch, fan_out, mix, ship, signed, text_mark, text_slices, window_hashes,
+                              without, words, written)
 from sheaf.llm.components import connected_components
 from sheaf.llm.exchange import SCHEMA, Exchange, groups
 
@@ -193,13 +195,14 @@ _SKETCH = [f"s{i}" for i in range(8)]
 
 
 def _nodes(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """Sets named by a key; columns after id and text (a mark of the text) are passed on."""
     for rows, data, off in text_slices(batches, "text"):
         sets = list(shingle_sets(data, off, k))
         bits = np.array([sketch(s) for s in sets]).reshape(len(sets), 8)
         yield pa.RecordBatch.from_arrays(
             [rows.column("doc_id"), pa.array([set_key(s) if len(s) else None for s in sets], pa.int64()),
-             pa.array([len(s) for s in sets], pa.int64()), *[pa.array(bits[:, i]) for i in range(8)]],
-            names=["doc_id", "key", "n", *_SKETCH])
+             pa.array([len(s) for s in sets], pa.int64()), *[pa.array(bits[:, i]) for i in range(8)],
+             *rows.columns[2:]], names=["doc_id", "key", "n", *_SKETCH, *rows.schema.names[2:]])
 
 
 def _entries(batches: Iterator[pa.RecordBatch], k: int, plan: Plan, way: Exchange,
@@ -281,81 +284,158 @@ def _apart() -> Column:
                F.bit_count(F.col("x.s0").bitwiseXOR(F.col("y.s0"))))
 
 
-def shingle_nodes(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, key, n and the sketch of every document."""
-    return docs.select("doc_id", "text").mapInArrow(
+def shingle_nodes(docs: DataFrame, shingle: int, marked: bool = False) -> DataFrame:
+    """doc_id, key, n and the sketch of every document (and the ``mark`` of its text)."""
+    more = [text_mark("text").alias("mark")] * marked
+    return docs.select("doc_id", "text", *more).mapInArrow(
         lambda it: _nodes(it, shingle),
-        "doc_id long, key long, n long, " + ", ".join(f"{c} long" for c in _SKETCH))
-
-
-_CHUNK = 2048  # members of a list that meet as many others in one task
-
-
-def _meet(rows: pd.DataFrame, num: int, den: int, every: bool) -> pd.DataFrame:
-    """Candidate pairs of one bin of (list, left chunk, right chunk) meetings.
-
-    For each left member the nearest (by sketch) right member in the list's main component and the nearest in
-    any other component than its own; all of them with ``every``.
-    """
-    out: list[tuple[np.ndarray, ...]] = []
-    order = np.lexsort((rows["side"], rows["cr"], rows["cl"], rows["list"]))
-    rows = rows.iloc[order]
-    key, n, root = (rows[c].to_numpy(np.int64) for c in ("key", "n", "root"))
-    main, side = rows["is_main"].to_numpy(bool), rows["side"].to_numpy()
-    bits = np.column_stack([rows[c].to_numpy(np.int64) for c in _SKETCH]).view(np.uint64)
-    where = rows[["list", "cl", "cr"]].to_numpy()
-    start = np.flatnonzero(np.r_[True, (where[1:] != where[:-1]).any(1)])
-    for a, z in zip(start, np.r_[start[1:], len(rows)]):
-        cut = a + int(np.searchsorted(side[a:z], 1))
-        for lo in range(a, cut, 128):
-            left, right = slice(lo, min(lo + 128, cut)), slice(cut, z)
-            apart = np.bitwise_count(bits[left, None, :] ^ bits[None, right, :]).sum(2, dtype=np.int64)
-            x, y = n[left, None], n[None, right]
-            ok = (root[left, None] != root[None, right]) & (np.minimum(x, y) * den >= np.maximum(x, y) * num)
-            ok &= apart <= (x + y) * (den - num) // (den + num)
-            if every:
-                i, j = np.nonzero(ok)
-                out.append((key[left][i], key[right][j], apart[i, j], np.zeros(len(i), bool)))
-                continue
-            for kind in (True, False):
-                far = np.where(ok & (main[right] == kind), apart, 1 << 20)
-                if far.shape[1]:
-                    j = far.argmin(1)
-                    i = np.flatnonzero(far[np.arange(len(j)), j] < 1 << 20)
-                    out.append((key[left][i], key[right][j[i]], far[i, j[i]], np.full(len(i), kind)))
-    if every and out:  # members meet in many lists
-        x, y, far, kind = (np.concatenate(c) for c in zip(*out))
-        order = np.lexsort((y, x))
-        new = order[np.r_[True, (x[order][1:] != x[order][:-1]) | (y[order][1:] != y[order][:-1])][:len(x)]]
-        out = [(x[new], y[new], far[new], kind[new])]
-    cols = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 3 + [np.zeros(0, bool)]
-    return pd.DataFrame(dict(zip(("a", "b", "apart", "to_main"), cols)))
+        "doc_id long, key long, n long, " + ", ".join(f"{c} long" for c in _SKETCH) + ", mark string" * marked)
+
+
+_CHUNK = 2048  # members of a group that meet as many others in one task
+_ITEMS = 1 << 20  # shingles of the members of a chunk, about
+_BLOCK = 1 << 22  # words compared at once
+
+
+def wide_bits(n: int, num: int, den: int) -> int:
+    """Bits of a set's wide sketch: a power of two, eight times what it may differ in from a linked set or more,
+    so that the sketches of sets that differ in a little more than that already do."""
+    return max(512, 1 << (8 * (den - num) * (n + den * n // num) // (den + num)).bit_length())
+
+
+def wide_sketch(s: np.ndarray, bits: int) -> np.ndarray:
+    """Parity bits as 64-bit words; halving the bits is XOR of the halves."""
+    at = (mix(s.copy()) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8), bitorder="little").view(np.uint64)
+
+
+def _halved(words: np.ndarray, bits: int) -> np.ndarray:
+    while words.shape[1] * 64 > bits:
+        half = words.shape[1] // 2
+        words = words[:, :half] ^ words[:, half:]
+    return words
+
+
+def may_link(left: list[np.ndarray], right: list[np.ndarray], x: np.ndarray, y: np.ndarray, num: int,
+             den: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs of sets (given by wide sketches and sizes) that may link by size and by sketch, in blocks."""
+    def classes(words):
+        width = np.array([len(w) for w in words])
+        return {int(w): np.flatnonzero(width == w) for w in np.unique(width)}
+
+    rights = classes(right)
+    for w, i in classes(left).items():
+        for v, j in rights.items():
+            n = x[i], y[j]
+            if min(n[0].max(), n[1].max()) * den < max(n[0].min(), n[1].min()) * num:
+                continue  # no two of these sizes link
+            bits = 64 * min(v, w)
+            a = _halved(np.stack([left[k] for k in i]), bits)
+            b = _halved(np.stack([right[k] for k in j]), bits)
+            step = max(1, _BLOCK // max(1, b.size))
+            for lo in range(0, len(i), step):
+                apart = np.bitwise_count(a[lo:lo + step, None, :] ^ b[None, :, :]).sum(2, dtype=np.int64)
+                p, q = n[0][lo:lo + step, None], n[1][None, :]
+                ok = (np.minimum(p, q) * den >= np.maximum(p, q) * num) & (apart <= (p + q) * (den - num) // (den + num))
+                u, t = np.nonzero(ok)
+                yield i[lo + u], j[t]
+
+
+def _meetings(rows: pd.DataFrame) -> Iterator[tuple[pd.DataFrame, pd.DataFrame]]:
+    """The (left, right) members of every (group, left chunk, right chunk) of a bin."""
+    for _, g in rows.groupby(["p", "cl", "cr"], sort=False):
+        left = g["side"].to_numpy() == 0
+        yield g[left], g[~left]
+
+
+def _sketches(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        keys, wide = [], []
+        for lo in range(0, b.num_rows, 64):
+            some = b.slice(lo, 64)
+            keys += some.column(0).to_pylist()
+            for items in some.column(1):
+                s = items.values.to_numpy().view(np.uint64)
+                wide.append(wide_sketch(s, wide_bits(len(s), num, den)).tobytes())
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(wide, pa.binary())], names=["key", "wide"])
+
+
+def _near(rows: pd.DataFrame, num: int, den: int) -> pd.DataFrame:
+    """The members of one bin's meetings that have someone of another component to meet whom they may link with."""
+    out = [rows.iloc[:0]]
+    for left, right in _meetings(rows):
+        words = [[np.frombuffer(w, np.uint64) for w in side["wide"]] for side in (left, right)]
+        x, y = left["n"].to_numpy(np.int64), right["n"].to_numpy(np.int64)
+        own, other = left["root"].to_numpy(np.int64), right["root"].to_numpy(np.int64)
+        near = np.zeros(len(left), bool), np.zeros(len(right), bool)
+        if len(left) and len(right):
+            for i, j in may_link(words[0], words[1], x, y, num, den):
+                apart = own[i] != other[j]
+                near[0][i[apart]] = True
+                near[1][j[apart]] = True
+        out += [left[near[0]], right[near[1]]]
+    return pd.concat(out)[["p", "cl", "cr", "side", "key", "root"]]
+
+
+def linked(s: np.ndarray, t: np.ndarray, num: int, den: int) -> bool:
+    both = len(s) + len(t) - len(np.unique(np.concatenate([s, t])))
+    return both * den >= (len(s) + len(t) - both) * num
+
+
+def _joined(rows: pd.DataFrame, num: int, den: int) -> pd.DataFrame:
+    """Links of one bin's meetings that join components, by the sets themselves: a forest, so fewer than members."""
+    out: list[tuple[int, int]] = []
+    for left, right in _meetings(rows):
+        sets = [[np.asarray(v, np.int64).view(np.uint64) for v in side["items"]] for side in (left, right)]
+        n = [np.array([len(v) for v in side], np.int64) for side in sets]
+        if not len(n[0]) or not len(n[1]):
+            continue
+        words = [[wide_sketch(v, wide_bits(len(v), num, den)) for v in side] for side in sets]
+        keys = left["key"].tolist(), right["key"].tolist()
+        roots = left["root"].tolist(), right["root"].tolist()
+        up: dict[int, int] = {}
+
+        def find(r: int) -> int:
+            while r in up:
+                if up[r] in up:
+                    up[r] = up[up[r]]
+                r = up[r]
+            return r
+
+        for i, j in may_link(words[0], words[1], n[0], n[1], num, den):
+            for a, b in zip(i.tolist(), j.tolist()):
+                x, y = find(roots[0][a]), find(roots[1][b])
+                if x != y and linked(sets[0][a], sets[1][b], num, den):
+                    up[x] = y
+                    out.append((keys[0][a], keys[1][b]))
+    return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 
 def _mixed(on: DataFrame) -> DataFrame:
-    """(list, size, main) of the lists with members (list, k, key, root, is_pivot) of several components.
+    """(list, p, main) of the lists with members (list, k, key, root, is_pivot) of several components.
 
-    The main component is that of the smallest pivot (by ``k``, the key that the star of a list was built
-    around), whatever its root, so members that are in it stay in it as components grow.
+    ``p`` is the list's smallest pivot (by ``k``, the key that the star of the list was built around); the lists of a
+    family of alike sets have few of them. The main component is that of ``p``.
     """
-    return (on.groupBy("list").agg(
-        F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("size"),
-        F.min_by("root", F.when(F.col("is_pivot"), F.struct("k", "key"))).alias("main"))
-        .filter("lo <> hi").drop("lo", "hi"))
+    pivot = F.when(F.col("is_pivot"), F.struct("k", "key"))
+    return (on.groupBy("list").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min(pivot).alias("p"),
+                                   F.min_by("root", pivot).alias("main"))
+            .filter("lo <> hi").select("list", F.col("p.key").alias("p"), "main"))
 
 
 def ngram_components(docs: DataFrame, shingle: int = 3, num: int = 90, den: int = 100,
-                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id."""
+                     id_col: str = "doc_id", text_col: str = "text", marked: bool = False) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_shingles, component_id (and the ``mark`` of the text)."""
     spark = docs.sparkSession
     ship(spark)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    nodes = written(shingle_nodes(docs, shingle), "shingles")
+    nodes = written(shingle_nodes(docs, shingle, marked), "shingles")
     with Scratch(spark) as tmp:
         named = written(_classes_by_component(docs, nodes, shingle, num, den, tmp), "components")
-    out = nodes.select("doc_id", "key", "n").hint("merge").join(named, "key", "left")
+    mark = ["mark"] * marked
+    out = nodes.select("doc_id", "key", "n", *mark).hint("merge").join(named, "key", "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"), *mark)
 
 
 def _classes_by_component(docs: DataFrame, nodes: DataFrame, shingle: int, num: int, den: int,
@@ -399,52 +479,32 @@ def _classes_by_component(docs: DataFrame, nodes: DataFrame, shingle: int, num:
             .join(xs, "kx").join(ys, "ky")
             .filter((small * den >= large * num) & (_apart() <= _bound(F.col("x.n"), F.col("y.n"), num, den)))
             .select(F.col("x.key").alias("a"), F.col("y.key").alias("b")))
-    tried = verified(star)
+    stars = verified(star).filter("linked").select("a", "b")
+    roots = connected_components(stars, "a", "b", tmp)
+    root = listed.select("key", "k", "n").join(roots.select(F.col("node").alias("key"), "root"), "key", "left")
     members = lists.groupBy("list", F.col("key").alias("k")).agg(
         F.max(F.col("key") == F.col("pivot")).alias("is_pivot"))
-
-    def remaining(every: bool, alive: DataFrame | None = None) -> DataFrame:
-        """Untried pairs (a, b, and the left member ``x``) of members of one list in different components
-        that may still link; only for left members among ``alive``, if given."""
-        roots = connected_components(tried.filter("linked"), "a", "b", tmp)
-        root = listed.select("key", "k").join(roots.select(F.col("node").alias("key"), "root"), "key", "left")
-        on = members.join(root.select("k", "key", F.coalesce("root", "key").alias("root")), "k")
-        mixed = _mixed(on).select("list", "main", F.ceil(F.col("size") / _CHUNK).cast("int").alias("of"))
-        if alive is not None:
-            mixed = mixed.join(on.join(alive, "key").select("list", "root").join(mixed, "list")
-                               .filter("root <> main").select("list").distinct(), "list", "left_semi")
-        # Only the lists that still matter get the sketches of their members.
-        on = tmp.write(on.join(mixed, "list"), "mixed").join(listed.select("key", "n", *_SKETCH), "key")
-        on = on.select("list", "of", "key", "n", "root", (F.col("root") == F.col("main")).alias("is_main"), *_SKETCH,
-                       F.pmod(F.xxhash64("key"), F.col("of")).cast("int").alias("c"))
-        every_chunk = F.explode(F.sequence(F.lit(0), F.col("of") - 1))
-        starts = on.filter("NOT is_main")
-        if alive is not None:
-            starts = starts.join(alive, "key", "left_semi")
-        left = starts.withColumn("cr", every_chunk).withColumnRenamed("c", "cl").withColumn(
-            "side", F.lit(0))
-        right = on.withColumn("cl", every_chunk).withColumnRenamed("c", "cr").withColumn("side", F.lit(1))
-        meetings = left.unionByName(right).drop("of").withColumn(
-            "bin", F.pmod(F.xxhash64("list", "cl", "cr"), F.lit(bins)))
-        pairs = meetings.groupBy("bin").applyInPandas(
-            lambda g: _meet(g, num, den, every), "a long, b long, apart long, to_main boolean")
-        if not every:
-            pairs = pairs.groupBy("a", "to_main").agg(F.min(F.struct("apart", "b")).alias("m")).select("a", "m.b")
-        return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.col("a").alias("x"))
-
-    def untried(pairs: DataFrame) -> DataFrame:
-        done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        return pairs.select("a", "b").distinct().join(done, ["a", "b"], "left_anti")
-
-    # Nearest first, a link or two per member; then whatever is left. A member that had no candidate
-    # in a round has none in a later one, as components only grow.
-    alive = None
-    for every in (False, True):
-        found = tmp.write(remaining(every, alive), "candidates")
-        more = verified(untried(found))
-        tried = tried.union(more)
-        alive = tmp.write(found.select(F.col("x").alias("key")).distinct(), "alive")
-    roots = connected_components(tried.filter("linked"), "a", "b", tmp)
+    on = members.join(root.select("k", "key", "n", F.coalesce("root", "key").alias("root")), "k")
+    # Sets of one list in different components meet, once for each pivot that their lists have in common.
+    group = on.join(_mixed(on), "list").groupBy("p", "key").agg(
+        F.max("root").alias("root"), F.max("n").alias("n"), F.min("main").alias("main"))
+    group = tmp.write(group, "groups")
+    chunks = F.ceil(F.greatest(F.count(F.lit(1)) / _CHUNK, F.sum("n") / _ITEMS)).cast("int")
+    sized = group.join(group.groupBy("p").agg(chunks.alias("of")), "p").withColumn(
+        "c", F.pmod(F.xxhash64("key"), F.col("of")).cast("int"))
+    every_chunk = F.explode(F.sequence(F.lit(0), F.col("of") - 1))
+    # Whoever is in the main component meets the others as one of the right side.
+    left = sized.filter("root <> main").withColumn("cr", every_chunk).withColumnRenamed("c", "cl")
+    right = sized.withColumn("cl", every_chunk).withColumnRenamed("c", "cr")
+    meetings = left.withColumn("side", F.lit(0)).unionByName(right.withColumn("side", F.lit(1))).drop("of", "main")
+    where = F.pmod(F.xxhash64("p", "cl", "cr"), F.lit(bins)).alias("bin")
+    wide = tmp.write(items.join(group.select("key").distinct(), "key", "left_semi").mapInArrow(
+        lambda it: _sketches(it, num, den), "key long, wide binary"), "sketches")
+    near = tmp.write(meetings.join(wide, "key").select("*", where).groupBy("bin").applyInPandas(
+        lambda g: _near(g, num, den), "p long, cl int, cr int, side int, key long, root long"), "near")
+    more = tmp.write(near.join(items, "key").select("*", where).groupBy("bin").applyInPandas(
+        lambda g: _joined(g, num, den), "a long, b long"), "links")
+    roots = connected_components(tmp.write(stars.union(more), "links"), "a", "b", tmp)
     named = classes.select("key", "rep").join(roots.select(F.col("node").alias("key"), "root"), "key", "left")
     named = tmp.write(named.withColumn("root", F.coalesce("root", "key")), "roots")
     lowest = named.groupBy("root").agg(F.min("rep").alias("component"))
@@ -452,6 +512,8 @@ def _classes_by_component(docs: DataFrame, nodes: DataFrame, shingle: int, num:
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """``docs`` with one document (the smallest id) of each component, all columns as they were."""
-    gone = ngram_components(docs, shingle, num, den).filter("doc_id <> component_id").select("doc_id")
-    return without(docs, "doc_id", gone.distinct())
+    """``docs`` with one document (the smallest id) of each component, all columns as they were.
+
+    A row goes by its id and text: another text with the same id that is no copy stays."""
+    gone = ngram_components(docs, shingle, num, den, marked=True).filter("doc_id <> component_id")
+    return without(docs, "doc_id", "text", gone.select("doc_id", "mark").distinct())

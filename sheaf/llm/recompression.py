@@ -32,10 +32,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.llm.common import Scratch, fan_out, fresh, mix, powers, ship, text_slices, window_hashes, words, written
+from sheaf.llm.common import (Scratch, fan_out, fresh, mix, powers, ship, text_mark, text_slices, window_hashes, words,
+                              written)
 from sheaf.llm.exchange import SCHEMA, Exchange, by_owner, groups
 
 _STEP = 0xD6E8FEB86659FD93  # base of the running hash over words, and its inverse modulo 2**64
@@ -165,16 +167,31 @@ def _key(sha: str) -> int:
     return int(sha[:12], 16)
 
 
+def _words_sha(data: np.ndarray, off: np.ndarray) -> tuple[list[int], list[str]]:
+    """Number of words and the digest of the words joined by one space, of each text of a slice."""
+    raw = data.tobytes()
+    n, sha = [], []
+    for a, z in zip(off[:-1].tolist(), off[1:].tolist()):
+        w = raw[a:z].split()
+        n.append(len(w))
+        sha.append(hashlib.sha256(b" ".join(w)).hexdigest())
+    return n, sha
+
+
 def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Columns after id and text (a mark of the text) are passed on."""
     for rows, data, off in text_slices(batches, "text"):
-        raw = data.tobytes()
-        n, sha = [], []
-        for a, z in zip(off[:-1].tolist(), off[1:].tolist()):
-            w = raw[a:z].split()
-            n.append(len(w))
-            sha.append(hashlib.sha256(b" ".join(w)).hexdigest())
-        yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(n, pa.int64()), pa.array(sha)],
-                                         names=["doc_id", "n_words", "sha"])
+        n, sha = _words_sha(data, off)
+        yield pa.RecordBatch.from_arrays(
+            [rows.column("doc_id"), pa.array(n, pa.int64()), pa.array(sha, pa.string()), *rows.columns[2:]],
+            names=["doc_id", "n_words", "sha", *rows.schema.names[2:]])
+
+
+def _of_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows whose words have the digest ``sha``; others only have the id in common with it."""
+    for rows, data, off in text_slices(batches, "text"):
+        own = pa.array(_words_sha(data, off)[1], pa.string())
+        yield rows.filter(pc.equal(own, rows.column("sha")))
 
 
 def _symbols(batches: Iterator[pa.RecordBatch], window: int, rounds: int, way: Exchange,
@@ -292,11 +309,14 @@ def _changed(suspects: DataFrame, window: int, rounds: int, symbols: Exchange, w
 def repeated_words(docs: DataFrame, window: int = 13, rounds: int = 2, id_col: str = "doc_id",
                    text_col: str = "text", texts: bool = False) -> tuple[DataFrame, DataFrame]:
     """(all, changed): doc_id, n_words, n_removed, kept_sha256 of every row; and the same of the
-    documents that stand for their class and lose words (with ``texts``: ``kept_text``, those left)."""
+    documents that stand for their class and lose words. With ``texts``, the first also has ``sha`` (of all
+    words, the ``key`` of the second) and ``mark`` (of the text), the second ``kept_text``, the words left."""
     spark = docs.sparkSession
     ship(spark)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = written(docs.mapInArrow(_classes, "doc_id long, n_words long, sha string"), "words")
+    mark = ["mark"] * texts
+    rows = written(docs.select("*", *[text_mark("text").alias(c) for c in mark]).mapInArrow(
+        _classes, "doc_id long, n_words long, sha string" + ", mark string" * texts), "words")
     key = F.conv(F.substring("sha", 1, 12), 16, 10).cast("long")
     classes = (rows.filter(f"doc_id IS NOT NULL AND n_words >= {window}").groupBy("sha")
                .agg(F.min("doc_id").alias("first")).withColumn("key", key))
@@ -309,7 +329,8 @@ def repeated_words(docs: DataFrame, window: int = 13, rounds: int = 2, id_col: s
     wanted = classes.join(shared, "key").select("first", "sha", "sigs")
     # Of every class that shares a symbol, the text of its smallest document.
     suspects = (docs.hint("merge").join(wanted, docs["doc_id"] == wanted["first"])
-                .select("doc_id", "text", "sha", "sigs"))
+                .select("doc_id", "text", "sha", "sigs")
+                .mapInArrow(_of_class, "doc_id long, text string, sha string, sigs array<binary>"))
     with Scratch(spark) as tmp:
         changed = _changed(tmp.write(suspects, "suspects"), window, rounds, symbols, whole, texts)
     # A copy of an earlier text loses everything; its class may lose words of its first document.
@@ -323,7 +344,7 @@ def repeated_words(docs: DataFrame, window: int = 13, rounds: int = 2, id_col: s
         .otherwise(F.lit(0)).cast("long").alias("n_removed"),
         F.when(copy, F.lit(hashlib.sha256(b"").hexdigest()))
         .when(F.col("doc_id") == F.col("first"), F.coalesce("kept_sha256", "sha")).otherwise(F.col("sha"))
-        .alias("kept_sha256"))
+        .alias("kept_sha256"), *(["sha", "mark"] if texts else []))
     return out, changed
 
 
@@ -336,14 +357,17 @@ def substring_dedup(docs: DataFrame, window: int = 13, rounds: int = 2, id_col:
 def drop_repeats(docs: DataFrame, window: int = 13, rounds: int = 2) -> DataFrame:
     """``docs`` with repeated passages cut out of ``text`` (what is left is joined by single spaces) and
     ``n_chars``, where there is one, counted anew. Documents without a repeat are as they were;
-    one that is a repeat as a whole stays with an empty text. Ids are taken to be unique."""
+    one that is a repeat as a whole stays with an empty text. Rows are found again by id and text, so texts
+    that have an id in common are told apart."""
     every, changed = repeated_words(docs, window, rounds, texts=True)
-    new_id, new = fresh("new_id", docs.columns), fresh("new_text", docs.columns)
-    left = changed.select(F.col("doc_id").alias(new_id), F.col("kept_text").alias(new))
-    copies = (every.filter("n_removed = n_words AND n_removed > 0").select(
-        F.col("doc_id").alias(new_id), F.lit("").alias(new)).join(left.select(new_id), new_id, "left_anti"))
-    out = docs.hint("merge").join(left.union(copies).dropDuplicates([new_id]),
-                                  F.col("doc_id") == F.col(new_id), "left")
+    new_id, new, mark = (fresh(c, docs.columns) for c in ("new_id", "new_text", "mark"))
+    left = changed.select(F.col("key").alias("sha"), "doc_id", "kept_text")
+    # What loses words and did not stand for its class is a copy and loses all of them.
+    cut = (every.filter("n_removed > 0").select("doc_id", "sha", F.col("mark")).distinct()
+           .join(left, ["doc_id", "sha"], "left")
+           .select(F.col("doc_id").alias(new_id), F.col("mark").alias(mark),
+                   F.coalesce("kept_text", F.lit("")).alias(new)))
+    out = docs.hint("merge").join(cut, (F.col("doc_id") == F.col(new_id)) & (text_mark("text") == F.col(mark)), "left")
     same = F.col(new_id).isNull()
     cols = {"text": F.when(same, F.col("text")).otherwise(F.col(new))}
     if "n_chars" in docs.columns:

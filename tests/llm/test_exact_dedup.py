@@ -45,6 +45,13 @@ def test_drop_keeps_all_columns(make, odd_rows):
     assert {r.doc_id for r in out.collect()} == {None, 3, 2, 5, 7, 8, 9}
 
 
+@pytest.mark.parametrize("turn", [1, -1])
+def test_a_text_stays_if_another_with_its_id_goes(make, turn):
+    rows = [(5, "A"), (9, "A"), (5, "B"), (None, "A")][::turn]
+    got = {(r.doc_id, r.text) for r in X.drop_exact_duplicates(make(rows)).collect()}
+    assert got == {(9, "A"), (5, "B"), (None, "A")}
+
+
 @settings(max_examples=30, deadline=None)
 @given(st.lists(st.integers(0, 40), max_size=200), st.integers(1, 7), st.integers(4, 10))
 def test_filters_merge_without_loss(values, parts, bits):

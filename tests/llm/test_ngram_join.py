@@ -117,12 +117,78 @@ def test_bridged_groups_over_many_partitions(spark):
     assert got == brute(rows, 1, 60, 100)
 
 
-def test_main_component_stays_as_components_grow(spark):
-    """Pivots 5 and 7; when 7 joins a component with a smaller root, that of 5 is still the main one."""
+def test_lists_of_several_components(spark):
+    """The smallest pivot names the group, its component is the main one."""
     for root, of_five in (({5: 5, 6: 5, 7: 7, 8: 7}, 5), ({5: 5, 6: 5, 7: 2, 8: 2}, 5), ({5: 1, 6: 1, 7: 0, 8: 0}, 1)):
         rows = [(1, k, k, r, k in (5, 7)) for k, r in root.items()] + [(2, 5, 5, 5, True), (2, 6, 6, 5, False)]
         on = spark.createDataFrame(rows, "list long, k long, key long, root long, is_pivot boolean")
-        assert [(r["list"], r["size"], r["main"]) for r in J._mixed(on).collect()] == [(1, 4, of_five)]
+        assert [(r["list"], r["p"], r["main"]) for r in J._mixed(on).collect()] == [(1, 5, of_five)]
+
+
+def long_copies(n, seed=3, words=1500, edits=40):
+    """A group of long near copies that do not link, but for every fifth, which is close to the one before it."""
+    r = random.Random(seed)
+    base = [f"b{i}" for i in range(words)]
+    rows = []
+    for i in range(n):
+        w = list(base) if i % 5 else list(rows[-1]) if rows else list(base)
+        for at in r.sample(range(words), edits if i % 5 else 3):
+            w[at] = f"x{i}_{at}"
+        rows.append(w)
+    return [(i, " ".join(w)) for i, w in enumerate(rows)]
+
+
+def test_large_groups_of_unlinked_copies_pass_on_few_rows(spark, make, monkeypatch):
+    """Rows that leave the meetings follow the members and the pivots they share, not their pairs."""
+    sizes = []
+    plain = J.Scratch.write
+
+    def write(self, df, name):
+        out = plain(self, df, name)
+        if name in ("near", "links"):
+            sizes[-1].append(out.count())
+        return out
+    monkeypatch.setattr(J.Scratch, "write", write)
+    for n in (20, 100):
+        sizes.append([])
+        got = {tuple(x) for x in J.ngram_components(make(long_copies(n)), 5, 80, 100).collect()}
+        assert got == brute(long_copies(n), 5, 80, 100)
+    near, *links = sizes[1]
+    assert near < 50 * 100 and max(links) < 100
+
+
+def test_meetings_find_all_links_across_components():
+    """The members named by sketches, then joined by their sets, give the components of all pairs."""
+    import pandas as pd
+    rng = np.random.default_rng(4)
+    for num, den in ((80, 100), (90, 100), (1, 2)):
+        base = rng.integers(0, 2**63, 600, dtype=np.uint64)
+        sets = []
+        for _ in range(60):
+            s = base.copy() if not sets or rng.random() < 0.3 else sets[rng.integers(len(sets))].copy()
+            s = np.unique(np.r_[rng.permutation(s)[rng.integers(0, 60):], rng.integers(0, 2**63, rng.integers(0, 60), dtype=np.uint64)])
+            sets.append(s)
+        rows = [(1, 0, 0, side, i, len(s), i, J.wide_sketch(s, J.wide_bits(len(s), num, den)).tobytes(), s.view(np.int64))
+                for side in (0, 1) for i, s in enumerate(sets) if side or i]
+        g = pd.DataFrame(rows, columns=["p", "cl", "cr", "side", "key", "n", "root", "wide", "items"])
+        near = J._near(g.drop(columns="items"), num, den)
+        links = J._joined(near.merge(g[["key", "side", "items"]], on=["key", "side"]), num, den)
+        root = list(range(len(sets)))
+
+        def comps(pairs):
+            root = list(range(len(sets)))
+
+            def find(x):
+                while root[x] != x:
+                    x = root[x]
+                return x
+            for a, b in pairs:
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+            return [find(i) for i in root]
+        every = [(a, b) for a in range(len(sets)) for b in range(a) if J.linked(sets[a], sets[b], num, den)]
+        assert comps(list(zip(links.a, links.b))) == comps(every)
+        assert len(links) < len(sets)
 
 
 @pytest.mark.parametrize("num,den", [(90, 100), (80, 100), (1, 2)])
@@ -151,6 +217,17 @@ def test_sketch_is_a_lower_bound():
         assert ham <= len(set(s.tolist()) ^ set(t.tolist()))
 
 
+def test_wide_sketch_is_a_lower_bound_that_halves():
+    rng = np.random.default_rng(2)
+    for _ in range(30):
+        s = np.unique(rng.integers(0, 2**63, 3000, dtype=np.uint64))
+        t = np.unique(np.r_[s[rng.integers(0, 600):], rng.integers(0, 2**63, rng.integers(0, 600), dtype=np.uint64)])
+        x, y = J.wide_sketch(s, 4096), J.wide_sketch(t, 8192)
+        half = J._halved(y[None], 4096)[0]
+        assert np.array_equal(half, J.wide_sketch(t, 4096))
+        assert np.bitwise_count(x ^ half).sum() <= len(set(s.tolist()) ^ set(t.tolist()))
+
+
 def test_boundary_follows_cost():
     assert J.least_cost_boundary({}, 90, 100) == 0
     sizes = collections.Counter({s: 1000 for s in range(1, 65)})
@@ -165,3 +242,11 @@ def test_drop_keeps_one_of_each_group(make):
     out = J.drop_near_duplicates(df)
     assert out.columns == df.columns
     assert {r.doc_id for r in out.collect()} == {i for i, _, c in brute(rows, 5, 80, 100) if i == c}
+
+
+@pytest.mark.parametrize("turn", [1, -1])
+def test_drop_tells_texts_with_one_id_apart(make, turn):
+    w = [f"w{i}" for i in range(60)]
+    rows = [(3, " ".join(w)), (5, " ".join(w[:-1])), (5, "some other text that is like none of them at all")][::turn]
+    got = {(r.doc_id, r.text) for r in J.drop_near_duplicates(make(rows)).collect()}
+    assert got == {rows[0][:2], rows[2][:2]} if turn == 1 else {rows[2][:2], rows[0][:2]}

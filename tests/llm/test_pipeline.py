@@ -15,7 +15,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_every_operator_is_registered():
-    assert [k.split("_")[0] for k in sorted(Q.QUERIES, key=lambda k: int(k[2:].split("_")[0]))] == [f"op{i}" for i in range(1, 11)]
+    assert [k.split("_")[0] for k in sorted(Q.QUERIES, key=lambda k: int(k[2:].split("_")[0]))] == [f"op{i}" for i in range(1, 14)]
     assert [n for n, _ in C.STAGES] == ["language ID", "exact dedup", "n-gram Jaccard join", "substring dedup", "packing"]
 
 
@@ -68,7 +68,19 @@ def test_language_stage_without_a_language_to_learn(make):
 
 
 def test_run(spark, stages):
+    """The whole run packs the ids of the documents that plain code keeps after the stages before."""
+    import zlib
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = {i: [*t.encode(r.text, add_special_tokens=False).ids, 1] for i, r in stages[4].items()}
     got = C.run(spark, SF).collect()
-    assert sorted((p.doc_id, p.start, p.ids_crc32) for p in got if p.start == 0) == sorted(
-        (p.doc_id, p.start, p.ids_crc32) for p in got if p.start == 0)
-    assert sum(p.length for p in got) == sum(p.length for p in stages[5])
+    for i, ids in want.items():
+        pieces = sorted((p for p in got if p.doc_id == i), key=lambda p: p.start)
+        assert [p.start for p in pieces] == [sum(q.length for q in pieces[:k]) for k in range(len(pieces))]
+        assert sum(p.length for p in pieces) == len(ids) == pieces[0].doc_tokens
+        for p in pieces:
+            raw = b"".join(x.to_bytes(4, "little") for x in ids[p.start:p.start + p.length])
+            assert zlib.crc32(raw) == p.ids_crc32
+    assert {p.doc_id for p in got} == set(want)

@@ -97,3 +97,15 @@ def test_drop_repeats_edits_texts(make):
         assert hashlib.sha256(b" ".join(r.text.encode().split())).hexdigest() == want[r.doc_id]
         assert r.n_chars == len(r.text)
         assert r.doc_id in changed or r.text == before[r.doc_id]
+
+
+@pytest.mark.parametrize("turn", [1, -1])
+def test_texts_with_one_id_are_told_apart(make, turn):
+    """(1, D), (5, A), (5, B): D holds A's passage, B has nothing to do with either."""
+    passage = " ".join(f"p{i}" for i in range(17))
+    a, b, d = f"x y {passage} z", " ".join(f"b{i}" for i in range(30)), f"{passage} and more words of its own"
+    rows = [(1, d), *[(5, a), (5, b)][::turn]]
+    got = sorted(map(tuple, R.substring_dedup(make(rows)).collect()), key=repr)
+    assert got == brute(rows, 13)
+    cut = {(r.doc_id, r.text) for r in R.drop_repeats(make(rows)).collect()}
+    assert cut == {(1, d), (5, "x y z"), (5, b)}
