@@ -54,3 +54,10 @@ def seeded_split(df: DataFrame, weights: Sequence[float] = (0.7, 0.3),
                  seed: int = 42) -> list[DataFrame]:
     """``randomSplit`` as in the original workload; the result depends on partitioning."""
     return df.randomSplit(list(weights), seed=seed)
+
+
+def fold_number(key: str | Column, folds: int) -> Column:
+    """0..folds-1 from the second 32 bits of md5(key as text): apart from ``hash_bucket``, so that the folds of one
+    part of a split are as large as those of another."""
+    k = q(key) if isinstance(key, str) else key
+    return (F.conv(F.substring(F.md5(k.cast("string")), 9, 8), 16, 10).try_cast("bigint") % folds).cast("int")

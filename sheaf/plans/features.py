@@ -28,13 +28,14 @@ from sheaf.operators.impute import MeanImputer, MeanImputerModel, fill_constant
 from sheaf.operators.joins import star_join
 from sheaf.operators.profile import drop_sparse
 from sheaf.operators.rollups import checkin_rollup, covid_target, review_rollup, tip_rollup
-from sheaf.operators.split import split_label
+from sheaf.operators.split import fold_number, split_label
 from sheaf.operators.topk import split_positions, top_k_tokens
 
 KEY = "business_id"
 TARGET = "delivery or takeout"
 LABEL = "delivery_or_takeout"
 SPLIT = "split"
+FOLD = "fold"
 
 # Columns removed from the base table before modelling.
 FINAL_DROPS = ("address", "state", "attributes_BusinessParking", "attributes_RestaurantsPriceRange2",
@@ -186,14 +187,24 @@ def model_inputs(t: Tables, p: Params = Params()) -> ModelInputs:
 
 
 def inputs_of(bt: DataFrame) -> ModelInputs:
-    """``model_inputs`` of a base table: its labelled rows, as formula features."""
-    from sheaf.operators.model import rformula
+    """``model_inputs`` of a base table: its labelled rows, as formula features, each with its fold."""
+    from sheaf.operators.model import FOLDS, rformula
     from sheaf.session import checkpoint_dir
     bt = bt.filter(q(LABEL).isNotNull())
     train = bt.filter(F.col(SPLIT) == "train").drop(SPLIT)
     test = bt.filter(F.col(SPLIT) == "test").drop(SPLIT)
     f = rformula(train, LABEL, exclude=(KEY,), handle_invalid="keep")
     checkpoint_dir(train.sparkSession)
-    train = f.transform(train).select(KEY, "label", "features").checkpoint(eager=True)
-    test = f.transform(test).select(KEY, "label", "features").checkpoint(eager=True)
-    return ModelInputs(train, test, f)
+    parts = []
+    for rows in (train, test):
+        out = f.transform(rows).select(KEY, "label", "features", fold_number(KEY, FOLDS).alias(FOLD))
+        parts.append(_sized(out.checkpoint(eager=True)))
+    return ModelInputs(parts[0], parts[1], f)
+
+
+def _sized(rows: DataFrame, partition_bytes: int = 1 << 26) -> DataFrame:
+    """``rows`` in partitions of about ``partition_bytes`` of features: a fit makes many short passes, so small
+    tables are best in few partitions and large ones must not be in fewer."""
+    width = rows.schema["features"].metadata["ml_attr"]["num_attrs"]
+    parts = max(1, -(-rows.count() * (8 * width + 64) // partition_bytes))
+    return rows.coalesce(parts) if parts <= rows.rdd.getNumPartitions() else rows.repartition(parts)

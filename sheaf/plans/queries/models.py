@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -83,8 +84,6 @@ FROM rest r JOIN (SELECT city, row_number() OVER (ORDER BY count(*) DESC, city)
 
 @register("rformula_features", _rformula_sql())
 def q_rformula_features(spark, sf):
-    from pyspark.ml.functions import vector_to_array
-
     from sheaf.operators.model import rformula
     from sheaf.plans.features import restaurants
     rest = restaurants(biz(spark, sf), FIX).select(*_RF_COLS)
@@ -98,9 +97,9 @@ def q_rformula_features(spark, sf):
 def fitted(spark, sf, kind: str):
     """(cross-validated model, inputs), fitted anew: "lr" or "rf"."""
     from sheaf.operators.model import forest_cv, logistic_cv
-    from sheaf.plans.features import model_inputs
+    from sheaf.plans.features import FOLD, model_inputs
     inputs = model_inputs(tables(spark, sf), FIX)
-    return (logistic_cv if kind == "lr" else forest_cv)(inputs.train), inputs
+    return (logistic_cv if kind == "lr" else forest_cv)(inputs.train, fold_col=FOLD), inputs
 
 
 def base_table_sql() -> str:
@@ -200,6 +199,86 @@ def q_feature_importance(spark, sf):
     return feature_importances(spark, cv.bestModel.stages[-1].featureImportances, inputs.train)
 
 
+_FOLD_SQL = "(CAST(('0x' || substr(md5(CAST(business_id AS VARCHAR)), 9, 8)) AS BIGINT) % 10)"
+
+
+@register("cv_folds", O.sql(f"""
+SELECT CAST({_FOLD_SQL} AS INTEGER) AS fold, count(*) AS n,
+       CAST(sum(CAST("delivery or takeout" AS DOUBLE)) AS DOUBLE) AS positives FROM feat
+WHERE "delivery or takeout" IS NOT NULL AND {BUCKET_SQL} < 7000 GROUP BY 1""", "feat"))
+def q_cv_folds(spark, sf):
+    """Rows and positive labels of every fold that cross-validation uses."""
+    from sheaf.plans.features import FOLD, model_inputs
+    train = model_inputs(tables(spark, sf), FIX).train
+    return train.groupBy(FOLD).agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("positives"))
+
+
+def _certificate_sql() -> str:
+    return f"""
+WITH bt AS ({base_table_sql()}),
+long AS (UNPIVOT (SELECT * EXCLUDE (business_id, delivery_or_takeout, split) FROM bt
+                  WHERE split = 'train' AND delivery_or_takeout IS NOT NULL)
+         ON COLUMNS(*) INTO NAME feature VALUE x),
+stats AS (SELECT feature, {O.r2("avg(x)", 6)} AS mean, {O.r2("stddev_samp(x)", 6)} AS std FROM long GROUP BY feature
+          UNION ALL SELECT '(intercept)', 1.0, 0.0)
+SELECT CAST(p.reg AS DOUBLE) AS reg_param, feature, mean, std, TRUE AS at_optimum
+FROM stats, (VALUES (0.1), (0.01)) p(reg)"""
+
+
+@register("lr_certificate", _certificate_sql())
+def q_lr_certificate(spark, sf):
+    """For every penalty of the grid and every feature: its moments, and that the gradient of the penalised loss
+    vanishes at the fitted coefficients (below 1e-4), which only the optimum does."""
+    from pyspark.ml.classification import LogisticRegression
+
+    from sheaf.operators.model import LR_GRID, logistic_certificate
+    from sheaf.plans.features import model_inputs
+    train = model_inputs(tables(spark, sf), FIX).train
+    attrs = train.schema["features"].metadata["ml_attr"]["attrs"]
+    names = spark.createDataFrame([(-1, "(intercept)"), *((a["idx"], a["name"]) for g in attrs.values() for a in g)],
+                                  "feature int, name string")
+    out = []
+    for reg in LR_GRID["regParam"]:
+        model = LogisticRegression(regParam=reg, maxIter=max(LR_GRID["maxIter"]), tol=1e-10).fit(train)
+        out.append(logistic_certificate(model, train).join(names, "feature").select(
+            F.lit(float(reg)).alias("reg_param"), F.col("name").alias("feature"), round_half_up("mean", 6).alias("mean"),
+            round_half_up("std", 6).alias("std"), (F.abs("gradient") < 1e-4).alias("at_optimum")))
+    return out[0].unionByName(out[1])
+
+
+def _forest_facts(spark, cv, inputs) -> dict:
+    """Whether the node table alone gives the model's votes and importances."""
+    from sheaf.operators.forest import importances_of_nodes, node_table, score_by_joins
+    model = cv.bestModel.stages[-1]
+    nodes = node_table(spark, model)
+    own = score_by_joins(nodes, inputs.test, model.getNumTrees, model.getOrDefault("maxDepth"))
+    theirs = cv.transform(inputs.test).select(KEY, vector_to_array("rawPrediction").alias("votes"),
+                                              F.col("prediction").alias("p"))
+    off = F.abs(F.col("raw")[1] - F.col("votes")[1]) + F.abs(F.col("raw")[0] - F.col("votes")[0])
+    same = own.join(theirs, KEY, "full").agg(
+        F.coalesce(F.max(F.coalesce(off, F.lit(1.0))) < 1e-9, F.lit(True)).alias("votes"),
+        F.coalesce(F.bool_and((F.col("prediction") == F.col("p")) | (F.abs(F.col("raw")[0] - F.col("raw")[1]) < 1e-9)),
+                   F.lit(True)).alias("labels")).first()
+    mine = {r["feature"]: r["score"] for r in importances_of_nodes(nodes).collect()}  # one per feature
+    given = model.featureImportances
+    close = all(abs(mine.get(i, 0.0) - given[i]) < 1e-9 for i in range(given.size))
+    return {"votes_from_nodes": F.lit(bool(same["votes"])), "labels_from_nodes": F.lit(bool(same["labels"])),
+            "importances_from_nodes": F.lit(close)}
+
+
+@register("forest_importance_of_nodes")
+def q_forest_importance_of_nodes(spark, sf):
+    """Importances of a forest of the grid's smallest size, from its node table."""
+    from pyspark.ml.classification import RandomForestClassifier
+
+    from sheaf.operators.forest import importances_of_nodes, node_table
+    from sheaf.operators.model import RF_GRID, SEED
+    from sheaf.plans.features import model_inputs
+    train = model_inputs(tables(spark, sf), FIX).train
+    model = RandomForestClassifier(seed=SEED, numTrees=min(RF_GRID["numTrees"])).fit(train)
+    return importances_of_nodes(node_table(spark, model))
+
+
 # Model results have no SQL form; their invariants have. Every test row is checked, and the facts that
 # hold for the whole model are on each row.
 
@@ -231,6 +310,7 @@ def _checked(spark, sf, kind: str) -> DataFrame:
             spark, cv.bestModel.stages[-1].featureImportances, inputs.train, top=None).collect()]
         facts |= {"importances_sum_to_one": F.lit(abs(sum(imp) - 1) < 1e-9),
                   "importances_in_order": F.lit(imp == sorted(imp, reverse=True) and min(imp) >= 0)}
+        facts |= _forest_facts(spark, cv, inputs)
     p = F.col("probability")
     follows = F.col("prediction") == (p > 0.5).cast("double")
     return scored.select(KEY, "label", F.col("prediction").isin(0.0, 1.0).alias("prediction_is_a_label"),
@@ -244,6 +324,7 @@ def q_lr_checked(spark, sf):
 
 
 @register("rf_checked", O.sql(_CHECKED.format(
-    points=3, more=", TRUE AS importances_sum_to_one, TRUE AS importances_in_order"), "feat"))
+    points=3, more=", TRUE AS importances_sum_to_one, TRUE AS importances_in_order, TRUE AS votes_from_nodes, "
+                  "TRUE AS labels_from_nodes, TRUE AS importances_from_nodes"), "feat"))
 def q_rf_checked(spark, sf):
     return _checked(spark, sf, "rf")
