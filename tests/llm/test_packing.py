@@ -15,7 +15,6 @@ PATH = P.path("byte_bpe_50k.json")
 @pytest.fixture(scope="module")
 def tokens():
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids
 
 
@@ -81,6 +80,11 @@ def test_ids_are_kept_on_request(make, tokens):
 def test_encoder_equals_the_tokenizer(spark, tokens):
     enc = K.encoder(PATH)
     for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").limit(300).collect():
-        assert enc.encode_ordinary(r.text) == tokens(r.text)
+        assert K.encode(enc, r.text) == tokens(r.text)
     for t in ["'s 's don't I'LL", " \u0085\x1c\xa0　 x", "漢字 😀é", "<|endoftext|>", "\n\n  a\t\tb "]:
-        assert enc.encode_ordinary(t) == tokens(t)
+        assert K.encode(enc, t) == tokens(t)
+
+
+@pytest.mark.parametrize("text", ["hi <|endoftext|> there", "<|endoftext|>", "<|endoftext|><|endoftext|>x", "<|endoftext|", "a<|endoftext|>b "])
+def test_special_tokens_in_a_text(tokens, text):
+    assert K.encode(K.encoder(PATH), text) == tokens(text)
