@@ -11,13 +11,16 @@ leaf ranges that differ are compared last. Identical archives cost one compariso
 grouped by address, so no node gathers more than its fan-out and no hot key exists; trees are
 written to the shared checkpoint folder before the descent.
 
-Defined results: null html is an empty payload, null url an empty target; null ids lie in file -1;
+Defined results: null html is an empty payload, null url an empty target; records without an id lie in files
+below zero, which one by a hash of their bytes, so that no file gathers them all;
 rows that repeat are records of their own; empty archives have no nodes and are equal; a record in one
 replica only is ``missing`` (from the second) or ``extra``; one whose bytes differ is ``changed``.
 """
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -31,6 +34,9 @@ RANGE = 1 << 16  # bytes of a leaf range
 SPAN = RANGE * FANOUT ** 2  # address space of one file (16 MiB); a longer one runs into the next one's
 
 
+_NAMELESS = 1 << 20  # files for records without an id
+
+
 def record_bytes(url: Column, payload: Column) -> Column:
     """A WARC/1.1 resource record."""
     body = F.coalesce(payload, F.lit(b""))
@@ -44,9 +50,10 @@ def warc_records(pages: DataFrame, per_file: int = 1024, id_col: str = "page_id"
                  html_col: str = "html") -> DataFrame:
     """record_id, file, record (the bytes); records of a file are ordered by id."""
     number = F.floor(F.col(id_col).cast("long") / per_file).cast("long")
-    return pages.select(F.col(id_col).cast("long").alias("record_id"),
-                        F.coalesce(number, F.lit(-1).cast("long")).alias("file"),
+    rows = pages.select(F.col(id_col).cast("long").alias("record_id"), number.alias("file"),
                         record_bytes(F.col(url_col), F.encode(F.col(html_col), "UTF-8")).alias("record"))
+    below = -1 - F.pmod(F.xxhash64("record"), F.lit(_NAMELESS))
+    return rows.withColumn("file", F.coalesce("file", below.cast("long")))
 
 
 def manifest(records: DataFrame) -> DataFrame:
@@ -123,7 +130,7 @@ def merkle_tree(layout: DataFrame, levels: int, tmp: Scratch) -> list[DataFrame]
 
 def _levels(*layouts: DataFrame) -> int:
     """Levels up to a root: the highest address decides, so all replicas get the same number."""
-    top = max((r for x in layouts for r in [x.agg(F.max("file")).first()[0]] if r is not None), default=0)
+    top = max((r for x in layouts for r in [x.agg(F.max(F.abs("file"))).first()[0]] if r is not None), default=0)
     n, nodes = 1, (top + 1) * (SPAN // RANGE)
     while nodes > 1:
         n, nodes = n + 1, -(-nodes // FANOUT)
@@ -131,8 +138,11 @@ def _levels(*layouts: DataFrame) -> int:
 
 
 def _differing(a: DataFrame, b: DataFrame, keys: list[str], value: str) -> DataFrame:
-    x, y = a.withColumnRenamed(value, "_a"), b.withColumnRenamed(value, "_b")
-    return x.join(y, keys, "full").filter(~F.col("_a").eqNullSafe(F.col("_b")))
+    x, y = a.withColumnRenamed(value, "_a"), b.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col(value).alias("_b"))
+    same = functools.reduce(operator.and_, [x[k].eqNullSafe(y[f"_{k}"]) for k in keys])
+    both = x.join(y, same, "full").filter(~F.col("_a").eqNullSafe(F.col("_b")))
+    here = F.col("_a").isNotNull()
+    return both.select(*[F.when(here, F.col(k)).otherwise(F.col(f"_{k}")).alias(k) for k in keys], "_a", "_b")
 
 
 def audit(first: DataFrame, second: DataFrame) -> DataFrame:
@@ -167,7 +177,7 @@ def damaged_copy(records: DataFrame, layout: DataFrame) -> DataFrame:
     second = records.filter(mark != "19").select(
         "record_id", F.col("file").alias("_file"), F.sha2("record", 256).alias("_was"),
         F.sha2(F.when((mark == "07") & (n > 4), flipped).otherwise(F.col("record")), 256).alias("_is"))
-    same = (F.col("record_id") == F.col("_id")) & (F.col("digest") == F.col("_was"))
+    same = F.col("record_id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_was"))
     second = second.withColumnRenamed("record_id", "_id").dropDuplicates(["_id", "_was"])
     return layout.join(second, same).select("record_id", "file", "length", F.col("_is").alias("digest"), "offset")
 

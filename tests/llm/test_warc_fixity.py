@@ -54,6 +54,25 @@ def test_odd_pages(spark):
     assert [(r.record_id, r.status) for r in W.audit(m, lost).collect()] == [(3, "missing")]
 
 
+def test_intact_pages_without_an_id_are_not_damaged(spark):
+    """Through the registered query's replica: only the marked ids are damaged; nameless records lie in many files."""
+    rows = [(None, f"u{i}", f"<p>{i}") for i in range(40)] + [(None, "u1", "<p>1")] + [(i, "u", f"<p>{i}") for i in range(600)]
+    records = W.warc_records(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    layout = W.manifest(records)
+    assert layout.filter("record_id IS NULL").select("file").distinct().count() == 40
+    got = {(r.record_id, r.status) for r in W.audit(layout, W.damaged_copy(records, layout)).collect()}
+    import hashlib
+    mark = {i: hashlib.sha256(str(i).encode()).hexdigest()[:2] for i in range(600)}
+    assert got == {(i, "missing" if m == "19" else "changed") for i, m in mark.items() if m in ("07", "19")} and len(got) > 2
+
+
+def test_a_lost_page_without_an_id_is_missing_once(spark):
+    m = W.manifest(W.warc_records(spark.createDataFrame([(None, "a", "x"), (None, "b", "y")],
+                                                        "page_id long, url string, html string")))
+    keep = m.orderBy("file").limit(1)
+    assert [(r.record_id, r.status) for r in W.audit(m, keep).collect()] == [(None, "missing")]
+
+
 def test_empty_archives(spark):
     m = W.manifest(W.warc_records(pages(spark, 0)))
     full = W.manifest(W.warc_records(pages(spark, 3)))
