@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,8 +53,11 @@ reviews user-comments""".split())
 ARTICLE_WORDS = frozenset("""article articlebody body-text content entry entry-content main maincontent main-content
 post postbody post-content story storybody text""".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-                    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
+#: A comment, a declaration or a tag, as browsers end them: an empty comment ends at once, a quote counts only
+#: right after an equals sign, an unquoted value runs to white space or the tag's end.
+_TOKEN = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
+                    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*(?:\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z)|[^\s\"'>][^\s>]*|(?=>)|\Z))*)"
+                    r"(?:>|\Z)", re.S)
 _ATTR = re.compile(r"""([^\s=/>"']+)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _WORD = re.compile(r"[a-z]+(?:-[a-z]+)*")
 _SPACE = re.compile(r"\s+")
@@ -110,14 +114,14 @@ def blocks(page: str) -> list[Block]:
     place, hidden, links, pos = PLAIN, 0, 0, 0
     text: list[str] = []
     linked: list[str] = []
+    opened: Counter[str] = Counter()
 
     def flush() -> None:
         if text:
             joined = _SPACE.sub(" ", html.unescape("".join(text))).strip()
             if joined:
-                tags = [t for t, _, _ in stack[-3:]]
-                out.append(Block(joined, len(" ".join(linked).split()), place, bool(HEADING & set(tags)),
-                                 "li" in tags))
+                out.append(Block(joined, len(" ".join(linked).split()), place, any(opened[t] for t in HEADING),
+                                 opened["li"] > 0))
             text.clear()
             linked.clear()
 
@@ -131,6 +135,7 @@ def blocks(page: str) -> list[Block]:
         nonlocal place, hidden, links
         while len(stack) > at:
             tag, place, hidden = stack.pop()
+            opened[tag] -= 1
             if tag == "a":
                 links -= 1
 
@@ -165,11 +170,11 @@ def blocks(page: str) -> list[Block]:
                     break
                 if stack[at][0] in BLOCK and stack[at][0] != "p":
                     break
-        elif tag in BLOCK and stack and any(t == "p" for t, _, _ in stack[-4:]):
+        elif tag in BLOCK and opened["p"]:
             close(max(i for i, s in enumerate(stack) if s[0] == "p"))
         elif tag == "a" and links:
             close(max(i for i, s in enumerate(stack) if s[0] == "a"))
-        if tag in ("body", "article", "main") and hidden and any(t == "head" for t, _, _ in stack):
+        if tag in ("body", "article", "main") and hidden and opened["head"]:
             close(min(i for i, s in enumerate(stack) if s[0] == "head"))
         if tag == "svg" and m[3].rstrip().endswith("/"):  # foreign content: an empty element
             continue
@@ -180,6 +185,7 @@ def blocks(page: str) -> list[Block]:
         if m[3].rstrip().endswith("/") and tag not in BLOCK:
             continue
         stack.append((tag, place, hidden))
+        opened[tag] += 1
         hidden += tag in HIDDEN
         links += tag == "a"
         if tag in BLOCK or tag in ("span", "ins"):
@@ -252,6 +258,7 @@ class Tree:
 
 _LONG = ("The council met on Tuesday to discuss the new bridge over the river and heard from engineers, "
          "residents and two members of the planning board before it voted to go ahead with the work.")
+_ITEM = "Ten things to know about the new bridge over the river"
 _MID = "Work on the foundations will start in the spring and take about a year."
 #: The labelled table: small pages; a block whose text starts with * is main text (the star is
 #: stripped, and is not part of any feature).
@@ -270,11 +277,16 @@ LABELLED = (
     f"<p><a>Privacy</a> <a>Terms</a><p>Contact",
     f"<article><p>*{_MID}<p>*{_MID}<p>*Thanks.<div class=share><a>Share</a> this page</div><p>*{_MID}<div class=promo><p>{_LONG}</div>"
     f"<p>*{_LONG}</article><section class=comments><h3>Comments</h3><p>{_LONG}</section>",
-    "<article><p>*Of.<p>*Sh is.</article><footer>Imprint</footer>",
+    "<article><p>*Of.<p>*She is.</article><footer>Imprint</footer>",
     "<nav><a>Home</a></nav><article><h1>*<a>Linked heading</a></h1><p>*<a>One link only</a></article>",
     f"<div><h1>*Short note</h1><p>*{_MID}</div><div class=footer>{_MID}</div>",
-    "<article><h1>*<a>Linked heading</a></h1><p>*Of.<p>*Sh is.<p>*<a>A list of links</a><p>*Yes.<p>*<a>Two</a><p>*No, thanks.</article>",
+    "<article><h1>*<a>Linked heading</a></h1><p>*Of.<p>*She is.<p>*<a>A list of links</a><p>*Yes.<p>*<a>Two</a><p>*No, thanks.</article>",
     "<main><p>*<a>Chapter one</a><p>*Short text.<ul><li>*<a>Part two</a><li>*Short item</ul><p>*The end.</main><p><a>Top</a><p>End of page",
+    # plain pages: what a block's neighbours hold decides
+    f"<div><p>*{_LONG}<p>*He said no.<p>*{_LONG}<p>*{_MID}</div><ul><li><a>{_ITEM}</a><li><a>{_ITEM}</a></ul><p>Imprint",
+    f"<div><h2>*Plan</h2><p>*{_LONG}<ul><li>*First point<li>*Second point of it</ul><p>*{_LONG}</div><p><a>Home</a><p>Contact us",
+    f"<p>Sections<p><a>World</a><p>*{_LONG}<p>*They agreed.<p>*{_MID}<ul><li><a>{_ITEM}</a><li><a>More of this</a></ul><p>Share this",
+    f"<ul><li><a>{_ITEM}</a><li><a>{_ITEM}</a><li><a>{_ITEM}</a></ul><p>*{_LONG}<p>*{_LONG}<p><a>{_ITEM}</a> today",
     f"<p>*{_LONG}", f"<div>*{_LONG} {_LONG}</div>", f"<table><tr><td><a>Menu</a><td>*{_LONG}<td><a>News</a></table>",
 )
 
