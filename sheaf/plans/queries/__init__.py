@@ -5,7 +5,7 @@
 registers every query; the modules group them by area.
 """
 
-from sheaf.plans.queries import (aggregates, columns, encoding, filters, models,  # noqa: F401
+from sheaf.plans.queries import (aggregates, checked, columns, encoding, filters, models,  # noqa: F401
                                  profiles, streaming, text, variants)
 from sheaf.plans.queries.common import FIX, ORACLE, QUERIES, biz, feat, tables
 

@@ -40,6 +40,27 @@ def read_table(spark: SparkSession, name: str, path: str | list[str]) -> DataFra
                       if "." in f.name else F.col(f"`{f.name}`") for f in schema.fields])
 
 
+def read_json_checked(spark: SparkSession, path: str | list[str], schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects) of JSON lines, so that no line turns into nulls unseen.
+
+    A line is parsed once, as a variant. ``rows`` are the objects, with the schema's fields and ``drifted``, the names of
+    fields that are there with a value that does not fit their type (the field itself is null). ``rejects`` are the
+    other lines that are not blank, as text, with the ``reason``: ``malformed`` (no JSON) or ``not an object``. What follows
+    a complete value on a line is not looked at (Spark's parser ends there).
+    """
+    lines = spark.read.text(path).filter(F.trim("value") != "").select("value", F.try_parse_json("value").alias("v"))
+    kind = F.schema_of_variant("v")
+    lines = lines.withColumn("reason", F.when(F.col("v").isNull(), "malformed")
+                             .when(~kind.startswith("OBJECT"), "not an object"))
+    at = {f.name: "$['" + f.name + "']" for f in schema.fields}
+    value = {f.name: F.try_variant_get("v", at[f.name], f.dataType.simpleString()) for f in schema.fields}
+    off = [F.when(F.try_variant_get("v", at[n], "variant").isNotNull() & ~F.is_variant_null(
+        F.try_variant_get("v", at[n], "variant")) & c.isNull(), F.lit(n)) for n, c in value.items()]
+    rows = lines.filter("reason IS NULL").select(*[c.alias(n) for n, c in value.items()],
+                                                 F.array_compact(F.array(*off)).alias("drifted"))
+    return rows, lines.filter("reason IS NOT NULL").select("value", "reason")
+
+
 def flatten_structs(df: DataFrame, sep: str = ".") -> DataFrame:
     """Struct fields as top-level columns named ``parent<sep>child`` (recursively), in one projection.
 
