@@ -82,3 +82,41 @@ def test_filter_keeps_columns(make, odd_rows):
     out = L.drop_unidentified(df, min_score=0.1)
     assert out.columns == df.columns
     assert {r.doc_id for r in df.collect()} - {r.doc_id for r in out.collect()} == {1000, 1001, 1002}
+
+
+def code(gram):
+    """The integer that orders n-grams (see ``text_grams``)."""
+    c = [0 if x == " " else ord(x) for x in gram]
+    return c[0] if len(c) == 1 else (c[0] << 21 | c[1]) | 1 << 62 if len(c) == 2 else -(c[0] << 42 | c[1] << 21 | c[2])
+
+
+def ranked(counts, size):
+    return [g for g, _ in sorted(((code(g), n) for g, n in counts.items()), key=lambda x: (-x[1], x[0]))[:size]]
+
+
+def plain_language(rows, size):
+    """Out-of-place distances with plain lists: {id: (language, score)}."""
+    import collections
+    counts = collections.defaultdict(collections.Counter)
+    for i, text, lang in rows:
+        if lang and text and zlib.crc32(str(i).encode()) % 4 != 2:
+            counts[lang].update(plain_profile([text], 0))
+    profiles = {lang: ranked(n, size) for lang, n in sorted(counts.items())}
+    out = {}
+    for i, text, _ in rows:
+        own = ranked(plain_profile([text or ""], 0), size)
+        far = {lang: sum(abs(k - p.index(g)) if g in p else size for k, g in enumerate(own)) for lang, p in profiles.items()}
+        best = min(far, key=lambda x: (far[x], x)) if own and far else None
+        out[i] = (best, 1 - far[best] / (size * len(own))) if best else ("und", 0.0)
+    return out
+
+
+@pytest.mark.parametrize("size", [5, 40, 300])
+def test_language_and_distance_match_plain_code(make, size):
+    """Also with profiles so short that ranks tie, equal distances and languages with equal profiles."""
+    rows = docs(80, seed=size) + [(500, "", None), (501, "a", None), (502, "ing ung eau", None), (503, "12", None)]
+    rows += [(600 + i, "same words here", lang) for i, lang in enumerate(["dd", "ee", "dd", "ee", "ff", "ff", "dd", "ee"])]
+    got = {r.doc_id: (r.lang_pred, r.score) for r in L.language_id(make(rows), size).collect()}
+    want = plain_language(rows, size)
+    assert {i: v[0] for i, v in got.items()} == {i: v[0] for i, v in want.items()}
+    assert all(got[i][1] == pytest.approx(want[i][1], abs=1e-12) for i in got)
