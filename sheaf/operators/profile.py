@@ -5,15 +5,18 @@ Each profile is one aggregation over all columns: a single scan with partial agg
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sheaf.functions.safe import round_half_up
 from sheaf.operators.columns import q
+from sheaf.operators.quantiles import exact_quantiles, exact_quantiles_multi
+
+__all__ = ["column_means", "describe", "describe_numeric", "drop_sparse", "exact_quantiles", "exact_quantiles_multi",
+           "iqr_bounds", "missing_condition", "missing_counts", "missing_share", "nan_text", "sparse_columns", "to_long"]
 
 
 def nan_text(col: Column) -> Column:
@@ -77,115 +80,6 @@ def drop_sparse(df: DataFrame, threshold: float = 0.40, keep: Iterable[str] = ()
     return df.select([q(c) for c in df.columns if c not in drop])
 
 
-# ---------------------------------------------------------------------------------------------
-# Exact quantiles
-
-def _rank(p: float, n: int) -> int:
-    """1-based rank of the p-quantile: the smallest value whose cumulative share reaches p."""
-    return min(n, max(1, math.ceil(p * n - 1e-9)))
-
-
-def exact_quantiles_multi(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                          max_exact_rows: int = 500_000,
-                          accuracy: int = 10_000) -> dict[str, list]:
-    """Exact (observed-value) quantiles of several numeric columns.
-
-    Matches ``percentile_disc`` and ``approxQuantile(col, probs, 0)``, but memory stays bounded: those
-    gather every distinct value of a column into one buffer. Every (column, probability) target is a
-    bracket of values known to hold its rank. While a bracket holds more than ``max_exact_rows``
-    rows it is narrowed: two approximate percentiles a <= b around the target rank, and exact counts below
-    and up to each. The rank falls on a, on b, or strictly between them, which is the next bracket; each
-    round shrinks it by about ``accuracy / 4`` and takes at least two values out of it, so it ends. Brackets small enough are ranked exactly from a value histogram. All targets
-    move together, so each round is one percentile job and one counting job whatever their number.
-    """
-    vals = {c: q(c).cast("double") for c in cols}
-    valid = {c: vals[c].isNotNull() & ~F.isnan(vals[c]) for c in cols}
-    counts = df.agg(*[F.count_if(valid[c]).alias(f"n{i}") for i, c in enumerate(cols)]).first()
-    targets = []
-    for i, c in enumerate(cols):
-        n = counts[f"n{i}"]
-        for p in probs:
-            t = {"col": c, "result": None, "done": n == 0}
-            if n:
-                t.update(k=_rank(p, n), lo=None, hi=None, below=0, cnt=n, delta=4.0 / accuracy)
-            targets.append(t)
-
-    def in_range(t):
-        cond = valid[t["col"]]
-        if t["lo"] is not None:
-            cond = cond & (vals[t["col"]] > t["lo"]) & (vals[t["col"]] < t["hi"])
-        return cond
-
-    while True:
-        small = [t for t in targets if not t["done"] and t["cnt"] <= max_exact_rows]
-        if small:
-            _rank_in_histograms(df, small, vals, in_range)
-        big = [t for t in targets if not t["done"]]
-        if not big:
-            break
-        _narrow(df, big, vals, in_range, accuracy)
-    out: dict[str, list] = {c: [] for c in cols}
-    for t in targets:
-        out[t["col"]].append(t["result"])
-    return out
-
-
-def _rank_in_histograms(df: DataFrame, targets: list, vals, in_range) -> None:
-    """Resolve targets whose bracket holds few rows: one histogram per distinct bracket, all in one
-    job; the running count over each (bounded) histogram finds each rank."""
-    ranges: dict = {}
-    for t in targets:
-        t["r"] = ranges.setdefault((t["col"], t["lo"], t["hi"]), len(ranges))
-    reps = {r: next(t for t in targets if t["r"] == r) for r in ranges.values()}
-    long = df.select(F.inline(F.array(*[
-        F.struct(F.lit(r).alias("r"), vals[t["col"]].alias("v"), in_range(t).alias("ok"))
-        for r, t in reps.items()]))).filter("ok")
-    hist = long.groupBy("r", "v").agg(F.count(F.lit(1)).alias("c"))
-    w = Window.partitionBy("r").orderBy("v").rowsBetween(Window.unboundedPreceding,
-                                                          Window.currentRow)
-    cum = hist.select("r", "v", F.sum("c").over(w).alias("cum"))
-    row = cum.agg(*[F.min(F.when((F.col("r") == t["r"]) & (F.col("cum") >= t["k"] - t["below"]),
-                                 F.col("v"))).alias(f"t{j}") for j, t in enumerate(targets)]).first()
-    for j, t in enumerate(targets):
-        t["result"], t["done"] = row[f"t{j}"], True
-
-
-def _narrow(df: DataFrame, targets: list, vals, in_range, accuracy: int) -> None:
-    fr = []
-    for t in targets:
-        f = (t["k"] - t["below"]) / t["cnt"]
-        fr.append((max(0.0, f - t["delta"]), min(1.0, f + t["delta"])))
-    piv = df.agg(*[F.percentile_approx(F.when(in_range(t), vals[t["col"]]), list(fr[j]), accuracy)
-                   .alias(f"p{j}") for j, t in enumerate(targets)]).first()
-    ab = [piv[f"p{j}"] for j in range(len(targets))]
-    cnt = df.agg(*[e for j, t in enumerate(targets) for e in (
-        F.count_if(in_range(t) & (vals[t["col"]] < ab[j][0])).alias(f"lta{j}"),
-        F.count_if(in_range(t) & (vals[t["col"]] <= ab[j][0])).alias(f"lea{j}"),
-        F.count_if(in_range(t) & (vals[t["col"]] < ab[j][1])).alias(f"ltb{j}"),
-        F.count_if(in_range(t) & (vals[t["col"]] <= ab[j][1])).alias(f"leb{j}"))]).first()
-    for j, t in enumerate(targets):
-        a, b = ab[j]
-        lta, lea, ltb, leb = (t["below"] + cnt[f"{n}{j}"] for n in ("lta", "lea", "ltb", "leb"))
-        if lta < t["k"] <= lea:
-            t["result"], t["done"] = a, True
-        elif ltb < t["k"] <= leb:
-            t["result"], t["done"] = b, True
-        elif lea < t["k"] <= ltb:
-            if ltb - lea >= t["cnt"]:
-                raise RuntimeError("quantile bracket did not shrink")
-            t.update(lo=a, hi=b, below=lea, cnt=ltb - lea, delta=4.0 / accuracy)
-        elif fr[j] == (0.0, 1.0):
-            raise RuntimeError("quantile bracket failed")
-        else:
-            t["delta"] *= 4
-
-
-def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], max_exact_rows: int = 500_000,
-                    accuracy: int = 10_000) -> list:
-    """Exact quantiles of one column; see ``exact_quantiles_multi``."""
-    return exact_quantiles_multi(df, [col], probs, max_exact_rows, accuracy)[col]
-
-
 def iqr_bounds(df: DataFrame, cols: Sequence[str], whisker: float = 1.5, **kw) -> DataFrame:
     """Exact quartiles and ``whisker`` x IQR fences per column (Q6), one row per column."""
     qs = exact_quantiles_multi(df, cols, [0.25, 0.75], **kw)

@@ -84,3 +84,44 @@ def test_one_hot_reads_no_fact_table(spark):
     plan = _plan(C.QUERIES["one_hot"](spark, "/root/testdata/sf0.01"))
     assert "customer.parquet" in plan
     assert not any(t in plan for t in ("orders.parquet", "events.parquet", "labels.parquet"))
+
+
+def test_quantiles_in_three_passes(spark, monkeypatch):
+    """One pass sketches, at most one narrows and one ranks, with a third of the rows at one value."""
+    from sheaf.operators import quantiles as Q
+    passes = []
+    for name in ("_sketch_pass", "_rank_pass"):
+        def counted(*a, name=name, call=getattr(Q, name)):
+            passes.append(name)
+            return call(*a)
+        monkeypatch.setattr(Q, name, counted)
+    n = 200_000
+    df = spark.range(n).select(F.when(F.col("id") % 3 == 0, 0.5).otherwise(F.pmod(F.xxhash64("id"), F.lit(n)) / n).alias("v"))
+    got = Q.exact_quantiles_multi(df, ["v"], [0.1, 0.25, 0.5, 0.75, 0.9])["v"]
+    assert passes == ["_sketch_pass", "_rank_pass"]
+    passes.clear()
+    small = Q.exact_quantiles_multi(df, ["v"], [0.1, 0.25, 0.5, 0.75, 0.9], max_exact_rows=1000, accuracy=1024)["v"]
+    assert passes == ["_sketch_pass", "_sketch_pass", "_rank_pass"]
+    values = sorted(r.v for r in df.collect())
+    assert got == small == [values[-(-int(p * 100) * n // 100) - 1] for p in (0.1, 0.25, 0.5, 0.75, 0.9)]
+
+
+def test_quantiles_mend_ends_that_miss(spark, monkeypatch):
+    """Ends that do not enclose the rank are found out by the counts and moved apart."""
+    from sheaf.operators import quantiles as Q
+    monkeypatch.setattr(Q, "sketch_error", lambda k: 1e-6)
+    df = spark.range(5000).select((F.pmod(F.xxhash64("id"), F.lit(2500)) - 1000).cast("double").alias("v"))
+    values = sorted(r.v for r in df.collect())
+    for most in (20, 10_000):
+        got = Q.exact_quantiles(df, "v", [0.01, 0.5, 0.99], max_exact_rows=most, accuracy=8)
+        assert got == [values[49], values[2499], values[4949]]
+
+
+def test_quantiles_of_odd_values(spark):
+    from sheaf.operators.quantiles import exact_quantiles_multi
+    inf, nan = float("inf"), float("nan")
+    df = spark.createDataFrame([(-inf, None, 1), (inf, None, 1), (nan, nan, 1), (None, None, 1), (0.0, None, 1), (-0.0, None, 1)],
+                               "a double, b double, `c.d` int")
+    got = exact_quantiles_multi(df, ["a", "b", "c.d"], [0.0, 0.5, 1.0])
+    assert got == {"a": [-inf, 0.0, inf], "b": [None, None, None], "c.d": [1.0, 1.0, 1.0]}
+    assert exact_quantiles_multi(df.limit(0), ["a"], [0.5]) == {"a": [None]}
