@@ -20,12 +20,14 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sheaf.operators.bucketed import Bucketed, bucket_rollups, bucketed_star_join
 from sheaf.operators.columns import drop_columns, drop_prefix, q, rename_column, sanitize_names
 from sheaf.operators.encode import OneHotEncoder, WoeEncoder
 from sheaf.operators.filters import DEFAULT_EXCLUSIONS, allow_list, any_in, flags, recode
 from sheaf.operators.hours import opening_hours
 from sheaf.operators.impute import MeanImputer, MeanImputerModel, fill_constant
 from sheaf.operators.joins import star_join
+from sheaf.operators.observed import Profile, materialize_observed
 from sheaf.operators.profile import drop_sparse
 from sheaf.operators.rollups import checkin_rollup, covid_target, review_rollup, tip_rollup
 from sheaf.operators.split import fold_number, split_label
@@ -112,10 +114,18 @@ def rollups(t: Tables, p: Params = Params()) -> list[DataFrame]:
             tip_rollup(t.tip, p.activity_as_of), covid_target(t.covid)]
 
 
-def feature_table(t: Tables, p: Params = Params(), allow: list | None = None) -> DataFrame:
-    """Restaurants star-joined with their rollups."""
+def feature_table(t: Tables, p: Params = Params(), allow: list | None = None,
+                  stored: list[Bucketed] | None = None) -> DataFrame:
+    """Restaurants star-joined with their rollups, or with ``stored`` ones (``stored_rollups``) whose facts
+    have not changed."""
     rest = restaurants(prepare_business(t.business, p), p, allow)
-    return drop_prefix(star_join(rest, rollups(t, p), KEY), "hours")
+    joined = star_join(rest, rollups(t, p), KEY) if stored is None else bucketed_star_join(rest, stored, KEY)
+    return drop_prefix(joined, "hours")
+
+
+def stored_rollups(t: Tables, p: Params = Params(), buckets: int | None = None) -> list[Bucketed]:
+    """The rollups, written once in buckets of the key for any number of feature tables."""
+    return bucket_rollups(rollups(t, p), KEY, buckets)
 
 
 def encode_categoricals(df: DataFrame, p: Params = Params()) -> DataFrame:
@@ -130,8 +140,12 @@ def encode_categoricals(df: DataFrame, p: Params = Params()) -> DataFrame:
     return OneHotEncoder(prefixes, p.max_levels).fit(df).transform(df)
 
 
-def encoded_table(feat: DataFrame, p: Params = Params()) -> DataFrame:
-    d = drop_sparse(feat, p.sparse_threshold, keep=p.keep)
+def encoded_table(feat: DataFrame, p: Params = Params(), profile: Profile | None = None) -> DataFrame:
+    """Sparse columns dropped, categoricals encoded; a ``profile`` of the table saves the pass that finds sparse columns."""
+    if profile is None:
+        d = drop_sparse(feat, p.sparse_threshold, keep=p.keep)
+    else:
+        d = feat.drop(*profile.sparse_columns(p.sparse_threshold, p.keep))
     d = encode_categoricals(d, p)
     return rename_column(drop_columns(d, FINAL_DROPS), TARGET, LABEL)
 
@@ -168,17 +182,22 @@ def prepared(encoded: DataFrame, p: Params = Params()) -> DataFrame:
 def materialized_features(t: Tables, p: Params = Params()) -> DataFrame:
     """The star-joined feature table, written once as Parquet in the shared checkpoint folder.
 
-    The encoding stages make several passes (sparse-column profile, one-hot levels, WOE and mean
+    The encoding stages make several passes (one-hot levels, WOE and mean
     fits, the output); each reads only the columns it needs from one written table instead of
     re-running every rollup and join, and a lost executor re-reads the table, not the sources.
     """
-    from sheaf.session import materialize
-    return materialize(feature_table(t, p), "features")
+    return profiled_features(t, p)[0]
+
+
+def profiled_features(t: Tables, p: Params = Params(), nulls_only: bool = True) -> tuple[DataFrame, Profile]:
+    """``materialized_features`` and the profile that its write observed."""
+    return materialize_observed(feature_table(t, p), "features", nulls_only)
 
 
 def base_table(t: Tables, p: Params = Params()) -> DataFrame:
     """The modelling table: encoded features, WOE and imputation fitted on train, a split column."""
-    return prepared(encoded_table(materialized_features(t, p), p), p)
+    features, profile = profiled_features(t, p)
+    return prepared(encoded_table(features, p, profile), p)
 
 
 def model_inputs(t: Tables, p: Params = Params()) -> ModelInputs:

@@ -12,9 +12,11 @@ from sheaf.operators.hours import opening_hours
 from sheaf.operators.joins import left_join
 from sheaf.operators.rollups import checkin_rollup, covid_target
 from sheaf.plans import oracle as O
-from sheaf.plans.features import CARD_RECODE, KEY, TARGET, category_allow_list
+from sheaf.plans.features import (CARD_RECODE, KEY, TARGET, category_allow_list, feature_table,
+                                  stored_rollups)
 from sheaf.sources import fixtures as fx
-from sheaf.plans.queries.common import FIX, CATS, CARDS, HOURS_FEATURES, register, biz, feat
+from sheaf.plans.queries.common import (FIX, CATS, CARDS, HOURS_FEATURES, register, biz, feat,
+                                        tables)
 
 
 # ----------------------------------------------------------------------------------- filters
@@ -91,3 +93,10 @@ def q_left_join(spark, sf):
 @register("feature_join", O.sql("SELECT * FROM feat", "feat"))
 def q_feature_join(spark, sf):
     return feat(spark, sf)
+
+
+@register("feature_join_bucketed", O.sql("SELECT * FROM feat", "feat"))
+def q_feature_join_bucketed(spark, sf):
+    """The star join over rollups kept in buckets of the key."""
+    t = tables(spark, sf)
+    return feature_table(t, FIX, stored=stored_rollups(t, FIX))

@@ -9,6 +9,7 @@ from sheaf.operators.columns import q
 from sheaf.operators.profile import (describe, describe_numeric, drop_sparse, iqr_bounds, missing_counts,
                                      missing_share, to_long)
 from sheaf.plans import oracle as O
+from sheaf.plans.features import profiled_features
 from sheaf.sources import fixtures as fx
 from sheaf.plans.queries.common import FIX, biz, feat, feat_materialized, register, tables
 from sheaf.plans.queries.models import base_table_sql
@@ -62,6 +63,20 @@ def q_sparse_columns(spark, sf):
         spark.createDataFrame([], "column string, share double"))
 
 
+def _long_sql(columns: str, value: str) -> str:
+    return f"(UNPIVOT (SELECT {columns} FROM feat) ON COLUMNS(*) INTO NAME \"column\" VALUE {value})"
+
+
+@register("profile_on_write", O.sql(
+    'SELECT "column", (SELECT count(*) FROM feat) AS "rows", missing, missing_or_empty, share FROM '
+    f"{_long_sql(O.missing_sql(O.FEAT_KINDS, False), 'missing')} JOIN "
+    f"{_long_sql(O.missing_sql(O.FEAT_KINDS, True), 'missing_or_empty')} USING (\"column\") JOIN "
+    f"{_long_sql(O.share_sql(O.FEAT_KINDS), 'share')} USING (\"column\")", "feat"))
+def q_profile_on_write(spark, sf):
+    """Missing counts and shares of the feature table, observed while it is written."""
+    return profiled_features(tables(spark, sf), FIX, nulls_only=False)[1].to_frame(spark)
+
+
 def _iqr_sql(c: str) -> str:
     return (f"SELECT '{c}' AS \"column\", q1, q3, q1 - 1.5 * (q3 - q1) AS lower, "
             f"q3 + 1.5 * (q3 - q1) AS upper FROM (SELECT CAST(quantile_disc({c}, 0.25) AS DOUBLE) "
