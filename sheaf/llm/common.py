@@ -100,12 +100,61 @@ def text_mark(column: str) -> Column:
     return F.sha2(F.coalesce(F.col(column), F.lit("")), 256)
 
 
+class KeyFilter:
+    """A filter of 64-bit hashes, for the scan of a large table that few rows of are wanted.
+
+    A bit is kept per hash, in a space of ``2**lg`` bits that is cut into rows of 32768; the rows are broadcast, ``filter_bytes``
+    at most. The space has 32 bits a hash while that fits, and a table of more than half as many hashes as bits has no filter
+    (``of`` gives None): then it would pass nearly all rows. It never misses a hash it was built of.
+    """
+
+    def __init__(self, bits: DataFrame, lg: int):
+        self.bits, self.lg = bits, lg
+
+    @classmethod
+    def of(cls, hashes: DataFrame, n: int, filter_bytes: int = 1 << 26) -> KeyFilter | None:
+        """The filter of the ``n`` rows of the one column of ``hashes``."""
+        lg = min(max(15, (32 * n - 1).bit_length()), (8 * filter_bytes).bit_length() - 1)
+        if 2 * n > 1 << lg:
+            return None
+        place = cls._place(F.col("h"), lg)
+        bits = hashes.toDF("h").groupBy(F.bitmap_bucket_number(place).alias("row")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+        return cls(bits, lg)
+
+    @staticmethod
+    def _place(h: Column, lg: int) -> Column:
+        return h.bitwiseAND(F.lit((1 << lg) - 1).cast("long")) + 1
+
+    def mark(self, df: DataFrame, h: Column, name: str) -> DataFrame:
+        """``df`` with the column ``name``: whether the filter may hold ``h``."""
+        row, bits, place = (fresh(c, [*df.columns, name]) for c in ("row", "bits", "place"))
+        at = F.bitmap_bit_position(place)
+        byte = F.conv(F.hex(F.substr(F.col(bits), (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+        hit = F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))
+        held = F.broadcast(self.bits.toDF(row, bits))
+        return (df.withColumn(place, self._place(h, self.lg)).join(held, F.bitmap_bucket_number(place) == F.col(row), "left")
+                .select(*[F.col(f"`{c}`") for c in df.columns], hit.alias(name)))
+
+
 def without(docs: DataFrame, id_col: str, text_col: str, rows: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose id and ``text_mark`` are the two columns of ``rows``; a null id stays."""
-    gone, mark = fresh("gone", docs.columns), fresh("mark", docs.columns)
-    rows = rows.toDF(gone, mark).filter(F.col(gone).isNotNull())
+    """``docs`` without the rows whose id and ``text_mark`` are the two columns of ``rows``; a null id stays.
+
+    Only documents that a filter of the ids may hold are shuffled and compared."""
+    gone, mark, hit = (fresh(c, docs.columns) for c in ("gone", "mark", "hit"))
+    rows = written(rows.toDF(gone, mark).filter(F.col(gone).isNotNull()), "gone")
+    n = rows.count()
+    if not n:
+        return docs
+    # Hashes differ by type: ids are compared as the documents have them.
+    kind = docs.schema[id_col].dataType
+    known = KeyFilter.of(rows.select(F.xxhash64(F.col(gone).cast(kind))), n)
     same = (F.col(f"`{id_col}`") == F.col(gone)) & (text_mark(f"`{text_col}`") == F.col(mark))
-    return docs.hint("merge").join(rows, same, "left_anti")
+    if known is None:
+        return docs.hint("merge").join(rows, same, "left_anti")
+    marked = known.mark(docs, F.xxhash64(F.col(f"`{id_col}`")), hit)
+    found = marked.filter(hit).drop(hit)
+    return marked.filter(~F.col(hit)).drop(hit).unionByName(found.hint("merge").join(rows, same, "left_anti"))
 
 
 def fan_out(spark: SparkSession, per_partition: int = 4) -> int:

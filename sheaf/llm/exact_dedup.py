@@ -7,10 +7,11 @@ loss: the sorted remainders of one slot range are merged and the counts of equal
 the slot ranges are shuffled, 12 bytes per distinct fingerprint of a task; a text that fills a third
 of all rows is one entry per task.
 
-A fingerprint with a merged count of one belongs to a unique text. The rest go to byte verification:
-their rows are grouped by the whole text, which Spark compares byte by byte, after a map-side
-combine. Every join is a plain equi-join of shuffled sides, so adaptive execution can split a hot
-key.
+A fingerprint with a merged count of one belongs to a unique text. The rest go to byte verification: a
+filter of them, of a checked size, picks their rows in a second scan (and a few others), and only these
+are shuffled, grouped by the whole text, which Spark compares byte by byte, after a map-side combine.
+If so many fingerprints repeat that no filter of ``filter_bytes`` tells them apart, their rows are
+found by an equi-join, which adaptive execution can split at a hot key; the result is the same.
 
 Defined results: a null text counts as empty; of equal texts the row with the largest id stays; a
 null id never beats another (a group of null ids only has a null ``keep_id``); rows that repeat both
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.llm.common import fan_out, ship, without
+from sheaf.llm.common import KeyFilter, fan_out, ship, without, written
 
 _FILTER = "slot int, remainders binary, counts binary"
 
@@ -81,14 +82,19 @@ def repeated_fingerprints(docs: DataFrame, fp_col: str = "fp", most: int = 1 <<
     return filters.groupBy("slot").applyInPandas(lambda g: _merge(g, bits), "fp long, n long")
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                filter_bytes: int = 1 << 26) -> DataFrame:
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256."""
     rows = docs.select(F.col(id_col).alias("doc_id"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     marked = rows.withColumn("fp", F.xxhash64("text"))
-    repeated = repeated_fingerprints(marked)
+    repeated = written(repeated_fingerprints(marked).select("fp"), "repeated")
+    known = KeyFilter.of(repeated, repeated.count(), filter_bytes)
     # Byte verification: rows of repeated fingerprints, grouped by the text itself.
-    suspects = marked.hint("merge").join(repeated.select("fp"), "fp", "left_semi")
+    if known is None:
+        suspects = marked.hint("merge").join(repeated, "fp", "left_semi")
+    else:
+        suspects = known.mark(marked, F.col("fp"), "again").filter("again")
     groups = (suspects.groupBy("text")
               .agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("n"))
               .filter("n > 1")

@@ -75,3 +75,47 @@ def test_equal_fingerprints_of_unlike_texts_are_told_apart(spark, sf, monkeypatc
     monkeypatch.setattr(X.F, "xxhash64", lambda *_: F.lit(5).cast("long"))
     df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a")], "doc_id long, text string")
     assert {r.doc_id: r.keep_id for r in X.exact_dedup(df).collect()} == {1: 3, 2: 2, 3: 3}
+
+
+@pytest.mark.parametrize("filter_bytes", [1 << 26, 1 << 12, 1])
+def test_with_and_without_a_filter(spark, filter_bytes):
+    """A filter with room, one that is nearly half full, and none give the same rows."""
+    rows = [(i, f"text {i % 1000 if i < 3000 else i}") for i in range(12_000)]
+    if filter_bytes == 1 << 12:
+        rows += [(20_000 + i, f"more {i % 13_000}") for i in range(26_000)]
+    got = X.exact_dedup(spark.createDataFrame(rows, "doc_id long, text string"), filter_bytes=filter_bytes)
+    assert sorted(map(tuple, got.select(COLS).collect()), key=repr) == brute(rows)
+
+
+def test_only_suspects_are_shuffled_as_texts(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a")], "doc_id long, text string")
+    out = X.exact_dedup(df)
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(fp" not in plan and "hashpartitioning(text#" in plan and "BroadcastHashJoin" in plan
+
+
+def test_filter_knows_its_hashes(spark):
+    from sheaf.llm.common import KeyFilter
+    from pyspark.sql import functions as F
+    held = spark.range(0, 90_000, 3).select(F.xxhash64("id").alias("h"))
+    known = KeyFilter.of(held, 30_000)
+    rows = known.mark(spark.range(90_000).withColumnRenamed("id", "row"), F.xxhash64("row"), "hit").collect()
+    assert rows[0].asDict().keys() == {"row", "hit"} and all(r.hit for r in rows if r.row % 3 == 0)
+    assert sum(r.hit for r in rows if r.row % 3) < 0.05 * 60_000
+    assert KeyFilter.of(held, 30_000, filter_bytes=4096) is None
+    edges = spark.createDataFrame([(x,) for x in (-2**63, -1, 0, 32767, 32768, 2**63 - 1)], "h long")
+    marked = KeyFilter.of(edges, 6).mark(edges, F.col("h"), "hit")
+    assert all(r.hit for r in marked.collect())
+
+
+def test_without_removes_by_id_and_text(spark):
+    from sheaf.llm.common import text_mark, without
+    from pyspark.sql import functions as F
+    docs = spark.createDataFrame([(i if i % 10 else None, f"t{i}", i) for i in range(3000)], "gone int, hit string, place int")
+    pick = docs.filter("place % 7 = 0").select(F.col("gone").cast("long"), text_mark("hit"))
+    other = spark.createDataFrame([(1, "x")], "a long, b string")
+    got = without(docs, "gone", "hit", pick.union(other))
+    assert got.columns == docs.columns
+    assert sorted(r.place for r in got.collect()) == [i for i in range(3000) if i % 10 == 0 or i % 7]
+    assert without(docs, "gone", "hit", pick.limit(0)).count() == 3000
