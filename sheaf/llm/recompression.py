@@ -36,8 +36,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.llm.common import (Scratch, fan_out, fresh, mix, powers, ship, text_mark, text_slices, window_hashes, words,
-                              written)
+from sheaf.llm.common import (Scratch, fan_out, fresh, holding, mix, powers, ship, split_by, text_mark, text_slices,
+                              window_hashes, words, written)
 from sheaf.llm.exchange import SCHEMA, Exchange, by_owner, groups
 
 _STEP = 0xD6E8FEB86659FD93  # base of the running hash over words, and its inverse modulo 2**64
@@ -328,10 +328,11 @@ def repeated_words(docs: DataFrame, window: int = 13, rounds: int = 2, id_col: s
               .groupBy(F.col("owner").alias("key")).agg(F.collect_list("sigs").alias("sigs")))
     wanted = classes.join(shared, "key").select("first", "sha", "sigs")
     # Of every class that shares a symbol, the text of its smallest document.
-    suspects = (docs.hint("merge").join(wanted, docs["doc_id"] == wanted["first"])
-                .select("doc_id", "text", "sha", "sigs")
-                .mapInArrow(_of_class, "doc_id long, text string, sha string, sigs array<binary>"))
     with Scratch(spark) as tmp:
+        wanted = tmp.write(wanted, "wanted")
+        suspects = (holding(docs, "doc_id", wanted, "first").hint("merge").join(wanted, F.col("doc_id") == F.col("first"))
+                    .select("doc_id", "text", "sha", "sigs")
+                    .mapInArrow(_of_class, "doc_id long, text string, sha string, sigs array<binary>"))
         changed = _changed(tmp.write(suspects, "suspects"), window, rounds, symbols, whole, texts)
     # A copy of an earlier text loses everything; its class may lose words of its first document.
     first = written(classes.select("sha", "first").join(
@@ -367,10 +368,13 @@ def drop_repeats(docs: DataFrame, window: int = 13, rounds: int = 2) -> DataFram
            .join(left, ["doc_id", "sha"], "left")
            .select(F.col("doc_id").alias(new_id), F.col("mark").alias(mark),
                    F.coalesce("kept_text", F.lit("")).alias(new)))
-    out = docs.hint("merge").join(cut, (F.col("doc_id") == F.col(new_id)) & (text_mark("text") == F.col(mark)), "left")
+    cut = written(cut.filter(F.col(new_id).isNotNull()), "cut")
+    near, rest = split_by(docs, "doc_id", cut, new_id)
+    out = near.hint("merge").join(cut, (F.col("doc_id") == F.col(new_id)) & (text_mark("text") == F.col(mark)), "left")
     same = F.col(new_id).isNull()
     cols = {"text": F.when(same, F.col("text")).otherwise(F.col(new))}
     if "n_chars" in docs.columns:
         cols["n_chars"] = F.when(same, F.col("n_chars")).otherwise(
             F.char_length(new).cast(docs.schema["n_chars"].dataType))
-    return out.withColumns(cols).select(*[F.col(f"`{c}`") for c in docs.columns])
+    out = out.withColumns(cols).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return out if rest is None else rest.unionByName(out)
