@@ -49,7 +49,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.llm.common import (Scratch, fan_out, mix, ship, signed, text_mark, text_slices, window_hashes,
+from sheaf.llm.common import (Scratch, fan_out, holding, mix, ship, signed, text_mark, text_slices, window_hashes,
                               without, words, written)
 from sheaf.llm.components import connected_components
 from sheaf.llm.exchange import SCHEMA, Exchange, groups
@@ -457,7 +457,7 @@ def _classes_by_component(docs: DataFrame, nodes: DataFrame, shingle: int, num:
     short = F.shiftrightunsigned("key", 16)
     listed = tmp.write(classes.withColumn("k", short).join(
         lists.select(F.col("key").alias("k")).distinct(), "k", "left_semi"), "listed")
-    items = tmp.write(docs.hint("merge").join(listed.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+    items = tmp.write(holding(docs, "doc_id", listed, "rep").hint("merge").join(listed.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
                       .select("text").mapInArrow(lambda it: _sets(it, shingle), "key long, items array<long>")
                       .join(listed.select("key"), "key", "left_semi").dropDuplicates(["key"]), "sets")
 
