@@ -137,36 +137,24 @@ class KeyFilter:
                 .select(*[F.col(f"`{c}`") for c in df.columns], hit.alias(name)))
 
 
-def holding(docs: DataFrame, id_col: str, rows: DataFrame, key: str) -> DataFrame:
-    """``docs`` before a join with ``rows``, a written table, on ``id_col`` = ``key``: without most of the rows that will
-    find no partner, if a filter can tell them; else as they are."""
-    near, _ = split_by(docs, id_col, rows, key)
-    return near
-
-
-def split_by(docs: DataFrame, id_col: str, rows: DataFrame, key: str) -> tuple[DataFrame, DataFrame | None]:
-    """(those of ``docs`` that may have a partner in ``rows``, a written table, by ``id_col`` = ``key``, those that have
-    none); all and None if no filter can tell them apart."""
-    # Hashes differ by type: ids are compared as the documents have them.
-    keys = rows.select(F.xxhash64(F.col(f"`{key}`").cast(docs.schema[id_col].dataType)))
-    known = KeyFilter.of(keys, rows.count())
-    if known is None:
-        return docs, None
-    hit = fresh("hit", docs.columns)
-    marked = known.mark(docs, F.xxhash64(F.col(f"`{id_col}`")), hit)
-    return marked.filter(hit).drop(hit), marked.filter(~F.col(hit)).drop(hit)
-
-
 def without(docs: DataFrame, id_col: str, text_col: str, rows: DataFrame) -> DataFrame:
     """``docs`` without the rows whose id and ``text_mark`` are the two columns of ``rows``; a null id stays.
 
     Only documents that a filter of the ids may hold are shuffled and compared."""
-    gone, mark = fresh("gone", docs.columns), fresh("mark", docs.columns)
+    gone, mark, hit = (fresh(c, docs.columns) for c in ("gone", "mark", "hit"))
     rows = written(rows.toDF(gone, mark).filter(F.col(gone).isNotNull()), "gone")
+    n = rows.count()
+    if not n:
+        return docs
+    # Hashes differ by type: ids are compared as the documents have them.
+    kind = docs.schema[id_col].dataType
+    known = KeyFilter.of(rows.select(F.xxhash64(F.col(gone).cast(kind))), n)
     same = (F.col(f"`{id_col}`") == F.col(gone)) & (text_mark(f"`{text_col}`") == F.col(mark))
-    near, rest = split_by(docs, id_col, rows, gone)
-    left = near.hint("merge").join(rows, same, "left_anti")
-    return left if rest is None else rest.unionByName(left)
+    if known is None:
+        return docs.hint("merge").join(rows, same, "left_anti")
+    marked = known.mark(docs, F.xxhash64(F.col(f"`{id_col}`")), hit)
+    found = marked.filter(hit).drop(hit)
+    return marked.filter(~F.col(hit)).drop(hit).unionByName(found.hint("merge").join(rows, same, "left_anti"))
 
 
 def fan_out(spark: SparkSession, per_partition: int = 4) -> int:
