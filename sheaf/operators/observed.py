@@ -3,11 +3,16 @@
 Missing counts and shares need no pass of their own: they are observed on the rows as the write's tasks produce them,
 and reach the driver as one row with the job's end. The observation sits directly under the write, in its last stage,
 where Spark counts a partition once however often its task is run, so retried and speculative tasks do not show.
+
+The write runs in a session of its own with the same settings: a session that has observed something can no longer be
+serialised, and a fitted logistic regression takes its session with it into the tasks that score with it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -42,6 +47,21 @@ class Profile(NamedTuple):
              for c in self.nulls], "column string, rows long, missing long, missing_or_empty long, share double")
 
 
+@contextmanager
+def _in_own_session(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` as a table of a new session of the same application, with the settings of its own."""
+    spark, name = df.sparkSession, f"sheaf_{uuid.uuid4().hex}"
+    other = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if other.conf.isModifiable(key):
+            other.conf.set(key, value)
+    df.createGlobalTempView(name)
+    try:
+        yield other.table(f"{spark.conf.get('spark.sql.globalTempDatabase')}.{name}")
+    finally:
+        spark.catalog.dropGlobalTempView(name)
+
+
 def write_observed(df: DataFrame, path: str, mode: str = "error", nulls_only: bool = False) -> tuple[DataFrame, Profile]:
     """Write ``df`` as Parquet at ``path``; the table as read back, and the profile of what was written.
 
@@ -54,7 +74,8 @@ def write_observed(df: DataFrame, path: str, mode: str = "error", nulls_only: bo
         if not nulls_only:
             counts += [F.count_if(missing_condition(df, c)).alias(f"m{i}"),
                        F.count_if(missing_condition(df, c, empty_as_missing=True)).alias(f"e{i}")]
-    df.observe(seen, *counts).write.mode(mode).parquet(path)
+    with _in_own_session(df) as table:
+        table.observe(seen, *counts).write.mode(mode).parquet(path)
     got = seen.get
     nulls, *tested = [{c: got[f"{k}{i}"] for i, c in enumerate(cols)} for k in ("n" if nulls_only else "nme")]
     profile = Profile(got["rows"], nulls, *(tested or (None, None)))

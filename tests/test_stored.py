@@ -99,6 +99,33 @@ def test_observed_after_a_shuffle(spark, tmp_path):
     assert (p.rows, p.nulls["x"]) == (4000, 1000)
 
 
+def test_observing_leaves_the_session_usable_for_models(spark, tmp_path):
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.functions import array_to_vector
+    df = spark.range(200).select((F.col("id") % 2).cast("double").alias("label"),
+                                 F.array((F.col("id") % 7).cast("double"), (F.col("id") % 2).cast("double")).alias("x"))
+    table, p = write_observed(df, str(tmp_path / "m"))
+    train = table.select("label", array_to_vector("x").alias("features"))
+    model = LogisticRegression(regParam=0.1).fit(train)
+    assert model.transform(train).filter("prediction = label").count() == p.rows == 200
+
+
+def test_observed_write_keeps_the_sessions_settings(spark, tmp_path, ansi):
+    from pyspark.sql import SparkSession
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = spark.createDataFrame([("1",), ("x",), (None,)], "t string").groupBy("t").agg(F.expr("try_cast(t AS int)").alias("n"))
+        table, p = write_observed(df, str(tmp_path / "s"))
+        assert len(list((tmp_path / "s").glob("part-*.parquet"))) <= 3 and p.nulls == {"t": 1, "n": 2}
+        assert _rows(table) == _rows(df) and SparkSession.getActiveSession() is not None
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert not [t for t in spark.catalog.listTables("global_temp") if t.name.startswith("sheaf_")]
+
+
 def test_base_table_needs_no_sparse_pass(spark, monkeypatch):
     from sheaf.plans import features
     t = tables(spark, SF)
