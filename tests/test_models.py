@@ -59,3 +59,25 @@ def test_metrics_agree_with_spark(spark, inputs):
     m = BinaryClassificationMetrics(rdd)
     assert hard.auc_roc == pytest.approx(m.areaUnderROC)
     assert hard.auc_pr == pytest.approx(m.areaUnderPR)
+
+
+def test_forest_search_spreads_its_rows_and_keeps_its_forests(spark, inputs, monkeypatch):
+    """Rows that one task took are dealt to several; the search fits what a plain classifier fits."""
+    from pyspark.ml.classification import RandomForestClassifier
+
+    from sheaf.operators import model as M
+    one = inputs.train.coalesce(1)
+    assert M.spread(one).rdd.getNumPartitions() == 1  # too few rows to deal
+    dealt = M.spread(one, least_bytes=1 << 12)
+    assert 1 < dealt.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    assert sorted(r[0] for r in dealt.select("business_id").collect()) == sorted(
+        r[0] for r in one.select("business_id").collect())
+    seen = []
+    monkeypatch.setattr(M, "cross_validate", lambda est, grid, train, **kw: seen.append((est, train)))
+    monkeypatch.setattr(M, "spread", lambda rows: dealt)
+    M.forest_cv(one)
+    (est, train), = seen
+    assert train is dealt and est.getCacheNodeIds()
+    rows = train.cache()
+    plain = RandomForestClassifier(seed=M.SEED, numTrees=12).fit(rows)
+    assert est.copy({est.numTrees: 12}).fit(rows).toDebugString.split("\n")[1:] == plain.toDebugString.split("\n")[1:]
