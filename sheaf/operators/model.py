@@ -99,7 +99,10 @@ def spread(rows: DataFrame, least_bytes: int = 1 << 22, features_col: str = "fea
     A forest's pass updates a histogram per tree and row, so a table that a linear fit reads best in one task keeps that
     task busy for minutes. A task costs histograms of its own, which are shuffled: more tasks than cores do not pay.
     """
-    width = rows.schema[features_col].metadata["ml_attr"]["num_attrs"]
+    width = rows.schema[features_col].metadata.get("ml_attr", {}).get("num_attrs")
+    if width is None:
+        one = rows.select(features_col).first()
+        width = one[0].size if one and one[0] is not None else 0
     most = rows.sparkSession.sparkContext.defaultParallelism
     parts = min(most, rows.count() * (8 * width + 64) // least_bytes)
     return rows.repartition(parts) if parts > rows.rdd.getNumPartitions() else rows

@@ -81,3 +81,13 @@ def test_forest_search_spreads_its_rows_and_keeps_its_forests(spark, inputs, mon
     rows = train.cache()
     plain = RandomForestClassifier(seed=M.SEED, numTrees=12).fit(rows)
     assert est.copy({est.numTrees: 12}).fit(rows).toDebugString.split("\n")[1:] == plain.toDebugString.split("\n")[1:]
+
+
+def test_spread_of_vectors_without_metadata(spark):
+    from pyspark.ml.functions import array_to_vector
+
+    from sheaf.operators.model import spread
+    df = spark.range(0, 1000, 1, 1).select("id", array_to_vector(F.array(F.lit(1.0), F.lit(2.0))).alias("features"))
+    dealt = spread(df, least_bytes=1 << 12)
+    assert dealt.rdd.getNumPartitions() == min(spark.sparkContext.defaultParallelism, 1000 * 80 // 4096)
+    assert dealt.count() == 1000 and spread(df.limit(0)).count() == 0
