@@ -5,7 +5,8 @@ and reach the driver as one row with the job's end. The observation sits directl
 where Spark counts a partition once however often its task is run, so retried and speculative tasks do not show.
 
 The write runs in a session of its own with the same settings: a session that has observed something can no longer be
-serialised, and a fitted logistic regression takes its session with it into the tasks that score with it.
+serialised, and a fitted logistic regression takes its session with it into the tasks that score with it. In that session
+generated methods are held to the size that HotSpot compiles: one above it is interpreted for as long as the write runs.
 """
 
 from __future__ import annotations
@@ -22,6 +23,9 @@ from sheaf.operators.columns import q
 from sheaf.operators.profile import missing_condition
 from sheaf.session import scratch_path
 
+HUGE_METHOD = "spark.sql.codegen.hugeMethodLimit"
+COMPILED_BYTES = 8000  # HotSpot's HugeMethodLimit
+
 
 class Profile(NamedTuple):
     """What a write observed: rows; nulls per column; nulls or NaN per column, without and with empty text, if asked for."""
@@ -55,6 +59,8 @@ def _in_own_session(df: DataFrame) -> Iterator[DataFrame]:
     for key, value in spark.conf.getAll.items():
         if other.conf.isModifiable(key):
             other.conf.set(key, value)
+    if int(other.conf.get(HUGE_METHOD)) > COMPILED_BYTES:
+        other.conf.set(HUGE_METHOD, COMPILED_BYTES)
     df.createGlobalTempView(name)
     try:
         yield other.table(f"{spark.conf.get('spark.sql.globalTempDatabase')}.{name}")

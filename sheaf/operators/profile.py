@@ -23,10 +23,10 @@ def nan_text(col: Column) -> Column:
     """True for text that casts to NaN: ``NaN`` with an optional sign, or ``nan`` in any case.
 
     Same answer as ``isnan(cast(col AS double))`` without a number-parse attempt (and a failed
-    parse) on every value of a text column.
+    parse) on every value of a text column. Only text of three bytes, which ``nan`` in any case has, is lower-cased.
     """
     t = F.trim(col)
-    return F.coalesce(t.isin("NaN", "+NaN", "-NaN") | (F.lower(t) == "nan"), F.lit(False))
+    return F.coalesce(t.isin("NaN", "+NaN", "-NaN") | ((F.octet_length(t) == 3) & (F.lower(t) == "nan")), F.lit(False))
 
 
 def missing_condition(df: DataFrame, c: str, empty_as_missing: bool = False) -> Column:

@@ -125,3 +125,17 @@ def test_quantiles_of_odd_values(spark):
     got = exact_quantiles_multi(df, ["a", "b", "c.d"], [0.0, 0.5, 1.0])
     assert got == {"a": [-inf, 0.0, inf], "b": [None, None, None], "c.d": [1.0, 1.0, 1.0]}
     assert exact_quantiles_multi(df.limit(0), ["a"], [0.5]) == {"a": [None]}
+
+
+def test_businesses_are_dealt_before_their_texts_are_parsed(spark):
+    """Hours are parsed on rows dealt by the key, not in the few tasks that read a small file. (Where the businesses come
+    out of a join on the key they are dealt already: test_star_join_reuses_rollup_partitioning.)"""
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    try:
+        steps = _plan(C.feat(spark, "/root/testdata/sf0.01")).split("\n")  # printed from the last step to the first
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    parsed = next(i for i, s in enumerate(steps) if "AS Days_open" in s)
+    dealt = next(i for i, s in enumerate(steps) if "REPARTITION_BY_COL" in s)
+    assert parsed < dealt < next(i for i, s in enumerate(steps) if "customer.parquet" in s)
+    assert sum("REPARTITION_BY_COL" in s for s in steps) == 1

@@ -139,3 +139,19 @@ def test_base_table_needs_no_sparse_pass(spark, monkeypatch):
 
 def test_queries_are_registered():
     assert {"feature_join_bucketed", "profile_on_write"} <= set(C.QUERIES) & set(C.ORACLE)
+
+
+def test_observed_writes_run_compiled(spark):
+    """A generated method that HotSpot would interpret is not used in the write; the caller's session keeps its setting."""
+    from sheaf.operators import observed
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    old = spark.conf.get(limit)
+    with observed._in_own_session(spark.range(1)) as table:
+        assert int(table.sparkSession.conf.get(limit)) == 8000
+    assert spark.conf.get(limit) == old
+    spark.conf.set(limit, "500")
+    try:
+        with observed._in_own_session(spark.range(1)) as table:
+            assert table.sparkSession.conf.get(limit) == "500"
+    finally:
+        spark.conf.set(limit, old)
