@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Mapping, Sequence
+from functools import partial
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+import numpy as np
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import RFormula
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
+from pyspark.ml.tuning import CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,16 +55,59 @@ def cross_validate(estimator, grid: Mapping[str, Sequence], train: DataFrame, fo
     With ``fold_col`` (see ``fold_number``) a row's fold is its own, whatever the partitioning; without, rows are
     dealt at random by ``seed``. ``train`` is kept in the executors' memory, or on their disks, while the folds are
     fitted; checkpoint it first, so that a lost executor is cheap to recover.
+
+    ``parallelism`` fits run at once, of whatever folds: ``CrossValidator`` waits for a fold's slowest fit before it
+    begins the next, and its cores wait with it. Fits, folds and metrics are the same.
     """
     ev = BinaryClassificationEvaluator(labelCol=label_col)
-    cv = CrossValidator(estimator=Pipeline(stages=[estimator]),
-                        estimatorParamMaps=_grid(estimator, grid), evaluator=ev, numFolds=folds,
-                        seed=seed, parallelism=parallelism, **({"foldCol": fold_col} if fold_col else {}))
+    pipeline, points = Pipeline(stages=[estimator]), _grid(estimator, grid)
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return cv.fit(train)
+        scores = _fold_scores(pipeline, points, ev, train, folds, seed, parallelism, fold_col)
+        mean, std = np.mean(scores, axis=0).tolist(), np.std(scores, axis=0).tolist()
+        best = int(np.argmax(mean))
+        cv = CrossValidatorModel(pipeline.fit(train, points[best]), mean, None, std)
     finally:
         train.unpersist()
+    known = {"estimator": pipeline, "estimatorParamMaps": points, "evaluator": ev, "numFolds": folds, "seed": seed}
+    for name, value in (known | ({"foldCol": fold_col} if fold_col else {})).items():
+        cv.set(cv.getParam(name), value)
+    return cv
+
+
+def _fold_scores(est, points: list, ev, train: DataFrame, folds: int, seed: int, parallelism: int,
+                 fold_col: str | None) -> list[list[float]]:
+    """The metric of every grid point on every fold. A fold's rows are kept until its last fit ends."""
+    own = fold_col or "_fold"
+    rows = train if fold_col else train.withColumn(own, F.floor(F.rand(seed) * folds).cast("int"))
+    sizes = rows.agg(*[F.count_if(F.col(own) == i) for i in range(folds)], F.count(F.lit(1))).first()
+    if sum(sizes[:-1]) < sizes[-1]:
+        raise ValueError(f"fold numbers must be in range [0, {folds})")
+    for i, n in enumerate(sizes[:-1]):
+        if n == 0 or n == sizes[-1]:
+            raise ValueError(f"The {'training' if n else 'validation'} data at fold {i} is empty.")
+    parts = [tuple(rows.filter(c).persist(StorageLevel.MEMORY_AND_DISK) for c in (F.col(own) != i, F.col(own) == i))
+             for i in range(folds)]
+    scores, waiting = [[0.0] * len(points) for _ in range(folds)], [len(points)] * folds
+
+    def fit(i: int, j: int) -> tuple[int, int, float]:
+        model = est.fit(parts[i][0], points[j])
+        return i, j, ev.evaluate(model.transform(parts[i][1], points[j]))
+
+    in_thread = inheritable_thread_target(train.sparkSession)
+    jobs = [in_thread(partial(fit, i, j)) for i in range(folds) for j in range(len(points))]
+    try:
+        with ThreadPool(min(parallelism, len(jobs))) as pool:
+            for i, j, score in pool.imap_unordered(lambda job: job(), jobs):
+                scores[i][j] = score
+                waiting[i] -= 1
+                if not waiting[i]:
+                    for part in parts[i]:
+                        part.unpersist()
+    finally:
+        for part in itertools.chain(*parts):
+            part.unpersist()
+    return scores
 
 
 def logistic_certificate(model, train: DataFrame, features_col: str = "features",
@@ -109,8 +156,12 @@ def spread(rows: DataFrame, least_bytes: int = 1 << 22, features_col: str = "fea
 
 
 def forest_cv(train: DataFrame, grid=RF_GRID, seed: int = SEED, **kw) -> CrossValidatorModel:
-    """The trees' node of every row is kept from level to level: the same forests without a walk from the roots per level."""
-    return cross_validate(RandomForestClassifier(seed=seed, cacheNodeIds=True), grid, spread(train), seed=seed, **kw)
+    """The trees' node of every row is kept from level to level: the same forests without a walk from the roots per level.
+
+    A fit keeps some bytes per row and tree, so few run at once: one more than a fold of the workload's grid has.
+    """
+    return cross_validate(RandomForestClassifier(seed=seed, cacheNodeIds=True), grid, spread(train), seed=seed,
+                          **{"parallelism": 4} | kw)
 
 
 def grid_metrics(spark: SparkSession, cv: CrossValidatorModel) -> DataFrame:

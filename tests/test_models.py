@@ -91,3 +91,50 @@ def test_spread_of_vectors_without_metadata(spark):
     dealt = spread(df, least_bytes=1 << 12)
     assert dealt.rdd.getNumPartitions() == min(spark.sparkContext.defaultParallelism, 1000 * 80 // 4096)
     assert dealt.count() == 1000 and spread(df.limit(0)).count() == 0
+
+
+def _as_cross_validator(estimator, grid, train, folds):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.tuning import CrossValidator
+
+    from sheaf.operators.model import SEED, _grid
+    return CrossValidator(estimator=Pipeline(stages=[estimator]), estimatorParamMaps=_grid(estimator, grid), numFolds=folds,
+                          evaluator=BinaryClassificationEvaluator(labelCol="label"), seed=SEED, foldCol="fold").fit(train)
+
+
+def test_fits_of_several_folds_run_at_once_and_score_as_spark_scores_them(spark, inputs, monkeypatch):
+    """Every fit of the search waits for a fit of another fold: folds that follow each other would wait in vain."""
+    import threading
+
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    grid = {"regParam": (0.1, 0.01), "maxIter": (5, 20)}
+    spark_cv = _as_cross_validator(LogisticRegression(), grid, inputs.train, 10)
+    kept = set(spark.sparkContext._jsc.getPersistentRDDs())
+    plain, meet, broken = Pipeline.fit, threading.Barrier(8), []
+
+    def fit(self, rows, params=None):
+        if threading.current_thread() is not threading.main_thread():
+            try:
+                meet.wait(60)
+            except threading.BrokenBarrierError:
+                broken.append(params)
+        return plain(self, rows, params)
+    monkeypatch.setattr(Pipeline, "fit", fit)
+    cv = cross_validate(LogisticRegression(), grid, inputs.train, fold_col="fold")
+    assert not broken
+    assert cv.avgMetrics == pytest.approx(spark_cv.avgMetrics) and cv.stdMetrics == pytest.approx(spark_cv.stdMetrics)
+    assert cv.bestModel.stages[-1].coefficients == spark_cv.bestModel.stages[-1].coefficients
+    assert [list(m.values()) for m in cv.getEstimatorParamMaps()] == [list(m.values()) for m in spark_cv.getEstimatorParamMaps()]
+    assert set(spark.sparkContext._jsc.getPersistentRDDs()) <= kept
+
+
+def test_folds_must_be_in_range_and_have_rows(spark, inputs):
+    from pyspark.ml.classification import LogisticRegression
+    lr, grid = LogisticRegression(), {"maxIter": (2,)}
+    with pytest.raises(ValueError, match="range"):
+        cross_validate(lr, grid, inputs.train, folds=9, fold_col="fold")
+    with pytest.raises(ValueError, match="validation data at fold 3 is empty"):
+        cross_validate(lr, grid, inputs.train.filter("fold <> 3"), fold_col="fold")
+    with pytest.raises(ValueError, match="training data at fold 0 is empty"):
+        cross_validate(lr, grid, inputs.train.filter("fold = 0"), fold_col="fold")
