@@ -38,21 +38,32 @@ def ship(spark: SparkSession) -> None:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet into the shared checkpoint folder and read back (cuts lineage)."""
-    with _shuffles_let_go(df.sparkSession):
+    with _lean(df.sparkSession):
         return materialize(df, f"llm-{name}")
 
 
+_BATCH_BYTES = 4 << 20
+_LEAN = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+         "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+         "spark.sql.execution.arrow.maxBytesPerBatch": str(_BATCH_BYTES)}
+
+
 @contextlib.contextmanager
-def _shuffles_let_go(spark: SparkSession) -> Iterator[None]:
-    """Have Spark delete a write's shuffle files when it ends, not when the driver happens to collect its
-    garbage (which may be half an hour later)."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(name, "false")
-    spark.conf.set(name, "true")
+def _lean(spark: SparkSession) -> Iterator[None]:
+    """Settings of a write that hold on to little.
+
+    Spark deletes its shuffle files when it ends, not when the driver happens to collect its garbage (which may be half an
+    hour later). Python is sent rows by the megabyte: ten thousand long texts in one Arrow batch, which is Spark's default,
+    take their size several times over outside the heap, in each task and its worker, and the allocators keep it.
+    """
+    before = {name: spark.conf.get(name, None) for name in _LEAN}
+    for name, value in _LEAN.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
     gc.collect()
     spark._jvm.System.gc()  # broadcasts and plans that are done
 
@@ -75,7 +86,7 @@ class Scratch:
     def write(self, df: DataFrame, name: str) -> DataFrame:
         path = scratch_path(self.spark, f"llm-{name}")
         self.paths.append(path)
-        with _shuffles_let_go(self.spark):
+        with _lean(self.spark):
             df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 

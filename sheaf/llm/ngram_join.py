@@ -55,6 +55,7 @@ from sheaf.llm.components import connected_components
 from sheaf.llm.exchange import SCHEMA, Exchange, groups
 
 SMALL = 64  # sizes up to here may be light
+_SLICE = 1 << 18  # text bytes hashed at once; the arrays derived from them take fifty times that
 _KEY = np.uint64(0xA24BAED4963EE407)
 _SIG = np.uint64(0x9FB21C651E98DF25)
 _ALL = (1 << 64) - 1
@@ -196,7 +197,7 @@ _SKETCH = [f"s{i}" for i in range(8)]
 
 def _nodes(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     """Sets named by a key; columns after id and text (a mark of the text) are passed on."""
-    for rows, data, off in text_slices(batches, "text"):
+    for rows, data, off in text_slices(batches, "text", _SLICE):
         sets = list(shingle_sets(data, off, k))
         bits = np.array([sketch(s) for s in sets]).reshape(len(sets), 8)
         yield pa.RecordBatch.from_arrays(
@@ -206,7 +207,7 @@ def _nodes(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch
 
 
 def _entries(batches: Iterator[pa.RecordBatch], k: int, plan: Plan, way: Exchange,
-             most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+             most: int = 1 << 18) -> Iterator[pa.RecordBatch]:
     sig: list[np.ndarray] = []
     key: list[np.ndarray] = []
     seen: set[int] = set()
@@ -215,7 +216,7 @@ def _entries(batches: Iterator[pa.RecordBatch], k: int, plan: Plan, way: Exchang
     def flush() -> pa.RecordBatch:
         return way.pack(np.concatenate(sig), np.concatenate(key), salt)
 
-    for rows, data, off in text_slices(batches, "text"):
+    for rows, data, off in text_slices(batches, "text", _SLICE):
         salt = rows.column("part")[0].as_py() * 1009 + len(seen)
         for s in shingle_sets(data, off, k):
             if not len(s) or (own := set_key(s)) in seen:
@@ -243,7 +244,7 @@ def _lists(rows: pd.DataFrame, way: Exchange) -> pd.DataFrame:
 
 
 def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    for _, data, off in text_slices(batches, "text"):
+    for _, data, off in text_slices(batches, "text", _SLICE):
         sets = [s for s in shingle_sets(data, off, k) if len(s)]
         lens = np.array([len(s) for s in sets], np.int64)
         flat = signed(np.concatenate(sets)) if sets else np.zeros(0, np.int64)
