@@ -17,6 +17,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
+
+from sheaf.operators.columns import q
 
 # The workload's search grids.
 LR_GRID = {"regParam": (0.1, 0.01), "maxIter": (50, 100, 150)}
@@ -145,14 +148,24 @@ def spread(rows: DataFrame, least_bytes: int = 1 << 22, features_col: str = "fea
 
     A forest's pass updates a histogram per tree and row, so a table that a linear fit reads best in one task keeps that
     task busy for minutes. A task costs histograms of its own, which are shuffled: more tasks than cores do not pay.
+
+    Every partition is in the order of its features: a pass updates far more counts than a core's cache holds, and like
+    rows that follow each other update the same ones. The other plain columns settle ties, so a partition's rows have one
+    order, however they were fetched. Tables below two pieces stay as they are.
     """
     width = rows.schema[features_col].metadata.get("ml_attr", {}).get("num_attrs")
     if width is None:
         one = rows.select(features_col).first()
         width = one[0].size if one and one[0] is not None else 0
     most = rows.sparkSession.sparkContext.defaultParallelism
-    parts = min(most, rows.count() * (8 * width + 64) // least_bytes)
-    return rows.repartition(parts) if parts > rows.rdd.getNumPartitions() else rows
+    pieces = rows.count() * (8 * width + 64) // least_bytes
+    if pieces < 2:
+        return rows
+    parts = min(most, pieces)
+    dealt = rows.repartition(parts) if parts > rows.rdd.getNumPartitions() else rows
+    plain = [q(f.name) for f in rows.schema if isinstance(f.dataType, AtomicType)]
+    own = "_order"  # a column, so that the vector is turned into an array once a row, not once a comparison
+    return dealt.withColumn(own, vector_to_array(features_col)).sortWithinPartitions(own, *plain).drop(own)
 
 
 def forest_cv(train: DataFrame, grid=RF_GRID, seed: int = SEED, **kw) -> CrossValidatorModel:

@@ -93,6 +93,25 @@ def test_spread_of_vectors_without_metadata(spark):
     assert dealt.count() == 1000 and spread(df.limit(0)).count() == 0
 
 
+def test_spread_keeps_like_rows_together(spark):
+    """A partition's rows are in the order of their features, ties by the other columns, whatever order they came in."""
+    from pyspark.ml.functions import array_to_vector
+
+    from sheaf.operators.model import spread
+    k = F.col("id")
+    x = array_to_vector(F.array((k * 7 % 5).cast("double"), F.when(k % 3 > 0, (k * 11 % 4).cast("double")).otherwise(-1.5)))
+    df = spark.range(0, 1000, 1, 3).select((-k).alias("id"), x.alias("features"), (k % 2).cast("double").alias("label"))
+    one = df.coalesce(1)
+    for rows, parts in ((one, min(spark.sparkContext.defaultParallelism, 19)), (df.repartition(40), 40)):
+        dealt = spread(rows, least_bytes=1 << 12)
+        assert dealt.columns == df.columns and dealt.rdd.getNumPartitions() == parts
+        groups = [[(r.features.toArray().tolist(), r.id, r.label) for r in g] for g in dealt.rdd.glom().collect()]
+        assert all(g == sorted(g) for g in groups) and any(len(g) > 1 for g in groups)
+        assert sorted(r for g in groups for r in g) == sorted((r.features.toArray().tolist(), r.id, r.label) for r in df.collect())
+    small = spread(one, least_bytes=1 << 20)
+    assert [r.id for r in small.collect()] == [r.id for r in one.collect()]
+
+
 def _as_cross_validator(estimator, grid, train, folds):
     from pyspark.ml import Pipeline
     from pyspark.ml.tuning import CrossValidator
